@@ -142,3 +142,80 @@ def gold_cte(names=("revenue_per_category", "discount_effectiveness", "price_rat
     parts = [bronze_cte(category), DEDUP_FIXTURE, SILVER_CTE, STATS_CTE]
     parts += [f"g_{n} AS ({GOLD_SELECT[n]})" for n in names]
     return "WITH " + ",\n".join(parts)
+
+
+SILVER_COLUMNS = ["ProductID", "ProductName", "Category", "Price", "Rating", "NumReviews", "StockQuantity",
+                  "Sales", "Discount", "DateAdded", "City", "StockStatus", "ProcessedTimestamp", "Year", "Month"]
+
+
+def div(a: str, b: str) -> str:
+    """NULL on a zero divisor, like Spark's try_divide."""
+    return f"CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / ({b}) END"
+
+
+JOINED_COLUMNS = """r.Category, r.TotalRevenue, r.TotalSales, r.AveragePrice, r.ProductCount, r.AvgDiscountPercentage,
+    d.AvgDiscountPercentage AS AvgDiscountPercentage_disc, d.TotalDiscountedRevenue, d.PotentialRevenue, d.AvgSales,
+    d.RevenueLossFromDiscount, d.DiscountROI,
+    p.PriceRatingCorrelation, p.AvgPrice, p.AvgRating, p.AvgReviews, p.PriceRatingRelationship,
+    v.TotalReviews, v.TotalSales AS TotalSales_review, v.AvgRating AS AvgRating_review, v.HighRatingCount,
+    v.ReviewToSalesRatio, v.CustomerEngagementLevel"""
+
+NUMERIC_JOINED = ["TotalRevenue", "TotalSales", "AveragePrice", "ProductCount", "AvgDiscountPercentage",
+                  "AvgDiscountPercentage_disc", "TotalDiscountedRevenue", "PotentialRevenue", "AvgSales",
+                  "RevenueLossFromDiscount", "DiscountROI", "PriceRatingCorrelation", "AvgPrice", "AvgRating",
+                  "AvgReviews", "TotalReviews", "TotalSales_review", "AvgRating_review", "HighRatingCount",
+                  "ReviewToSalesRatio"]
+TEXT_JOINED = ["PriceRatingRelationship", "CustomerEngagementLevel"]
+
+
+def features_cte(category: str = "p_brand") -> str:
+    filled = ", ".join(f"coalesce({c}, 0) AS {c}" for c in NUMERIC_JOINED)
+    return gold_cte(category=category) + f""",
+joined AS (
+  SELECT {JOINED_COLUMNS}
+  FROM g_revenue_per_category r
+  JOIN g_discount_effectiveness d ON r.Category IS NOT DISTINCT FROM d.Category
+  JOIN g_price_rating_correlation p ON r.Category IS NOT DISTINCT FROM p.Category
+  JOIN g_review_sales_ratio v ON r.Category IS NOT DISTINCT FROM v.Category),
+filled AS (SELECT Category, {filled}, {", ".join(TEXT_JOINED)} FROM joined),
+gstats AS (
+  SELECT avg(AveragePrice) AS m_ap, stddev_samp(AveragePrice) AS s_ap,
+         avg(TotalRevenue) AS m_tr, stddev_samp(TotalRevenue) AS s_tr,
+         avg(TotalSales) AS m_ts, stddev_samp(TotalSales) AS s_ts,
+         quantile_cont(AveragePrice, [0.2, 0.4, 0.6000000000000001, 0.8]) AS q_ap,
+         quantile_cont(greatest(DiscountROI, 0.0), [0.3333333333333333, 0.6666666666666666]) AS q_roi
+  FROM filled),
+base AS (
+  SELECT *, {div("TotalReviews", "CASE WHEN TotalSales = 0 THEN 1 ELSE TotalSales END")} AS rps,
+         {div("HighRatingCount", "CASE WHEN ProductCount = 0 THEN 1 ELSE ProductCount END")} AS hrr,
+         {div("TotalDiscountedRevenue", "PotentialRevenue")} AS eff,
+         greatest(DiscountROI, 0.0) AS roi
+  FROM filled, gstats),
+feats AS (
+  SELECT *,
+    {div("AveragePrice", "m_ap")} AS PriceToAvgRatio,
+    {div("abs(AveragePrice - m_ap)", "s_ap")} AS PriceVariance,
+    CASE WHEN AveragePrice IS NULL THEN NULL WHEN AveragePrice <= q_ap[1] THEN 'VeryLow'
+         WHEN AveragePrice <= q_ap[2] THEN 'Low' WHEN AveragePrice <= q_ap[3] THEN 'Medium'
+         WHEN AveragePrice <= q_ap[4] THEN 'High' ELSE 'VeryHigh' END AS PriceCategory,
+    CASE WHEN RevenueLossFromDiscount > 0 THEN {div("TotalDiscountedRevenue", "RevenueLossFromDiscount")}
+         ELSE 0.0 END AS DiscountEfficiency,
+    CASE WHEN roi IS NULL THEN NULL WHEN roi <= q_roi[1] THEN 'Low' WHEN roi <= q_roi[2] THEN 'Medium'
+         ELSE 'High' END AS DiscountROICategory,
+    eff AS DiscountEffectiveness,
+    rps AS ReviewsPerSale,
+    hrr AS HighRatingRatio,
+    rps * hrr * AvgRating AS EngagementScore,
+    {div("AvgRating * hrr", "eff + 1")} AS CustomerSatisfaction,
+    {div("TotalRevenue", "ProductCount")} AS RevenuePerProduct,
+    {div("TotalSales", "ProductCount * AvgDiscountPercentage + 1")} AS SalesEfficiency,
+    AveragePrice * AvgRating AS PriceRatingInteraction,
+    AvgDiscountPercentage * AvgRating AS DiscountRatingInteraction,
+    AveragePrice * AvgDiscountPercentage AS PriceDiscountInteraction,
+    {div("TotalRevenue", "ProductCount * AveragePrice")} AS MarketPerformance,
+    {div("TotalReviews * AvgRating", "TotalSales")} AS CustomerEngagementIndex,
+    TotalRevenue * (1 - AvgDiscountPercentage / 100) AS ProfitabilityScore,
+    {div("TotalRevenue - m_tr", "s_tr")} AS Normalized_TotalRevenue,
+    {div("TotalSales - m_ts", "s_ts")} AS Normalized_TotalSales,
+    {div("AveragePrice - m_ap", "s_ap")} AS Normalized_AveragePrice
+  FROM base)"""

@@ -19,10 +19,57 @@ SELECT ProductID,
   CASE WHEN Sales IS NULL THEN NULL WHEN coalesce(s5, 0) = 0 THEN 0.0 ELSE Sales / s5 END AS scaled_Sales
 FROM silver, sd"""
 
+_NULLS = O.with_silver() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count FROM silver"
+    for c in O.SILVER_COLUMNS)
+
+_SALES_STATS = O.with_silver() + """
+SELECT 'bronze' AS layer, round(avg(Sales), 2) AS avg_sales, min(Sales) AS min_sales, max(Sales) AS max_sales FROM bronze
+UNION ALL
+SELECT 'silver', round(avg(Sales), 2), min(Sales), max(Sales) FROM silver"""
+
+_SAMPLE = O.with_silver() + "\nSELECT ProductID, Category, Sales, Price, Discount FROM silver ORDER BY ProductID LIMIT 5"
+
+_CATEGORIES = O.with_silver() + "\nSELECT DISTINCT Category FROM silver ORDER BY Category"
+
+LOOKUPS = {
+    "lookup_revenue": ("revenue_per_category", "PROMO"),
+    "lookup_discount": ("discount_effectiveness", "STANDARD"),
+    "lookup_price_rating": ("price_rating_correlation", "LARGE"),
+    "lookup_customer_satisfaction": ("review_sales_ratio", "MEDIUM"),
+    "lookup_discount_impact": ("discount_impact", "SMALL"),
+    "lookup_price_satisfaction": ("price_satisfaction", "ECONOMY"),
+}
+
+
+def _lookup_sql(table: str, category: str) -> str:
+    return f"SELECT * FROM ({O.gold_sql(table)}) g WHERE Category = '{category}'"
+
+
+FEATURE_GROUPS = {
+    "features_price": ["PriceToAvgRatio", "PriceVariance", "PriceCategory"],
+    "features_discount": ["DiscountEfficiency", "DiscountROICategory", "DiscountEffectiveness"],
+    "features_engagement": ["ReviewsPerSale", "HighRatingRatio", "EngagementScore", "CustomerSatisfaction"],
+    "features_performance": ["RevenuePerProduct", "SalesEfficiency", "PriceRatingInteraction",
+                             "DiscountRatingInteraction", "PriceDiscountInteraction", "MarketPerformance",
+                             "CustomerEngagementIndex", "ProfitabilityScore"],
+    "features_zscore": ["Normalized_TotalRevenue", "Normalized_TotalSales", "Normalized_AveragePrice"],
+}
+
+_FEATURES_JOINED = O.features_cte() + "\nSELECT Category, " + ", ".join(O.NUMERIC_JOINED + O.TEXT_JOINED) + " FROM filled"
+
 ORACLE: dict[str, str] = {
     "bronze_products": _BRONZE,
     "silver_dedupe": _DEDUP,
     "silver_products": _SILVER,
     "silver_scaled": _SCALED,
     **{f"gold_{n}": O.gold_sql(n) for n in O.GOLD_SELECT},
+    "profile_nulls": _NULLS,
+    "profile_sales_stats": _SALES_STATS,
+    "profile_sample": _SAMPLE,
+    "lookup_categories": _CATEGORIES,
+    **{name: _lookup_sql(t, c) for name, (t, c) in LOOKUPS.items()},
+    "features_joined": _FEATURES_JOINED,
+    **{name: O.features_cte() + "\nSELECT Category, " + ", ".join(cols) + " FROM feats"
+       for name, cols in FEATURE_GROUPS.items()},
 }
