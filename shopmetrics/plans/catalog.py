@@ -11,7 +11,12 @@ from ..operators import gold as G
 from ..operators import lookup as LK
 from ..operators import profile as PR
 from ..operators import silver as SV
+from ..operators import fingerprint as FP
 from ..sources import fixture as FX
+from ..sources import ingest as IN
+from ..sources import tables as TB
+from ..streaming import stream as ST
+from . import refresh as RF
 from . import medallion as MD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +124,91 @@ def _features(cols: list[str]) -> Query:
     return q
 
 
+def _csv_fixture(spark, sf_dir) -> str:
+    """Write the raw CSV fixture (several text files) under the shared folder; return its path."""
+    path = TB.shared_dir(spark, "csv", unique=True)
+    FX.product_csv_lines(bronze(spark, sf_dir)).write.text(path)
+    return path
+
+
+def q_ingest_csv_valid(spark, sf_dir):
+    raw = IN.read_product_csv(spark, _csv_fixture(spark, sf_dir), header=False, glob="part-*")
+    return IN.products_from_csv(raw)[0]
+
+
+def q_ingest_csv_rejected(spark, sf_dir):
+    raw = IN.read_product_csv(spark, _csv_fixture(spark, sf_dir), header=False, glob="part-*")
+    return IN.products_from_csv(raw)[1].select("ProductID", "ProductName", "RejectReason")
+
+
+def _messages(spark, sf_dir, files: int) -> str:
+    path = TB.shared_dir(spark, "messages", unique=True)
+    IN.encode_messages(q_bronze_products(spark, sf_dir)).repartition(files).write.text(path)
+    return path
+
+
+def q_ingest_json_roundtrip(spark, sf_dir):
+    path = _messages(spark, sf_dir, files=4)
+    return IN.decode_messages(spark.read.text(path))
+
+
+def _run_stream(spark, sf_dir, refresh: bool) -> RF.LakePaths:
+    _, paths, checkpoint = ST.stream_dirs(spark, "fixture")
+    src = _messages(spark, sf_dir, files=3)
+    records = ST.read_message_stream(spark, path=src, max_per_trigger=1)
+    q = ST.start_bronze_stream(records, paths, checkpoint, refresh=refresh, keep_existing_stamp=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return paths
+
+
+def q_stream_bronze_append(spark, sf_dir):
+    return RF.read_bronze(spark, _run_stream(spark, sf_dir, refresh=False).bronze)
+
+
+def q_stream_gold_refresh(spark, sf_dir):
+    paths = _run_stream(spark, sf_dir, refresh=True)
+    return TB.read_gold(spark, paths.gold, "revenue_per_category")
+
+
+def q_table_silver_roundtrip(spark, sf_dir):
+    path = TB.shared_dir(spark, "silver", unique=True)
+    s = silver(spark, sf_dir)
+    TB.write_table(s, path, partition_by=["Year", "Month"])
+    return TB.read_table(spark, path).select(*s.columns)
+
+
+def q_table_gold_roundtrip(spark, sf_dir):
+    root = TB.shared_dir(spark, "gold", unique=True)
+    TB.write_gold(MD.gold_from_silver(silver(spark, sf_dir)), root)
+    return TB.read_gold(spark, root, "revenue_per_category")
+
+
+def _fingerprints(gold: dict[str, DataFrame], names) -> DataFrame:
+    out = None
+    for n in names:
+        fp = FP.content_fingerprint(gold[n], n)
+        out = fp if out is None else out.unionByName(fp)
+    return out
+
+
+def q_table_fingerprint(spark, sf_dir):
+    gold = MD.gold_from_silver(silver(spark, sf_dir))
+    return _fingerprints(gold, list(gold))
+
+
+def q_table_changes(spark, sf_dir):
+    """Old state: three gold tables by product type. New state: revenue unchanged, discount_impact
+    rebuilt by brand (changed), price_rating_correlation added (new), review_sales_ratio dropped (gone)."""
+    by_type = MD.gold_from_silver(silver(spark, sf_dir))
+    by_brand = MD.gold_from_silver(silver(spark, sf_dir, category="brand"))
+    old = _fingerprints(by_type, ["revenue_per_category", "discount_impact", "review_sales_ratio"])
+    new = _fingerprints({**by_type, "discount_impact": by_brand["discount_impact"]},
+                        ["revenue_per_category", "discount_impact", "price_rating_correlation"])
+    return FP.changed_tables(old, new)
+
+
 QUERIES: dict[str, Query] = {
     "bronze_products": q_bronze_products,
     "silver_dedupe": q_silver_dedupe,
@@ -132,6 +222,15 @@ QUERIES: dict[str, Query] = {
     "profile_sample": q_profile_sample,
     "lookup_categories": q_lookup_categories,
     **{name: _lookup(t, c) for name, (t, c) in LOOKUPS.items()},
+    "ingest_csv_valid": q_ingest_csv_valid,
+    "ingest_csv_rejected": q_ingest_csv_rejected,
+    "ingest_json_roundtrip": q_ingest_json_roundtrip,
+    "stream_bronze_append": q_stream_bronze_append,
+    "stream_gold_refresh": q_stream_gold_refresh,
+    "table_silver_roundtrip": q_table_silver_roundtrip,
+    "table_gold_roundtrip": q_table_gold_roundtrip,
+    "table_fingerprint": q_table_fingerprint,
+    "table_changes": q_table_changes,
     "features_joined": q_features_joined,
     **{name: _features(cols) for name, cols in FEATURE_GROUPS.items()},
 }

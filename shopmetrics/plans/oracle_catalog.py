@@ -58,12 +58,48 @@ FEATURE_GROUPS = {
 
 _FEATURES_JOINED = O.features_cte() + "\nSELECT Category, " + ", ".join(O.NUMERIC_JOINED + O.TEXT_JOINED) + " FROM filled"
 
+_CSV_VALID = "WITH " + O.bronze_cte() + """
+SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantity, Sales, Discount, DateAdded, City,
+       CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus
+FROM bronze WHERE l_linenumber NOT IN (3, 4, 5)"""
+
+_CSV_REJECTED = "WITH " + O.bronze_cte() + """
+SELECT ProductID, ProductName,
+       CASE l_linenumber WHEN 5 THEN 'Price' WHEN 3 THEN 'Discount' ELSE 'field_count' END AS RejectReason
+FROM bronze WHERE l_linenumber IN (3, 4, 5)"""
+
+# The stream's bronze has no tie-break columns: the generic dedupe order applies.
+_STREAM_REVENUE = ("WITH " + ",\n".join([O.bronze_cte(tie_break=False), O.DEDUP_GENERIC, O.SILVER_CTE, O.STATS_CTE])
+                   + "\n" + O.GOLD_SELECT["revenue_per_category"])
+
+_CHANGES = O.gold_cte(names=("discount_impact",)) + ",\n" + ",\n".join([
+    O.bronze_cte("p_brand").replace("bronze AS", "bronze_b AS", 1),
+    O.DEDUP_FIXTURE.replace("dedup AS", "dedup_b AS", 1).replace("FROM bronze)", "FROM bronze_b)"),
+    O.SILVER_CTE.replace("typed AS", "typed_b AS", 1).replace("FROM dedup)", "FROM dedup_b)")
+        .replace("silver AS", "silver_b AS", 1).replace("FROM typed)", "FROM typed_b)"),
+    O.STATS_CTE.replace("stats AS", "stats_b AS", 1).replace("FROM silver GROUP", "FROM silver_b GROUP"),
+    "g_di_b AS (" + O.GOLD_SELECT["discount_impact"].replace("FROM stats", "FROM stats_b") + ")",
+    """same AS (SELECT (SELECT count(*) FROM (SELECT * FROM g_discount_impact EXCEPT ALL SELECT * FROM g_di_b))
+                 + (SELECT count(*) FROM (SELECT * FROM g_di_b EXCEPT ALL SELECT * FROM g_discount_impact)) = 0 AS eq)"""]) + """
+SELECT 'revenue_per_category' AS table_name, 'unchanged' AS status
+UNION ALL SELECT 'discount_impact', CASE WHEN eq THEN 'unchanged' ELSE 'changed' END FROM same
+UNION ALL SELECT 'price_rating_correlation', 'new'
+UNION ALL SELECT 'review_sales_ratio', 'gone'"""
+
 ORACLE: dict[str, str] = {
     "bronze_products": _BRONZE,
     "silver_dedupe": _DEDUP,
     "silver_products": _SILVER,
     "silver_scaled": _SCALED,
     **{f"gold_{n}": O.gold_sql(n) for n in O.GOLD_SELECT},
+    "ingest_csv_valid": _CSV_VALID,
+    "ingest_csv_rejected": _CSV_REJECTED,
+    "ingest_json_roundtrip": _BRONZE,
+    "stream_bronze_append": _BRONZE,
+    "stream_gold_refresh": _STREAM_REVENUE,
+    "table_silver_roundtrip": _SILVER,
+    "table_gold_roundtrip": O.gold_sql("revenue_per_category"),
+    "table_changes": _CHANGES,
     "profile_nulls": _NULLS,
     "profile_sales_stats": _SALES_STATS,
     "profile_sample": _SAMPLE,

@@ -57,3 +57,33 @@ def bronze_from_tpch(spark: SparkSession, sf_dir: str, category: str = "type",
 
 def drop_tie_break(df: DataFrame) -> DataFrame:
     return df.drop(*TIE_BREAK)
+
+
+def _q(c):
+    """A quoted CSV field."""
+    return F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+
+
+def product_csv_lines(bronze: DataFrame) -> DataFrame:
+    """Raw CSV text lines (no header) from fixture bronze rows, with defects chosen by line number:
+
+    ``l_linenumber`` 3: Discount written as ``<n>.0`` (not an int: rejected);
+    4: only 10 fields (rejected although every number parses); 5: Price ``x`` (rejected);
+    6: StockStatus missing, 11 fields (kept, StockStatus false). ProductName is always quoted.
+    """
+    ln = F.col("l_linenumber")
+    s = lambda c: F.col(c).cast("string")
+    fields = [
+        s("ProductID"), _q(F.col("ProductName")), F.col("Category"),
+        F.when(ln == 5, F.lit("x")).otherwise(s("Price")),
+        s("Rating"), s("NumReviews"), s("StockQuantity"), s("Sales"),
+        F.when(ln == 3, F.concat(s("Discount"), F.lit(".0"))).otherwise(s("Discount")),
+        F.col("DateAdded"),
+    ]
+    city = F.col("City")
+    status = F.when(F.col("StockStatus"), F.lit("TRUE")).otherwise(F.lit("FALSE"))
+    head = F.concat_ws(",", *fields)
+    line = (F.when(ln == 4, head)
+             .when(ln == 6, F.concat_ws(",", head, city))
+             .otherwise(F.concat_ws(",", head, city, status)))
+    return bronze.select(line.alias("value"))
