@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schema as S
 
 from ..operators import features as FE
 from ..operators import gold as G
 from ..operators import lookup as LK
+from ..operators import model as ML
 from ..operators import profile as PR
 from ..operators import silver as SV
 from ..operators import fingerprint as FP
@@ -209,6 +213,70 @@ def q_table_changes(spark, sf_dir):
     return FP.changed_tables(old, new)
 
 
+def q_ml_yeo_johnson_lambda(spark, sf_dir):
+    return ML.yeo_johnson_lambdas(features(spark, sf_dir), S.NUMERIC_FEATURES)
+
+
+def requests(spark, sf_dir) -> DataFrame:
+    """One prediction request per product, from its latest raw record (some out of range)."""
+    latest = SV.latest_per_product(bronze(spark, sf_dir), order=FX.DEDUPE_ORDER)
+    return latest.select(
+        F.col("ProductID").cast("long").alias("request_id"), F.col("Price").alias("price"),
+        F.col("Discount").cast("double").alias("discount_percentage"), F.col("Rating").alias("rating"),
+        F.col("NumReviews").alias("num_reviews"), F.upper(F.trim("Category")).alias("category"))
+
+
+def q_ml_requests_valid(spark, sf_dir):
+    return ML.validate_requests(requests(spark, sf_dir))[0]
+
+
+def q_ml_requests_rejected(spark, sf_dir):
+    return ML.validate_requests(requests(spark, sf_dir))[1]
+
+
+def q_ml_request_features(spark, sf_dir):
+    return ML.request_features(q_ml_requests_valid(spark, sf_dir))
+
+
+def q_ml_regression_metrics(spark, sf_dir):
+    """Metrics of the per-category mean-sales baseline over silver products."""
+    s = silver(spark, sf_dir)
+    means = s.groupBy("Category").agg(F.avg("Sales").alias("baseline"))
+    scored = s.join(means, s["Category"].eqNullSafe(means["Category"])).select("Sales", "baseline")
+    return ML.regression_metrics(scored, "Sales", "baseline")
+
+
+def q_ml_one_hot(spark, sf_dir):
+    feats = features(spark, sf_dir)
+    enc = ML.one_hot_model(feats, S.CATEGORICAL_FEATURES).transform(feats)
+    return enc.select("Category", *[F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in S.CATEGORICAL_FEATURES])
+
+
+_TRAINED: dict = {}
+
+
+def trained(spark, sf_dir):
+    """The stacked model on the brand-grain features (small sizes), memoised per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = ML.train(features(spark, sf_dir), ["Category"], config=ML.StackConfig.small())
+    return _TRAINED[key]
+
+
+def q_ml_stacked_metrics(spark, sf_dir):
+    return trained(spark, sf_dir)[0].metrics
+
+
+def q_ml_feature_importance(spark, sf_dir):
+    model = trained(spark, sf_dir)[0]
+    return ML.feature_importance(spark, model.stack.bases[0], model.names, top=10)
+
+
+def q_ml_score_batch(spark, sf_dir):
+    model = trained(spark, sf_dir)[0]
+    return model.score(q_ml_request_features(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_products": q_bronze_products,
     "silver_dedupe": q_silver_dedupe,
@@ -233,4 +301,13 @@ QUERIES: dict[str, Query] = {
     "table_changes": q_table_changes,
     "features_joined": q_features_joined,
     **{name: _features(cols) for name, cols in FEATURE_GROUPS.items()},
+    "ml_yeo_johnson_lambda": q_ml_yeo_johnson_lambda,
+    "ml_requests_valid": q_ml_requests_valid,
+    "ml_requests_rejected": q_ml_requests_rejected,
+    "ml_request_features": q_ml_request_features,
+    "ml_regression_metrics": q_ml_regression_metrics,
+    "ml_one_hot": q_ml_one_hot,
+    "ml_stacked_metrics": q_ml_stacked_metrics,
+    "ml_feature_importance": q_ml_feature_importance,
+    "ml_score_batch": q_ml_score_batch,
 }

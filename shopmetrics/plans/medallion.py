@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame
 
 from ..operators import features as FE
 from ..operators import gold as G
-from ..sources.tables import ensure_checkpoint_dir
+from ..sources.tables import checkpointed
 
 KEYS = ("Category",)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss; never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def gold_from_silver(silver: DataFrame, keys: Sequence[str] = KEYS, share_stats: bool = True) -> dict[str, DataFrame]:

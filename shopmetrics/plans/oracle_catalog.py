@@ -86,6 +86,73 @@ UNION ALL SELECT 'discount_impact', CASE WHEN eq THEN 'unchanged' ELSE 'changed'
 UNION ALL SELECT 'price_rating_correlation', 'new'
 UNION ALL SELECT 'review_sales_ratio', 'gone'"""
 
+_NUMERIC = ["AveragePrice", "AvgDiscountPercentage", "AvgRating", "AvgReviews",
+    "PriceToAvgRatio", "PriceVariance", "DiscountEfficiency", "DiscountEffectiveness", "ReviewsPerSale",
+    "HighRatingRatio", "EngagementScore", "CustomerSatisfaction", "RevenuePerProduct", "SalesEfficiency",
+    "PriceRatingInteraction", "DiscountRatingInteraction", "PriceDiscountInteraction", "MarketPerformance",
+    "CustomerEngagementIndex", "ProfitabilityScore", "Normalized_TotalRevenue", "Normalized_TotalSales",
+    "Normalized_AveragePrice"]
+
+_YJ = O.features_cte() + """,
+lf AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM feats WHERE {c} IS NOT NULL" for c in _NUMERIC) + """),
+grid AS (SELECT CAST(-2.0 AS DOUBLE) + i * CAST(0.05 AS DOUBLE) AS lam FROM range(0, 81) t(i)),
+yj AS (SELECT column_name, lam, x,
+         CASE WHEN x >= 0 THEN (CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (pow(x + 1, lam) - 1) / lam END)
+              ELSE (CASE WHEN abs(lam - 2) < 1e-12 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - lam) - 1) / (2 - lam) END)
+         END AS y
+       FROM lf, grid WHERE NOT isnan(x)),
+ll AS (SELECT column_name, lam, count(*) AS n, var_pop(y) AS v, sum(sign(x) * ln(1 + abs(x))) AS s
+       FROM yj GROUP BY column_name, lam),
+scored AS (SELECT column_name, lam, -n / 2 * ln(v) + (lam - 1) * s AS llf FROM ll WHERE v > 0)
+SELECT column_name, lam AS "lambda" FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY llf DESC, lam ASC) AS rn FROM scored)
+WHERE rn = 1"""
+
+_REQUESTS = "WITH " + O.bronze_cte() + ",\n" + O.DEDUP_FIXTURE + """,
+req AS (SELECT CAST(ProductID AS BIGINT) AS request_id, Price AS price, CAST(Discount AS DOUBLE) AS discount_percentage,
+               Rating AS rating, NumReviews AS num_reviews, upper(trim(Category)) AS category FROM dedup),
+tagged AS (SELECT *, CASE WHEN NOT coalesce(price > 0, false) THEN 'price'
+                          WHEN NOT coalesce(discount_percentage >= 0 AND discount_percentage <= 100, false) THEN 'discount_percentage'
+                          WHEN NOT coalesce(rating >= 1 AND rating <= 5, false) THEN 'rating'
+                          WHEN NOT coalesce(num_reviews >= 0, false) THEN 'num_reviews'
+                          WHEN category IS NULL THEN 'category' END AS RejectReason FROM req)"""
+
+_REQUESTS_VALID = _REQUESTS + "\nSELECT * EXCLUDE (RejectReason) FROM tagged WHERE RejectReason IS NULL"
+_REQUESTS_REJECTED = _REQUESTS + "\nSELECT * FROM tagged WHERE RejectReason IS NOT NULL"
+_REQUEST_FEATURES = _REQUESTS + """
+SELECT request_id, price AS AveragePrice, discount_percentage AS AvgDiscountPercentage, rating AS AvgRating,
+  CAST(num_reviews AS DOUBLE) AS AvgReviews, category AS Category, CAST(1.0 AS DOUBLE) AS PriceToAvgRatio, CAST(0.0 AS DOUBLE) AS PriceVariance,
+  discount_percentage / 100 AS DiscountEfficiency, 1 - discount_percentage / 100 AS DiscountEffectiveness,
+  num_reviews / 100 AS ReviewsPerSale, CASE WHEN rating >= 4.0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS HighRatingRatio,
+  rating * (num_reviews / 100) AS EngagementScore, rating * (1 - discount_percentage / 100) AS CustomerSatisfaction,
+  price * (1 - discount_percentage / 100) AS RevenuePerProduct, CAST(1.0 AS DOUBLE) AS SalesEfficiency,
+  price * rating AS PriceRatingInteraction, discount_percentage * rating AS DiscountRatingInteraction,
+  price * discount_percentage AS PriceDiscountInteraction, CAST(1.0 AS DOUBLE) AS MarketPerformance,
+  num_reviews * rating AS CustomerEngagementIndex, price * (1 - discount_percentage / 100) AS ProfitabilityScore,
+  CAST(0.0 AS DOUBLE) AS Normalized_TotalRevenue, CAST(0.0 AS DOUBLE) AS Normalized_TotalSales, CAST(0.0 AS DOUBLE) AS Normalized_AveragePrice,
+  CASE WHEN price <= 100 THEN 'VeryLow' WHEN price <= 200 THEN 'Low' WHEN price <= 300 THEN 'Medium'
+       WHEN price <= 400 THEN 'High' ELSE 'VeryHigh' END AS PriceCategory,
+  'Medium' AS DiscountROICategory
+FROM tagged WHERE RejectReason IS NULL"""
+
+_METRICS = O.with_silver() + """,
+scored AS (SELECT s.Sales AS y, m.baseline AS p FROM silver s
+           JOIN (SELECT Category, avg(Sales) AS baseline FROM silver GROUP BY Category) m
+             ON s.Category IS NOT DISTINCT FROM m.Category
+           WHERE s.Sales IS NOT NULL AND m.baseline IS NOT NULL),
+ybar AS (SELECT avg(y) AS yb FROM scored),
+a AS (SELECT count(*) AS n, sum((y - p) * (y - p)) AS sse, sum((y - yb) * (y - yb)) AS sst, avg(abs(y - p)) AS mae
+      FROM scored, ybar)
+SELECT 1.0 - sse / sst AS r2, sse / n AS mse, sqrt(sse / n) AS rmse, mae, n FROM a"""
+
+_ONE_HOT = O.features_cte() + """
+SELECT Category,
+  CAST(dense_rank() OVER (ORDER BY Category) - 1 AS INTEGER) AS Category_idx,
+  CAST(dense_rank() OVER (ORDER BY PriceCategory) - 1 AS INTEGER) AS PriceCategory_idx,
+  CAST(dense_rank() OVER (ORDER BY DiscountROICategory) - 1 AS INTEGER) AS DiscountROICategory_idx
+FROM feats"""
+
 ORACLE: dict[str, str] = {
     "bronze_products": _BRONZE,
     "silver_dedupe": _DEDUP,
@@ -106,6 +173,12 @@ ORACLE: dict[str, str] = {
     "lookup_categories": _CATEGORIES,
     **{name: _lookup_sql(t, c) for name, (t, c) in LOOKUPS.items()},
     "features_joined": _FEATURES_JOINED,
+    "ml_yeo_johnson_lambda": _YJ,
+    "ml_requests_valid": _REQUESTS_VALID,
+    "ml_requests_rejected": _REQUESTS_REJECTED,
+    "ml_request_features": _REQUEST_FEATURES,
+    "ml_regression_metrics": _METRICS,
+    "ml_one_hot": _ONE_HOT,
     **{name: O.features_cte() + "\nSELECT Category, " + ", ".join(cols) + " FROM feats"
        for name, cols in FEATURE_GROUPS.items()},
 }

@@ -82,3 +82,10 @@ def write_gold(tables: dict[str, DataFrame], root: str, formats: tuple[str, ...]
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, f"{root}/{name}_parquet", fmt="parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into ``spark.checkpoint.dir``: cuts lineage and survives executor
+    loss (never ``localCheckpoint``). Meant for small, reused intermediate results."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
