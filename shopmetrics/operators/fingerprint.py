@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import checkpointed
+
 FINGERPRINT_COLUMNS = ["table_name", "rows", "hash"]
 
 
 def file_fingerprint(spark: SparkSession, name: str, path: str, glob: str = "*.parquet") -> DataFrame:
     """(table_name, rows = file count, hash) over the paths and modification times of the data
-    files under ``path``. The binary-file source lists files without reading their content."""
+    files under ``path``. The binary-file source lists files without reading their content.
+    Evaluated eagerly (a one-row checkpoint): a fingerprint is a snapshot of the folder now."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "modificationTime"))
-    return files.agg(
+    return checkpointed(files.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.xxhash64("path", "modificationTime").cast("decimal(38,0)")).alias("_s"),
-    ).select(F.lit(name).alias("table_name"), "rows", F.xxhash64("rows", "_s").alias("hash"))
+    ).select(F.lit(name).alias("table_name"), "rows", F.xxhash64("rows", "_s").alias("hash")))
 
 
 def content_fingerprint(df: DataFrame, name: str) -> DataFrame:

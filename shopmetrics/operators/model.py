@@ -132,7 +132,7 @@ def one_hot_model(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
               for c in cols]
     stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols],
-                                dropLast=True, handleInvalid="keep"))
+                                dropLast=True))  # the indexer's extra "unknown" slot is the dropped one
     return Pipeline(stages=stages).fit(df)
 
 

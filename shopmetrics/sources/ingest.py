@@ -21,11 +21,13 @@ RAW_CSV_SCHEMA = T.StructType(
 
 def csv_reader(spark: SparkSession, stream: bool = False, header: bool = True,
                max_files_per_trigger: int | None = None, glob: str = "*.csv"):
-    """All-string positional CSV reader. ``columnPruning`` is off so that a short row stays
-    flagged in the corrupt-record column even under a narrow projection."""
+    """All-string positional CSV reader with standard quoting (a doubled quote inside a quoted
+    field). ``columnPruning`` is off so that a short row stays flagged in the corrupt-record
+    column even under a narrow projection."""
     r = (spark.readStream if stream else spark.read).schema(RAW_CSV_SCHEMA) \
         .option("header", header).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False) \
+        .option("quote", '"').option("escape", '"') \
         .option("pathGlobFilter", glob)
     if stream and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
