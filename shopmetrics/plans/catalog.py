@@ -156,7 +156,7 @@ def q_ingest_json_roundtrip(spark, sf_dir):
     return IN.decode_messages(spark.read.text(path))
 
 
-def _run_stream(spark, sf_dir, refresh: bool) -> RF.LakePaths:
+def _run_stream(spark, sf_dir, refresh) -> RF.LakePaths:
     _, paths, checkpoint = ST.stream_dirs(spark, "fixture")
     src = _messages(spark, sf_dir, files=3)
     records = ST.read_message_stream(spark, path=src, max_per_trigger=1)
@@ -168,11 +168,16 @@ def _run_stream(spark, sf_dir, refresh: bool) -> RF.LakePaths:
 
 
 def q_stream_bronze_append(spark, sf_dir):
-    return RF.read_bronze(spark, _run_stream(spark, sf_dir, refresh=False).bronze)
+    return RF.read_bronze(spark, _run_stream(spark, sf_dir, refresh=None).bronze)
 
 
 def q_stream_gold_refresh(spark, sf_dir):
-    paths = _run_stream(spark, sf_dir, refresh=True)
+    paths = _run_stream(spark, sf_dir, refresh="full")
+    return TB.read_gold(spark, paths.gold, "revenue_per_category")
+
+
+def q_stream_gold_incremental(spark, sf_dir):
+    paths = _run_stream(spark, sf_dir, refresh="incremental")
     return TB.read_gold(spark, paths.gold, "revenue_per_category")
 
 
@@ -295,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "ingest_json_roundtrip": q_ingest_json_roundtrip,
     "stream_bronze_append": q_stream_bronze_append,
     "stream_gold_refresh": q_stream_gold_refresh,
+    "stream_gold_incremental": q_stream_gold_incremental,
     "table_silver_roundtrip": q_table_silver_roundtrip,
     "table_gold_roundtrip": q_table_gold_roundtrip,
     "table_fingerprint": q_table_fingerprint,

@@ -164,6 +164,7 @@ ORACLE: dict[str, str] = {
     "ingest_json_roundtrip": _BRONZE,
     "stream_bronze_append": _BRONZE,
     "stream_gold_refresh": _STREAM_REVENUE,
+    "stream_gold_incremental": _STREAM_REVENUE,
     "table_silver_roundtrip": _SILVER,
     "table_gold_roundtrip": O.gold_sql("revenue_per_category"),
     "table_changes": _CHANGES,

@@ -79,15 +79,21 @@ def with_reject_reason(df: DataFrame, rules: Sequence[tuple[str, Column]], col:
 
 
 def split_valid_rejected(df: DataFrame, rules: Sequence[tuple[str, Column]],
-                         col: str = "RejectReason") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with the reason). Both are lazy filters of one tagged plan."""
+                         col: str = "RejectReason", observe=None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with the reason). Both are lazy filters of one tagged plan.
+
+    ``observe`` (a ``pyspark.sql.Observation`` or, for streams, a metric name) collects
+    ``rows`` and ``rejected`` counts as a side effect of whichever action runs the plan."""
     tagged = with_reject_reason(df, rules, col)
+    if observe is not None:
+        tagged = tagged.observe(observe, F.count(F.lit(1)).alias("rows"),
+                                F.count(F.col(col)).alias("rejected"))
     return tagged.where(F.col(col).isNull()).drop(col), tagged.where(F.col(col).isNotNull())
 
 
-def products_from_csv(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def products_from_csv(raw: DataFrame, observe=None) -> tuple[DataFrame, DataFrame]:
     """Raw CSV rows -> (valid product records in bronze field order, rejected rows)."""
-    valid, rejected = split_valid_rejected(parse_products(raw), csv_rules())
+    valid, rejected = split_valid_rejected(parse_products(raw), csv_rules(), observe=observe)
     return valid.drop("_fields"), rejected.drop("_fields")
 
 

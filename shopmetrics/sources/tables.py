@@ -70,9 +70,12 @@ def read_table(spark: SparkSession, path: str, fmt: str | tuple[str, ...] = "par
 
 
 def write_gold(tables: dict[str, DataFrame], root: str, formats: tuple[str, ...] = ("parquet",)) -> dict[str, str]:
-    """Write each gold table; parquet goes to ``{root}/{name}_parquet``, other formats to ``{root}/{name}``."""
+    """Write each gold table; parquet goes to ``{root}/{name}_parquet``, other formats to ``{root}/{name}``.
+    With two or more formats the (small) table is checkpointed once instead of recomputed per format."""
     paths = {}
     for name, df in tables.items():
+        if len(formats) > 1:
+            df = checkpointed(df)
         for fmt in formats:
             path = f"{root}/{name}_parquet" if fmt == "parquet" else f"{root}/{name}"
             write_table(df, path, fmt=fmt)

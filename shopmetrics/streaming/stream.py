@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import ingest as IN
 from ..sources import tables as TB
-from ..plans.refresh import BATCH_COLUMN, LakePaths, refresh_tables
+from ..plans.refresh import BATCH_COLUMN, LakePaths, refresh_incremental, refresh_tables
 
 
 def read_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -53,18 +53,34 @@ def append_batch(batch: DataFrame, batch_id: int, bronze_path: str) -> None:
           .partitionBy(BATCH_COLUMN).parquet(bronze_path))
 
 
-def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, refresh: bool = False,
+def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: str | None = "full") -> None:
+    """The ``foreachBatch`` body: append to bronze, then rebuild silver and gold.
+
+    ``refresh="full"`` recomputes from the whole bronze history (the reference's behaviour);
+    ``"incremental"`` merges the batch into the latest-per-product state, so the cost of a batch
+    grows with the number of products instead of with history; ``None`` only appends.
+    """
+    spark = batch.sparkSession
+    append_batch(batch, batch_id, paths.bronze)
+    if refresh == "full":
+        refresh_tables(spark, paths)
+    elif refresh == "incremental":
+        refresh_incremental(spark, paths, batch, batch_id)
+    elif refresh is not None:
+        raise ValueError(f"unknown refresh mode: {refresh}")
+
+
+def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, refresh: str | bool | None = None,
                         available_now: bool = True, processing_time: str | None = None,
                         stamp: str | None = None, keep_existing_stamp: bool = False,
                         on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Stamp arrivals, append each micro-batch to bronze, then (optionally) rebuild silver and gold."""
+    """Stamp arrivals, append each micro-batch to bronze, then (optionally) rebuild silver and gold
+    (``refresh``: None, ``"full"`` or ``"incremental"``; ``True`` means ``"full"``)."""
     stamped = IN.stamp_arrival(records, ts=stamp, keep_existing=keep_existing_stamp)
-    spark = records.sparkSession
+    mode = "full" if refresh is True else (None if refresh is False else refresh)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, batch_id, paths.bronze)
-        if refresh:
-            refresh_tables(spark, paths)
+        refresh_batch(batch, batch_id, paths, mode)
         if on_batch is not None:
             on_batch(batch, batch_id)
 
