@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import spread_if_small
+
 # Columns kept until the dedupe is done, to make the survivor unique at every scale.
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
 DEDUPE_ORDER = ["ProcessedTimestamp"] + TIE_BREAK
@@ -28,7 +30,7 @@ def bronze_from_tpch(spark: SparkSession, sf_dir: str, category: str = "type",
     product of both sizes, which forced a full shuffle of lineitem). Above the threshold, e.g.
     ``part`` at large scale, the join is a shuffle join, split by AQE when a key is skewed.
     """
-    li = read_tpch(spark, sf_dir, "lineitem")
+    li = spread_if_small(read_tpch(spark, sf_dir, "lineitem"))
     part = read_tpch(spark, sf_dir, "part")
     supp = read_tpch(spark, sf_dir, "supplier")
     nation = read_tpch(spark, sf_dir, "nation")

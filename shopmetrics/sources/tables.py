@@ -92,3 +92,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     loss (never ``localCheckpoint``). Meant for small, reused intermediate results."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def spread_if_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Round-robin a small input over the cluster's cores before CPU-heavy work.
+
+    A small file with a single row group scans as one task however many cores there are. When
+    the planner's size estimate (file sizes, no job) is under ``max_bytes`` the rows are spread
+    evenly; a large input already splits into many scan tasks and is returned unchanged, so no
+    shuffle is added at scale.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
