@@ -362,9 +362,28 @@ def save_model(model: TrainedModel, spark: SparkSession, path: str, importances:
     model.scaler.lambdas.write.mode("overwrite").parquet(f"{path}/lambdas")
     model.scaler.moments.write.mode("overwrite").parquet(f"{path}/moments")
     model.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
+    spec = spark.createDataFrame(
+        [(model.numeric, model.categorical, model.names, model.stack.base_names)],
+        "numeric array<string>, categorical array<string>, names array<string>, bases array<string>")
+    spec.write.mode("overwrite").parquet(f"{path}/spec")
     if importances is not None:
         importances.write.mode("overwrite").parquet(f"{path}/importances")
 
 
+def load_model(spark: SparkSession, path: str) -> TrainedModel:
+    """Inverse of ``save_model``: fitted stages from Spark ML persistence, parameters as tables."""
+    from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+    spec = spark.read.parquet(f"{path}/spec").first()  # one row: the feature lists
+    loaders = {"rf": RandomForestRegressionModel, "gbm": GBTRegressionModel, "slow": GBTRegressionModel}
+    bases = [loaders[n].load(f"{path}/base_{i}_{n}") for i, n in enumerate(spec.bases)]
+    stack = StackModel(bases, GBTRegressionModel.load(f"{path}/meta"), list(spec.bases))
+    numeric, categorical = list(spec.numeric), list(spec.categorical)
+    scaler = PowerScaler(numeric, spark.read.parquet(f"{path}/lambdas"), spark.read.parquet(f"{path}/moments"))
+    assembler = VectorAssembler(inputCols=[c + "_yj" for c in numeric] + [f"{c}_ohe" for c in categorical],
+                                outputCol="features")
+    return TrainedModel(scaler, PipelineModel.load(f"{path}/encoder"), assembler, stack,
+                        spark.read.parquet(f"{path}/metrics"), list(spec.names), numeric, categorical)
+
+
 def vector_column(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, vector_to_array(col))

@@ -91,5 +91,15 @@ def test_stack_learns_a_signal(spark):
     assert m.n == test_pred.count() > 0 and m.r2 > 0.5
     scored = model.score(df.withColumn("request_id", F.monotonically_increasing_id()))
     assert scored.count() == 120 and scored.where(F.col("confidence_score") != m.r2).count() == 0
-    imp = ML.feature_importance(spark, model.stack.bases[0], model.names, top=3).collect()
-    assert imp[0].feature == "AveragePrice_yj" and len(imp) == 3
+    imp = ML.feature_importance(spark, model.stack.bases[0], model.names, top=3)
+    got = imp.collect()
+    assert got[0].feature == "AveragePrice_yj" and len(got) == 3
+    # persistence round trip: the loaded model scores the same
+    from shopmetrics.sources.tables import shared_dir
+    path = shared_dir(spark, "tests", "model", unique=True)
+    ML.save_model(model, spark, path, importances=imp)
+    again = ML.load_model(spark, path)
+    req = df.withColumn("request_id", F.monotonically_increasing_id())
+    a = {r.request_id: r.predicted_sales for r in model.score(req).collect()}
+    b = {r.request_id: r.predicted_sales for r in again.score(req).collect()}
+    assert a == b and again.names == model.names
