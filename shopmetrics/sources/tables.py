@@ -109,3 +109,20 @@ def spread_if_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFr
     if size >= max_bytes:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def read_silver(spark: SparkSession, path: str, since: tuple[int, int] | None = None,
+                until: tuple[int, int] | None = None, fmt: str = "parquet") -> DataFrame:
+    """Silver rows, optionally limited to (Year, Month) >= ``since`` and <= ``until``.
+
+    The bounds are predicates on the partition columns, so only the matching ``Year=/Month=``
+    folders are listed and read (partition pruning); rows with no date are outside any range.
+    """
+    from pyspark.sql import functions as F
+    df = read_table(spark, path, fmt=fmt)
+    y, m = F.col("Year"), F.col("Month")
+    if since is not None:
+        df = df.where((y > since[0]) | ((y == since[0]) & (m >= since[1])))
+    if until is not None:
+        df = df.where((y < until[0]) | ((y == until[0]) & (m <= until[1])))
+    return df

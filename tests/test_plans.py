@@ -68,3 +68,27 @@ def test_hot_key_dedupe_is_exact(spark):
     assert out[0] == float(hot_last) and len(out) == 1 + sum(1 for i in range(n) if i % 3)
     agg = G.category_stats(SV.clean_products(SV.latest_per_product(df)))
     assert agg.select(F.sum("_count")).first()[0] == len(out)
+
+
+def test_silver_range_read_prunes_partitions(spark, workdir):
+    from shopmetrics.sources import tables as TB
+    s = C.silver(spark, SF)
+    TB.write_table(s, f"{workdir}/silver", partition_by=["Year", "Month"])
+    y0 = s.agg(F.min("Year")).first()[0] + 1
+    lo, hi = (y0, 6), (y0 + 1, 2)
+    df = TB.read_silver(spark, f"{workdir}/silver", since=lo, until=hi)
+    plan = physical(df)
+    assert "PartitionFilters: [isnotnull(Year" in plan or "PartitionFilters: [(" in plan
+    got = sorted({(r.Year, r.Month) for r in df.select("Year", "Month").distinct().collect()})
+    want = sorted({(r.Year, r.Month) for r in s.select("Year", "Month").distinct().collect()
+                   if r.Year is not None and lo <= (r.Year, r.Month) <= hi})
+    assert got == want and got
+
+
+def test_gold_at_finer_grain_adds_up(spark):
+    s = C.silver(spark, SF)
+    fine = G.revenue_per_category(G.category_stats(s, ("Category", "Year")), ("Category", "Year"), ordered=False)
+    coarse = G.revenue_per_category(G.category_stats(s), ordered=False)
+    a = {r.Category: r.n for r in fine.groupBy("Category").agg(F.sum("ProductCount").alias("n")).collect()}
+    b = {r.Category: r.ProductCount for r in coarse.collect()}
+    assert a == b
