@@ -54,15 +54,26 @@ def quantile_bin(x, edges, labels: Sequence[str]):
     return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(expr.otherwise(labels[-1]))
 
 
-def add_features(df: DataFrame) -> DataFrame:
-    """All derived features of the model input (FEA-3..19)."""
+def _quantiles(x, probs, approx: bool, accuracy: int):
+    arr = F.array(*[F.lit(q) for q in probs])
+    return F.percentile_approx(x, arr, accuracy) if approx else F.percentile(x, arr)
+
+
+def add_features(df: DataFrame, approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """All derived features of the model input (FEA-3..19).
+
+    Quantile edges are exact (``percentile``, interpolating like pandas) by default; exact
+    percentiles buffer the values of the whole frame in one aggregate, which is right for the
+    per-category feature rows. With ``approx=True`` (features at product grain) they come from
+    ``percentile_approx``, whose buffer is bounded by ``accuracy``.
+    """
     roi = F.greatest(F.col("DiscountROI"), F.lit(0.0))
     g = df.agg(
         F.avg("AveragePrice").alias("_m_ap"), F.stddev_samp("AveragePrice").alias("_s_ap"),
         F.avg("TotalRevenue").alias("_m_tr"), F.stddev_samp("TotalRevenue").alias("_s_tr"),
         F.avg("TotalSales").alias("_m_ts"), F.stddev_samp("TotalSales").alias("_s_ts"),
-        F.percentile(F.col("AveragePrice").cast("double"), F.array(*[F.lit(q) for q in QUINTILES])).alias("_q_ap"),
-        F.percentile(roi, F.array(*[F.lit(q) for q in TERCILES])).alias("_q_roi"),
+        _quantiles(F.col("AveragePrice").cast("double"), QUINTILES, approx, accuracy).alias("_q_ap"),
+        _quantiles(roi, TERCILES, approx, accuracy).alias("_q_roi"),
     )
     x = df.crossJoin(F.broadcast(g))
     c = F.col

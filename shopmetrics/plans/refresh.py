@@ -87,9 +87,20 @@ def merge_latest(prev: DataFrame | None, batch: DataFrame, order: Sequence[str]
     return keep.unionByName(redo)
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
+    """Delete all but the newest ``keep`` committed state versions; returns the deleted ones."""
+    versions = _versions(spark, root)
+    old = versions[:-keep] if keep > 0 else []
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION}={v}"), True)
+    return old
+
+
 def refresh_incremental(spark: SparkSession, paths: LakePaths, batch: DataFrame, batch_id: int,
                         keys: Sequence[str] = ("Category",), order: Sequence[str] | None = None,
-                        fmt: str = "parquet") -> dict[str, str]:
+                        fmt: str = "parquet", keep_versions: int = 2) -> dict[str, str]:
     """Per-batch refresh whose cost grows with the number of products, not with bronze history.
 
     The state (raw latest record per product) is versioned by batch id: version ``batch_id`` is
@@ -104,4 +115,7 @@ def refresh_incremental(spark: SparkSession, paths: LakePaths, batch: DataFrame,
     silver = SV.scale_columns(SV.clean_products(state), vectors=True)
     TB.write_table(silver, paths.silver, fmt=fmt, partition_by=["Year", "Month"])
     gold = MD.gold_from_silver(TB.read_table(spark, paths.silver, fmt=fmt), keys)
-    return TB.write_gold(gold, paths.gold, formats=(fmt,))
+    written = TB.write_gold(gold, paths.gold, formats=(fmt,))
+    if keep_versions:
+        drop_old_versions(spark, paths.state, keep_versions)
+    return written

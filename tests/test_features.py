@@ -69,3 +69,10 @@ def test_features_match_pandas_formulas(spark):
         assert g.Normalized_TotalRevenue == pytest.approx(z)
     # zero divisors give NULL here where pandas gives inf
     assert got["B"].RevenuePerProduct is None and got["B"].CustomerEngagementIndex is None
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    sdf, _ = _gold_frame(spark)
+    exact = {r.Category: r.PriceCategory for r in FE.add_features(sdf).collect()}
+    approx = {r.Category: r.PriceCategory for r in FE.add_features(sdf, approx=True).collect()}
+    assert set(approx.values()) <= set(S.PRICE_CATEGORY_LABELS) and len(approx) == len(exact)

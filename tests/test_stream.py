@@ -91,7 +91,7 @@ def test_incremental_refresh_equals_full(spark, workdir):
     for i, b in enumerate(batches):
         RF.refresh_incremental(spark, paths, b, i)
     RF.refresh_incremental(spark, paths, batches[2], 2)  # a replayed batch rebuilds the same version
-    assert RF._versions(spark, paths.state) == [0, 1, 2]
+    assert RF._versions(spark, paths.state) == [1, 2]       # retention keeps the newest two
     state = TB.read_table(spark, f"{paths.state}/v=2")
     assert sorted(rows(state)) == sorted(rows(SV.latest_per_product(recs)))
     full = SV.clean_products(SV.latest_per_product(recs))
