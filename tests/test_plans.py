@@ -99,6 +99,6 @@ def test_lookup_on_stored_gold_pushes_filter_to_scan(spark, workdir):
     from shopmetrics.sources import tables as TB
     TB.write_gold(MD.gold_from_silver(C.silver(spark, SF)), f"{workdir}/gold")
     df = LK.lookup(TB.read_gold(spark, f"{workdir}/gold", "review_sales_ratio"), "PROMO")
-    scan = [ln for ln in physical(df).splitlines() if "review_sales_ratio_parquet" in ln][0]
+    scan = [ln for ln in physical(df).splitlines() if "FileScan parquet" in ln][0]
     assert "EqualTo(Category,PROMO)" in scan
     assert [r.Category for r in df.collect()] == ["PROMO"]
