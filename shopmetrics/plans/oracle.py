@@ -87,7 +87,7 @@ STATS_CTE = """stats AS (
          CASE WHEN isnan(corr(Price, Rating)) THEN NULL ELSE corr(Price, Rating) END AS c_pr,
          avg(Rating) AS a_rating,
          avg(NumReviews) AS a_reviews,
-         sum(NumReviews) AS s_reviews,
+         CAST(sum(NumReviews) AS BIGINT) AS s_reviews,
          count(*) FILTER (WHERE Rating >= 4.0) AS n_high
   FROM silver GROUP BY Category)"""
 
