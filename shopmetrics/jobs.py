@@ -5,6 +5,7 @@
     spark-submit -m shopmetrics.jobs train   --root <lake> --model <dir> [--keys Category ...] [--small]
     spark-submit -m shopmetrics.jobs score   --model <dir> --requests <json dir> --out <dir>
     spark-submit -m shopmetrics.jobs lookup  --root <lake> --table revenue_per_category [--category X]
+    spark-submit -m shopmetrics.jobs coordinate --root <lake> --model <dir> --state <dir> [--min-interval 90]
 
 The session comes from ``spark-submit`` (master, memory, checkpoint dir); nothing is set here.
 """
@@ -13,10 +14,12 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from . import schema as S
+from .operators import fingerprint as FP
 from .operators import lookup as LK
 from .operators import model as ML
 from .plans import medallion as MD
@@ -74,6 +77,53 @@ def cmd_lookup(spark: SparkSession, a) -> None:
     out.write.mode("overwrite").json(a.out) if a.out else out.show(truncate=False)
 
 
+def gold_fingerprints(spark: SparkSession, gold_root: str) -> DataFrame | None:
+    """File fingerprints of every stored gold table (the reference hashes their file times)."""
+    out = None
+    for name in S.GOLD_TABLES:
+        try:
+            fp = FP.file_fingerprint(spark, name, f"{gold_root}/{name}_parquet")
+        except Exception:  # a table not written yet has no fingerprint
+            continue
+        out = fp if out is None else out.unionByName(fp)
+    return out
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def cmd_coordinate(spark: SparkSession, a) -> bool:
+    """One coordinator tick: retrain when gold changed or the minimum interval has passed.
+
+    State is a small table (table_name, rows, hash, trained_at). A ``_RUNNING`` marker keeps two
+    ticks from training at once and is always removed afterwards (the reference could leave its
+    in-progress flag set forever)."""
+    fs, marker = _fs(spark, f"{a.state}/_RUNNING")
+    now = time.time()
+    new = gold_fingerprints(spark, _paths(a.root).gold)
+    if new is None:
+        return False
+    try:
+        old = TB.read_table(spark, f"{a.state}/fingerprints")
+        last = old.agg({"trained_at": "max"}).first()[0] or 0.0  # one value
+    except TB.TableNotFound:
+        old, last = new.limit(0), 0.0
+    changes = FP.changed_tables(old.select(*FP.FINGERPRINT_COLUMNS), new)
+    if not FP.should_retrain(changes, now - last, a.min_interval, fs.exists(marker)):
+        return False
+    fs.create(marker, True).close()
+    try:
+        cmd_train(spark, a)
+        from pyspark.sql import functions as F
+        TB.write_table(new.withColumn("trained_at", F.lit(now)), f"{a.state}/fingerprints")
+    finally:
+        fs.delete(marker, False)
+    return True
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="shopmetrics.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -105,6 +155,14 @@ def parser() -> argparse.ArgumentParser:
     lk.add_argument("--table", required=True)
     lk.add_argument("--category")
     lk.add_argument("--out")
+    c = sub.add_parser("coordinate")
+    c.add_argument("--root", required=True)
+    c.add_argument("--model", required=True)
+    c.add_argument("--state", required=True)
+    c.add_argument("--min-interval", type=float, default=S.MIN_RETRAIN_SECONDS, dest="min_interval")
+    c.add_argument("--keys", nargs="*")
+    c.add_argument("--small", action="store_true")
+    c.add_argument("--leaky", action="store_true")
     return p
 
 
@@ -112,7 +170,7 @@ def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"shopmetrics-{a.cmd}").getOrCreate()
     {"refresh": cmd_refresh, "ingest": cmd_ingest, "train": cmd_train,
-     "score": cmd_score, "lookup": cmd_lookup}[a.cmd](spark, a)
+     "score": cmd_score, "lookup": cmd_lookup, "coordinate": cmd_coordinate}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

@@ -304,6 +304,12 @@ def request_features(requests: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- end to end
 
+def plain_vector(df: DataFrame, col: str = "features") -> DataFrame:
+    """Drop the nominal ML attributes of the one-hot slots: trees then split a 0/1 slot like any
+    number (same splits), and a small fold no longer fails Spark's categorical bin check."""
+    return df.withColumn(col, F.col(col).alias(col, metadata={}))
+
+
 @dataclass
 class TrainedModel:
     scaler: PowerScaler
@@ -317,7 +323,7 @@ class TrainedModel:
 
     def prepare(self, df: DataFrame) -> DataFrame:
         filled = df.fillna(0.0, subset=self.numeric)
-        return self.assembler.transform(self.encoder.transform(self.scaler.transform(filled)))
+        return plain_vector(self.assembler.transform(self.encoder.transform(self.scaler.transform(filled))))
 
     def score(self, features: DataFrame, keys: Sequence[str] = ("request_id",)) -> DataFrame:
         """predicted_sales and confidence_score (= test r2, a one-row broadcast) per input row."""
@@ -345,7 +351,7 @@ def train(features: DataFrame, keys: Sequence[str], numeric: Sequence[str] | Non
     enc_tr = encoder.transform(scaler.transform(tr))
     assembler = VectorAssembler(inputCols=[c + "_yj" for c in numeric] + [f"{c}_ohe" for c in categorical],
                                 outputCol="features")
-    stack = fit_stack(checkpointed(assembler.transform(enc_tr)), keys, "features", label, cfg)
+    stack = fit_stack(checkpointed(plain_vector(assembler.transform(enc_tr))), keys, "features", label, cfg)
     names = assembled_names(enc_tr, numeric, categorical)
     partial = TrainedModel(scaler, encoder, assembler, stack, None, names, numeric, categorical)
     test_pred = stack.transform(partial.prepare(te)).select(*keys, label, "prediction")

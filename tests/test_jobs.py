@@ -35,3 +35,19 @@ def test_ingest_refresh_train_score_lookup(spark, workdir, capsys):
     jobs.cmd_lookup(spark, jobs.parser().parse_args(["lookup", "--root", root, "--table", "revenue_per_category",
                                                       "--category", "PROMO", "--out", f"{workdir}/lk"]))
     assert [r.Category for r in spark.read.json(f"{workdir}/lk").collect()] == ["PROMO"]
+
+
+
+def test_coordinator_retrains_only_on_change_or_interval(spark, workdir):
+    import time as _t
+    root = f"{workdir}/lake"
+    msgs = f"{workdir}/msgs"
+    IN.encode_messages(C.q_bronze_products(spark, SF)).write.text(msgs)
+    jobs.cmd_ingest(spark, jobs.parser().parse_args(["ingest", "--root", root, "--messages", msgs, "--refresh", "full"]))
+    args = ["coordinate", "--root", root, "--model", f"{workdir}/model", "--state", f"{workdir}/state",
+            "--small", "--min-interval", "3600", "--keys", "Category", "Year"]
+    assert jobs.cmd_coordinate(spark, jobs.parser().parse_args(args)) is True    # first run trains
+    assert jobs.cmd_coordinate(spark, jobs.parser().parse_args(args)) is False   # nothing changed, too soon
+    _t.sleep(1.1)
+    jobs.cmd_refresh(spark, jobs.parser().parse_args(["refresh", "--root", root]))  # gold files rewritten
+    assert jobs.cmd_coordinate(spark, jobs.parser().parse_args(args)) is True
