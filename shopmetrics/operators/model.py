@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,13 +53,11 @@ def long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], grid: DataFrame) -> DataFrame:
-    """(column_name, lambda, llf): profile log-likelihood of each lambda on the grid,
-    ``-n/2 * ln(var_pop(y)) + (lambda - 1) * sum(sign(x) * ln(1 + |x|))``.
-    The grid is a fixed, small list (its size is a parameter), joined by broadcast."""
+def _loglik(pairs: DataFrame) -> DataFrame:
+    """(column_name, lambda, llf) from (column_name, x, lambda) rows:
+    ``-n/2 * ln(var_pop(y)) + (lambda - 1) * sum(sign(x) * ln(1 + |x|))``."""
     x = F.col("x")
-    expanded = long_form(df, cols).crossJoin(F.broadcast(grid))
-    agg = expanded.groupBy("column_name", "lambda").agg(
+    agg = pairs.groupBy("column_name", "lambda").agg(
         F.count(F.lit(1)).alias("n"),
         F.var_pop(yeo_johnson(x, F.col("lambda"))).alias("v"),
         F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"),
@@ -69,26 +66,30 @@ def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], grid: DataFrame) -> D
     return agg.select("column_name", "lambda", llf.alias("llf"))
 
 
+def _argmax(llf: DataFrame) -> DataFrame:
+    """Best lambda per column (ties: the smaller lambda)."""
+    return llf.where(F.col("llf").isNotNull()).groupBy("column_name").agg(
+        F.max_by("lambda", F.struct("llf", F.col("lambda") * -1)).alias("lambda"))
+
+
+def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], grid: DataFrame) -> DataFrame:
+    """(column_name, lambda, llf): profile log-likelihood of each lambda on the grid.
+    The grid is a fixed, small list (its size is a parameter), joined by broadcast."""
+    return _loglik(long_form(df, cols).crossJoin(F.broadcast(grid)))
+
+
 def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], grid: DataFrame | None = None,
                         refine: bool = False) -> DataFrame:
     """(column_name, lambda): the maximum-likelihood lambda of each column on the grid; with
     ``refine``, one more round on a 0.005-step grid around each column's best value."""
     spark = df.sparkSession
-    grid = grid if grid is not None else lambda_grid(spark)
-    best = yeo_johnson_loglik(df, cols, grid).where(F.col("llf").isNotNull()) \
-        .groupBy("column_name").agg(F.max_by("lambda", F.struct("llf", F.col("lambda") * -1)).alias("lambda"))
+    best = _argmax(yeo_johnson_loglik(df, cols, grid if grid is not None else lambda_grid(spark)))
     if not refine:
         return best
     fine = lambda_grid(spark, -0.05, 0.05, 0.005).withColumnRenamed("lambda", "d")
-    x = F.col("x")
     cand = best.crossJoin(F.broadcast(fine)).select("column_name", (F.col("lambda") + F.col("d")).alias("lambda"))
-    expanded = long_form(df, cols).join(F.broadcast(cand), "column_name")
-    agg = expanded.groupBy("column_name", "lambda").agg(
-        F.count(F.lit(1)).alias("n"), F.var_pop(yeo_johnson(x, F.col("lambda"))).alias("v"),
-        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"))
-    llf = F.when(F.col("v") > 0, -F.col("n") / 2 * F.log(F.col("v")) + (F.col("lambda") - 1) * F.col("s"))
-    return agg.where(llf.isNotNull()).groupBy("column_name").agg(
-        F.max_by("lambda", F.struct(llf, F.col("lambda") * -1)).alias("lambda"))
+    # one candidate list per column (cols x 21 rows): small, broadcast
+    return _argmax(_loglik(long_form(df, cols).join(F.broadcast(cand), "column_name")))
 
 
 def lambda_row(lambdas: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -390,6 +391,3 @@ def load_model(spark: SparkSession, path: str) -> TrainedModel:
     return TrainedModel(scaler, PipelineModel.load(f"{path}/encoder"), assembler, stack,
                         spark.read.parquet(f"{path}/metrics"), list(spec.names), numeric, categorical)
 
-
-def vector_column(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, vector_to_array(col))
