@@ -40,7 +40,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, dynamic_overwrite: bool = False) -> None:
-    """Write one table. ``dynamic_overwrite`` replaces only the partitions present in ``df``."""
+    """Write one table. ``dynamic_overwrite`` replaces only the partitions present in ``df``.
+
+    A partitioned write is preceded by a ``rebalance`` on the partition columns: rows of one
+    partition value meet in few tasks (few files per folder instead of one per task), and AQE
+    splits a value that holds a large share of the rows over several tasks instead of one.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

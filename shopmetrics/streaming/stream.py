@@ -47,8 +47,9 @@ def read_message_stream(spark: SparkSession, path: str | None = None, kafka: dic
 
 def append_batch(batch: DataFrame, batch_id: int, bronze_path: str) -> None:
     """Idempotent append: each micro-batch owns one ``_batch_id`` partition, written with dynamic
-    partition overwrite, so a replayed batch (after a failure) replaces itself instead of duplicating."""
-    (batch.withColumn(BATCH_COLUMN, F.lit(batch_id))
+    partition overwrite, so a replayed batch (after a failure) replaces itself instead of duplicating.
+    A ``rebalance`` first lets AQE size the batch's files (no file per input task)."""
+    (batch.hint("rebalance").withColumn(BATCH_COLUMN, F.lit(batch_id))
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BATCH_COLUMN).parquet(bronze_path))
 

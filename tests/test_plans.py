@@ -102,3 +102,14 @@ def test_lookup_on_stored_gold_pushes_filter_to_scan(spark, workdir):
     scan = [ln for ln in physical(df).splitlines() if "FileScan parquet" in ln][0]
     assert "EqualTo(Category,PROMO)" in scan
     assert [r.Category for r in df.collect()] == ["PROMO"]
+
+
+def test_partitioned_write_rebalances(spark, workdir):
+    import glob
+    from shopmetrics.sources import tables as TB
+    s = C.silver(spark, SF)
+    TB.write_table(s, f"{workdir}/reb", partition_by=["Year", "Month"])
+    assert TB.read_table(spark, f"{workdir}/reb").count() == s.count()
+    folders = glob.glob(workdir.replace("file:", "") + "/reb/Year=*/Month=*")
+    files = glob.glob(workdir.replace("file:", "") + "/reb/Year=*/Month=*/*.parquet")
+    assert len(files) <= 2 * len(folders)     # not one file per task per folder
