@@ -181,6 +181,21 @@ def q_stream_gold_incremental(spark, sf_dir):
     return TB.read_gold(spark, paths.gold, "revenue_per_category")
 
 
+STREAM_STAMP = "2024-01-01T00:00:00"
+
+
+def q_stream_csv_bronze(spark, sf_dir):
+    """CSV files -> file stream (existing files, several micro-batches) -> bronze, stamped."""
+    _, paths, checkpoint = ST.stream_dirs(spark, "csv")
+    src = _csv_fixture(spark, sf_dir)
+    records = ST.read_csv_stream(spark, src, max_files_per_trigger=3, header=False, glob="part-*")
+    q = ST.start_bronze_stream(records, paths, checkpoint, stamp=STREAM_STAMP)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return RF.read_bronze(spark, paths.bronze)
+
+
 def q_table_silver_roundtrip(spark, sf_dir):
     path = TB.shared_dir(spark, "silver", unique=True)
     s = silver(spark, sf_dir)
@@ -301,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_append": q_stream_bronze_append,
     "stream_gold_refresh": q_stream_gold_refresh,
     "stream_gold_incremental": q_stream_gold_incremental,
+    "stream_csv_bronze": q_stream_csv_bronze,
     "table_silver_roundtrip": q_table_silver_roundtrip,
     "table_gold_roundtrip": q_table_gold_roundtrip,
     "table_fingerprint": q_table_fingerprint,

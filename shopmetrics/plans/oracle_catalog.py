@@ -63,6 +63,12 @@ SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantit
        CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus
 FROM bronze WHERE l_linenumber NOT IN (3, 4, 5)"""
 
+_STREAM_CSV = "WITH " + O.bronze_cte() + """
+SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantity, Sales, Discount, DateAdded, City,
+       CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus,
+       '2024-01-01T00:00:00' AS ProcessedTimestamp
+FROM bronze WHERE l_linenumber NOT IN (3, 4, 5)"""
+
 _CSV_REJECTED = "WITH " + O.bronze_cte() + """
 SELECT ProductID, ProductName,
        CASE l_linenumber WHEN 5 THEN 'Price' WHEN 3 THEN 'Discount' ELSE 'field_count' END AS RejectReason
@@ -165,6 +171,7 @@ ORACLE: dict[str, str] = {
     "stream_bronze_append": _BRONZE,
     "stream_gold_refresh": _STREAM_REVENUE,
     "stream_gold_incremental": _STREAM_REVENUE,
+    "stream_csv_bronze": _STREAM_CSV,
     "table_silver_roundtrip": _SILVER,
     "table_gold_roundtrip": O.gold_sql("revenue_per_category"),
     "table_changes": _CHANGES,

@@ -19,9 +19,10 @@ from ..plans.refresh import BATCH_COLUMN, LakePaths, refresh_incremental, refres
 
 
 def read_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                    header: bool = True) -> DataFrame:
+                    header: bool = True, glob: str = "*.csv") -> DataFrame:
     """Valid product records from every existing and every new ``*.csv`` file in ``path``."""
-    raw = IN.csv_reader(spark, stream=True, header=header, max_files_per_trigger=max_files_per_trigger).csv(path)
+    raw = IN.csv_reader(spark, stream=True, header=header, max_files_per_trigger=max_files_per_trigger,
+                        glob=glob).csv(path)
     valid, _ = IN.products_from_csv(raw)
     return valid
 
