@@ -28,10 +28,19 @@ class LakePaths:
         return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/latest")
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze rows without the stream's batch partition column."""
-    df = TB.read_table(spark, path, merge_schema=True)
-    return df.select(*[c for c in S.BRONZE_COLUMNS if c in df.columns])
+def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Bronze rows without the stream's batch partition column.
+
+    Parquet bronze is read with the fixed bronze schema: no schema inference and no footer merge
+    over the many small files a stream leaves behind."""
+    if fmt == "parquet":
+        try:
+            df = spark.read.schema(S.BRONZE_SCHEMA).parquet(path)
+        except Exception as e:  # a missing path
+            raise TB.TableNotFound(f"table not found: {path}") from e
+    else:
+        df = TB.read_table(spark, path, fmt=fmt)
+    return df.select(*S.BRONZE_COLUMNS)
 
 
 def refresh_tables(spark: SparkSession, paths: LakePaths, keys: Sequence[str] = ("Category",),
