@@ -101,21 +101,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SMALL_INPUT_BYTES = 1 << 30
+def spread_if_small(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer splits than the cluster has cores.
 
-
-def spread_if_small(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Round-robin a small input over the cluster's cores before CPU-heavy work.
-
-    A small file with a single row group scans as one task however many cores there are. When
-    the planner's size estimate (file sizes, no job) is under ``max_bytes`` the rows are spread
-    evenly; a large input already splits into many scan tasks and is returned unchanged, so no
-    shuffle is added at scale.
+    A small file (or one with a single row group) scans as one or a few tasks however many cores
+    there are, and everything fused into that scan stage runs on them. A large input already
+    splits into many scan tasks and is returned unchanged, so no shuffle is added at scale.
+    Planning the scan lists files only; it runs no job.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= max_bytes:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(cores)
 
 
 def read_silver(spark: SparkSession, path: str, since: tuple[int, int] | None = None,
