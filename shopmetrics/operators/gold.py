@@ -19,6 +19,17 @@ from ..functions.safe import safe_corr, sum_null_as_zero
 
 KEYS = ("Category",)
 
+# Discount and Sales are decimal quantities (parsed from text); their averages are taken over an
+# exact DECIMAL sum, so a mean that falls exactly on a rounding tie is rounded HALF_UP the same way
+# under any partitioning (a double sum of values such as 1.05 depends on the summation order).
+DISCOUNT_DECIMAL = "decimal(20,4)"
+SALES_DECIMAL = "decimal(38,6)"
+
+
+def round2(c):
+    """round(c, 2) as double (decimal averages are rounded HALF_UP before the cast)."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 2).cast("double")
+
 
 def revenue_expr(price="Price", sales="Sales", discount="Discount"):
     """Per-row revenue after discount, rounded to cents (same formula as DiscountedRevenue)."""
@@ -35,9 +46,9 @@ def category_stats(silver: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         sum_null_as_zero("Sales").alias("_sum_sales_nz"),
         F.avg(price).alias("_avg_price"),
         F.count(F.lit(1)).alias("_count"),
-        F.avg(disc).alias("_avg_discount"),
-        F.avg(sales).alias("_avg_sales"),
-        F.avg(F.when(disc == 0, sales)).alias("_avg_sales_no_discount"),
+        F.avg(disc.cast(DISCOUNT_DECIMAL)).alias("_avg_discount"),
+        F.avg(sales.cast(SALES_DECIMAL)).alias("_avg_sales"),
+        F.avg(F.when(disc == 0, sales.cast(SALES_DECIMAL))).alias("_avg_sales_no_discount"),
         safe_corr("Price", "Rating").alias("_corr_price_rating"),
         F.avg("Rating").alias("_avg_rating"),
         F.avg("NumReviews").alias("_avg_reviews"),
@@ -53,17 +64,17 @@ def revenue_per_category(stats: DataFrame, keys: Sequence[str] = KEYS, ordered:
         F.col("_sum_sales").alias("TotalSales"),
         F.round("_avg_price", 2).alias("AveragePrice"),
         F.col("_count").alias("ProductCount"),
-        F.round("_avg_discount", 2).alias("AvgDiscountPercentage"),
+        round2("_avg_discount").alias("AvgDiscountPercentage"),
     )
     return out.orderBy(F.col("TotalRevenue").desc(), *keys) if ordered else out
 
 
 def discount_impact(stats: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    with_d = F.round("_avg_sales", 2)
-    without = F.round("_avg_sales_no_discount", 2)
+    with_d = round2("_avg_sales")
+    without = round2("_avg_sales_no_discount")
     return stats.select(
         *keys,
-        F.round("_avg_discount", 2).alias("AvgDiscountPercentage"),
+        round2("_avg_discount").alias("AvgDiscountPercentage"),
         F.col("_sum_sales").alias("TotalSales"),
         with_d.alias("AvgSalesWithDiscount"),
         without.alias("AvgSalesWithoutDiscount"),
@@ -78,10 +89,10 @@ def discount_effectiveness(stats: DataFrame, keys: Sequence[str] = KEYS) -> Data
     loss = F.round(potential - discounted, 2)
     return stats.select(
         *keys,
-        F.round("_avg_discount", 2).alias("AvgDiscountPercentage"),
+        round2("_avg_discount").alias("AvgDiscountPercentage"),
         discounted.alias("TotalDiscountedRevenue"),
         potential.alias("PotentialRevenue"),
-        F.round("_avg_sales", 2).alias("AvgSales"),
+        round2("_avg_sales").alias("AvgSales"),
         loss.alias("RevenueLossFromDiscount"),
         F.when(loss > 0, F.round(F.try_divide(discounted, loss), 3))
          .otherwise(F.lit(0.0)).alias("DiscountROI"),

@@ -73,6 +73,22 @@ def with_silver(category: str = "p_type") -> str:
     return "WITH " + ",\n".join([bronze_cte(category), DEDUP_FIXTURE, SILVER_CTE])
 
 
+def sround(expr: str, digits: int) -> str:
+    """Spark's round of a double: HALF_UP on the shortest decimal text of the value."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+
+
+def exact_avg_round(col: str, scale: int, where: str = "", digits: int = 2) -> str:
+    """round(avg(col), digits) HALF_UP over an exact sum of col in units of 10^-scale
+    (Spark's DECIMAL average), with integer arithmetic only."""
+    f = f" FILTER (WHERE {where})" if where else ""
+    total = f"sum(CAST(round({col} * {10 ** scale}) AS HUGEINT)){f}"
+    n = f"count({col}){f}"
+    unit = 10 ** (scale - digits)
+    return (f"CASE WHEN {n} = 0 THEN NULL ELSE CAST(sign({total}) * ((2 * abs({total}) + {n} * {unit}) // "
+            f"({n} * {2 * unit})) AS DOUBLE) / {10 ** digits} END")
+
+
 STATS_CTE = """stats AS (
   SELECT Category,
          sum(round(Price * Sales * (1.0 - Discount / 100), 2)) AS s_rev,
@@ -81,9 +97,9 @@ STATS_CTE = """stats AS (
          sum(coalesce(Sales, 0.0)) AS s_sales_nz,
          avg(Price) AS a_price,
          count(*) AS n,
-         avg(Discount) AS a_disc,
-         avg(Sales) AS a_sales,
-         avg(CASE WHEN Discount = 0 THEN Sales END) AS a_sales_nd,
+         """ + exact_avg_round("Discount", 4) + """ AS r_disc,
+         """ + exact_avg_round("Sales", 6) + """ AS r_sales,
+         """ + exact_avg_round("Sales", 6, "Discount = 0") + """ AS r_sales_nd,
          CASE WHEN isnan(corr(Price, Rating)) THEN NULL ELSE corr(Price, Rating) END AS c_pr,
          avg(Rating) AS a_rating,
          avg(NumReviews) AS a_reviews,
@@ -92,37 +108,37 @@ STATS_CTE = """stats AS (
   FROM silver GROUP BY Category)"""
 
 GOLD_SELECT = {
-    "revenue_per_category": """SELECT Category, round(s_rev, 2) AS TotalRevenue, s_sales AS TotalSales,
-       round(a_price, 2) AS AveragePrice, n AS ProductCount, round(a_disc, 2) AS AvgDiscountPercentage
+    "revenue_per_category": f"""SELECT Category, {sround("s_rev", 2)} AS TotalRevenue, s_sales AS TotalSales,
+       {sround("a_price", 2)} AS AveragePrice, n AS ProductCount, r_disc AS AvgDiscountPercentage
 FROM stats""",
-    "discount_impact": """SELECT Category, round(a_disc, 2) AS AvgDiscountPercentage, s_sales AS TotalSales,
-       round(a_sales, 2) AS AvgSalesWithDiscount, round(a_sales_nd, 2) AS AvgSalesWithoutDiscount,
-       CASE WHEN round(a_sales_nd, 2) > 0
-            THEN round((round(a_sales, 2) - round(a_sales_nd, 2)) / round(a_sales_nd, 2) * 100, 2)
+    "discount_impact": f"""SELECT Category, r_disc AS AvgDiscountPercentage, s_sales AS TotalSales,
+       r_sales AS AvgSalesWithDiscount, r_sales_nd AS AvgSalesWithoutDiscount,
+       CASE WHEN r_sales_nd > 0
+            THEN {sround("(r_sales - r_sales_nd) / r_sales_nd * 100", 2)}
             ELSE 0.0 END AS DiscountImpactPercentage
 FROM stats""",
-    "discount_effectiveness": """SELECT Category, round(a_disc, 2) AS AvgDiscountPercentage,
-       round(s_rev, 2) AS TotalDiscountedRevenue, round(s_full, 2) AS PotentialRevenue,
-       round(a_sales, 2) AS AvgSales, round(round(s_full, 2) - round(s_rev, 2), 2) AS RevenueLossFromDiscount,
-       CASE WHEN round(round(s_full, 2) - round(s_rev, 2), 2) > 0
-            THEN round(round(s_rev, 2) / round(round(s_full, 2) - round(s_rev, 2), 2), 3)
+    "discount_effectiveness": f"""SELECT Category, r_disc AS AvgDiscountPercentage,
+       {sround("s_rev", 2)} AS TotalDiscountedRevenue, {sround("s_full", 2)} AS PotentialRevenue,
+       r_sales AS AvgSales, {sround(sround("s_full", 2) + " - " + sround("s_rev", 2), 2)} AS RevenueLossFromDiscount,
+       CASE WHEN {sround(sround("s_full", 2) + " - " + sround("s_rev", 2), 2)} > 0
+            THEN {sround(sround("s_rev", 2) + " / " + sround(sround("s_full", 2) + " - " + sround("s_rev", 2), 2), 3)}
             ELSE 0.0 END AS DiscountROI
 FROM stats""",
-    "price_rating_correlation": """SELECT Category, round(c_pr, 3) AS PriceRatingCorrelation,
-       round(a_price, 2) AS AvgPrice, round(a_rating, 2) AS AvgRating, round(a_reviews, 0) AS AvgReviews,
-       CASE WHEN round(c_pr, 3) > 0.3 THEN 'Strong Positive'
-            WHEN round(c_pr, 3) < -0.3 THEN 'Strong Negative' ELSE 'Weak' END AS PriceRatingRelationship
+    "price_rating_correlation": f"""SELECT Category, {sround("c_pr", 3)} AS PriceRatingCorrelation,
+       {sround("a_price", 2)} AS AvgPrice, {sround("a_rating", 2)} AS AvgRating, {sround("a_reviews", 0)} AS AvgReviews,
+       CASE WHEN {sround("c_pr", 3)} > 0.3 THEN 'Strong Positive'
+            WHEN {sround("c_pr", 3)} < -0.3 THEN 'Strong Negative' ELSE 'Weak' END AS PriceRatingRelationship
 FROM stats""",
-    "review_sales_ratio": """SELECT Category, s_reviews AS TotalReviews, s_sales_nz AS TotalSales,
-       round(a_rating, 2) AS AvgRating, n_high AS HighRatingCount,
-       CASE WHEN s_sales_nz > 0 THEN round(s_reviews / s_sales_nz, 4) ELSE 0.0 END AS ReviewToSalesRatio,
-       CASE WHEN (CASE WHEN s_sales_nz > 0 THEN round(s_reviews / s_sales_nz, 4) ELSE 0.0 END) > 0.5 THEN 'High'
-            WHEN (CASE WHEN s_sales_nz > 0 THEN round(s_reviews / s_sales_nz, 4) ELSE 0.0 END) > 0.2 THEN 'Medium'
+    "review_sales_ratio": f"""SELECT Category, s_reviews AS TotalReviews, s_sales_nz AS TotalSales,
+       {sround("a_rating", 2)} AS AvgRating, n_high AS HighRatingCount,
+       CASE WHEN s_sales_nz > 0 THEN {sround("s_reviews / s_sales_nz", 4)} ELSE 0.0 END AS ReviewToSalesRatio,
+       CASE WHEN (CASE WHEN s_sales_nz > 0 THEN {sround("s_reviews / s_sales_nz", 4)} ELSE 0.0 END) > 0.5 THEN 'High'
+            WHEN (CASE WHEN s_sales_nz > 0 THEN {sround("s_reviews / s_sales_nz", 4)} ELSE 0.0 END) > 0.2 THEN 'Medium'
             ELSE 'Low' END AS CustomerEngagementLevel
 FROM stats""",
-    "price_satisfaction": """SELECT PriceRange, Category, round(avg(Rating), 2) AS AvgRating,
-       round(avg(Price), 2) AS AvgPrice, sum(coalesce(Sales, 0.0)) AS TotalSales,
-       count(*) AS ProductCount, round(avg(NumReviews), 0) AS AvgReviews
+    "price_satisfaction": f"""SELECT PriceRange, Category, {sround("avg(Rating)", 2)} AS AvgRating,
+       {sround("avg(Price)", 2)} AS AvgPrice, sum(coalesce(Sales, 0.0)) AS TotalSales,
+       count(*) AS ProductCount, {sround("avg(NumReviews)", 0)} AS AvgReviews
 FROM (SELECT *, CASE WHEN Price < m * 0.5 THEN 'Budget' WHEN Price < m * 1.0 THEN 'Economy'
                      WHEN Price < m * 1.5 THEN 'Premium' ELSE 'Luxury' END AS PriceRange
       FROM silver, (SELECT avg(Price) AS m FROM silver))

@@ -97,3 +97,14 @@ def test_lookup(spark):
     assert LK.lookup(rev, "a").count() == 0
     with pytest.raises(ValueError, match="Invalid category: a"):
         LK.lookup(rev, "a", strict=True)
+
+
+def test_average_on_a_rounding_tie_is_exact_and_partition_invariant(spark):
+    # mean discount is exactly 0.525 and mean sales exactly 2.345: HALF_UP gives 0.53 and 2.35 under any
+    # partitioning (a double sum of 1.05s depends on the order and can land either side of the tie)
+    data = [(i, "A", 10.0, 4.0, 1, 2.34 if i % 2 else 2.35, 1.05 if i < 20 else 0.0) for i in range(40)]
+    for parts in (1, 3, 7, 16):
+        df = silver(spark, data).repartition(parts)
+        r = G.revenue_per_category(G.category_stats(df)).first()
+        d = G.discount_effectiveness(G.category_stats(df)).first()
+        assert r.AvgDiscountPercentage == 0.53 and d.AvgSales == 2.35
