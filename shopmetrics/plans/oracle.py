@@ -53,7 +53,8 @@ silver AS (
   SELECT ProductID,
          trim(ProductName) AS ProductName,
          upper(trim(Category)) AS Category,
-         CAST(CASE WHEN pf < 0 THEN NULL WHEN pf > 500 THEN NULL ELSE round(pf, 2) END AS FLOAT) AS Price,
+         CAST(CASE WHEN pf < 0 THEN NULL WHEN pf > 500 THEN NULL
+              ELSE round(CAST(CAST(CAST(pf AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12)), 2) END AS FLOAT) AS Price,
          CAST(CASE WHEN rf < 1.0 THEN NULL WHEN rf > 5.0 THEN NULL ELSE rf END AS FLOAT) AS Rating,
          CAST(CASE WHEN NumReviews < 0 THEN 0 WHEN NumReviews > 5000 THEN NULL ELSE NumReviews END AS INTEGER) AS NumReviews,
          CAST(CASE WHEN StockQuantity < 0 THEN 0 WHEN StockQuantity > 1000 THEN NULL ELSE StockQuantity END AS INTEGER) AS StockQuantity,
