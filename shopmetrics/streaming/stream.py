@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import ingest as IN
 from ..sources import tables as TB
-from ..plans.refresh import BATCH_COLUMN, LakePaths, refresh_incremental, refresh_tables
+from ..plans.refresh import BATCH_COLUMN, LakePaths, read_bronze, refresh_incremental, refresh_tables
 
 
 def read_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -67,7 +67,9 @@ def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: st
     if refresh == "full":
         refresh_tables(spark, paths)
     elif refresh == "incremental":
-        refresh_incremental(spark, paths, batch, batch_id)
+        # merge what was just stored rather than evaluate the micro-batch (e.g. a Kafka read) twice
+        written = read_bronze(spark, f"{paths.bronze}/{BATCH_COLUMN}={batch_id}")
+        refresh_incremental(spark, paths, written, batch_id)
     elif refresh is not None:
         raise ValueError(f"unknown refresh mode: {refresh}")
 
