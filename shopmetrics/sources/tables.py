@@ -15,7 +15,7 @@ class TableNotFound(LookupError):
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir`` (never a machine-local temp dir).
 
-    Only when the session has no checkpoint dir (tests) do we refuse: the caller must set one.
+    Raises when the session names no checkpoint dir; tests set one where it is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
