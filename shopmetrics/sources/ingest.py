@@ -20,23 +20,28 @@ RAW_CSV_SCHEMA = T.StructType(
 
 
 def csv_reader(spark: SparkSession, stream: bool = False, header: bool = True,
-               max_files_per_trigger: int | None = None, glob: str = "*.csv"):
+               max_files_per_trigger: int | None = None, glob: str = "*.csv", multiline: bool = False):
     """All-string positional CSV reader with standard quoting (a doubled quote inside a quoted
     field). ``columnPruning`` is off so that a short row stays flagged in the corrupt-record
-    column even under a narrow projection."""
+    column even under a narrow projection. ``multiline`` accepts line breaks inside quoted fields
+    (as Python's csv module does) at the price of reading each file in one task, so it is off
+    by default."""
     r = (spark.readStream if stream else spark.read).schema(RAW_CSV_SCHEMA) \
         .option("header", header).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False) \
         .option("quote", '"').option("escape", '"') \
         .option("pathGlobFilter", glob)
+    if multiline:
+        r = r.option("multiLine", True)
     if stream and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r
 
 
-def read_product_csv(spark: SparkSession, path: str, header: bool = True, glob: str = "*.csv") -> DataFrame:
+def read_product_csv(spark: SparkSession, path: str, header: bool = True, glob: str = "*.csv",
+                     multiline: bool = False) -> DataFrame:
     """Raw product rows from every file matching ``glob`` under ``path`` (batch)."""
-    return csv_reader(spark, header=header, glob=glob).csv(path)
+    return csv_reader(spark, header=header, glob=glob, multiline=multiline).csv(path)
 
 
 def field_count(line: Column) -> Column:

@@ -72,3 +72,11 @@ def test_split_valid_rejected_null_predicate_rejects(spark):
     v, r = IN.split_valid_rejected(df, [("x", F.col("x") > 0)])
     assert [t.x for t in v.collect()] == [1]
     assert sorted((t.x is None, t.RejectReason) for t in r.collect()) == [(False, "x"), (True, "x")]
+
+
+def test_csv_multiline_quoted_field(spark, workdir):
+    d = workdir.replace("file:", "")
+    _write(d, RAW.splitlines()[0] + "\n" + '9,"Two\nlines",home,7.5,4,1,1,1,0,2024-04-02,Rome,TRUE\n')
+    valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, d, multiline=True))
+    got = [(r.ProductID, r.ProductName) for r in valid.collect()]
+    assert got == [(9, "Two\nlines")] and rejected.count() == 0
