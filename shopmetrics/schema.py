@@ -1,4 +1,4 @@
-"""Table schemas and the fixed rule constants of the product pipeline."""
+"""Table schemas and the fixed rule constants of the product tables."""
 
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ GOLD_TABLES = [
     "review_sales_ratio",
 ]
 
-# --- Fixed values: these must equal the reference pipeline's for identical results. ---
+# --- Fixed values: these must equal the reference's for identical results. ---
 SALES_FLOOR = 0.0            # Sales < 0 -> 0.0
 SALES_SMALL_LIMIT = 1.0      # Sales <= 1.0 -> Sales * 1000
 SALES_SMALL_FACTOR = 1000

@@ -51,7 +51,7 @@ def test_lookup_filter_is_below_the_gold_aggregate(spark):
     assert flt and flt[0] > agg             # deeper in the tree = evaluated before the aggregate
 
 
-def test_no_python_udf_in_pipeline(spark):
+def test_no_python_udf_in_the_plans(spark):
     for name in ("silver_products", "gold_price_satisfaction", "features_performance", "ingest_csv_valid"):
         plan = physical(C.QUERIES[name](spark, SF))
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
