@@ -1,6 +1,7 @@
 """Job entry points for ``spark-submit`` (the reference's scripts, as Spark jobs).
 
     spark-submit -m shopmetrics.jobs refresh --root <lake>
+    spark-submit -m shopmetrics.jobs publish --csv <dir> --messages <dir> | --kafka host:port/topic
     spark-submit -m shopmetrics.jobs ingest  --root <lake> --csv <dir> | --messages <dir> | --kafka host:port/topic
     spark-submit -m shopmetrics.jobs train   --root <lake> --model <dir> [--keys Category ...] [--small]
     spark-submit -m shopmetrics.jobs score   --model <dir> --requests <json dir> --out <dir>
@@ -24,6 +25,7 @@ from .operators import lookup as LK
 from .operators import model as ML
 from .plans import medallion as MD
 from .plans.refresh import LakePaths, refresh_tables
+from .sources import ingest as IN
 from .sources import tables as TB
 from .streaming import stream as ST
 
@@ -32,6 +34,18 @@ def _paths(root: str) -> LakePaths:
     return LakePaths.under(root.rstrip("/"))
 
 
+def cmd_publish(spark: SparkSession, a) -> None:
+    """The producer: every CSV file in a folder -> valid product records -> JSON messages.
+    Rejected rows are written next to the messages (``<messages>_rejected``) when a folder is given."""
+    valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, a.csv))
+    if a.kafka:
+        servers, topic = a.kafka.split("/", 1)
+        IN.publish_messages(valid, kafka={"bootstrap": servers, "topic": topic})
+    else:
+        IN.publish_messages(valid, path=a.messages)
+        rejected.write.mode("append").json(f"{a.messages.rstrip('/')}_rejected")
+
+
 def cmd_refresh(spark: SparkSession, a) -> None:
     refresh_tables(spark, _paths(a.root))
 
@@ -127,6 +141,11 @@ def cmd_coordinate(spark: SparkSession, a) -> bool:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="shopmetrics.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
+    pb = sub.add_parser("publish")
+    pb.add_argument("--csv", required=True)
+    dst = pb.add_mutually_exclusive_group(required=True)
+    dst.add_argument("--messages")
+    dst.add_argument("--kafka", help="bootstrap-servers/topic")
     r = sub.add_parser("refresh")
     r.add_argument("--root", required=True)
     i = sub.add_parser("ingest")
@@ -169,7 +188,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"shopmetrics-{a.cmd}").getOrCreate()
-    {"refresh": cmd_refresh, "ingest": cmd_ingest, "train": cmd_train,
+    {"publish": cmd_publish, "refresh": cmd_refresh, "ingest": cmd_ingest, "train": cmd_train,
      "score": cmd_score, "lookup": cmd_lookup, "coordinate": cmd_coordinate}[a.cmd](spark, a)
 
 

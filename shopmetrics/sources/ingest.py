@@ -107,6 +107,17 @@ def encode_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
 
 
+def publish_messages(df: DataFrame, path: str | None = None, kafka: dict | None = None) -> None:
+    """Publish each row as one JSON message: to a Kafka topic (needs the Kafka connector) or as
+    JSON-lines files under ``path`` (appended, one file per task)."""
+    values = encode_messages(df)
+    if kafka:
+        (values.write.format("kafka").option("kafka.bootstrap.servers", kafka["bootstrap"])
+               .option("topic", kafka["topic"]).save())
+    else:
+        values.write.mode("append").text(path)
+
+
 def decode_messages(df: DataFrame, schema: T.StructType = S.BRONZE_SCHEMA) -> DataFrame:
     """Apply the fixed bronze schema to JSON message values; columns in schema order."""
     return (df.select(F.from_json(F.col("value").cast("string"), schema).alias("m"))

@@ -51,3 +51,21 @@ def test_coordinator_retrains_only_on_change_or_interval(spark, workdir):
     _t.sleep(1.1)
     jobs.cmd_refresh(spark, jobs.parser().parse_args(["refresh", "--root", root]))  # gold files rewritten
     assert jobs.cmd_coordinate(spark, jobs.parser().parse_args(args)) is True
+
+
+
+def test_publish_then_ingest(spark, workdir):
+    import os as _os
+    d = workdir.replace("file:", "") + "/raw"
+    _os.makedirs(d, exist_ok=True)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("ProductID,ProductName,Category,Price,Rating,NumReviews,StockQuantity,Sales,Discount,DateAdded,City,StockStatus\n")
+        f.write("1,Lamp,home,19.99,4.5,120,30,0.5,10,2024-03-01,Oslo!,TRUE\n2,Cup,home,x,4,1,1,1,0,2024-04-02,Rome,TRUE\n")
+    msgs = f"{workdir}/msgs"
+    jobs.cmd_publish(spark, jobs.parser().parse_args(["publish", "--csv", d, "--messages", msgs]))
+    assert [r.ProductID for r in IN.decode_messages(spark.read.text(msgs)).collect()] == [1]
+    assert [r.ProductID for r in spark.read.json(f"{msgs}_rejected").collect()] == [2]
+    root = f"{workdir}/lake"
+    jobs.cmd_ingest(spark, jobs.parser().parse_args(["ingest", "--root", root, "--messages", msgs]))
+    g = TB.read_gold(spark, f"{root}/gold", "revenue_per_category").collect()
+    assert [(r.Category, r.ProductCount) for r in g] == [("HOME", 1)]
