@@ -113,3 +113,11 @@ def test_partitioned_write_rebalances(spark, workdir):
     folders = glob.glob(workdir.replace("file:", "") + "/reb/Year=*/Month=*")
     files = glob.glob(workdir.replace("file:", "") + "/reb/Year=*/Month=*/*.parquet")
     assert len(files) <= 2 * len(folders)     # not one file per task per folder
+
+
+def test_price_satisfaction_reuses_the_dedupe_shuffle(spark):
+    df = C.QUERIES["gold_price_satisfaction"](spark, SF)
+    df.collect()
+    final = physical(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final           # the mean-price branch reads the same shuffle
+    assert final.count("FileScan parquet") == 4  # lineitem, part, supplier, nation: each scanned once
