@@ -121,3 +121,23 @@ def test_price_satisfaction_reuses_the_dedupe_shuffle(spark):
     final = physical(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final           # the mean-price branch reads the same shuffle
     assert final.count("FileScan parquet") == 4  # lineitem, part, supplier, nation: each scanned once
+
+
+def test_incremental_merge_does_not_shuffle_the_state(spark):
+    from shopmetrics.plans import refresh as RF
+    prev = SV.latest_per_product(FX_bronze(spark))
+    batch = FX_bronze(spark).where(F.col("ProductID") < 5)
+    merged = RF.merge_latest(prev.checkpoint(), batch.checkpoint())
+    merged.collect()
+    final = physical(merged).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "LeftAnti" in final
+    # the previous state reaches the anti-join without a shuffle of its own
+    anti = [ln for ln in final.splitlines() if "LeftAnti" in ln][0]
+    assert "BroadcastHashJoin" in anti
+
+
+def FX_bronze(spark):
+    from shopmetrics.sources import fixture as FX
+    from shopmetrics.sources.tables import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return FX.drop_tie_break(FX.bronze_from_tpch(spark, SF))
