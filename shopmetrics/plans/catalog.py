@@ -74,6 +74,12 @@ def q_profile_sample(spark, sf_dir):
                           n=5, order=["ProductID"])
 
 
+def q_profile_bronze_sample(spark, sf_dir):
+    """Five raw records before cleaning, ordered by every shown column (ties are identical rows)."""
+    cols = ["ProductID", "Category", "Sales", "Price", "Discount"]
+    return PR.sample_rows(q_bronze_products(spark, sf_dir), cols, n=5, order=cols)
+
+
 def q_lookup_categories(spark, sf_dir):
     return LK.categories(G.revenue_per_category(G.category_stats(silver(spark, sf_dir)), ordered=False))
 
@@ -308,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "profile_nulls": q_profile_nulls,
     "profile_sales_stats": q_profile_sales_stats,
     "profile_sample": q_profile_sample,
+    "profile_bronze_sample": q_profile_bronze_sample,
     "lookup_categories": q_lookup_categories,
     **{name: _lookup(t, c) for name, (t, c) in LOOKUPS.items()},
     "ingest_csv_valid": q_ingest_csv_valid,

@@ -30,6 +30,9 @@ SELECT 'silver', round(avg(Sales), 2), min(Sales), max(Sales) FROM silver"""
 
 _SAMPLE = O.with_silver() + "\nSELECT ProductID, Category, Sales, Price, Discount FROM silver ORDER BY ProductID LIMIT 5"
 
+_BRONZE_SAMPLE = ("WITH " + O.bronze_cte(tie_break=False) + "\nSELECT ProductID, Category, Sales, Price, Discount FROM bronze"
+                  "\nORDER BY ProductID, Category, Sales, Price, Discount LIMIT 5")
+
 _CATEGORIES = O.with_silver() + "\nSELECT DISTINCT Category FROM silver ORDER BY Category"
 
 LOOKUPS = {
@@ -178,6 +181,7 @@ ORACLE: dict[str, str] = {
     "profile_nulls": _NULLS,
     "profile_sales_stats": _SALES_STATS,
     "profile_sample": _SAMPLE,
+    "profile_bronze_sample": _BRONZE_SAMPLE,
     "lookup_categories": _CATEGORIES,
     **{name: _lookup_sql(t, c) for name, (t, c) in LOOKUPS.items()},
     "features_joined": _FEATURES_JOINED,
