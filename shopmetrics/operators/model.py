@@ -201,11 +201,15 @@ def fit_stack(train: DataFrame, keys: Sequence[str], features: str = "features",
     names = [n for n, _ in cfg.bases(features, label)]
     for k in range(cfg.folds):
         fit_part, hold = data.where(F.col("_fold") != k), data.where(F.col("_fold") == k)
+        if hold.isEmpty() or fit_part.isEmpty():  # tiny inputs: a fold with nothing to fit or score
+            continue
         preds = hold
         for _, est in cfg.bases(features, label):
             preds = est.fit(fit_part).transform(preds)
         preds = preds.select(*keys, label, *[f"p_{n}" for n in names])
         oof = preds if oof is None else oof.unionByName(preds)
+    if oof is None:
+        raise ValueError("too few training rows for out-of-fold stacking")
     meta_in = checkpointed(VectorAssembler(inputCols=[f"p_{n}" for n in names],
                                            outputCol="_meta_features").transform(oof))
     meta = cfg.meta(label).fit(meta_in)

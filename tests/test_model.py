@@ -103,3 +103,14 @@ def test_stack_learns_a_signal(spark):
     a = {r.request_id: r.predicted_sales for r in model.score(req).collect()}
     b = {r.request_id: r.predicted_sales for r in again.score(req).collect()}
     assert a == b and again.names == model.names
+
+
+
+def test_stack_on_very_few_rows(spark):
+    rows = [(f"c{i}", "Low", "Medium", float(10 * i), *[float(i % 3) for _ in S.NUMERIC_FEATURES]) for i in range(4)]
+    schema = "Category string, PriceCategory string, DiscountROICategory string, TotalSales double, " + \
+             ", ".join(f"{c} double" for c in S.NUMERIC_FEATURES)
+    cfg = ML.StackConfig.small()
+    cfg.folds = 5
+    model, _ = ML.train(spark.createDataFrame(rows, schema), ["Category"], config=cfg)
+    assert model.stack.meta is not None
