@@ -86,8 +86,11 @@ def cmd_score(spark: SparkSession, a) -> None:
 
 
 def cmd_lookup(spark: SparkSession, a) -> None:
-    df = TB.read_gold(spark, _paths(a.root).gold, a.table)
-    out = LK.categories(df) if a.table == "categories" else LK.lookup(df, a.category, strict=True)
+    gold = _paths(a.root).gold
+    if a.table == "categories":  # the category list comes from the revenue table
+        out = LK.categories(TB.read_gold(spark, gold, "revenue_per_category"))
+    else:
+        out = LK.lookup(TB.read_gold(spark, gold, a.table), a.category, strict=True)
     out.write.mode("overwrite").json(a.out) if a.out else out.show(truncate=False)
 
 

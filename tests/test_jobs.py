@@ -35,6 +35,10 @@ def test_ingest_refresh_train_score_lookup(spark, workdir, capsys):
     jobs.cmd_lookup(spark, jobs.parser().parse_args(["lookup", "--root", root, "--table", "revenue_per_category",
                                                       "--category", "PROMO", "--out", f"{workdir}/lk"]))
     assert [r.Category for r in spark.read.json(f"{workdir}/lk").collect()] == ["PROMO"]
+    jobs.cmd_lookup(spark, jobs.parser().parse_args(["lookup", "--root", root, "--table", "categories",
+                                                      "--out", f"{workdir}/cats"]))
+    cats = sorted(r.Category for r in spark.read.json(f"{workdir}/cats").collect())
+    assert cats == sorted({"ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"})
 
 
 
