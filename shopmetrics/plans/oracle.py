@@ -54,7 +54,7 @@ silver AS (
          trim(ProductName) AS ProductName,
          upper(trim(Category)) AS Category,
          CAST(CASE WHEN pf < 0 THEN NULL WHEN pf > 500 THEN NULL
-              ELSE round(CAST(CAST(CAST(pf AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12)), 2) END AS FLOAT) AS Price,
+              ELSE round(CAST(CAST(CAST(pf AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), 2) END AS FLOAT) AS Price,
          CAST(CASE WHEN rf < 1.0 THEN NULL WHEN rf > 5.0 THEN NULL ELSE rf END AS FLOAT) AS Rating,
          CAST(CASE WHEN NumReviews < 0 THEN 0 WHEN NumReviews > 5000 THEN NULL ELSE NumReviews END AS INTEGER) AS NumReviews,
          CAST(CASE WHEN StockQuantity < 0 THEN 0 WHEN StockQuantity > 1000 THEN NULL ELSE StockQuantity END AS INTEGER) AS StockQuantity,
@@ -76,7 +76,7 @@ def with_silver(category: str = "p_type") -> str:
 
 def sround(expr: str, digits: int) -> str:
     """Spark's round of a double: HALF_UP on the shortest decimal text of the value."""
-    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def exact_avg_round(col: str, scale: int, where: str = "", digits: int = 2) -> str:
@@ -92,8 +92,8 @@ def exact_avg_round(col: str, scale: int, where: str = "", digits: int = 2) -> s
 
 STATS_CTE = """stats AS (
   SELECT Category,
-         sum(round(Price * Sales * (1.0 - Discount / 100), 2)) AS s_rev,
-         sum(round(Price * Sales, 2)) AS s_full,
+         sum(""" + sround("Price * Sales * (1.0 - Discount / 100)", 2) + """) AS s_rev,
+         sum(""" + sround("Price * Sales", 2) + """) AS s_full,
          sum(Sales) AS s_sales,
          sum(coalesce(Sales, 0.0)) AS s_sales_nz,
          avg(Price) AS a_price,
