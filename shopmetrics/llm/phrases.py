@@ -7,8 +7,9 @@
    documents hold and compiles them to one Aho-Corasick automaton, so the automaton's size is
    bounded by the shard's text whatever the corpus holds. All its documents stream through it; around every occurrence
    it reports the windows of ``WINDOW`` words.
-3. One aggregate finds the first place of each reported window; occurrences elsewhere are marked and
-   their words removed.
+3. A shard keeps the first of equal windows and marks its others; one aggregate finds the first place of what is left
+   over all shards, and occurrences elsewhere are marked too. Marked windows' words are removed. Whole texts that are equal are
+   found as one phrase each, and all but the first are removed without more ado.
 
 Phrases and windows of a passage that very many documents share are counted with map-side partial sums, and the
 joins on them are sort-merge joins that adaptive execution splits.
@@ -47,6 +48,7 @@ def _posted(words: np.ndarray) -> np.ndarray:
 
 
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases of each document and their places; and once its whole text, as a phrase at a negative place."""
     for batch in batches:
         ids, shards = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "shard"))
         buf, offsets = X.byte_column(batch.column("text"))
@@ -56,58 +58,93 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = X.word_hashes(b, starts, ends)
             grams = X.gram_hashes(words, GRAM)
             at = [first[i] + _posted(words[first[i] : first[i + 1]]) for i in range(hi - lo)]
-            n = np.array([len(x) for x in at])
+            row = np.repeat(np.arange(hi - lo), [len(x) for x in at])
             at = np.concatenate(at)
-            row = np.repeat(np.arange(hi - lo), n)
+            whole = np.flatnonzero(np.diff(first) >= WINDOW)
+            one, two = _text_hashes(words, first, whole)
+            row = np.concatenate([row, whole])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), pa.array(shards[lo:hi][row]), pa.array(ids[lo:hi][row]),
-                 pa.array((at - first[row]).astype(np.int32))], names=["phrase", "shard", "doc_id", "place"])
+                [pa.array(np.concatenate([grams[at], one]).view(np.int64)), pa.array(shards[lo:hi][row]), pa.array(ids[lo:hi][row]),
+                 pa.array(np.concatenate([at - first[row[: len(at)]], two]).astype(np.int32))], names=["phrase", "shard", "doc_id", "place"])
 
 
-def _window_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return X.gram_hashes(words, WINDOW), X.gram_hashes(words, WINDOW, seed=77)
+def _text_hashes(words: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of whole texts: 64 bits, and 31 more as a negative number."""
+    if not len(rows):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    place = np.arange(len(words), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
+    both = []
+    for salt in (0x51ED270B35AE1F01, 0x7C0FFEE5B1A5ED03):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(X.mix(words + X.mix(place * np.uint64(2) + np.uint64(salt))))])
+        both.append(X.mix(sums[first[rows + 1]] - sums[first[rows]]))
+    return both[0], -1 - (both[1] >> np.uint64(33)).astype(np.int64)
+
+
+_FOUND = "doc_id long, ha array<long>, hb array<int>, start array<int>, again_from array<int>, again_to array<int>"
 
 
 def _locate(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
-    """Compile a shard's phrases, stream its documents through them, report the windows that hold one."""
-    out: list[tuple] = []
-    nothing = pd.DataFrame({"ha": np.zeros(0, np.int64), "hb": np.zeros(0, np.int64), "doc_id": np.zeros(0, np.int64), "start": np.zeros(0, np.int32)})
-    if not len(docs) or not len(phrases):
-        return nothing
-    raw = [(t or "").encode().split() for t in docs["text"]]
+    """Compile a shard's phrases, stream its documents through them.
+
+    Returns of each document the windows that hold a located phrase and are the shard's first of their words (their hashes and starts),
+    and the ranges of starts of windows that the shard has earlier.
+    """
+    columns = [c.split()[0] for c in _FOUND.split(", ")]
+    docs = docs.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+    raw = [t.encode().split() for t in docs["text"]]
     ids = docs["doc_id"].to_numpy()
-    where = {d: i for i, d in enumerate(ids)}
-    automaton = ahocorasick.Automaton()
-    for doc, place in zip(phrases["doc_id"].tolist(), phrases["place"].tolist(), strict=True):
-        key = b" " + b" ".join(raw[where[doc]][place : place + GRAM]) + b" "
-        automaton.add_word(key.decode(), 1)
+    where = {d: i for i, d in enumerate(ids.tolist())}
+    copies, automaton = set(), ahocorasick.Automaton()
+    for doc, place, first in zip(phrases["doc_id"].tolist(), phrases["place"].tolist(), phrases["first"].tolist(), strict=True):
+        if place >= 0:
+            automaton.add_word((b" " + b" ".join(raw[where[doc]][place : place + GRAM]) + b" ").decode(), 1)
+        elif first < doc:
+            copies.add(doc)
+    rows = [(d, [], [], [], [0], [len(raw[where[d]]) - WINDOW + 1]) for d in sorted(copies)]
+    if not len(automaton):
+        return pd.DataFrame(rows, columns=columns)
     automaton.make_automaton()
+    found: list[tuple] = []
     for row, words in enumerate(raw):
         n = len(words) - WINDOW + 1
-        if n <= 0:
+        if n <= 0 or ids[row] in copies:
             continue
         line = (b" " + b" ".join(words) + b" ").decode()
         ends = np.fromiter((e for e, _ in automaton.iter(line)), dtype=np.int64)
         if not len(ends):
             continue
         gaps = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
-        last = np.searchsorted(gaps, ends)  # the phrase's words are last - GRAM to last - 1
-        low, high = np.maximum(last - WINDOW, 0), np.minimum(last - GRAM, n - 1) + 1
-        edge = np.zeros(n + 1, np.int64)
-        np.add.at(edge, low[low < high], 1)
-        np.add.at(edge, high[low < high], -1)
-        begin = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
         joined = np.frombuffer(b" ".join(words), np.uint8)
         s, e, _ = X.word_bounds(joined, np.array([0, len(joined)]))
-        one, two = _window_hashes(X.word_hashes(joined, s, e))
-        out.append((one[begin].view(np.int64), two[begin].view(np.int64), np.full(len(begin), ids[row]), begin.astype(np.int32)))
-    if not out:
-        return nothing
-    return pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(nothing.columns)})
+        hashes = X.word_hashes(joined, s, e)
+        # a window counts if the phrase that it posts is among those located
+        grams = X.gram_hashes(hashes, GRAM)
+        located = np.full(len(grams), np.iinfo(np.uint64).max, np.uint64)
+        at = np.searchsorted(gaps, ends) - GRAM
+        located[at] = grams[at]
+        begin = np.flatnonzero(X.sliding_min(located, WINDOW - GRAM + 1) == X.sliding_min(grams, WINDOW - GRAM + 1))
+        one, two = X.gram_hashes(hashes, WINDOW)[begin], X.gram_hashes(hashes, WINDOW, seed=77)[begin]
+        found.append((one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32), np.full(len(begin), row), begin.astype(np.int32)))
+    if found:
+        ha, hb, row, begin = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((begin, row, hb, ha))
+        ha, hb, row, begin = ha[order], hb[order], row[order], begin[order]
+        new = np.ones(len(ha), bool)
+        new[1:] = (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])
+        back = np.lexsort((begin, row))
+        ha, hb, row, begin, new = ha[back], hb[back], row[back], begin[back], new[back]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1, [len(row)]])
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            mine = new[lo:hi]
+            again = begin[lo:hi][~mine]
+            edge = np.flatnonzero(np.diff(again) != 1)
+            starts, stops = (again[np.append(0, edge + 1)], again[np.append(edge, -1)] + 1) if len(again) else (again, again)
+            rows.append((ids[row[lo]], ha[lo:hi][mine], hb[lo:hi][mine], begin[lo:hi][mine], starts, stops))
+    return pd.DataFrame(rows, columns=columns)
 
 
 def _cut(as_is: bool):
-    """row, text, starts (of windows to remove) -> row, kept text and counts."""
+    """row, text, ranges of starts of windows to remove -> row, kept text and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,16 +155,16 @@ def _cut(as_is: bool):
 
 def _cut_batch(batch: pa.RecordBatch, as_is: bool) -> pa.RecordBatch:
     buf, offsets = X.byte_column(batch.column("text"))
-    cuts = batch.column("starts")
+    cuts = batch.column("repeats")
     texts, total, removed = [], [], []
     for i in range(batch.num_rows):
         raw = buf[offsets[i] : offsets[i + 1]].tobytes()
         words = kept = raw.split()
         if cuts[i].is_valid:
-            begin = np.asarray(cuts[i].values, dtype=np.int64)
+            begin, end = (np.asarray(cuts[i].values.field(k), dtype=np.int64) for k in (0, 1))
             gone = np.zeros(len(words) + 1, np.int64)
             np.add.at(gone, begin, 1)
-            np.add.at(gone, begin + WINDOW, -1)
+            np.add.at(gone, end + WINDOW - 1, -1)
             kept = [w for w, g in zip(words, np.cumsum(gone[:-1]).tolist(), strict=True) if not g]
         texts.append((raw if as_is and len(kept) == len(words) else b" ".join(kept)).decode())
         total.append(len(words))
@@ -138,27 +175,31 @@ def _cut_batch(batch: pa.RecordBatch, as_is: bool) -> pa.RecordBatch:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, starts): the windows of each document whose words also start earlier.
+    """(doc_id, repeats): ranges of starts of each document's windows whose words also start earlier.
 
-    ``docs`` has doc_id long (not null) and text; a window is earlier in a smaller doc_id, or in the
+    ``docs`` has doc_id long and text, neither null; a window is earlier in a smaller doc_id, or in the
     same document at an earlier start.
     """
-    size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()
     shards = max(1, -(-(size[0] or 0) // SHARD_BYTES))
     dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"))
-    posts = keep(dealt.mapInArrow(_post, "phrase long, shard int, doc_id long, place int"), "posts")
-    again = keep(posts.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase"), "phrases")
-    needed = keep(posts.join(again, "phrase").groupBy("shard", "phrase").agg(F.min(F.struct("doc_id", "place")).alias("at"))
-                  .select("shard", "phrase", "at.*"), "needed")
+    posts = keep(dealt.mapInArrow(_post, "phrase long, shard int, doc_id long, place int")
+                 .withColumn("kind", F.least("place", F.lit(0))), "posts")
+    again = keep(posts.groupBy("phrase", "kind").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+                 .where("n > 1").select("phrase", "kind", "first"), "phrases")
+    needed = keep(posts.join(again, ["phrase", "kind"]).groupBy("shard", "phrase", "kind", F.when(F.col("kind") < 0, F.col("doc_id")).alias("copy"))
+                  .agg(F.max("doc_id").alias("doc_id"), F.max_by("place", "doc_id").alias("place"), F.min("first").alias("first"))
+                  .select("shard", "doc_id", "place", "first"), "needed")
     drop(posts, again)
-    windows = keep(dealt.groupBy("shard").cogroup(needed.groupBy("shard"))
-                   .applyInPandas(_locate, "ha long, hb long, doc_id long, start int"), "windows")
+    windows = keep(dealt.groupBy("shard").cogroup(needed.groupBy("shard")).applyInPandas(_locate, _FOUND), "windows")
     drop(needed)
-    here = F.struct("doc_id", "start")
-    firsts = keep(windows.groupBy("ha", "hb").agg(F.min(here).alias("first"), F.count("*").alias("n"))
+    # a shard has one window of each hash here, so a document has it once and its place needs no more than doc_id
+    each = windows.select("doc_id", F.inline(F.arrays_zip("ha", "hb", "start")))
+    firsts = keep(each.groupBy("ha", "hb").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
                   .where("n > 1").select("ha", "hb", "first"), "firsts")
-    out = keep(windows.join(firsts, ["ha", "hb"]).where(here > F.col("first"))
-               .groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "repeats")
+    far = each.join(firsts, ["ha", "hb"]).where("doc_id > first").select("doc_id", F.col("start").alias("b"), (F.col("start") + 1).alias("e"))
+    near = windows.select("doc_id", F.inline(F.arrays_zip(F.col("again_from").alias("b"), F.col("again_to").alias("e"))))
+    out = keep(far.unionByName(near.select("doc_id", "b", "e")).groupBy("doc_id").agg(F.collect_list(F.struct("b", "e")).alias("repeats")), "repeats")
     drop(windows, firsts)
     return out
 
@@ -175,7 +216,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     starts = repeated_windows(own.where("doc_id IS NOT NULL AND text IS NOT NULL"))
     plain = [c for c in docs.columns if c not in (text_col, "kept_text", "n_words", "n_removed")]
     packed = docs.select(F.struct(*plain).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    joined = packed.join(starts, "doc_id", "left").select("row", "text", "starts")
+    joined = packed.join(starts, "doc_id", "left").select("row", "text", "repeats")
     to = T.StructType([joined.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()),
                        T.StructField("n_removed", T.LongType())])
     return joined.mapInArrow(_cut(as_is), to).select("row.*", "kept_text", "n_words", "n_removed")
