@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 Turns = Sequence[tuple[str, str]]
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
-PROBE = "⁣probe⁣"
+#: Stands for a text; no end of it is its beginning, so it can't be found half inside what is around it.
+PROBE = "\u2063probe%dx"
 
 
 def escape(text: str) -> str:
@@ -44,12 +46,14 @@ def spans(turns: Turns, template: Callable[[Turns], str] = chat_template) -> tup
     """The output, and of each turn: span start, text start, text end, span end; None if the template rewrites history."""
     before, found = template(turns[:0]), []
     for k, (role, _) in enumerate(turns):
-        now, probed = template(turns[: k + 1]), template([*turns[:k], (role, PROBE)])
-        at = probed.find(PROBE, len(before))
+        now = template(turns[: k + 1])
+        probe = next(p for p in (PROBE % n for n in count()) if p not in now)
+        probed = template([*turns[:k], (role, probe)])
+        at = probed.find(probe, len(before))
         if not now.startswith(before) or at < 0 or now[:at] != probed[:at]:
             return template(turns), None
-        end = len(now) - (len(probed) - at - len(PROBE))
-        if end < at or now[end:] != probed[at + len(PROBE) :]:
+        end = len(now) - (len(probed) - at - len(probe))
+        if end < at or now[end:] != probed[at + len(probe) :]:
             return template(turns), None
         found.append((len(before), at, end, len(now)))
         before = now
