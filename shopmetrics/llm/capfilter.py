@@ -26,11 +26,11 @@ from shopmetrics.llm.store import drop, keep
 COSINE = 0.93
 PARTS = 2
 #: Filters that a vector exceeds, about; the threshold follows from it and the number of filters.
-EXPECTED_FILTERS = 16
+EXPECTED_FILTERS = 32
 #: Rows for each filter, about: the code grows with the table, so the lists stay as short.
 ROWS_PER_FILTER = 4
 #: A vector that exceeds the threshold for fewer filters is listed under its best ones.
-LEAST_FILTERS = 6
+LEAST_FILTERS = 16
 BLOCK = 512
 SEED = 3
 
