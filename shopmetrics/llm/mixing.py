@@ -60,9 +60,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     ranked = (sources.withColumn("w", w).withColumn("limit", limit)
               .withColumn("left", F.lit(share) * F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("limit").over(before), zero))
               .withColumn("w_left", F.sum("w").over(Window.partitionBy()) - F.coalesce(F.sum("w").over(before), zero))
+              .withColumn("nth", F.row_number().over(up))
               .withColumn("level", F.when(F.col("left") * F.col("w") < F.col("limit") * F.col("w_left"), F.col("left") / F.col("w_left"))))
     # the first source that doesn't stop sets the level for all after it
-    open_ = F.when(F.col("level").isNotNull(), F.struct((F.col("source_size") / F.col("w")).alias("ratio"), "level"))
+    open_ = F.when(F.col("level").isNotNull(), F.struct(F.col("nth"), F.col("level")))
     level = F.min(open_).over(Window.partitionBy())["level"]
     return ranked.withColumn("level", level).select(
         "source", "source_size", F.when(F.col("level").isNull(), F.col("limit")).otherwise(F.least(F.col("limit"), F.col("w") * F.col("level"))).alias("target"))

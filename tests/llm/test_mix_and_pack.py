@@ -1,0 +1,205 @@
+"""Mixing and packing: targets, exact budgets, token round trips, placement without gaps, edge cases."""
+
+import os
+import random
+import sys
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+
+from shopmetrics.llm import mixing, packing  # noqa: E402
+from shopmetrics.llm import text as X  # noqa: E402
+from shopmetrics.llm.store import keep, on_workers, table  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string, source string"
+
+
+@pytest.fixture(autouse=True)
+def _workers(spark):
+    on_workers(spark)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_are_those_of_water_filling(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": rng.choice([0, 1, 10, 1000, 50_000]) * rng.randrange(1, 9) for i in range(rng.randrange(1, 12))} | ({None: 77} if seed % 2 else {})
+    got = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    want = brute.water_fill(sizes)
+    for r in got.collect():
+        assert abs(r["target"] - want[r["source"]]) <= 1e-6 * max(1, want[r["source"]])
+
+
+def test_sources_sort_by_code_point(spark):
+    names = ["b", "B", "é", "a", "Z", "\U0001f600", "￿", None]
+    got = mixing.targets(spark.createDataFrame([(n, 10**6) for n in names], "source string, source_size long")).collect()
+    want = brute.water_fill(dict.fromkeys(names, 10**6))
+    assert {r["source"]: round(r["target"]) for r in got} == {n: round(t) for n, t in want.items()}
+
+
+def test_mix_of_the_given_documents(spark):
+    docs = table(spark, SF, "documents")
+    rows = mixing.mix(docs).collect()
+    text = {r.doc_id: (len(r.text.encode().split()), r.source) for r in docs.collect()}
+    sizes = {}
+    for n, s in text.values():
+        sizes[s] = sizes.get(s, 0) + n
+    want = brute.water_fill(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    assert len(rows) == len(text)
+    for r in rows:
+        n, s = text[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (n, sizes[s]) and abs(r["target"] - want[s]) < 1e-6 * want[s]
+        assert r["taken"] in (0, n, 2 * n)
+        taken[s] += r["taken"]
+    assert sum(taken.values()) <= round(sum(want.values())) and sum(taken.values()) > sum(want.values()) - 25_000
+    most = max(n for n, _ in text.values())
+    assert all(abs(taken[s] - want[s]) <= 2 * most for s in sizes)
+    # reruns agree, however the rows are dealt and ranged
+    again = mixing.mix(docs.repartition(7).withColumn("h", F.lit(1)).withColumn("finish", F.lit("x"))).collect()
+    key = lambda r: (r["doc_id"], r["taken"], r["target"], r["finish"])
+    assert sorted(map(key, again), key=str) == sorted(map(key, rows), key=str)
+
+
+def test_mix_takes_in_order_of_finish_time(spark, monkeypatch):
+    """Against queues kept in one list, and with ranges of a few rows."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 60)), rng.choice(["a", "b", "c", "hot", "hot", "hot"])) for i in range(400)]
+    frame = spark.createDataFrame(rows, DOCS)
+    one = {r["doc_id"]: (r["taken"], r["finish"]) for r in mixing.mix(frame).collect()}
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    assert {r["doc_id"]: (r["taken"], r["finish"]) for r in mixing.mix(frame).collect()} == one
+    h = {r[0]: r[1] for r in frame.select("doc_id", F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.lit(4)), 1)).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    total, queue = {}, []
+    for s in {s for _, _, s in rows}:
+        mine = sorted((i for i, _, x in rows if x == s), key=lambda i: h[i])
+        total[s] = sum(size[i] for i in mine)
+        upto = 0
+        for k in range(2):
+            for i in mine:
+                upto += size[i]
+                queue.append((upto, s, i, k))
+    target = brute.water_fill(total)
+    queue = sorted((u / target[s], s, h[i], i, k) for u, s, i, k in queue)
+    taken, used = dict.fromkeys(size, 0), 0
+    for _, _, _, i, _ in queue:
+        if (used := used + size[i]) > round(sum(target.values())):
+            break
+        taken[i] += size[i]
+    assert {i: t for i, (t, _) in one.items()} == taken
+
+
+def test_mix_edges(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (2, None, "x"), (3, "", None), (None, "c d e", None), (None, "c d e", None), (4, "z", "y")]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("s"))).collect()
+    assert sorted(r["size"] for r in got) == [0, 0, 1, 2, 2, 3, 3] and all(r["taken"] <= 2 * r["size"] for r in got)
+    assert {r["source"]: r["source_size"] for r in got} == {"x": 4, "y": 1, None: 6}
+    empty = spark.createDataFrame([], DOCS)
+    assert mixing.mix(empty).collect() == []
+    assert {r["taken"] for r in mixing.mix(spark.createDataFrame([(1, "", "x"), (2, None, "x")], DOCS)).collect()} == {0}
+    whole = mixing.mix(spark.createDataFrame([(1, "only " * 1000, "x")], DOCS)).collect()
+    assert whole[0]["taken"] in (1000, 2000) and whole[0]["target"] == 1500
+
+
+@pytest.fixture(scope="module")
+def tok():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    t.encode_special_tokens = True
+    return t
+
+
+def test_ids_are_the_tokenizers(tok):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("ab'sIll  \n\t\r.,!9é中🙂   \x1c\x85<|endoftext|>", k=rng.randrange(60))) for _ in range(1500)]
+    texts += [None, "", " ", "\n\n", " \n a", "a  b", "a \n\n b  ", "it's I'll", "<|endoftext|>", "x" * 5000, "the " * 3000]
+    buf, offsets = X.byte_column(pa.array(texts))
+    got = [x.tolist() for x in packing.encode(buf, offsets, packing.tokenizer_path())]
+    assert got == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def check_packed(rows, ids):
+    seqs, by_doc = {}, {}
+    for r in rows:
+        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for places in seqs.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    assert by_doc.keys() == ids.keys()
+    for d, own in by_doc.items():
+        start = 0
+        for k, r in enumerate(sorted(own, key=lambda r: r["piece"])):
+            part = ids[d][start : start + r["length"]]
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (k, start, zlib.crc32(np.array(part, "<u4").tobytes()))
+            assert k == 0 or r["length"] == packing.CAPACITY
+            start += r["length"]
+        assert start == len(ids[d])
+    return seqs
+
+
+def test_packing_of_the_given_documents(spark, tok):
+    docs = table(spark, SF, "documents")
+    ids = {r.doc_id: [*tok.encode(r.text, add_special_tokens=False).ids, packing.END_ID] for r in docs.collect()}
+    rows = packing.pack_documents(docs.withColumn("length", F.lit(1))).collect()
+    seqs = check_packed(rows, ids)
+    least = -(-sum(map(len, ids.values())) // packing.CAPACITY)
+    assert len(seqs) <= 1.01 * least + 2
+    whole = packing.pack_documents(docs.limit(20), with_ids=True).collect()
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in whole)
+
+
+def test_packing_edges(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (3, "word " * 1023), (4, "word " * 1024), (5, "word " * 5000)]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", F.lit("p"))).collect()
+    assert len(got) == 7 + sum((len(t.split()) + 1) // 1024 - (not (len(t.split()) + 1) % 1024) for _, t in rows[4:]) or len(got) >= 7
+    assert {r["length"] for r in got if r["doc_id"] in (1, 2)} == {1}
+    assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_the_plan_covers_every_piece_once():
+    rng = np.random.default_rng(7)
+    for high in (3, 40, 5000):
+        counts = np.zeros(65, np.int64)
+        counts[rng.integers(1, 65, 25)] = rng.integers(1, high, 25)
+        plan = packing.solve(counts, rounds=40)
+        used = np.zeros(65, np.int64)
+        for pattern, times in plan:
+            assert times > 0 and sum(n * k for n, k in pattern.items()) <= 64
+            for n, k in pattern.items():
+                used[n] += k * times
+        assert (used == counts).all()
+    assert packing.solve(np.zeros(65, np.int64)) == []
+
+
+def test_pricing_finds_the_heaviest_configuration():
+    rng = np.random.default_rng(8)
+    for _ in range(10):
+        w = np.zeros(13)
+        w[rng.integers(1, 13, 4)] = rng.random(4)
+        best = np.zeros(13)
+        for room in range(1, 13):
+            best[room] = max([best[room - 1], *(best[room - n] + w[n] for n in range(1, room + 1))])
+        found = packing.price(w, 12)
+        assert abs(sum(w[n] * k for n, k in found.items()) - best[12]) < 1e-12 and sum(n * k for n, k in found.items()) <= 12
+
+
+def test_pieces_of_one_length_are_numbered_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE_ROWS", 5)
+    cut = keep(spark.range(300).selectExpr("id AS doc_id", "0 AS piece", "id % 3 * 300 + 100 AS length"), "cut")
+    rows = packing.pack(cut).collect()
+    seqs = {}
+    for r in rows:
+        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert len(rows) == 300 and all(o == sum(n for _, n in sorted(p)[:k]) for p in seqs.values() for k, (o, _) in enumerate(sorted(p)))
