@@ -11,7 +11,7 @@ each (coordinate, value); two texts collide once for each list they share.
 * In a first round each list links its members to one hub, which joins the core of a group of
   copies by as many pairs as members. In a second round, only lists whose members are still in
   different components compare all their members, in blocks of bounded size inside tasks, on signatures,
-  sizes and a sketch of ``SKETCH`` more minima; what passes is confirmed on the full sets.
+  sizes, a sketch of ``SKETCH`` more minima and halved hashes of the sets; what passes is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -134,6 +134,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(100 * both >= PERCENT * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
 
 
+def _near(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets may reach the similarity, by half of each hash: two shingles in doubt, which the full sets settle."""
+    both = len(np.intersect1d(x, y)) + 2
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _compare_lists(frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one bucket of list blocks that may be links and are not in one component yet."""
     found: list[np.ndarray] = []
@@ -142,6 +148,7 @@ def _compare_lists(frame: pd.DataFrame) -> pd.DataFrame:
     cuts = np.append(np.flatnonzero(~same), len(frame))
     sigs = np.stack(frame["sig"].to_numpy()).astype(np.int32)
     sketch = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
+    halves = frame["half"].to_numpy()
     rep, label, size = (frame[c].to_numpy() for c in ("rep", "label", "n"))
     block, coord, posted = frame["block"].to_numpy(), frame["coord"].to_numpy(), frame["posted"].to_numpy()
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
@@ -164,8 +171,9 @@ def _compare_lists(frame: pd.DataFrame) -> pd.DataFrame:
             i, j = i[ok], j[ok]
             for q in range(0, len(i), 4096):
                 a, b = i[q : q + 4096], j[q : q + 4096]
-                near = (sketch[a] == sketch[b]).sum(axis=1) >= SKETCH_LEAST
-                if near.any():
+                near = np.flatnonzero((sketch[a] == sketch[b]).sum(axis=1) >= SKETCH_LEAST)
+                near = [k for k in near if _near(halves[a[k]], halves[b[k]])]
+                if near:
                     found.append(np.stack([rep[a[near]], rep[b[near]]], axis=1))
     out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
@@ -199,7 +207,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.explode("lists").alias("l")).select("rep", "n", "sig", "posted", "l.coord", "l.value"), "posted")
 
     # the full sets of the texts that have any possible partner
-    sets = keep(src.join(short.select(F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
+    # (how many those are isn't bounded: a merge join at every size)
+    sets = keep(src.join(short.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id").dropDuplicates(["doc_id"])
                 .select(F.col("doc_id").alias("rep"), "text")
                 .mapInArrow(_full_sets, "rep long, shingles array<long>, sketch binary"), "sets")
 
@@ -220,10 +229,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = keep(named.groupBy("coord", "value").agg(F.count("*").alias("length"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("lo != hi").select("coord", "value", "length"), "apart")
     blocks = F.ceil(F.col("length") / BLOCK)
-    rows = (named.join(apart, ["coord", "value"]).join(sets.select("rep", "sketch"), "rep")
+    rows = (named.join(apart, ["coord", "value"]).join(sets.select("rep", "sketch", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("half")), "rep")
             .withColumn("block", F.pmod(F.xxhash64("rep"), blocks))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            .select("rep", "n", "sig", "posted", "label", "sketch", "coord", "block", F.xxhash64("coord", "value").alias("key"),
+            .select("rep", "n", "sig", "posted", "label", "sketch", "half", "coord", "block", F.xxhash64("coord", "value").alias("key"),
                     F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")))
     total = apart.agg(F.sum(F.col("length") * blocks)).first()[0] or 0
     buckets = max(1, -(-int(total) // (2 * BLOCK)))
