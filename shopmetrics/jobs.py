@@ -17,6 +17,8 @@ import argparse
 import sys
 import time
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from . import schema as S
@@ -53,13 +55,13 @@ def cmd_refresh(spark: SparkSession, a) -> None:
 def cmd_ingest(spark: SparkSession, a) -> None:
     paths = _paths(a.root)
     if a.csv:
-        records = ST.read_csv_stream(spark, a.csv, max_files_per_trigger=a.max_per_trigger)
+        records = ST.read_csv_stream(spark, a.csv, max_files_per_trigger=a.max_per_trigger, keep_rejected=True)
     elif a.kafka:
         servers, topic = a.kafka.split("/", 1)
         records = ST.read_message_stream(spark, kafka={"bootstrap": servers, "topic": topic},
-                                         max_per_trigger=a.max_per_trigger or S.INGEST_BATCH_MESSAGES)
+                                         max_per_trigger=a.max_per_trigger, keep_rejected=True)
     else:
-        records = ST.read_message_stream(spark, path=a.messages, max_per_trigger=a.max_per_trigger)
+        records = ST.read_message_stream(spark, path=a.messages, max_per_trigger=a.max_per_trigger, keep_rejected=True)
     q = ST.start_bronze_stream(records, paths, a.checkpoint or f"{a.root.rstrip('/')}/_checkpoint",
                                refresh=a.refresh, available_now=not a.continuous,
                                processing_time=a.trigger)
@@ -91,7 +93,11 @@ def cmd_lookup(spark: SparkSession, a) -> None:
         out = LK.categories(TB.read_gold(spark, gold, "revenue_per_category"))
     else:
         out = LK.lookup(TB.read_gold(spark, gold, a.table), a.category, strict=True)
-    out.write.mode("overwrite").json(a.out) if a.out else out.show(truncate=False)
+    if a.out:
+        out.write.mode("overwrite").json(a.out)
+    else:  # every row, a partition at a time
+        for line in out.toJSON().toLocalIterator():
+            print(line)
 
 
 def gold_fingerprints(spark: SparkSession, gold_root: str) -> DataFrame | None:
@@ -100,7 +106,9 @@ def gold_fingerprints(spark: SparkSession, gold_root: str) -> DataFrame | None:
     for name in S.GOLD_TABLES:
         try:
             fp = FP.file_fingerprint(spark, name, f"{gold_root}/{name}_parquet")
-        except Exception:  # a table not written yet has no fingerprint
+        except AnalysisException as e:  # a table not written yet has no fingerprint
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         out = fp if out is None else out.unionByName(fp)
     return out
@@ -115,11 +123,13 @@ def _fs(spark: SparkSession, path: str):
 def cmd_coordinate(spark: SparkSession, a) -> bool:
     """One coordinator tick: retrain when gold changed or the minimum interval has passed.
 
-    State is a small table (table_name, rows, hash, trained_at). A ``_RUNNING`` marker keeps two
-    ticks from training at once and is always removed afterwards (the reference could leave its
-    in-progress flag set forever)."""
+    State is a small table (table_name, rows, hash, trained_at). A ``_RUNNING`` marker, created
+    without overwriting, keeps two ticks from training at once; it is removed afterwards, and one that a killed
+    driver left counts no more after ``--lease`` seconds."""
     fs, marker = _fs(spark, f"{a.state}/_RUNNING")
     now = time.time()
+    if fs.exists(marker) and now - fs.getFileStatus(marker).getModificationTime() / 1000 > a.lease:
+        fs.delete(marker, False)
     new = gold_fingerprints(spark, _paths(a.root).gold)
     if new is None:
         return False
@@ -131,7 +141,12 @@ def cmd_coordinate(spark: SparkSession, a) -> bool:
     changes = FP.changed_tables(old.select(*FP.FINGERPRINT_COLUMNS), new)
     if not FP.should_retrain(changes, now - last, a.min_interval, fs.exists(marker)):
         return False
-    fs.create(marker, True).close()
+    try:
+        fs.create(marker, False).close()
+    except Py4JJavaError:
+        if fs.exists(marker):  # another tick was first
+            return False
+        raise
     try:
         cmd_train(spark, a)
         from pyspark.sql import functions as F
@@ -182,6 +197,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--model", required=True)
     c.add_argument("--state", required=True)
     c.add_argument("--min-interval", type=float, default=S.MIN_RETRAIN_SECONDS, dest="min_interval")
+    c.add_argument("--lease", type=float, default=24 * 3600.0, help="seconds after which a marker left by a killed run is ignored")
     c.add_argument("--keys", nargs="*")
     c.add_argument("--small", action="store_true")
     c.add_argument("--leaky", action="store_true")

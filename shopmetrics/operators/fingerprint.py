@@ -19,17 +19,27 @@ def file_fingerprint(spark: SparkSession, name: str, path: str, glob: str = "*.p
     return checkpointed(files.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.xxhash64("path", "modificationTime").cast("decimal(38,0)")).alias("_s"),
-    ).select(F.lit(name).alias("table_name"), "rows", F.xxhash64("rows", "_s").alias("hash")))
+    ).select(F.lit(name).alias("table_name"), "rows", F.xxhash64("rows", "_s").cast("string").alias("hash")))
+
+
+def canonical_text(df: DataFrame):
+    """One text for each row that any engine can write: columns by name; numbers with six decimals (or, beyond a decimal's
+    reach, as they print), NULL as ``~``."""
+    texts = []
+    for c, kind in sorted(df.dtypes):
+        x = F.col(f"`{c}`")
+        if kind in ("float", "double") or kind.startswith("decimal"):
+            x = F.coalesce(x.try_cast("decimal(38,6)").cast("string"), x.cast("string"))
+        texts.append(F.coalesce(x.cast("string"), F.lit("~")))
+    return F.concat_ws("|", *texts)
 
 
 def content_fingerprint(df: DataFrame, name: str) -> DataFrame:
     """(table_name, rows, hash): order-insensitive hash of the table content (duplicates counted),
-    one distributed aggregate; the per-row hashes are summed as decimals, so no overflow."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(row_hash.cast("decimal(38,0)")).alias("_s"),
-    ).select(F.lit(name).alias("table_name"), "rows", F.xxhash64("rows", "_s").alias("hash"))
+    one distributed aggregate: the sum of 60 bits of each row's md5, as a decimal, so no overflow."""
+    row_hash = F.conv(F.substring(F.md5(canonical_text(df)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("hash")).select(
+        F.lit(name).alias("table_name"), "rows", "hash")
 
 
 def changed_tables(old: DataFrame, new: DataFrame, only_changes: bool = False) -> DataFrame:

@@ -22,13 +22,9 @@ KEYS = ("Category",)
 # Discount and Sales are decimal quantities (parsed from text); their averages are taken over an
 # exact DECIMAL sum, so a mean that falls exactly on a rounding tie is rounded HALF_UP the same way
 # under any partitioning (a double sum of values such as 1.05 depends on the summation order).
+# A group that holds a value the decimal can't carry (NaN, too large, too many digits) has the plain double average.
 DISCOUNT_DECIMAL = "decimal(20,4)"
-SALES_DECIMAL = "decimal(38,6)"
-
-
-def round2(c):
-    """round(c, 2) as double (decimal averages are rounded HALF_UP before the cast)."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 2).cast("double")
+SALES_DECIMAL = "decimal(20,6)"
 
 
 def revenue_expr(price="Price", sales="Sales", discount="Discount"):
@@ -36,25 +32,49 @@ def revenue_expr(price="Price", sales="Sales", discount="Discount"):
     return F.round(F.col(price) * F.col(sales) * (F.lit(1.0) - F.col(discount) / 100), 2)
 
 
+def exact_avg2(value, kind: str, only=None):
+    """round(avg(value), 2) as double, over exact decimals where they carry every value of the group."""
+    value = value.cast("double")
+    exact = value.try_cast(kind)
+    if only is not None:
+        value, exact = F.when(only, value), F.when(only, exact)
+    lost = F.count_if(value.isNotNull() & ~F.coalesce(exact.cast("double") == value, F.lit(False)))
+    return F.when(lost > 0, F.round(F.avg(value), 2)).otherwise(F.round(F.avg(exact), 2).cast("double"))
+
+
+#: The silver columns that each table keyed by Category needs.
+NEEDS = {
+    "revenue_per_category": ("Price", "Sales", "Discount"),
+    "discount_impact": ("Sales", "Discount"),
+    "discount_effectiveness": ("Price", "Sales", "Discount"),
+    "price_rating_correlation": ("Price", "Rating", "NumReviews"),
+    "price_satisfaction": ("Price", "Rating", "Sales", "NumReviews"),
+    "review_sales_ratio": ("Sales", "Rating", "NumReviews"),
+}
+
+
 def category_stats(silver: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All per-category aggregates of the five Category-keyed gold tables, in one pass."""
+    """All per-category aggregates of the five Category-keyed gold tables, in one pass.
+
+    Of a silver frame with fewer columns (see ``NEEDS``), the aggregates that those allow."""
     price, sales, disc = F.col("Price"), F.col("Sales"), F.col("Discount")
-    return silver.groupBy(*keys).agg(
-        F.sum(revenue_expr()).alias("_sum_revenue"),
-        F.sum(F.round(price * sales, 2)).alias("_sum_full_revenue"),
-        F.sum(sales).alias("_sum_sales"),
-        sum_null_as_zero("Sales").alias("_sum_sales_nz"),
-        F.avg(price).alias("_avg_price"),
-        F.count(F.lit(1)).alias("_count"),
-        F.avg(disc.cast(DISCOUNT_DECIMAL)).alias("_avg_discount"),
-        F.avg(sales.cast(SALES_DECIMAL)).alias("_avg_sales"),
-        F.avg(F.when(disc == 0, sales.cast(SALES_DECIMAL))).alias("_avg_sales_no_discount"),
-        safe_corr("Price", "Rating").alias("_corr_price_rating"),
-        F.avg("Rating").alias("_avg_rating"),
-        F.avg("NumReviews").alias("_avg_reviews"),
-        F.sum("NumReviews").alias("_sum_reviews"),
-        F.count_if(F.col("Rating") >= S.HIGH_RATING).alias("_high_rating"),
-    )
+    stats = {
+        "_sum_revenue": (("Price", "Sales", "Discount"), F.sum(revenue_expr())),
+        "_sum_full_revenue": (("Price", "Sales"), F.sum(F.round(price * sales, 2))),
+        "_sum_sales": (("Sales",), F.sum(sales)),
+        "_sum_sales_nz": (("Sales",), sum_null_as_zero("Sales")),
+        "_avg_price": (("Price",), F.avg(price)),
+        "_count": ((), F.count(F.lit(1))),
+        "_avg_discount": (("Discount",), exact_avg2(disc, DISCOUNT_DECIMAL)),
+        "_avg_sales": (("Sales",), exact_avg2(sales, SALES_DECIMAL)),
+        "_avg_sales_no_discount": (("Sales", "Discount"), exact_avg2(sales, SALES_DECIMAL, only=disc == 0)),
+        "_corr_price_rating": (("Price", "Rating"), safe_corr("Price", "Rating")),
+        "_avg_rating": (("Rating",), F.avg("Rating")),
+        "_avg_reviews": (("NumReviews",), F.avg("NumReviews")),
+        "_sum_reviews": (("NumReviews",), F.sum("NumReviews")),
+        "_high_rating": (("Rating",), F.count_if(F.col("Rating") >= S.HIGH_RATING)),
+    }
+    return silver.groupBy(*keys).agg(*[e.alias(n) for n, (needs, e) in stats.items() if set(needs) <= set(silver.columns)])
 
 
 def revenue_per_category(stats: DataFrame, keys: Sequence[str] = KEYS, ordered: bool = True) -> DataFrame:
@@ -64,17 +84,17 @@ def revenue_per_category(stats: DataFrame, keys: Sequence[str] = KEYS, ordered:
         F.col("_sum_sales").alias("TotalSales"),
         F.round("_avg_price", 2).alias("AveragePrice"),
         F.col("_count").alias("ProductCount"),
-        round2("_avg_discount").alias("AvgDiscountPercentage"),
+        F.col("_avg_discount").alias("AvgDiscountPercentage"),
     )
     return out.orderBy(F.col("TotalRevenue").desc(), *keys) if ordered else out
 
 
 def discount_impact(stats: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    with_d = round2("_avg_sales")
-    without = round2("_avg_sales_no_discount")
+    with_d = F.col("_avg_sales")
+    without = F.col("_avg_sales_no_discount")
     return stats.select(
         *keys,
-        round2("_avg_discount").alias("AvgDiscountPercentage"),
+        F.col("_avg_discount").alias("AvgDiscountPercentage"),
         F.col("_sum_sales").alias("TotalSales"),
         with_d.alias("AvgSalesWithDiscount"),
         without.alias("AvgSalesWithoutDiscount"),
@@ -89,10 +109,10 @@ def discount_effectiveness(stats: DataFrame, keys: Sequence[str] = KEYS) -> Data
     loss = F.round(potential - discounted, 2)
     return stats.select(
         *keys,
-        round2("_avg_discount").alias("AvgDiscountPercentage"),
+        F.col("_avg_discount").alias("AvgDiscountPercentage"),
         discounted.alias("TotalDiscountedRevenue"),
         potential.alias("PotentialRevenue"),
-        round2("_avg_sales").alias("AvgSales"),
+        F.col("_avg_sales").alias("AvgSales"),
         loss.alias("RevenueLossFromDiscount"),
         F.when(loss > 0, F.round(F.try_divide(discounted, loss), 3))
          .otherwise(F.lit(0.0)).alias("DiscountROI"),

@@ -24,8 +24,9 @@ from ..sources.tables import checkpointed
 # ---------------------------------------------------------------- split and folds
 
 def hash_bucket(keys: Sequence[str], seed: int, buckets: int) -> Column:
-    """Stable bucket of a row's key: independent of partitioning and of row order."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
+    """Stable bucket of a row's key: independent of partitioning, row order and engine (32 bits of an md5)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("~")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(buckets)
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -201,8 +202,10 @@ def fit_stack(train: DataFrame, keys: Sequence[str], features: str = "features",
     names = [n for n, _ in cfg.bases(features, label)]
     for k in range(cfg.folds):
         fit_part, hold = data.where(F.col("_fold") != k), data.where(F.col("_fold") == k)
-        if hold.isEmpty() or fit_part.isEmpty():  # tiny inputs: a fold with nothing to fit or score
+        if hold.isEmpty():  # nothing to score: the other folds' models cover every row
             continue
+        if fit_part.isEmpty():
+            raise ValueError(f"all rows fall in fold {k}: too few keys for {cfg.folds} folds")
         preds = hold
         for _, est in cfg.bases(features, label):
             preds = est.fit(fit_part).transform(preds)
@@ -360,7 +363,7 @@ def train(features: DataFrame, keys: Sequence[str], numeric: Sequence[str] | Non
     names = assembled_names(enc_tr, numeric, categorical)
     partial = TrainedModel(scaler, encoder, assembler, stack, None, names, numeric, categorical)
     test_pred = stack.transform(partial.prepare(te)).select(*keys, label, "prediction")
-    partial.metrics = regression_metrics(test_pred, label, "prediction")
+    partial.metrics = checkpointed(regression_metrics(test_pred, label, "prediction"))  # one row; else each score runs the stack again
     return partial, test_pred
 
 
@@ -384,7 +387,8 @@ def save_model(model: TrainedModel, spark: SparkSession, path: str, importances:
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     """Inverse of ``save_model``: fitted stages from Spark ML persistence, parameters as tables."""
     from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
-    spec = spark.read.parquet(f"{path}/spec").first()  # one row: the feature lists
+    from ..sources.tables import read_table
+    spec = read_table(spark, f"{path}/spec").first()  # one row: the feature lists; written last
     loaders = {"rf": RandomForestRegressionModel, "gbm": GBTRegressionModel, "slow": GBTRegressionModel}
     bases = [loaders[n].load(f"{path}/base_{i}_{n}") for i, n in enumerate(spec.bases)]
     stack = StackModel(bases, GBTRegressionModel.load(f"{path}/meta"), list(spec.bases))

@@ -38,6 +38,21 @@ def sales_stats(layers: dict[str, DataFrame], col: str = "Sales") -> DataFrame:
     return out
 
 
+def sales_stats_once(bronze: DataFrame, order: Sequence[str], rule, key: str = "ProductID", col: str = "Sales") -> DataFrame:
+    """``sales_stats`` of the raw records and of the latest cleaned record of each product, from one scan:
+    the dedupe's aggregate carries the sums that the raw layer needs. ``rule`` is the cleaning of the column."""
+    x = F.col(col).cast("double")
+    per = bronze.groupBy(key).agg(F.max(F.struct(*order, col))[col].cast("double").alias("_last"), F.sum(x).alias("_sum"),
+                                  F.count(x).alias("_n"), F.min(x).alias("_min"), F.max(x).alias("_max"))
+    clean = rule(F.col("_last"))
+    mean = F.try_divide(F.sum("_sum"), F.sum("_n"))
+    stats = "avg_sales", "min_sales", "max_sales"
+    row = lambda layer, *e: F.struct(F.lit(layer).alias("layer"), *[v.alias(n) for n, v in zip(stats, e, strict=True)])
+    one = per.agg(F.array(row("bronze", F.round(mean, 2), F.min("_min"), F.max("_max")),
+                          row("silver", F.round(F.avg(clean), 2), F.min(clean), F.max(clean))).alias("layers"))
+    return one.select(F.inline("layers"))
+
+
 def sample_rows(df: DataFrame, cols: Sequence[str], n: int = 5, order: Sequence[str] | None = None) -> DataFrame:
     """The first ``n`` rows of a projection under an explicit order (a top-n report: the limit is the feature)."""
     order = list(order or cols)

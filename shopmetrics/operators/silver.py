@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-def latest_per_product(df: DataFrame, key: str = "ProductID",
-                       order: Sequence[str] | None = None) -> DataFrame:
+def latest_per_product(df: DataFrame, key: str = "ProductID", order: Sequence[str] | None = None,
+                       keep: Sequence[str] | None = None) -> DataFrame:
     """One row per ``key``: the row that is greatest by ``order`` (default: ProcessedTimestamp,
     then every other column), all descending, NULLs lowest.
 
@@ -19,7 +19,12 @@ def latest_per_product(df: DataFrame, key: str = "ProductID",
     ``row_number`` window: the aggregate combines map-side, so a hot key that holds a large
     share of the rows is reduced to one row per map task before the shuffle, where the window
     would sort all of that key's rows in a single task.
+
+    The optimizer can't drop fields of a struct under ``max``, so ``keep`` names the columns that are
+    needed beside the key and the order; nothing else goes through the sort and the shuffle.
     """
+    if keep is not None and order:
+        df = df.select(*[c for c in df.columns if c == key or c in order or c in keep])
     order = list(order) if order else ["ProcessedTimestamp"] + [
         c for c in df.columns if c not in (key, "ProcessedTimestamp")]
     rest = [c for c in df.columns if c != key and c not in order]
@@ -29,12 +34,25 @@ def latest_per_product(df: DataFrame, key: str = "ProductID",
               .select(F.col(key), *[F.col("_latest")[c].alias(c) for c in df.columns if c != key]))
 
 
+#: Silver column -> the bronze column that it is made of.
+SILVER_SOURCES = {c: c for c in S.BRONZE_COLUMNS} | {"Year": "DateAdded", "Month": "DateAdded"}
+
+
+def sales_rule(sales):
+    """Negative sales are 0; sales up to 1 are in thousands."""
+    return (F.when(sales < 0, F.lit(S.SALES_FLOOR))
+             .when(sales <= S.SALES_SMALL_LIMIT, sales * S.SALES_SMALL_FACTOR)
+             .otherwise(sales))
+
+
 def clean_products(df: DataFrame) -> DataFrame:
     """Retype and clean deduplicated bronze rows into silver columns (one flat projection).
 
     Rule order follows the reference: Sales and Discount are fixed before the range rules;
     Price/Rating are float32; Discount becomes double (the /100 branch); bad dates are NULL.
+    Of a bronze frame with fewer columns, the silver columns that come from those are made.
     """
+    have = set(df.columns)
     price = F.col("Price").try_cast("float")
     rating = F.col("Rating").try_cast("float")
     reviews = F.col("NumReviews").try_cast("int")
@@ -43,7 +61,7 @@ def clean_products(df: DataFrame) -> DataFrame:
     disc = F.col("Discount")
     date = F.try_to_date(F.col("DateAdded").cast("string"))
     passthrough = [c for c in df.columns if c not in S.BRONZE_COLUMNS]
-    return df.select(
+    rules = dict(zip(SILVER_SOURCES, [
         F.col("ProductID"),
         F.trim(F.col("ProductName")).alias("ProductName"),
         F.upper(F.trim(F.col("Category"))).alias("Category"),
@@ -55,9 +73,7 @@ def clean_products(df: DataFrame) -> DataFrame:
          .otherwise(reviews).cast("int").alias("NumReviews"),
         F.when(stock < 0, F.lit(0)).when(stock > S.STOCK_MAX, F.lit(None))
          .otherwise(stock).cast("int").alias("StockQuantity"),
-        F.when(sales < 0, F.lit(S.SALES_FLOOR))
-         .when(sales <= S.SALES_SMALL_LIMIT, sales * S.SALES_SMALL_FACTOR)
-         .otherwise(sales).alias("Sales"),
+        sales_rule(sales).alias("Sales"),
         F.when(disc > S.DISCOUNT_FRACTION_LIMIT, disc / 100)
          .when(disc < 0, F.lit(0))
          .when(disc > S.DISCOUNT_CAP, F.lit(S.DISCOUNT_CAP))
@@ -68,8 +84,9 @@ def clean_products(df: DataFrame) -> DataFrame:
         F.col("ProcessedTimestamp"),
         F.year(date).alias("Year"),
         F.month(date).alias("Month"),
-        *[F.col(c) for c in passthrough],
-    )
+    ], strict=True))
+    return df.select(*[rule for name, rule in rules.items() if SILVER_SOURCES[name] in have],
+                     *[F.col(c) for c in passthrough])
 
 
 def scale_columns(df: DataFrame, cols: Sequence[str] = tuple(S.SCALED_COLUMNS),

@@ -26,12 +26,17 @@ from . import medallion as MD
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def bronze(spark: SparkSession, sf_dir: str, category: str = "type") -> DataFrame:
-    return FX.bronze_from_tpch(spark, sf_dir, category=category)
+# Queries name the silver columns that they need: the dedupe then carries no others.
+GOLD_ALL = ("Category", *dict.fromkeys(c for needs in G.NEEDS.values() for c in needs))
 
 
-def silver(spark: SparkSession, sf_dir: str, category: str = "type") -> DataFrame:
-    return SV.build_silver(bronze(spark, sf_dir, category), order=FX.DEDUPE_ORDER, drop=FX.TIE_BREAK)
+def bronze(spark: SparkSession, sf_dir: str, category: str = "type", columns=None) -> DataFrame:
+    return FX.bronze_from_tpch(spark, sf_dir, category=category, columns=columns)
+
+
+def silver(spark: SparkSession, sf_dir: str, category: str = "type", columns=None) -> DataFrame:
+    made = SV.build_silver(bronze(spark, sf_dir, category, columns), order=FX.DEDUPE_ORDER, drop=FX.TIE_BREAK)
+    return made if columns is None else made.select(*[c for c in made.columns if c in columns])
 
 
 def q_bronze_products(spark, sf_dir):
@@ -47,13 +52,13 @@ def q_silver_products(spark, sf_dir):
 
 
 def q_silver_scaled(spark, sf_dir):
-    scaled = SV.scale_columns(silver(spark, sf_dir))
+    scaled = SV.scale_columns(silver(spark, sf_dir, columns=("ProductID", *S.SCALED_COLUMNS)))
     return scaled.select("ProductID", *[c for c in scaled.columns if c.startswith("scaled_")])
 
 
 def _gold(name: str) -> Query:
     def q(spark, sf_dir):
-        s = silver(spark, sf_dir)
+        s = silver(spark, sf_dir, columns=("Category", *G.NEEDS[name]))
         if name == "price_satisfaction":
             return G.price_satisfaction(s)
         return getattr(G, name)(G.category_stats(s))
@@ -66,22 +71,23 @@ def q_profile_nulls(spark, sf_dir):
 
 
 def q_profile_sales_stats(spark, sf_dir):
-    return PR.sales_stats({"bronze": bronze(spark, sf_dir), "silver": silver(spark, sf_dir)})
+    return PR.sales_stats_once(bronze(spark, sf_dir, columns=["Sales"]), FX.DEDUPE_ORDER, SV.sales_rule)
 
 
 def q_profile_sample(spark, sf_dir):
-    return PR.sample_rows(silver(spark, sf_dir), ["ProductID", "Category", "Sales", "Price", "Discount"],
-                          n=5, order=["ProductID"])
+    cols = ["ProductID", "Category", "Sales", "Price", "Discount"]
+    return PR.sample_rows(silver(spark, sf_dir, columns=cols), cols, n=5, order=["ProductID"])
 
 
 def q_profile_bronze_sample(spark, sf_dir):
     """Five raw records before cleaning, ordered by every shown column (ties are identical rows)."""
     cols = ["ProductID", "Category", "Sales", "Price", "Discount"]
-    return PR.sample_rows(q_bronze_products(spark, sf_dir), cols, n=5, order=cols)
+    return PR.sample_rows(bronze(spark, sf_dir, columns=cols), cols, n=5, order=cols)
 
 
 def q_lookup_categories(spark, sf_dir):
-    return LK.categories(G.revenue_per_category(G.category_stats(silver(spark, sf_dir)), ordered=False))
+    s = silver(spark, sf_dir, columns=("Category", *G.NEEDS["revenue_per_category"]))
+    return LK.categories(G.revenue_per_category(G.category_stats(s), ordered=False))
 
 
 # Lookup filters: one category per table, all present in the fixture.
@@ -97,7 +103,7 @@ LOOKUPS = {
 
 def _lookup(table: str, category: str) -> Query:
     def q(spark, sf_dir):
-        s = silver(spark, sf_dir)
+        s = silver(spark, sf_dir, columns=("Category", *G.NEEDS[table]))
         gold = G.price_satisfaction(s, ordered=False) if table == "price_satisfaction" \
             else getattr(G, table)(G.category_stats(s))
         return LK.lookup(gold, category)
@@ -117,11 +123,11 @@ FEATURE_GROUPS = {
 
 
 def features(spark, sf_dir) -> DataFrame:
-    return MD.features_from_silver(silver(spark, sf_dir, category="brand"))
+    return MD.features_from_silver(silver(spark, sf_dir, category="brand", columns=GOLD_ALL))
 
 
 def q_features_joined(spark, sf_dir):
-    s = silver(spark, sf_dir, category="brand")
+    s = silver(spark, sf_dir, category="brand", columns=GOLD_ALL)
     stats = MD.materialize(G.category_stats(s))
     joined = FE.join_gold(G.revenue_per_category(stats, ordered=False), G.discount_effectiveness(stats),
                           G.price_rating_correlation(stats), G.review_sales_ratio(stats))
@@ -151,28 +157,140 @@ def q_ingest_csv_rejected(spark, sf_dir):
     return IN.products_from_csv(raw)[1].select("ProductID", "ProductName", "RejectReason")
 
 
-def _messages(spark, sf_dir, files: int) -> str:
+def _messages(spark, sf_dir, where=None) -> str:
+    """The fixture's records as JSON messages, in as many files as its scan has tasks."""
     path = TB.shared_dir(spark, "messages", unique=True)
-    IN.encode_messages(q_bronze_products(spark, sf_dir)).repartition(files).write.text(path)
+    records = bronze(spark, sf_dir)
+    IN.encode_messages(FX.drop_tie_break(records if where is None else records.where(where))).write.text(path)
     return path
 
 
 def q_ingest_json_roundtrip(spark, sf_dir):
-    path = _messages(spark, sf_dir, files=4)
-    return IN.decode_messages(spark.read.text(path))
+    return IN.decode_messages(spark.read.text(_messages(spark, sf_dir)))
 
 
-def _run_stream(spark, sf_dir, refresh) -> RF.LakePaths:
-    _, paths, checkpoint = ST.stream_dirs(spark, "fixture")
-    src = _messages(spark, sf_dir, files=3)
-    records = ST.read_message_stream(spark, path=src, max_per_trigger=1)
-    q = ST.start_bronze_stream(records, paths, checkpoint, refresh=refresh, keep_existing_stamp=True)
+def q_ingest_json_rejected(spark, sf_dir):
+    """Messages of the lines numbered 3 are cut short, those numbered 4 have a ProductID that is no number."""
+    path = TB.shared_dir(spark, "messages", unique=True)
+    b = bronze(spark, sf_dir)
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    good = IN.encode_messages(FX.drop_tie_break(b.where("l_linenumber NOT IN (3, 4)")))
+    bad = b.where("l_linenumber IN (3, 4)").select(
+        F.when(F.col("l_linenumber") == 3, F.concat(F.lit('{"ProductName":"'), key))
+         .otherwise(F.concat(F.lit('{"ProductID":"'), key, F.lit('"}'))).alias("value"))
+    good.unionByName(bad).write.text(path)
+    return IN.split_messages(spark.read.text(path))[1]
+
+
+def _drain(records, paths, checkpoint, **kw) -> None:
+    q = ST.start_bronze_stream(records, paths, checkpoint, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def _run_stream(spark, sf_dir, refresh) -> RF.LakePaths:
+    _, paths, checkpoint = ST.stream_dirs(spark, "fixture")
+    src = _messages(spark, sf_dir)
+    _drain(ST.read_message_stream(spark, path=src, max_per_trigger=1), paths, checkpoint, refresh=refresh, keep_existing_stamp=True)
+    TB.remove(spark, src)
     return paths
 
 
+def _two_streams(spark, sf_dir, refresh) -> RF.LakePaths:
+    """Two streams with their own sources and checkpoints, one lake."""
+    _, paths, checkpoint = ST.stream_dirs(spark, "two")
+    for k in (0, 1):
+        src = _messages(spark, sf_dir, F.col("l_linenumber") % 2 == k)
+        _drain(ST.read_message_stream(spark, path=src, keep_rejected=True), paths, f"{checkpoint}{k}", refresh=refresh,
+               keep_existing_stamp=True)
+    return paths
+
+
+def q_stream_two_sources(spark, sf_dir):
+    return RF.read_bronze(spark, _two_streams(spark, sf_dir, None).bronze)
+
+
+def _two_sources_gold(refresh: str) -> Query:
+    def q(spark, sf_dir):
+        return gold_cells(spark, _two_streams(spark, sf_dir, refresh).gold)
+    return q
+
+
+def gold_cells(spark, root: str) -> DataFrame:
+    """All six stored gold tables in one long form: (table_name, key, column_name, number, label)."""
+    out = None
+    for name in S.GOLD_TABLES:
+        df = TB.read_gold(spark, root, name)
+        keys = [c for c in ("PriceRange", "Category") if c in df.columns]
+        cells = [F.struct(F.lit(c).alias("column_name"), (F.col(c) if t != "string" else F.lit(None)).cast("double").alias("number"),
+                          (F.col(c) if t == "string" else F.lit(None)).cast("string").alias("label"))
+                 for c, t in df.dtypes if c not in keys]
+        one = df.select(F.lit(name).alias("table_name"), F.concat_ws("/", *keys).alias("key"), F.inline(F.array(*cells)))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_table_gold_roundtrip_all(spark, sf_dir):
+    root = TB.shared_dir(spark, "gold", unique=True)
+    TB.write_gold(MD.gold_from_silver(silver(spark, sf_dir, columns=GOLD_ALL)), root)
+    return gold_cells(spark, root)
+
+
+def q_lookup_strict(spark, sf_dir):
+    """A strict lookup, and reading with the first format absent: the stored revenue rows of one category."""
+    root = TB.shared_dir(spark, "gold", unique=True)
+    s = silver(spark, sf_dir, columns=("Category", *G.NEEDS["revenue_per_category"]))
+    TB.write_gold({"revenue_per_category": G.revenue_per_category(G.category_stats(s))}, root)
+    stored = TB.read_table(spark, f"{root}/revenue_per_category_parquet", fmt=("delta", "parquet"))
+    return LK.lookup(stored, "PROMO", strict=True)
+
+
+def q_table_silver_vectors(spark, sf_dir):
+    """Stored silver with its two vector columns, one row per slot."""
+    path = TB.shared_dir(spark, "silver", unique=True)
+    TB.write_table(SV.scale_columns(silver(spark, sf_dir, columns=("ProductID", "DateAdded", "Year", "Month", *S.SCALED_COLUMNS)), vectors=True),
+                   path, partition_by=["Year", "Month"])
+    stored = TB.read_table(spark, path)
+    slots = stored.select("ProductID", F.posexplode(F.arrays_zip("features", "scaled_features")).alias("slot", "v"))
+    return slots.select("ProductID", "slot", F.col("v.features").alias("feature"), F.col("v.scaled_features").alias("scaled"))
+
+
+def q_stream_csv_rejected(spark, sf_dir):
+    """What a CSV stream has put in the lake's rejected table."""
+    _, paths, checkpoint = ST.stream_dirs(spark, "csv")
+    src = _csv_fixture(spark, sf_dir)
+    records = ST.read_csv_stream(spark, src, header=False, glob="part-*", keep_rejected=True)
+    _drain(records, paths, checkpoint, stamp=STREAM_STAMP)
+    return spark.read.parquet(paths.rejected).select("ProductID", "ProductName", "RejectReason")
+
+
+def q_stream_rows_stored(spark, sf_dir):
+    """Rows that each of two streams has stored (their ids differ from run to run: numbered by size)."""
+    stored = ST.rows_stored(spark, _two_streams(spark, sf_dir, None))
+    return stored.select(F.col("rows"))
+
+
+def q_ml_split(spark, sf_dir):
+    """Part and fold of every key: the sets that training and its out-of-fold predictions use."""
+    s = silver(spark, sf_dir, category="brand", columns=["Category"])
+    keys = s.select("Category").distinct()
+    return keys.select("Category", F.when(ML.hash_bucket(["Category"], 42, 100) < 80, "train").otherwise("test").alias("part"),
+                       ML.hash_bucket(["Category"], 43, 5).cast("int").alias("fold"))
+
+
+def q_ml_one_hot_slots(spark, sf_dir):
+    """The encoded vectors themselves: a row for each key, categorical feature and slot."""
+    from pyspark.ml.functions import vector_to_array
+    feats = features(spark, sf_dir)
+    enc = ML.one_hot_model(feats, S.CATEGORICAL_FEATURES).transform(feats)
+    out = None
+    for c in S.CATEGORICAL_FEATURES:
+        one = enc.select("Category", F.lit(c).alias("feature"), F.posexplode(vector_to_array(f"{c}_ohe")).alias("slot", "value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_stream_bronze_append(spark, sf_dir):
     return RF.read_bronze(spark, _run_stream(spark, sf_dir, refresh=None).bronze)
 
@@ -194,11 +312,8 @@ def q_stream_csv_bronze(spark, sf_dir):
     """CSV files -> file stream (existing files, several micro-batches) -> bronze, stamped."""
     _, paths, checkpoint = ST.stream_dirs(spark, "csv")
     src = _csv_fixture(spark, sf_dir)
-    records = ST.read_csv_stream(spark, src, max_files_per_trigger=3, header=False, glob="part-*")
-    q = ST.start_bronze_stream(records, paths, checkpoint, stamp=STREAM_STAMP)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _drain(ST.read_csv_stream(spark, src, max_files_per_trigger=3, header=False, glob="part-*"), paths, checkpoint, stamp=STREAM_STAMP)
+    TB.remove(spark, src)
     return RF.read_bronze(spark, paths.bronze)
 
 
@@ -211,7 +326,7 @@ def q_table_silver_roundtrip(spark, sf_dir):
 
 def q_table_gold_roundtrip(spark, sf_dir):
     root = TB.shared_dir(spark, "gold", unique=True)
-    TB.write_gold(MD.gold_from_silver(silver(spark, sf_dir)), root)
+    TB.write_gold(MD.gold_from_silver(silver(spark, sf_dir, columns=GOLD_ALL)), root)
     return TB.read_gold(spark, root, "revenue_per_category")
 
 
@@ -224,16 +339,16 @@ def _fingerprints(gold: dict[str, DataFrame], names) -> DataFrame:
 
 
 def q_table_fingerprint(spark, sf_dir):
-    gold = MD.gold_from_silver(silver(spark, sf_dir))
+    gold = MD.gold_from_silver(silver(spark, sf_dir, columns=GOLD_ALL))
     return _fingerprints(gold, list(gold))
 
 
 def q_table_changes(spark, sf_dir):
     """Old state: three gold tables by product type. New state: revenue unchanged, discount_impact
     rebuilt by brand (changed), price_rating_correlation added (new), review_sales_ratio dropped (gone)."""
-    by_type = MD.gold_from_silver(silver(spark, sf_dir))
-    by_brand = MD.gold_from_silver(silver(spark, sf_dir, category="brand"))
-    old = _fingerprints(by_type, ["revenue_per_category", "discount_impact", "review_sales_ratio"])
+    before, by_type = (MD.gold_from_silver(silver(spark, sf_dir, columns=GOLD_ALL)) for _ in range(2))
+    by_brand = MD.gold_from_silver(silver(spark, sf_dir, category="brand", columns=GOLD_ALL))
+    old = _fingerprints(before, ["revenue_per_category", "discount_impact", "review_sales_ratio"])
     new = _fingerprints({**by_type, "discount_impact": by_brand["discount_impact"]},
                         ["revenue_per_category", "discount_impact", "price_rating_correlation"])
     return FP.changed_tables(old, new)
@@ -245,7 +360,8 @@ def q_ml_yeo_johnson_lambda(spark, sf_dir):
 
 def requests(spark, sf_dir) -> DataFrame:
     """One prediction request per product, from its latest raw record (some out of range)."""
-    latest = SV.latest_per_product(bronze(spark, sf_dir), order=FX.DEDUPE_ORDER)
+    raw = bronze(spark, sf_dir, columns=["Price", "Discount", "Rating", "NumReviews", "Category"])
+    latest = SV.latest_per_product(raw, order=FX.DEDUPE_ORDER)
     return latest.select(
         F.col("ProductID").cast("long").alias("request_id"), F.col("Price").alias("price"),
         F.col("Discount").cast("double").alias("discount_percentage"), F.col("Rating").alias("rating"),
@@ -266,7 +382,7 @@ def q_ml_request_features(spark, sf_dir):
 
 def q_ml_regression_metrics(spark, sf_dir):
     """Metrics of the per-category mean-sales baseline over silver products."""
-    s = silver(spark, sf_dir)
+    s = silver(spark, sf_dir, columns=["Category", "Sales"])
     means = s.groupBy("Category").agg(F.avg("Sales").alias("baseline"))
     scored = s.join(means, s["Category"].eqNullSafe(means["Category"])).select("Sales", "baseline")
     return ML.regression_metrics(scored, "Sales", "baseline")
@@ -278,29 +394,39 @@ def q_ml_one_hot(spark, sf_dir):
     return enc.select("Category", *[F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in S.CATEGORICAL_FEATURES])
 
 
-_TRAINED: dict = {}
-
-
 def trained(spark, sf_dir):
-    """The stacked model on the brand-grain features (small sizes), memoised per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        _TRAINED[key] = ML.train(features(spark, sf_dir), ["Category"], config=ML.StackConfig.small())
-    return _TRAINED[key]
+    """The stacked model on the brand-grain features (small sizes): loaded from the shared folder when a model of
+    features with the same content is there, else trained and saved under their fingerprint."""
+    feats = TB.checkpointed(features(spark, sf_dir))
+    mark = FP.content_fingerprint(feats, "features").first()  # one row
+    path = TB.shared_dir(spark, "models", f"{mark['rows']}-{mark['hash']}")
+    try:
+        return ML.load_model(spark, path)
+    except TB.TableNotFound:
+        model, _ = ML.train(feats, ["Category"], config=ML.StackConfig.small())
+        ML.save_model(model, spark, path)
+        return model
 
 
 def q_ml_stacked_metrics(spark, sf_dir):
-    return trained(spark, sf_dir)[0].metrics
+    return trained(spark, sf_dir).metrics
 
 
 def q_ml_feature_importance(spark, sf_dir):
-    model = trained(spark, sf_dir)[0]
+    model = trained(spark, sf_dir)
     return ML.feature_importance(spark, model.stack.bases[0], model.names, top=10)
 
 
 def q_ml_score_batch(spark, sf_dir):
-    model = trained(spark, sf_dir)[0]
-    return model.score(q_ml_request_features(spark, sf_dir))
+    return trained(spark, sf_dir).score(q_ml_request_features(spark, sf_dir))
+
+
+def q_ml_score_keys(spark, sf_dir):
+    """That every valid request, and no other, has one finite prediction and the model's confidence."""
+    scored = q_ml_score_batch(spark, sf_dir)
+    finite = F.col("predicted_sales").isNotNull() & ~F.isnan("predicted_sales")
+    return scored.groupBy("request_id").agg(F.count(F.lit(1)).alias("predictions"), F.bool_and(finite).alias("finite"),
+                                            F.countDistinct("confidence_score").alias("confidences"))
 
 
 QUERIES: dict[str, Query] = {
@@ -320,6 +446,18 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_valid": q_ingest_csv_valid,
     "ingest_csv_rejected": q_ingest_csv_rejected,
     "ingest_json_roundtrip": q_ingest_json_roundtrip,
+    "ingest_json_rejected": q_ingest_json_rejected,
+    "stream_two_sources": q_stream_two_sources,
+    "stream_two_sources_gold_full": _two_sources_gold("full"),
+    "stream_two_sources_gold_incremental": _two_sources_gold("incremental"),
+    "stream_rows_stored": q_stream_rows_stored,
+    "stream_csv_rejected": q_stream_csv_rejected,
+    "table_gold_roundtrip_all": q_table_gold_roundtrip_all,
+    "table_silver_vectors": q_table_silver_vectors,
+    "lookup_strict": q_lookup_strict,
+    "ml_split": q_ml_split,
+    "ml_one_hot_slots": q_ml_one_hot_slots,
+    "ml_score_keys": q_ml_score_keys,
     "stream_bronze_append": q_stream_bronze_append,
     "stream_gold_refresh": q_stream_gold_refresh,
     "stream_gold_incremental": q_stream_gold_incremental,

@@ -147,6 +147,29 @@ GROUP BY PriceRange, Category""",
 }
 
 
+GOLD_COLUMNS = {
+    "revenue_per_category": {"Category": "text", "TotalRevenue": "double", "TotalSales": "double", "AveragePrice": "double",
+                             "ProductCount": "int", "AvgDiscountPercentage": "double"},
+    "discount_impact": {"Category": "text", "AvgDiscountPercentage": "double", "TotalSales": "double", "AvgSalesWithDiscount": "double",
+                        "AvgSalesWithoutDiscount": "double", "DiscountImpactPercentage": "double"},
+    "discount_effectiveness": {"Category": "text", "AvgDiscountPercentage": "double", "TotalDiscountedRevenue": "double",
+                               "PotentialRevenue": "double", "AvgSales": "double", "RevenueLossFromDiscount": "double", "DiscountROI": "double"},
+    "price_rating_correlation": {"Category": "text", "PriceRatingCorrelation": "double", "AvgPrice": "double", "AvgRating": "double",
+                                 "AvgReviews": "double", "PriceRatingRelationship": "text"},
+    "price_satisfaction": {"PriceRange": "text", "Category": "text", "AvgRating": "double", "AvgPrice": "double", "TotalSales": "double",
+                           "ProductCount": "int", "AvgReviews": "double"},
+    "review_sales_ratio": {"Category": "text", "TotalReviews": "int", "TotalSales": "double", "AvgRating": "double", "HighRatingCount": "int",
+                           "ReviewToSalesRatio": "double", "CustomerEngagementLevel": "text"},
+}
+
+
+def row_text(name: str) -> str:
+    """The canonical text of a gold row (see ``fingerprint.canonical_text``)."""
+    texts = [f"coalesce(CAST({c if kind != 'double' else f'CAST({c} AS DECIMAL(38,6))'} AS VARCHAR), '~')"
+             for c, kind in sorted(GOLD_COLUMNS[name].items())]
+    return "concat_ws('|', " + ", ".join(texts) + ")"
+
+
 def gold_sql(name: str, category: str = "p_type") -> str:
     if name == "price_satisfaction":
         return with_silver(category) + "\n" + GOLD_SELECT[name]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .. import schema as S
 from . import oracle as O
 
 _BRONZE = "WITH " + O.bronze_cte(tie_break=False) + "\nSELECT * FROM bronze"
@@ -81,30 +82,75 @@ FROM bronze WHERE l_linenumber IN (3, 4, 5)"""
 _STREAM_REVENUE = ("WITH " + ",\n".join([O.bronze_cte(tie_break=False), O.DEDUP_GENERIC, O.SILVER_CTE, O.STATS_CTE])
                    + "\n" + O.GOLD_SELECT["revenue_per_category"])
 
-_CHANGES = O.gold_cte(names=("discount_impact",)) + ",\n" + ",\n".join([
+_CHANGES = O.gold_cte(names=("revenue_per_category", "discount_impact", "review_sales_ratio", "price_rating_correlation")) + ",\n" + ",\n".join([
     O.bronze_cte("p_brand").replace("bronze AS", "bronze_b AS", 1),
     O.DEDUP_FIXTURE.replace("dedup AS", "dedup_b AS", 1).replace("FROM bronze)", "FROM bronze_b)"),
     O.SILVER_CTE.replace("typed AS", "typed_b AS", 1).replace("FROM dedup)", "FROM dedup_b)")
         .replace("silver AS", "silver_b AS", 1).replace("FROM typed)", "FROM typed_b)"),
     O.STATS_CTE.replace("stats AS", "stats_b AS", 1).replace("FROM silver GROUP", "FROM silver_b GROUP"),
     "g_di_b AS (" + O.GOLD_SELECT["discount_impact"].replace("FROM stats", "FROM stats_b") + ")",
-    """same AS (SELECT (SELECT count(*) FROM (SELECT * FROM g_discount_impact EXCEPT ALL SELECT * FROM g_di_b))
-                 + (SELECT count(*) FROM (SELECT * FROM g_di_b EXCEPT ALL SELECT * FROM g_discount_impact)) = 0 AS eq)"""]) + """
-SELECT 'revenue_per_category' AS table_name, 'unchanged' AS status
-UNION ALL SELECT 'discount_impact', CASE WHEN eq THEN 'unchanged' ELSE 'changed' END FROM same
-UNION ALL SELECT 'price_rating_correlation', 'new'
-UNION ALL SELECT 'review_sales_ratio', 'gone'"""
-
-_NUMERIC = ["AveragePrice", "AvgDiscountPercentage", "AvgRating", "AvgReviews",
-    "PriceToAvgRatio", "PriceVariance", "DiscountEfficiency", "DiscountEffectiveness", "ReviewsPerSale",
-    "HighRatingRatio", "EngagementScore", "CustomerSatisfaction", "RevenuePerProduct", "SalesEfficiency",
-    "PriceRatingInteraction", "DiscountRatingInteraction", "PriceDiscountInteraction", "MarketPerformance",
-    "CustomerEngagementIndex", "ProfitabilityScore", "Normalized_TotalRevenue", "Normalized_TotalSales",
-    "Normalized_AveragePrice"]
+    *[f"p_{state} AS (" + "\n  UNION ALL ".join(f"SELECT '{t}' AS table_name, md5({O.row_text(t)}) AS h FROM {src}" for t, src in tables) + ")"
+      for state, tables in {
+          "old": [("revenue_per_category", "g_revenue_per_category"), ("discount_impact", "g_discount_impact"),
+                  ("review_sales_ratio", "g_review_sales_ratio")],
+          "new": [("revenue_per_category", "g_revenue_per_category"), ("discount_impact", "g_di_b"),
+                  ("price_rating_correlation", "g_price_rating_correlation")]}.items()],
+    *[f"f_{state} AS (SELECT table_name, list(h ORDER BY h) AS content FROM p_{state} GROUP BY table_name)" for state in ("old", "new")]]) + """
+SELECT coalesce(n.table_name, o.table_name) AS table_name,
+       CASE WHEN o.table_name IS NULL THEN 'new' WHEN n.table_name IS NULL THEN 'gone'
+            WHEN o.content = n.content THEN 'unchanged' ELSE 'changed' END AS status
+FROM f_old o FULL JOIN f_new n ON o.table_name = n.table_name"""
+
+_FINGERPRINT = O.gold_cte(names=O.GOLD_COLUMNS) + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, count(*) AS "rows",
+       CAST(coalesce(sum(CAST(CAST('0x' || substr(md5({O.row_text(t)}), 1, 15) AS BIGINT) AS HUGEINT)), 0) AS VARCHAR) AS hash
+FROM g_{t}""" for t in O.GOLD_COLUMNS)
+
+
+def _cells(ctes: str) -> str:
+    """The six gold tables in the long form of ``catalog.gold_cells``."""
+    out = []
+    for t, columns in O.GOLD_COLUMNS.items():
+        key = "PriceRange || '/' || Category" if "PriceRange" in columns else "Category"
+        for c, kind in columns.items():
+            if c not in ("PriceRange", "Category"):
+                number, label = (f"CAST({c} AS DOUBLE)", "CAST(NULL AS VARCHAR)") if kind != "text" else ("CAST(NULL AS DOUBLE)", c)
+                out.append(f"SELECT '{t}' AS table_name, {key} AS key, '{c}' AS column_name, {number} AS number, {label} AS label FROM g_{t}")
+    return ctes + "\n" + "\nUNION ALL\n".join(out)
+
+
+_GOLD_ALL = _cells(O.gold_cte(names=O.GOLD_COLUMNS))
+_STREAM_GOLD_ALL = _cells("WITH " + ",\n".join([O.bronze_cte(tie_break=False), O.DEDUP_GENERIC, O.SILVER_CTE, O.STATS_CTE,
+                                               *(f"g_{t} AS ({O.GOLD_SELECT[t]})" for t in O.GOLD_COLUMNS)]))
+
+_JSON_REJECTED = """
+SELECT CASE l_linenumber WHEN 3 THEN '{"ProductName":"' || l_orderkey || '-' || l_linenumber
+            ELSE '{"ProductID":"' || l_orderkey || '-' || l_linenumber || '"}' END AS value, 'message' AS RejectReason
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+WHERE l_linenumber IN (3, 4)"""
+
+_SILVER_VECTORS = O.with_silver() + """,
+sd AS (SELECT stddev_samp(CAST(Price AS DOUBLE)) AS s0, stddev_samp(CAST(Rating AS DOUBLE)) AS s1, stddev_samp(CAST(NumReviews AS DOUBLE)) AS s2,
+              stddev_samp(CAST(StockQuantity AS DOUBLE)) AS s3, stddev_samp(Sales) AS s4 FROM silver)
+""" + "\nUNION ALL\n".join(
+    f"""SELECT ProductID, {i} AS slot, CAST({c} AS DOUBLE) AS feature,
+       CASE WHEN {c} IS NULL THEN NULL WHEN coalesce(s{i}, 0) = 0 THEN 0.0 ELSE CAST({c} AS DOUBLE) / s{i} END AS scaled
+FROM silver, sd""" for i, c in enumerate(["Price", "Rating", "NumReviews", "StockQuantity", "Sales"]))
+
+_ROWS_STORED = "WITH " + O.bronze_cte() + "\nSELECT count(*) AS \"rows\" FROM bronze GROUP BY l_linenumber % 2"
+
+
+def _bucket(seed: int, buckets: int) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || coalesce(Category, '~')), 1, 8) AS BIGINT) % {buckets}"
+
+
+_SPLIT = O.with_silver("p_brand") + f"""
+SELECT DISTINCT Category, CASE WHEN {_bucket(42, 100)} < 80 THEN 'train' ELSE 'test' END AS part,
+       CAST({_bucket(43, 5)} AS INTEGER) AS fold FROM silver"""
 
 _YJ = O.features_cte() + """,
 lf AS (""" + "\n  UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM feats WHERE {c} IS NOT NULL" for c in _NUMERIC) + """),
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM feats WHERE {c} IS NOT NULL" for c in S.NUMERIC_FEATURES) + """),
 grid AS (SELECT CAST(-2.0 AS DOUBLE) + i * CAST(0.05 AS DOUBLE) AS lam FROM range(0, 81) t(i)),
 yj AS (SELECT column_name, lam, x,
          CASE WHEN x >= 0 THEN (CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (pow(x + 1, lam) - 1) / lam END)
@@ -162,7 +208,29 @@ SELECT Category,
   CAST(dense_rank() OVER (ORDER BY DiscountROICategory) - 1 AS INTEGER) AS DiscountROICategory_idx
 FROM feats"""
 
+_ONE_HOT_SLOTS = O.features_cte() + "\n" + "\nUNION ALL\n".join(f"""
+SELECT f.Category, '{c}' AS feature, CAST(v.slot AS INTEGER) AS slot, CASE WHEN f.{c} = v.x THEN 1.0 ELSE 0.0 END::DOUBLE AS value
+FROM feats f, (SELECT x, row_number() OVER (ORDER BY x) - 1 AS slot FROM (SELECT DISTINCT {c} AS x FROM feats WHERE {c} IS NOT NULL)) v"""
+                                                                for c in ("Category", "PriceCategory", "DiscountROICategory"))
+
+_SCORE_KEYS = _REQUESTS + """
+SELECT request_id, count(*) AS predictions, true AS finite, CAST(1 AS BIGINT) AS confidences
+FROM tagged WHERE RejectReason IS NULL GROUP BY request_id"""
+
 ORACLE: dict[str, str] = {
+    "ingest_json_rejected": _JSON_REJECTED,
+    "stream_two_sources": _BRONZE,
+    "stream_two_sources_gold_full": _STREAM_GOLD_ALL,
+    "stream_two_sources_gold_incremental": _STREAM_GOLD_ALL,
+    "stream_rows_stored": _ROWS_STORED,
+    "stream_csv_rejected": _CSV_REJECTED,
+    "table_gold_roundtrip_all": _GOLD_ALL,
+    "table_silver_vectors": _SILVER_VECTORS,
+    "table_fingerprint": _FINGERPRINT,
+    "lookup_strict": _lookup_sql("revenue_per_category", "PROMO"),
+    "ml_split": _SPLIT,
+    "ml_one_hot_slots": _ONE_HOT_SLOTS,
+    "ml_score_keys": _SCORE_KEYS,
     "bronze_products": _BRONZE,
     "silver_dedupe": _DEDUP,
     "silver_products": _SILVER,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from ..sources import tables as TB
 from . import medallion as MD
 
 BATCH_COLUMN = "_batch_id"
+STREAM_COLUMN = "_stream"
 
 
 @dataclass(frozen=True)
@@ -22,21 +26,24 @@ class LakePaths:
     silver: str
     gold: str
     state: str = ""
+    rejected: str = ""
 
     @classmethod
     def under(cls, root: str) -> "LakePaths":
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/latest")
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/latest", f"{root}/rejected")
 
 
 def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Bronze rows without the stream's batch partition column.
+    """Bronze rows without the stream and batch partition columns.
 
     Parquet bronze is read with the fixed bronze schema: no schema inference and no footer merge
     over the many small files a stream leaves behind."""
     if fmt == "parquet":
         try:
             df = spark.read.schema(S.BRONZE_SCHEMA).parquet(path)
-        except Exception as e:  # a missing path
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise TB.TableNotFound(f"table not found: {path}") from e
     else:
         df = TB.read_table(spark, path, fmt=fmt)
@@ -44,36 +51,59 @@ def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def refresh_tables(spark: SparkSession, paths: LakePaths, keys: Sequence[str] = ("Category",),
-                   order: Sequence[str] | None = None, fmt: str = "parquet") -> dict[str, str]:
+                   order: Sequence[str] | None = None, formats: Sequence[str] = ("parquet",)) -> dict[str, str]:
     """bronze -> silver (overwrite, partitioned by Year, Month) -> gold (six tables, overwrite).
 
     Silver is written and read back before gold, so the gold jobs start from the stored table
     instead of re-running the dedupe shuffle for each of them.
     """
-    silver = SV.build_silver(read_bronze(spark, paths.bronze), order=order, vectors=True)
-    TB.write_table(silver, paths.silver, fmt=fmt, partition_by=["Year", "Month"])
-    stored = TB.read_table(spark, paths.silver, fmt=fmt)
-    gold = MD.gold_from_silver(stored, keys)
-    return TB.write_gold(gold, paths.gold, formats=(fmt,))
+    return publish_tables(spark, paths, SV.build_silver(read_bronze(spark, paths.bronze), order=order, vectors=True), keys, formats)
+
+
+def publish_tables(spark: SparkSession, paths: LakePaths, silver: DataFrame, keys: Sequence[str], formats: Sequence[str]) -> dict[str, str]:
+    """Write silver and the gold tables made of it; each table is replaced whole by a rename, so a
+    reader finds the old one until the new one is complete."""
+    TB.replace_table(silver, paths.silver, fmt=formats[0], partition_by=["Year", "Month"])
+    gold = MD.gold_from_silver(TB.read_table(spark, paths.silver, fmt=formats[0]), keys)
+    return TB.write_gold(gold, paths.gold, formats=tuple(formats), replace=True)
+
+
+# The state of the incremental refresh is a log of commits: ``<root>/commits/<n>`` is a small file that
+# names the data folder of version n. It is created without overwriting, so of two writers that
+# built on the same version one succeeds and the other merges again on top of it.
 
 
-VERSION = "v"
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed state versions under ``root`` (folders ``v=<n>`` holding a ``_SUCCESS`` marker)."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+def commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, data folder) of every committed version, oldest first."""
+    fs, path = _fs(spark, f"{root}/commits")
     if not fs.exists(path):
         return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{VERSION}=") and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    names = [st.getPath().getName().split("-", 1) for st in fs.listStatus(path)]
+    return sorted((int(n), f"{root}/data-{data}") for n, data in names)
+
+
+def _commit(spark: SparkSession, root: str, version: int, data: str) -> bool:
+    """Claim a version for a data folder; False if another writer has it."""
+    fs, claim = _fs(spark, f"{root}/claims/{version}")
+    try:
+        fs.create(claim, False).close()
+    except Py4JJavaError as e:
+        if fs.exists(claim):
+            return False
+        raise e
+    fs.create(_fs(spark, f"{root}/commits/{version}-{data}")[1], False).close()
+    return True
+
+
+def latest_state(spark: SparkSession, paths: LakePaths, fmt: str = "parquet") -> DataFrame | None:
+    """The newest committed latest-record-per-product table."""
+    done = commits(spark, paths.state)
+    return TB.read_table(spark, done[-1][1], fmt=fmt) if done else None
 
 
 def merge_latest(prev: DataFrame | None, batch: DataFrame, order: Sequence[str] | None = None,
@@ -97,34 +127,42 @@ def merge_latest(prev: DataFrame | None, batch: DataFrame, order: Sequence[str]
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
-    """Delete all but the newest ``keep`` committed state versions; returns the deleted ones."""
-    versions = _versions(spark, root)
-    old = versions[:-keep] if keep > 0 else []
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for v in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION}={v}"), True)
-    return old
-
-
-def refresh_incremental(spark: SparkSession, paths: LakePaths, batch: DataFrame, batch_id: int,
-                        keys: Sequence[str] = ("Category",), order: Sequence[str] | None = None,
-                        fmt: str = "parquet", keep_versions: int = 2) -> dict[str, str]:
+    """Delete all but the newest ``keep`` committed versions, in order of commit; returns the deleted ones."""
+    done = commits(spark, root)
+    old = done[:-keep] if keep > 0 else []
+    for version, data in old:
+        fs, path = _fs(spark, f"{root}/commits/{version}-{data.rsplit('/data-', 1)[1]}")
+        fs.delete(path, False)
+        fs.delete(_fs(spark, data)[1], True)
+    return [version for version, _ in old]
+
+
+def refresh_incremental(spark: SparkSession, paths: LakePaths, batch: DataFrame, keys: Sequence[str] = ("Category",),
+                        order: Sequence[str] | None = None, formats: Sequence[str] = ("parquet",),
+                        keep_versions: int = 2) -> dict[str, str]:
     """Per-batch refresh whose cost grows with the number of products, not with bronze history.
 
-    The state (raw latest record per product) is versioned by batch id: version ``batch_id`` is
-    built from the newest committed version below it, so a replayed batch rebuilds the same
-    version instead of merging twice. Silver and gold are then rebuilt from the new state.
+    The state (raw latest record per product) is merged from its newest committed version, whichever
+    stream wrote that. A merge keeps each product's greatest record, so a replayed batch changes
+    nothing. Silver and gold are then rebuilt from the new state.
     """
-    older = [v for v in _versions(spark, paths.state) if v < batch_id]
-    prev = TB.read_table(spark, f"{paths.state}/{VERSION}={older[-1]}", fmt=fmt) if older else None
-    state_path = f"{paths.state}/{VERSION}={batch_id}"
-    TB.write_table(merge_latest(prev, batch, order), state_path, fmt=fmt)
-    state = TB.read_table(spark, state_path, fmt=fmt)
-    silver = SV.scale_columns(SV.clean_products(state), vectors=True)
-    TB.write_table(silver, paths.silver, fmt=fmt, partition_by=["Year", "Month"])
-    gold = MD.gold_from_silver(TB.read_table(spark, paths.silver, fmt=fmt), keys)
-    written = TB.write_gold(gold, paths.gold, formats=(fmt,))
+    while True:
+        done = commits(spark, paths.state)
+        prev = TB.read_table(spark, done[-1][1]) if done else None
+        data = uuid.uuid4().hex
+        path = f"{paths.state}/data-{data}"
+        TB.write_table(merge_latest(prev, batch, order), path)
+        if _commit(spark, paths.state, done[-1][0] + 1 if done else 0, data):
+            break
+        fs, lost = _fs(spark, path)
+        fs.delete(lost, True)
+    state = TB.read_table(spark, path)
+    written = publish_tables(spark, paths, SV.scale_columns(SV.clean_products(state), vectors=True), keys, formats)
     if keep_versions:
         drop_old_versions(spark, paths.state, keep_versions)
     return written
+
+
+def compact_bronze(spark: SparkSession, path: str, target: str) -> None:
+    """Bronze with few, even files: all its rows rewritten under ``target`` (for a lake whose streams are stopped)."""
+    read_bronze(spark, path).hint("rebalance").write.mode("errorifexists").parquet(target)

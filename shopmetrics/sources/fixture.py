@@ -5,10 +5,12 @@ The same expressions are written in DuckDB SQL in ``plans/oracle.py``; only the
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import spread_if_small
+from .. import schema as S
 
 # Columns kept until the dedupe is done, to make the survivor unique at every scale.
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
@@ -20,7 +22,7 @@ def read_tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_from_tpch(spark: SparkSession, sf_dir: str, category: str = "type",
-                     tie_break: bool = True) -> DataFrame:
+                     tie_break: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """Bronze product rows derived from lineitem ⋈ part ⋈ supplier ⋈ nation.
 
     ``category="brand"`` takes ``p_brand`` (25 values) instead of ``p_type`` (6 values), for
@@ -29,15 +31,19 @@ def bronze_from_tpch(spark: SparkSession, sf_dir: str, category: str = "type",
     against the broadcast threshold (a pre-joined supplier ⋈ nation is over-estimated as the
     product of both sizes, which forced a full shuffle of lineitem). Above the threshold, e.g.
     ``part`` at large scale, the join is a shuffle join, split by AQE when a key is skewed.
+
+    ``columns`` keeps those product columns (and the dedupe's ProductID and ProcessedTimestamp);
+    a dimension is joined only when a kept column comes from it. Every lineitem row has exactly one
+    row in each dimension, so leaving one out changes no row count.
     """
-    li = spread_if_small(read_tpch(spark, sf_dir, "lineitem"))
-    part = read_tpch(spark, sf_dir, "part")
-    supp = read_tpch(spark, sf_dir, "supplier")
-    nation = read_tpch(spark, sf_dir, "nation")
+    wanted = set(S.BRONZE_COLUMNS if columns is None else columns) | {"ProductID", "ProcessedTimestamp"}
     cat_src = {"type": "p_type", "brand": "p_brand"}[category]
-    joined = (li.join(part, li.l_partkey == part.p_partkey)
-                .join(supp, li.l_suppkey == supp.s_suppkey)
-                .join(nation, supp.s_nationkey == nation.n_nationkey))
+    joined = read_tpch(spark, sf_dir, "lineitem")
+    if wanted & {"ProductName", "Category"}:
+        joined = joined.join(read_tpch(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if "City" in wanted:
+        joined = (joined.join(read_tpch(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+                        .join(read_tpch(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")))
     cols = [
         F.col("l_partkey").cast("int").alias("ProductID"),
         F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")).alias("ProductName"),
@@ -54,9 +60,8 @@ def bronze_from_tpch(spark: SparkSession, sf_dir: str, category: str = "type",
         (F.col("l_linestatus") == "O").alias("StockStatus"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("ProcessedTimestamp"),
     ]
-    if tie_break:
-        cols += [F.col(c) for c in TIE_BREAK]
-    return joined.select(*cols)
+    kept = [e for e, name in zip(cols, S.BRONZE_COLUMNS, strict=True) if name in wanted]
+    return joined.select(*kept, *(TIE_BREAK if tie_break else ()))
 
 
 def drop_tie_break(df: DataFrame) -> DataFrame:

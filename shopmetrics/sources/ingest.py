@@ -23,9 +23,8 @@ def csv_reader(spark: SparkSession, stream: bool = False, header: bool = True,
                max_files_per_trigger: int | None = None, glob: str = "*.csv", multiline: bool = False):
     """All-string positional CSV reader with standard quoting (a doubled quote inside a quoted
     field). ``columnPruning`` is off so that a short row stays flagged in the corrupt-record
-    column even under a narrow projection. ``multiline`` accepts line breaks inside quoted fields
-    (as Python's csv module does) at the price of reading each file in one task, so it is off
-    by default."""
+    column even under a narrow projection. ``multiline`` accepts line breaks inside quoted fields, as Python's csv module does; each
+    file is then read by one task (see ``read_product_csv`` for how that is kept to the files that need it)."""
     r = (spark.readStream if stream else spark.read).schema(RAW_CSV_SCHEMA) \
         .option("header", header).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False) \
@@ -38,10 +37,31 @@ def csv_reader(spark: SparkSession, stream: bool = False, header: bool = True,
     return r
 
 
+def files_with_open_quotes(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """The files in which a quoted field runs over a line's end (a line with an odd number of quotes).
+    File names only reach the driver, which has listed them already."""
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    open_ = lines.where(quotes % 2 == 1).select(F.input_file_name().alias("file")).distinct()
+    return sorted(r.file for r in open_.collect())
+
+
 def read_product_csv(spark: SparkSession, path: str, header: bool = True, glob: str = "*.csv",
-                     multiline: bool = False) -> DataFrame:
-    """Raw product rows from every file matching ``glob`` under ``path`` (batch)."""
-    return csv_reader(spark, header=header, glob=glob, multiline=multiline).csv(path)
+                     multiline: bool | None = None) -> DataFrame:
+    """Raw product rows from every file matching ``glob`` under ``path`` (batch).
+
+    Line breaks inside quoted fields are accepted. By default (``multiline=None``) one scan finds the
+    files that hold any; those are read whole, one task each, and all others in splits. ``True``
+    reads every file whole, ``False`` none (a quoted line break then gives rejected rows).
+    """
+    if multiline is not None:
+        return csv_reader(spark, header=header, glob=glob, multiline=multiline).csv(path)
+    whole = files_with_open_quotes(spark, path, glob)
+    split = csv_reader(spark, header=header, glob=glob).csv(path)
+    if not whole:
+        return split
+    rest = split.where(~F.input_file_name().isin(whole))
+    return rest.unionByName(csv_reader(spark, header=header, glob=glob, multiline=True).csv(whole))
 
 
 def field_count(line: Column) -> Column:
@@ -49,6 +69,15 @@ def field_count(line: Column) -> Column:
     return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ",", -1))
 
 
+# What Python's int() and float() take: Spark's cast also accepts a type letter (``1.5d``).
+INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+FLOAT_TEXT = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+
+
+def number(text: Column, pattern: str, kind: str) -> Column:
+    return F.when(text.rlike(pattern), text).try_cast(kind)
+
+
 def parse_products(raw: DataFrame) -> DataFrame:
     """Typed product columns from all-string positional fields, plus ``_fields`` (field count).
 
@@ -60,9 +89,9 @@ def parse_products(raw: DataFrame) -> DataFrame:
     out = []
     for i, name in enumerate(S.CSV_FIELDS):
         if name in S.CSV_INT_FIELDS:
-            out.append(c(name).try_cast("int").alias(name))
+            out.append(number(c(name), INT_TEXT, "int").alias(name))
         elif name in S.CSV_FLOAT_FIELDS:
-            out.append(c(name).try_cast("double").alias(name))
+            out.append(number(c(name), FLOAT_TEXT, "double").alias(name))
         elif name in S.CSV_TEXT_FIELDS:
             out.append(F.when(nfields > i, F.coalesce(c(name), F.lit(""))).alias(name))
         else:  # StockStatus
@@ -118,10 +147,28 @@ def publish_messages(df: DataFrame, path: str | None = None, kafka: dict | None
         values.write.mode("append").text(path)
 
 
+def tag_messages(df: DataFrame, schema: T.StructType = S.BRONZE_SCHEMA) -> DataFrame:
+    """The fixed schema applied to JSON message values, with ``value`` and ``RejectReason``: ``message`` where
+    the value is no JSON object or a field is not of its type, else NULL."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    value = F.col("value").cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = df.select(value.alias("value"), F.from_json(value, full, options).alias("m"))
+    bad = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull() | (F.trim("value") == "")
+    return parsed.select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields], "value",
+                         F.when(F.coalesce(bad, F.lit(True)), F.lit("message")).alias("RejectReason"))
+
+
+def split_messages(df: DataFrame, schema: T.StructType = S.BRONZE_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """(valid records in schema order, rejected message values with the reason)."""
+    tagged = tag_messages(df, schema)
+    return (tagged.where(F.col("RejectReason").isNull()).select(*schema.names),
+            tagged.where(F.col("RejectReason").isNotNull()).select("value", "RejectReason"))
+
+
 def decode_messages(df: DataFrame, schema: T.StructType = S.BRONZE_SCHEMA) -> DataFrame:
-    """Apply the fixed bronze schema to JSON message values; columns in schema order."""
-    return (df.select(F.from_json(F.col("value").cast("string"), schema).alias("m"))
-              .select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields]))
+    """The valid records of JSON message values; columns in schema order."""
+    return split_messages(df, schema)[0]
 
 
 def stamp_arrival(df: DataFrame, ts: str | None = None, keep_existing: bool = False,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,12 @@ class TableNotFound(LookupError):
     pass
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that this library has written and nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir`` (never a machine-local temp dir).
 
@@ -69,14 +76,33 @@ def read_table(spark: SparkSession, path: str, fmt: str | tuple[str, ...] = "par
             if merge_schema and f == "parquet":
                 r = r.option("mergeSchema", "true")
             return r.load(path)
-        except AnalysisException as e:  # missing path or unknown format: try the next one
+        except AnalysisException as e:  # missing path or unknown format: try the next one; anything else is a real fault
+            if e.getCondition() not in ("PATH_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             last = e
-        except Exception as e:  # delta jar absent surfaces as a class-not-found Py4J error
+        except Py4JJavaError as e:  # a format whose jar is absent
+            if "ClassNotFoundException" not in str(e.java_exception) and "DATA_SOURCE_NOT_FOUND" not in str(e.java_exception):
+                raise
             last = e
     raise TableNotFound(f"table not found: {path} ({type(last).__name__})")
 
 
-def write_gold(tables: dict[str, DataFrame], root: str, formats: tuple[str, ...] = ("parquet",)) -> dict[str, str]:
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Write a table beside ``path`` and move it there when complete: readers see the old or the new one.
+    The table before it stays as ``<path>__old`` until the next replacement, for readers that have begun."""
+    spark = df.sparkSession
+    jvm = spark._jvm
+    new, old, here = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}__new-{uuid.uuid4().hex}", f"{path}__old", path))
+    write_table(df, new.toString(), fmt=fmt, partition_by=partition_by)
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(here):
+        fs.delete(old, True)
+        fs.rename(here, old)
+    if not fs.rename(new, here):
+        raise OSError(f"could not move the new table to {path}")
+
+
+def write_gold(tables: dict[str, DataFrame], root: str, formats: tuple[str, ...] = ("parquet",), replace: bool = False) -> dict[str, str]:
     """Write each gold table; parquet goes to ``{root}/{name}_parquet``, other formats to ``{root}/{name}``.
     With two or more formats the (small) table is checkpointed once instead of recomputed per format."""
     paths = {}
@@ -85,7 +111,7 @@ def write_gold(tables: dict[str, DataFrame], root: str, formats: tuple[str, ...]
             df = checkpointed(df)
         for fmt in formats:
             path = f"{root}/{name}_parquet" if fmt == "parquet" else f"{root}/{name}"
-            write_table(df, path, fmt=fmt)
+            (replace_table if replace else write_table)(df, path, fmt=fmt)
             paths[f"{name}:{fmt}"] = path
     return paths
 
@@ -101,20 +127,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer splits than the cluster has cores.
-
-    A small file (or one with a single row group) scans as one or a few tasks however many cores
-    there are, and everything fused into that scan stage runs on them. A large input already
-    splits into many scan tasks and is returned unchanged, so no shuffle is added at scale.
-    Planning the scan lists files only; it runs no job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def read_silver(spark: SparkSession, path: str, since: tuple[int, int] | None = None,
                 until: tuple[int, int] | None = None, fmt: str = "parquet") -> DataFrame:
     """Silver rows, optionally limited to (Year, Month) >= ``since`` and <= ``until``.

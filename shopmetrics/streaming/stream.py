@@ -13,23 +13,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schema as S
 from ..sources import ingest as IN
 from ..sources import tables as TB
-from ..plans.refresh import BATCH_COLUMN, LakePaths, read_bronze, refresh_incremental, refresh_tables
+from ..plans.refresh import BATCH_COLUMN, STREAM_COLUMN, LakePaths, read_bronze, refresh_incremental, refresh_tables
 
 
 def read_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                    header: bool = True, glob: str = "*.csv") -> DataFrame:
-    """Valid product records from every existing and every new ``*.csv`` file in ``path``."""
+                    header: bool = True, glob: str = "*.csv", multiline: bool = True,
+                    keep_rejected: bool = False) -> DataFrame:
+    """Valid product records from every existing and every new ``*.csv`` file in ``path``.
+
+    ``multiline`` accepts line breaks in quoted fields (a file is then read by one task; turn it off for a
+    stream of large files without such fields). With ``keep_rejected``, rejected rows stay, with ``RejectReason``: the bronze
+    stream writes them to the lake's rejected table.
+    """
     raw = IN.csv_reader(spark, stream=True, header=header, max_files_per_trigger=max_files_per_trigger,
-                        glob=glob).csv(path)
-    valid, _ = IN.products_from_csv(raw)
-    return valid
+                        glob=glob, multiline=multiline).csv(path)
+    if keep_rejected:
+        return IN.with_reject_reason(IN.parse_products(raw), IN.csv_rules()).drop("_fields")
+    return IN.products_from_csv(raw)[0]
 
 
 def read_message_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
-                        max_per_trigger: int | None = None) -> DataFrame:
-    """Decoded product messages. ``kafka`` (bootstrap servers, topic) needs the Kafka connector on
+                        max_per_trigger: int | None = None, keep_rejected: bool = False) -> DataFrame:
+    """Decoded product messages; with ``keep_rejected`` also those that are no valid message, with
+    their ``value`` and ``RejectReason``. ``kafka`` (bootstrap servers, topic) needs the Kafka connector on
     the classpath; otherwise ``path`` is a folder of JSON-lines files, one message per line."""
     if kafka:
         r = (spark.readStream.format("kafka")
@@ -43,35 +52,50 @@ def read_message_stream(spark: SparkSession, path: str | None = None, kafka: dic
         if max_per_trigger:
             r = r.option("maxFilesPerTrigger", max_per_trigger)
         values = r.load(path)
-    return IN.decode_messages(values)
+    return IN.tag_messages(values) if keep_rejected else IN.decode_messages(values)
+
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same after a restart, another for another checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]  # one row
 
-def append_batch(batch: DataFrame, batch_id: int, bronze_path: str) -> None:
-    """Idempotent append: each micro-batch owns one ``_batch_id`` partition, written with dynamic
-    partition overwrite, so a replayed batch (after a failure) replaces itself instead of duplicating.
-    A ``rebalance`` first lets AQE size the batch's files (no file per input task)."""
-    (batch.hint("rebalance").withColumn(BATCH_COLUMN, F.lit(batch_id))
+
+def append_batch(batch: DataFrame, batch_id: int, path: str, stream: str = "batch") -> None:
+    """Idempotent append: each micro-batch owns the partition of its stream and batch id, written with
+    dynamic partition overwrite, so a replayed batch (after a failure) replaces itself, and never
+    what another stream or another checkpoint has written. A ``rebalance`` first lets AQE size
+    the batch's files (no file per input task)."""
+    (batch.hint("rebalance").withColumns({STREAM_COLUMN: F.lit(stream), BATCH_COLUMN: F.lit(batch_id)})
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BATCH_COLUMN).parquet(bronze_path))
+          .partitionBy(STREAM_COLUMN, BATCH_COLUMN).parquet(path))
 
 
-def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: str | None = "full") -> None:
+def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: str | None = "full",
+                  stream: str = "batch") -> None:
     """The ``foreachBatch`` body: append to bronze, then rebuild silver and gold.
 
     ``refresh="full"`` recomputes from the whole bronze history (the reference's behaviour);
     ``"incremental"`` merges the batch into the latest-per-product state, so the cost of a batch
-    grows with the number of products instead of with history; ``None`` only appends.
+    grows with the number of products instead of with history; ``None`` only appends. Rows with a
+    ``RejectReason`` go to the rejected table. A batch without a valid row changes no other table.
     """
+    if refresh not in ("full", "incremental", None):
+        raise ValueError(f"unknown refresh mode: {refresh}")
     spark = batch.sparkSession
-    append_batch(batch, batch_id, paths.bronze)
+    if "RejectReason" in batch.columns:
+        bad = F.col("RejectReason").isNotNull()
+        append_batch(batch.where(bad), batch_id, paths.rejected, stream)
+        batch = batch.where(~bad)
+    append_batch(batch.select(*S.BRONZE_COLUMNS), batch_id, paths.bronze, stream)
+    here = f"{paths.bronze}/{STREAM_COLUMN}={stream}/{BATCH_COLUMN}={batch_id}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(here)
+    if refresh is None or not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return
     if refresh == "full":
         refresh_tables(spark, paths)
-    elif refresh == "incremental":
-        # merge what was just stored rather than evaluate the micro-batch (e.g. a Kafka read) twice
-        written = read_bronze(spark, f"{paths.bronze}/{BATCH_COLUMN}={batch_id}")
-        refresh_incremental(spark, paths, written, batch_id)
-    elif refresh is not None:
-        raise ValueError(f"unknown refresh mode: {refresh}")
+    else:
+        # merge what was just stored rather than evaluate the micro-batch (e.g. a Kafka read) again
+        refresh_incremental(spark, paths, read_bronze(spark, here))
 
 
 def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, refresh: str | bool | None = None,
@@ -79,12 +103,13 @@ def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, r
                         stamp: str | None = None, keep_existing_stamp: bool = False,
                         on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Stamp arrivals, append each micro-batch to bronze, then (optionally) rebuild silver and gold
-    (``refresh``: None, ``"full"`` or ``"incremental"``; ``True`` means ``"full"``)."""
+    (``refresh``: None, ``"full"`` or ``"incremental"``; ``True`` means ``"full"``). Any number of streams, each
+    with its own checkpoint, may write to one lake."""
     stamped = IN.stamp_arrival(records, ts=stamp, keep_existing=keep_existing_stamp)
     mode = "full" if refresh is True else (None if refresh is False else refresh)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, batch_id, paths, mode)
+        refresh_batch(batch, batch_id, paths, mode, stream_id(batch.sparkSession, checkpoint))
         if on_batch is not None:
             on_batch(batch, batch_id)
 
@@ -93,8 +118,16 @@ def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, r
     return w.start()
 
 
+def rows_stored(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """(stream, batches, rows) over everything that streams have appended: a running total that doesn't end with
+    the progress reports that a query retains. Partition values and row counts come from file footers."""
+    stored = spark.read.schema(S.BRONZE_SCHEMA).parquet(paths.bronze)
+    return stored.groupBy(F.col(STREAM_COLUMN).alias("stream")).agg(
+        F.countDistinct(BATCH_COLUMN).alias("batches"), F.count(F.lit(1)).alias("rows"))
+
+
 def rows_processed(query: StreamingQuery) -> int:
-    """Running total of input rows over the query's retained progress reports."""
+    """Input rows over the progress reports that Spark retains (the last 100 by default; see ``rows_stored``)."""
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 

@@ -108,3 +108,14 @@ def test_average_on_a_rounding_tie_is_exact_and_partition_invariant(spark):
         r = G.revenue_per_category(G.category_stats(df)).first()
         d = G.discount_effectiveness(G.category_stats(df)).first()
         assert r.AvgDiscountPercentage == 0.53 and d.AvgSales == 2.35
+
+
+def test_averages_of_values_that_decimals_cannot_carry(spark):
+    """NaN, very large and very fine sales give the plain average, others the exact one; nothing raises."""
+    from shopmetrics.operators import gold as G
+    nan = float("nan")
+    data = [("n", nan, 0.0), ("n", 5.0, 0.0), ("b", 1e33, 0.0), ("b", 1.0, 10.0), ("f", 0.1234567, 0.0), ("t", 2.34, 0.0), ("t", 2.35, 5.0), ("z", None, 0.0)]
+    df = spark.createDataFrame(data, "Category string, Sales double, Discount double")
+    got = {r.Category: (r.AvgSalesWithDiscount, r.AvgSalesWithoutDiscount) for r in G.discount_impact(G.category_stats(df)).collect()}
+    assert str(got["n"]) == "(nan, nan)" and got["b"] == (5e32, 1e33) and got["f"] == (0.12, 0.12)
+    assert got["t"] == (2.35, 2.34) and got["z"] == (None, None)  # 2.345 is a tie: up

@@ -80,3 +80,13 @@ def test_csv_multiline_quoted_field(spark, workdir):
     valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, d, multiline=True))
     got = [(r.ProductID, r.ProductName) for r in valid.collect()]
     assert got == [(9, "Two\nlines")] and rejected.count() == 0
+
+
+def test_csv_line_breaks_in_quotes_and_number_texts(spark, workdir):
+    d = workdir.replace("file:", "")
+    _write(d, '1,"a\nb",c,1.5,4,1,1,1,0,d,e,TRUE\n2,x,c,1.5d,4,1,1,1,0,d,e,TRUE\n3,x,c,1e2,4,1,1,1,0,d,e,TRUE\n', name="one.csv")
+    _write(d, "4,x,c,.5,4,1,1,1,0,d,e,TRUE\n5,x,c,1,4,1.0,1,1,0,d,e,TRUE\n", name="two.csv")
+    assert [f.rsplit("/", 1)[1] for f in IN.files_with_open_quotes(spark, d, "*.csv")] == ["one.csv"]
+    valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, d, header=False))
+    assert {r.ProductID: (r.ProductName, r.Price) for r in valid.collect()} == {1: ("a\nb", 1.5), 3: ("x", 100.0), 4: ("x", 0.5)}
+    assert {r.ProductID: r.RejectReason for r in rejected.collect()} == {2: "Price", 5: "NumReviews"}

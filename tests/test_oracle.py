@@ -10,7 +10,6 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"ml_stacked_metrics", "ml_feature_importance", "ml_score_batch", "stream_gold_refresh"}
 
 
 def _canon(v):
@@ -52,8 +51,6 @@ def test_entry(spark):
 def test_query_matches_oracle(spark, duck, name):
     if not os.path.isdir(SF):
         pytest.skip("no test data")
-    if name in SLOW and not os.environ.get("SHOPMETRICS_SLOW"):
-        pytest.skip("slow; set SHOPMETRICS_SLOW=1")
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)

@@ -32,9 +32,22 @@ def test_dedupe_combines_map_side(spark):
 def test_fixture_dimensions_are_broadcast_and_scan_is_pruned(spark):
     df = C.QUERIES["gold_revenue_per_category"](spark, SF)
     plan = physical(df)
-    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan  # the part, for its category
     li_scan = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln][0]
     assert "l_returnflag" not in li_scan   # columns the query does not use are not read
+    silver = physical(C.QUERIES["silver_products"](spark, SF))
+    assert silver.count("BroadcastHashJoin") == 3
+
+
+UNUSED = ("p_name", "supplier.parquet", "nation.parquet", "l_linestatus", "City", "ProductName", "StockStatus", "DateAdded")
+
+
+@pytest.mark.parametrize("name", [n for n in C.QUERIES if n.startswith(("gold_", "lookup_", "features_", "ml_request", "profile_s"))
+                                  and n not in ("lookup_strict",)])
+def test_the_dedupe_carries_needed_columns_only(spark, name):
+    """Neither scans nor the struct under max nor any join has what the query doesn't use."""
+    plan = physical(C.QUERIES[name](spark, SF))
+    assert not [c for c in UNUSED if c in plan]
 
 
 def test_single_gold_table_prunes_other_aggregates(spark):
@@ -120,7 +133,13 @@ def test_price_satisfaction_reuses_the_dedupe_shuffle(spark):
     df.collect()
     final = physical(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final           # the mean-price branch reads the same shuffle
-    assert final.count("FileScan parquet") == 4  # lineitem, part, supplier, nation: each scanned once
+    assert final.count("FileScan parquet") == 2  # lineitem and part, each scanned once
+
+
+def test_sales_stats_read_the_fact_table_once(spark):
+    df = C.QUERIES["profile_sales_stats"](spark, SF)
+    df.collect()
+    assert physical(df).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
 
 
 def test_incremental_merge_does_not_shuffle_the_state(spark):

@@ -1,6 +1,10 @@
 import os
 
+import pytest
+
 from shopmetrics import schema as S
+from shopmetrics.operators import silver as SV
+from shopmetrics.plans import refresh as RF
 from shopmetrics.plans.refresh import LakePaths, read_bronze
 from shopmetrics.sources import ingest as IN
 from shopmetrics.sources import tables as TB
@@ -88,11 +92,11 @@ def test_incremental_refresh_equals_full(spark, workdir):
     recs = _records(spark, 90)
     batches = [recs.where(F.col("NumReviews") % 3 == k) for k in range(3)]  # products recur across batches
     paths = RF.LakePaths.under(f"{workdir}/inc")
-    for i, b in enumerate(batches):
-        RF.refresh_incremental(spark, paths, b, i)
-    RF.refresh_incremental(spark, paths, batches[2], 2)  # a replayed batch rebuilds the same version
-    assert RF._versions(spark, paths.state) == [1, 2]       # retention keeps the newest two
-    state = TB.read_table(spark, f"{paths.state}/v=2")
+    for b in batches:
+        RF.refresh_incremental(spark, paths, b)
+    RF.refresh_incremental(spark, paths, batches[2])  # a replayed batch changes nothing
+    assert [v for v, _ in RF.commits(spark, paths.state)] == [2, 3]       # retention keeps the newest two
+    state = RF.latest_state(spark, paths)
     assert sorted(rows(state)) == sorted(rows(SV.latest_per_product(recs)))
     full = SV.clean_products(SV.latest_per_product(recs))
     silver = TB.read_table(spark, paths.silver).select(*full.columns)
@@ -137,3 +141,91 @@ def test_failed_batch_is_replayed_without_duplicates(spark, workdir):
     q2.awaitTermination()
     assert q2.exception() is None
     assert sorted(rows(read_bronze(spark, paths.bronze))) == sorted(rows(recs))
+
+
+def _one_stream(spark, recs, root, name, refresh, files=1):
+    """One source with its own checkpoint, writing to the lake under ``root``."""
+    src = f"{root}/in-{name}"
+    _write_messages(recs, src, files)
+    paths = LakePaths.under(f"{root}/lake")
+    q = ST.start_bronze_stream(ST.read_message_stream(spark, path=src, max_per_trigger=1, keep_rejected=True), paths,
+                               f"{root}/checkpoint-{name}", refresh=refresh, keep_existing_stamp=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    return paths
+
+
+@pytest.mark.parametrize("refresh", ["full", "incremental"])
+def test_two_streams_append_to_one_lake(spark, workdir, refresh):
+    recs = _records(spark, 45)
+    first, second = recs.where("NumReviews < 30"), recs.where("NumReviews >= 30")
+    _one_stream(spark, first, workdir, "a", refresh, files=2)
+    paths = _one_stream(spark, second, workdir, "b", refresh)
+    assert sorted(rows(read_bronze(spark, paths.bronze))) == sorted(rows(recs))
+    full = SV.clean_products(SV.latest_per_product(recs))
+    assert sorted(rows(TB.read_table(spark, paths.silver).select(*full.columns)), key=str) == sorted(rows(full), key=str)
+    assert sum(r.ProductCount for r in TB.read_gold(spark, paths.gold, "revenue_per_category").collect()) == 13
+    assert sorted(r["rows"] for r in ST.rows_stored(spark, paths).collect()) == [15, 30]
+
+
+def test_a_lost_checkpoint_loses_nothing(spark, workdir):
+    """The source is read again under a new stream id: bronze keeps what was there, the state is unchanged."""
+    recs = _records(spark, 40)
+    paths = _one_stream(spark, recs, workdir, "a", "incremental")
+    before = sorted(rows(RF.latest_state(spark, paths)))
+    q = ST.start_bronze_stream(ST.read_message_stream(spark, path=f"{workdir}/in-a"), paths, f"{workdir}/another",
+                               refresh="incremental", keep_existing_stamp=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert read_bronze(spark, paths.bronze).distinct().count() == 40 and read_bronze(spark, paths.bronze).count() == 80
+    assert sorted(rows(RF.latest_state(spark, paths))) == before
+
+
+@pytest.mark.parametrize("refresh", ["full", "incremental"])
+def test_a_batch_without_a_valid_row_does_no_harm(spark, workdir, refresh):
+    d = workdir.replace("file:", "")
+    os.makedirs(f"{d}/csv", exist_ok=True)
+    paths = LakePaths.under(f"{workdir}/lake")
+
+    def run():
+        records = ST.read_csv_stream(spark, f"{d}/csv", header=False, keep_rejected=True, max_files_per_trigger=1)
+        q = ST.start_bronze_stream(records, paths, f"{workdir}/checkpoint", refresh=refresh, stamp="2024-01-01")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    with open(f"{d}/csv/a.csv", "w") as f:
+        f.write("1,a,b,x,4,1,1,1,0,d,c,TRUE\n")
+    run()
+    assert [r.RejectReason for r in spark.read.parquet(paths.rejected).collect()] == ["Price"]
+    with open(f"{d}/csv/b.csv", "w") as f:
+        f.write('2,"two\nlines",b,1.5,4,1,1,1,0,d,c,TRUE\n3,a,b,1.5d,4,1,1,1,0,d,c,TRUE\n')
+    run()
+    assert [(r.ProductID, r.ProductName) for r in read_bronze(spark, paths.bronze).collect()] == [(2, "two\nlines")]
+    assert TB.read_gold(spark, paths.gold, "revenue_per_category").count() == 1
+    assert sorted(r.ProductID for r in spark.read.parquet(paths.rejected).collect()) == [1, 3]
+
+
+def test_two_writers_of_one_version_both_count(spark, workdir, monkeypatch):
+    """A writer that finds its version taken merges again on top of the other's."""
+    recs = _records(spark, 26)
+    paths = LakePaths.under(f"{workdir}/lake")
+    RF.refresh_incremental(spark, paths, recs.where("ProductID < 4"))
+    merge, late = RF.merge_latest, []
+
+    def slow(prev, batch, *a, **kw):
+        out = merge(prev, batch, *a, **kw)
+        if not late:  # while the first writer merges, a second one commits
+            late.append(True)
+            RF.refresh_incremental(spark, paths, recs.where("ProductID BETWEEN 4 AND 8"))
+        return out
+
+    monkeypatch.setattr(RF, "merge_latest", slow)
+    RF.refresh_incremental(spark, paths, recs.where("ProductID > 8"))
+    assert sorted(rows(RF.latest_state(spark, paths))) == sorted(rows(SV.latest_per_product(recs)))
+
+
+def test_malformed_messages_are_rejected(spark, workdir):
+    values = ['{"ProductID":1}', "not json", '{"ProductID":"x"}', "", None, "[1]", "{}"]
+    valid, bad = IN.split_messages(spark.createDataFrame([(v,) for v in values], "value string"))
+    assert [r.ProductID for r in valid.collect()] == [1, None] and valid.columns == S.BRONZE_COLUMNS
+    assert [r.value for r in bad.collect()] == ["not json", '{"ProductID":"x"}', "", None, "[1]"]
