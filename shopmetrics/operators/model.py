@@ -36,16 +36,10 @@ def hash_split(df: DataFrame, keys: Sequence[str], train_pct: int = 80, seed: in
 
 # ---------------------------------------------------------------- Yeo-Johnson
 
-def yeo_johnson(x: Column, lam: Column) -> Column:
-    """Yeo-Johnson transform of x for a (column) lambda."""
-    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
-    neg = F.when(F.abs(lam - 2) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(-x + 1, 2 - lam) - 1) / (2 - lam))
-    return F.when(x >= 0, pos).otherwise(neg)
-
-
-def lambda_grid(spark: SparkSession, lo: float = -2.0, hi: float = 2.0, step: float = 0.05) -> DataFrame:
-    n = int(round((hi - lo) / step))
-    return spark.range(n + 1).select((F.lit(lo) + F.col("id") * F.lit(step)).alias("lambda"))
+#: The search covers lambdas of at most this size, in steps that end at STEPS[-1].
+LAMBDA_BOUND = 64.0
+STEPS = (0.5, 0.05, 0.005)
+FACTS = ["lo_pos", "hi_pos", "lo_neg", "hi_neg"]
 
 
 def long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -54,49 +48,72 @@ def long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _loglik(pairs: DataFrame) -> DataFrame:
-    """(column_name, lambda, llf) from (column_name, x, lambda) rows:
-    ``-n/2 * ln(var_pop(y)) + (lambda - 1) * sum(sign(x) * ln(1 + |x|))``."""
+def column_facts(values: DataFrame) -> DataFrame:
+    """One row per column: n, the Jacobian sum, and the ends of ln(1 + |x|) for x >= 0 and for x < 0."""
     x = F.col("x")
-    agg = pairs.groupBy("column_name", "lambda").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_pop(yeo_johnson(x, F.col("lambda"))).alias("v"),
-        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"),
-    )
-    llf = F.when(F.col("v") > 0, -F.col("n") / 2 * F.log(F.col("v")) + (F.col("lambda") - 1) * F.col("s"))
-    return agg.select("column_name", "lambda", llf.alias("llf"))
+    size, pos = F.log1p(F.abs(x)), F.col("x") >= 0
+    ends = [f(F.when(side, size)).alias(n) for n, f, side in zip(FACTS, (F.min, F.max, F.min, F.max), (pos, pos, ~pos, ~pos), strict=True)]
+    return values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.signum(x) * size).alias("s"), *ends)
+
+
+def log_scale(lam: Column, lo_pos: Column, hi_pos: Column, lo_neg: Column, hi_neg: Column) -> Column:
+    """The largest exponent of a column under a lambda: ``scaled_yeo_johnson`` divides by its exponential."""
+    mu = 2 - lam
+    both = F.greatest(F.lit(0.0), lam * lo_pos, lam * hi_pos, mu * lo_neg, mu * hi_neg)
+    return F.when(hi_neg.isNull(), F.greatest(lam * lo_pos, lam * hi_pos)).when(
+        hi_pos.isNull(), F.greatest(mu * lo_neg, mu * hi_neg)).otherwise(both)
+
+
+def scaled_yeo_johnson(x: Column, lam: Column, scale: Column, lo_pos: Column, hi_pos: Column, lo_neg: Column, hi_neg: Column) -> Column:
+    """The Yeo-Johnson transform divided by exp(scale), and without its constant in a column of one sign: after
+    standardizing it is the same, and neither large nor nearly constant values lose their digits."""
+    mu, size = 2 - lam, F.log1p(F.abs(x))
+    offset = F.when(hi_neg.isNull() | hi_pos.isNull(), F.lit(0.0)).otherwise(F.exp(-scale))
+    pos = F.when(F.abs(lam) < 1e-12, size * F.exp(-scale)).otherwise((F.exp(lam * size - scale) - offset) / lam)
+    neg = F.when(F.abs(mu) < 1e-12, -size * F.exp(-scale)).otherwise(-(F.exp(mu * size - scale) - offset) / mu)
+    return F.when(x >= 0, pos).otherwise(neg)
 
 
-def _argmax(llf: DataFrame) -> DataFrame:
-    """Best lambda per column (ties: the smaller lambda)."""
-    return llf.where(F.col("llf").isNotNull()).groupBy("column_name").agg(
-        F.max_by("lambda", F.struct("llf", F.col("lambda") * -1)).alias("lambda"))
+def _best(values: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Each column's candidate lambda of greatest profile log-likelihood (ties: the smaller lambda).
 
+    ``candidates`` has a bounded number of rows per column (a parameter, not data), and is broadcast."""
+    facts = [F.col(f) for f in FACTS]
+    lam, scale = F.col("lambda"), log_scale(F.col("lambda"), *facts)
+    rows = values.join(F.broadcast(candidates), "column_name").withColumn("scale", scale)
+    spread = rows.groupBy("column_name", "lambda", "n", "s", "scale", *FACTS).agg(
+        F.var_pop(scaled_yeo_johnson(F.col("x"), lam, F.col("scale"), *facts)).alias("v"))
+    llf = -F.col("n") / 2 * (F.log("v") + 2 * F.col("scale")) + (lam - 1) * F.col("s")
+    best = spread.where("v > 0").withColumn("llf", llf).where(~F.isnan("llf")).groupBy("column_name", "n", "s", *FACTS).agg(
+        F.max_by("lambda", F.struct("llf", F.col("lambda") * -1)).alias("lambda"))
+    return best
 
-def yeo_johnson_loglik(df: DataFrame, cols: Sequence[str], grid: DataFrame) -> DataFrame:
-    """(column_name, lambda, llf): profile log-likelihood of each lambda on the grid.
-    The grid is a fixed, small list (its size is a parameter), joined by broadcast."""
-    return _loglik(long_form(df, cols).crossJoin(F.broadcast(grid)))
 
+def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], bound: float = LAMBDA_BOUND, facts: bool = False) -> DataFrame:
+    """(column_name, lambda, at_bound): the maximum-likelihood lambda of each column to 0.005.
 
-def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], grid: DataFrame | None = None,
-                        refine: bool = False) -> DataFrame:
-    """(column_name, lambda): the maximum-likelihood lambda of each column on the grid; with
-    ``refine``, one more round on a 0.005-step grid around each column's best value."""
-    spark = df.sparkSession
-    best = _argmax(yeo_johnson_loglik(df, cols, grid if grid is not None else lambda_grid(spark)))
-    if not refine:
-        return best
-    fine = lambda_grid(spark, -0.05, 0.05, 0.005).withColumnRenamed("lambda", "d")
-    cand = best.crossJoin(F.broadcast(fine)).select("column_name", (F.col("lambda") + F.col("d")).alias("lambda"))
-    # one candidate list per column (cols x 21 rows): small, broadcast
-    return _argmax(_loglik(long_form(df, cols).join(F.broadcast(cand), "column_name")))
+    A coarse grid over [-bound, bound] finds the peak, finer ones close in on it. ``at_bound`` marks a likelihood
+    that still grows at the bound. A column without spread has no row. ``facts`` adds what
+    ``scaled_yeo_johnson`` needs."""
+    values = long_form(df, cols)
+    spread = "hi_pos > lo_pos OR hi_neg > lo_neg OR (hi_pos IS NOT NULL AND hi_neg IS NOT NULL)"
+    known = checkpointed(column_facts(values).where(spread))  # a row per column
+    best = known.withColumn("lambda", F.lit(0.0))
+    reach = bound
+    for step in STEPS:
+        n = int(round(reach / step))
+        near = F.explode(F.transform(F.sequence(F.lit(-n), F.lit(n)), lambda k: F.round(F.col("lambda") + k * F.lit(step), 3)))
+        grid = best.select("column_name", "n", "s", *FACTS, near.alias("lambda")).where(F.abs("lambda") <= bound)
+        best = checkpointed(_best(values, grid))
+        reach = step
+    return best.select("column_name", "lambda", (F.abs("lambda") >= bound).alias("at_bound"), *(FACTS if facts else ()))
 
 
 def lambda_row(lambdas: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with a ``_lam_<col>`` column per feature (missing -> 1.0, the identity)."""
-    wide = lambdas.groupBy().pivot("column_name", list(cols)).agg(F.first("lambda"))
-    return wide.select(*[F.coalesce(F.col(f"`{c}`"), F.lit(1.0)).alias(f"_lam_{c}") for c in cols])
+    """One row with ``_lam_<col>`` and the column's facts per feature (missing -> 1.0, the identity)."""
+    wide = lambdas.groupBy().pivot("column_name", list(cols)).agg(F.first(F.struct("lambda", *FACTS)))
+    return wide.select(*[F.coalesce(F.col(f"`{c}`")["lambda"], F.lit(1.0)).alias(f"_lam_{c}") for c in cols],
+                       *[F.col(f"`{c}`")[f].alias(f"_{f}_{c}") for c in cols for f in FACTS])
 
 
 @dataclass
@@ -106,12 +123,19 @@ class PowerScaler:
     lambdas: DataFrame
     moments: DataFrame
 
+    @staticmethod
+    def _y(c: str) -> Column:
+        """The transform of one column beside the parameters' row; of a column without spread, the plain value."""
+        facts = [F.col(f"_{f}_{c}") for f in FACTS]
+        lam, x = F.col(f"_lam_{c}"), F.col(c).cast("double")
+        known = facts[1].isNotNull() | facts[3].isNotNull()
+        return F.when(known, scaled_yeo_johnson(x, lam, log_scale(lam, *facts), *facts)).otherwise(x)
+
     @classmethod
-    def fit(cls, df: DataFrame, cols: Sequence[str], refine: bool = False) -> "PowerScaler":
+    def fit(cls, df: DataFrame, cols: Sequence[str]) -> "PowerScaler":
         cols = list(cols)
-        lam = checkpointed(lambda_row(yeo_johnson_lambdas(df, cols, refine=refine), cols))
-        t = df.crossJoin(F.broadcast(lam)).select(
-            *[yeo_johnson(F.col(c).cast("double"), F.col(f"_lam_{c}")).alias(c) for c in cols])
+        lam = checkpointed(lambda_row(yeo_johnson_lambdas(df, cols, facts=True), cols))
+        t = df.crossJoin(F.broadcast(lam)).select(*[cls._y(c).alias(c) for c in cols])
         moments = t.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                         *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
         return cls(cols, lam, checkpointed(moments))
@@ -120,9 +144,8 @@ class PowerScaler:
         x = df.crossJoin(F.broadcast(self.lambdas)).crossJoin(F.broadcast(self.moments))
         out = []
         for c in self.cols:
-            y = yeo_johnson(F.col(c).cast("double"), F.col(f"_lam_{c}"))
             sd = F.col(f"_sd_{c}")
-            out.append(F.coalesce(F.when(sd > 0, (y - F.col(f"_mu_{c}")) / sd), F.lit(0.0)).alias(c + suffix))
+            out.append(F.coalesce(F.when(sd > 0, (self._y(c) - F.col(f"_mu_{c}")) / sd), F.lit(0.0)).alias(c + suffix))
         return x.select(*df.columns, *out)
 
 

@@ -151,16 +151,24 @@ SELECT DISTINCT Category, CASE WHEN {_bucket(42, 100)} < 80 THEN 'train' ELSE 't
 _YJ = O.features_cte() + """,
 lf AS (""" + "\n  UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM feats WHERE {c} IS NOT NULL" for c in S.NUMERIC_FEATURES) + """),
-grid AS (SELECT CAST(-2.0 AS DOUBLE) + i * CAST(0.05 AS DOUBLE) AS lam FROM range(0, 81) t(i)),
-yj AS (SELECT column_name, lam, x,
-         CASE WHEN x >= 0 THEN (CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (pow(x + 1, lam) - 1) / lam END)
-              ELSE (CASE WHEN abs(lam - 2) < 1e-12 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - lam) - 1) / (2 - lam) END)
+fin AS (SELECT * FROM lf WHERE NOT isnan(x)),
+facts AS (SELECT column_name, count(*) AS n, sum(sign(x) * ln(1 + abs(x))) AS s,
+            max(ln(1 + x)) FILTER (x >= 0) AS hp, min(ln(1 + x)) FILTER (x >= 0) AS lp,
+            max(ln(1 - x)) FILTER (x < 0) AS hn, min(ln(1 - x)) FILTER (x < 0) AS ln_ FROM fin GROUP BY column_name),
+grid AS (SELECT round(CAST(-64.0 AS DOUBLE) + i * CAST(0.005 AS DOUBLE), 3) AS lam FROM range(0, 25601) t(i)),
+scaled AS (SELECT *, CASE WHEN hn IS NULL THEN greatest(lam * hp, lam * lp) WHEN hp IS NULL THEN greatest((2 - lam) * hn, (2 - lam) * ln_)
+                     ELSE greatest(0.0, lam * hp, lam * lp, (2 - lam) * hn, (2 - lam) * ln_) END AS m FROM facts, grid
+             WHERE hp > lp OR hn > ln_ OR (hp IS NOT NULL AND hn IS NOT NULL)),
+yj AS (SELECT column_name, lam, n, s, m,
+         CASE WHEN x >= 0 THEN (CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) * exp(-m)
+                                     ELSE (exp(lam * ln(1 + x) - m) - CASE WHEN hn IS NULL THEN 0.0 ELSE exp(-m) END) / lam END)
+              ELSE (CASE WHEN abs(lam - 2) < 1e-12 THEN -ln(1 - x) * exp(-m)
+                         ELSE -(exp((2 - lam) * ln(1 - x) - m) - CASE WHEN hp IS NULL THEN 0.0 ELSE exp(-m) END) / (2 - lam) END)
          END AS y
-       FROM lf, grid WHERE NOT isnan(x)),
-ll AS (SELECT column_name, lam, count(*) AS n, var_pop(y) AS v, sum(sign(x) * ln(1 + abs(x))) AS s
-       FROM yj GROUP BY column_name, lam),
-scored AS (SELECT column_name, lam, -n / 2 * ln(v) + (lam - 1) * s AS llf FROM ll WHERE v > 0)
-SELECT column_name, lam AS "lambda" FROM (
+       FROM fin JOIN scaled USING (column_name)),
+ll AS (SELECT column_name, lam, var_pop(y) AS v, any_value(n) AS n, any_value(s) AS s, any_value(m) AS m FROM yj GROUP BY column_name, lam),
+scored AS (SELECT column_name, lam, -n / 2 * (ln(v) + 2 * m) + (lam - 1) * s AS llf FROM ll WHERE v > 0)
+SELECT column_name, lam AS "lambda", abs(lam) >= 64 AS at_bound FROM (
   SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY llf DESC, lam ASC) AS rn FROM scored)
 WHERE rn = 1"""
 

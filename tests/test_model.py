@@ -43,13 +43,28 @@ def test_yeo_johnson_lambda_matches_brute_force(spark):
     ys = rng.normal(5, 2, 170)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(xs, ys)], "a double, b double")
     got = {r.column_name: r["lambda"] for r in ML.yeo_johnson_lambdas(df, ["a", "b"]).collect()}
-    grid = [-2.0 + i * 0.05 for i in range(81)]
+    grid = [round(-4.0 + i * 0.005, 3) for i in range(1601)]
     for name, col in (("a", xs), ("b", ys)):
         ll = [-len(col) / 2 * np.log(_yj(col, g).var()) + (g - 1) * (np.sign(col) * np.log1p(np.abs(col))).sum()
               for g in grid]
         assert got[name] == pytest.approx(grid[int(np.argmax(ll))])
-    refined = {r.column_name: r["lambda"] for r in ML.yeo_johnson_lambdas(df, ["a"], refine=True).collect()}
-    assert abs(refined["a"] - got["a"]) <= 0.05 + 1e-9
+
+
+def test_yeo_johnson_beyond_small_lambdas(spark):
+    """Peaks far out are found, nearly constant and huge values keep their digits, a monotone likelihood is marked."""
+    rng = np.random.default_rng(3)
+    far = (1 + rng.normal(20, 1, 300)) ** (1 / 9.0)          # y = x^9 is normal: lambda near 9 on 1 + x
+    big = np.exp(rng.normal(13, 0.02, 300)) * 1e3
+    df = spark.createDataFrame([(float(a), float(b), 1.0, float(k % 2)) for k, (a, b) in enumerate(zip(far - 1, big, strict=True))],
+                               "far double, big double, flat double, two double")
+    got = {r.column_name: r for r in ML.yeo_johnson_lambdas(df, df.columns).collect()}
+    assert 4 < got["far"]["lambda"] < 14 and not got["far"]["at_bound"] and "flat" not in got
+    assert abs(got["big"]["lambda"]) <= ML.LAMBDA_BOUND
+    scaled = ML.PowerScaler.fit(df, df.columns).transform(df)
+    for c in ("far", "big", "two"):
+        m, sd = scaled.selectExpr(f"avg({c}_yj)", f"stddev_pop({c}_yj)").first()
+        assert abs(m) < 1e-6 and abs(sd - 1) < 1e-6
+    assert {r[0] for r in scaled.select("flat_yj").collect()} == {0.0}
 
 
 def test_one_hot_unknown_is_all_zeros(spark):
