@@ -16,6 +16,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Bytes of text that are handled at a time: bounds the temporaries of a Python worker.
 CHUNK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,13 +90,22 @@ def word_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """One 64-bit hash for each word: a polynomial over its bytes, then mixed with its length."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _power_table(max(len(buf), CHUNK_BYTES))
-    sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER if lower else _BYTE)[buf] * up[: len(buf)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """One 64-bit hash for each word (ranges in order that don't overlap): a polynomial over its bytes, then mixed with its length.
+
+    The running sums are taken over blocks of bytes, so temporaries don't grow with the text."""
+    out = np.empty(len(starts), np.uint64)
+    table, lo = (_LOWER if lower else _BYTE), 0
+    while lo < len(starts):
+        base = int(starts[lo])
+        hi = max(lo + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, side="right")))
+        part = buf[base : int(ends[hi - 1])]
+        up, down = _power_table(max(len(part), BLOCK_BYTES))
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(table[part] * up[: len(part)], out=sums[1:])
+        s, e = starts[lo:hi] - base, ends[lo:hi] - base
+        out[lo:hi] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        lo = hi
+    return out
 
 
 def gram_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
