@@ -88,7 +88,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     before = F.sum("words").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select(F.col("source").alias("s"), F.col("range").alias("r"), F.coalesce(before, F.lit(0)).alias("before"))
     inside = Window.partitionBy("source", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (dealt.join(keep(sums, "ranges"), F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
+    placed = (dealt.join(keep(sums, "ranges").hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
               .withColumn("upto", F.col("before") + F.sum("size").over(inside)).select("doc_id", "source", "size", "h", "upto"))
     src = source.withColumnsRenamed({"source": "s"})
     entries = (placed.join(src, F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = sums.select("range", F.coalesce(before, F.lit(0)).alias("before")).crossJoin(F.broadcast(source.agg(budget.alias("budget"))))
     order = Window.partitionBy("range").orderBy("finish", "source", "h", "doc_id", "pass", "size").rowsBetween(Window.unboundedPreceding, 0)
     edge = keep(sums.where("before <= budget"), "edges")
-    taken = (span.join(edge, "range").withColumn("total", F.col("before") + F.sum("size").over(order))
+    taken = (span.join(edge.hint("merge"), "range").withColumn("total", F.col("before") + F.sum("size").over(order))
              .where("total <= budget")
              .groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("entries"), F.max("finish").alias("finish")))
     return _back(sized, source, taken)

@@ -360,7 +360,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = keep(sums.select("length", "range", F.coalesce(before, F.lit(0)).alias("before")), "ranges")
     inside = F.row_number().over(Window.partitionBy("length", "range").orderBy("doc_id", "piece", *[c for c in cut.columns if c in ("start", "ids_crc32")]))
-    numbered = (dealt.withColumn("number", inside - 1).join(sums, ["length", "range"])
+    numbered = (dealt.withColumn("number", inside - 1).join(sums.hint("merge"), ["length", "range"])
                 .select(*cut.columns, (F.col("number") + F.col("before")).alias("number")))
     schema = ", ".join(f"`{c}` {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long"
     return numbered.mapInArrow(_places(plan, capacity), schema)
