@@ -156,22 +156,21 @@ def _predict(model: dict | None, classes: list[str]):
         for batch in batches:
             buf, offsets = X.byte_column(batch.column("text" if "text" in batch.schema.names else "kept_text"))
             letters = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
-            name, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
-            for lo, hi in X.chunks(offsets, ROUND_BYTES) if model else ():
+            own = [c for c in ("row", "kept_text") if c in batch.schema.names]
+            for lo, hi in X.chunks(offsets, ROUND_BYTES):  # what goes back is as small as what is worked on
+                name, score = np.full(hi - lo, UNKNOWN, object), np.zeros(hi - lo)
                 b, o = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 starts, ends, first = windows_of(b, o)
-                if not len(starts):
-                    continue
-                _, at, back = np.unique(X.word_hashes(b, starts, ends), return_index=True, return_inverse=True)
-                sums = np.concatenate([np.zeros((1, len(classes))), np.cumsum(_window_scores(model, b, starts[at], ends[at])[back], axis=0)])
-                pooled = sums[first[1:]] - sums[first[:-1]]
-                pooled = np.exp(pooled - pooled.max(axis=1, keepdims=True))
-                pooled /= pooled.sum(axis=1, keepdims=True)
-                name[lo:hi], score[lo:hi] = np.array(classes, object)[pooled.argmax(axis=1)], pooled.max(axis=1)
-            name[~letters], score[~letters] = UNKNOWN, 0.0
-            own = [c for c in ("row", "kept_text") if c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(name, pa.string()), pa.array(score)],
-                                             names=[*own, "lang_pred", "score"])
+                if model and len(starts):
+                    _, at, back = np.unique(X.word_hashes(b, starts, ends), return_index=True, return_inverse=True)
+                    sums = np.concatenate([np.zeros((1, len(classes))), np.cumsum(_window_scores(model, b, starts[at], ends[at])[back], axis=0)])
+                    pooled = sums[first[1:]] - sums[first[:-1]]
+                    pooled = np.exp(pooled - pooled.max(axis=1, keepdims=True))
+                    pooled /= pooled.sum(axis=1, keepdims=True)
+                    name, score = np.array(classes, object)[pooled.argmax(axis=1)], pooled.max(axis=1)
+                name[~letters[lo:hi]], score[~letters[lo:hi]] = UNKNOWN, 0.0
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in own), pa.array(name, pa.string()), pa.array(score)],
+                                                 names=[*own, "lang_pred", "score"])
 
     return run
 
