@@ -1,10 +1,11 @@
 """Main text of web pages by tag-path ratios (operator 10).
 
-A page is a sequence of text nodes, each with its path of tags from the root. Texts under one path share a fate: a path's
-ratio is its length of text, and its punctuation, per node, less what stands in links. Ratios are smoothed over neighbouring nodes, fused
-over length and punctuation, and paths above the threshold are content. What is no text of the page (scripts, styles, markup)
-or is marked as navigation, header, footer, sidebar, notice, advert, form or comments never is a candidate; a page
-that marks its article has its candidates there.
+A page is a sequence of text nodes, each with its path of tags from the root. A path's ratio is its length of text, and its
+punctuation, per node, less what stands in links. Ratios are smoothed over neighbouring nodes, fused over length and punctuation,
+and fused along the path: headings, lists and short paragraphs share the ratio of the paths around them, up to the marked article or
+else to their container. Paths above the threshold, the deviation of all the page's nodes, are content. What is no text of the page (scripts,
+styles, markup) has no ratio; what is marked as navigation, header, footer, sidebar, notice, advert, form or comments counts
+for the threshold and never is a candidate; a page that marks its article has its candidates there.
 """
 
 from __future__ import annotations
@@ -44,10 +45,10 @@ SMOOTH = np.array([0.25, 0.5, 0.25])
 
 
 class Node:
-    __slots__ = ("text", "path", "block", "out", "main", "link")
+    __slots__ = ("text", "path", "groups", "block", "out", "main", "link")
 
-    def __init__(self, text: str, path: str, block: int, out: bool, main: bool, link: bool) -> None:
-        self.text, self.path, self.block, self.out, self.main, self.link = text, path, block, out, main, link
+    def __init__(self, text: str, path: str, groups: tuple[str, ...], block: int, out: bool, main: bool, link: bool) -> None:
+        self.text, self.path, self.groups, self.block, self.out, self.main, self.link = text, path, groups, block, out, main, link
 
 
 def text_nodes(page: str) -> list[Node]:
@@ -59,7 +60,12 @@ def text_nodes(page: str) -> list[Node]:
     def add(raw: str) -> None:
         if raw:
             out, main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            nodes.append(Node(html.unescape(raw), "/".join(s[1] for s in stack), block, out, main, any(s[0] == "a" for s in stack)))
+            if main:  # the outermost tag that marks the article
+                groups = ("/".join(s[1] for s in stack[: next(i for i, s in enumerate(stack) if s[3]) + 1]),)
+            else:  # the tag of the node's block, and the one around it
+                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in _INLINE), -1)
+                groups = ("/".join(s[1] for s in stack[: k + 1]), "/".join(s[1] for s in stack[: max(k, 0)]))
+            nodes.append(Node(html.unescape(raw), "/".join(s[1] for s in stack), groups, block, out, main, any(s[0] == "a" for s in stack)))
 
     def close(k: int) -> None:
         nonlocal block
@@ -119,20 +125,23 @@ def path_ratios(nodes: list[Node]) -> dict[str, tuple[float, float]]:
 
 
 def content_nodes(nodes: list[Node]) -> list[Node]:
-    live = [n for n in nodes if not n.out and n.text.strip()]
-    marked = [n for n in live if n.main]
-    if marked or not live:
-        # the page says where its article is: all paths there that hold any text are over the threshold
-        return marked
-    ratio = path_ratios(live)
-    size, points = (np.array([ratio[n.path][k] for n in live]) for k in (0, 1))
+    shown = [n for n in nodes if n.text.strip()]
+    live = [not n.out for n in shown]
+    if any(n.main and not n.out for n in shown):
+        live = [ok and n.main for n, ok in zip(shown, live, strict=True)]
+    if not any(live):
+        return []
+    ratio = path_ratios(shown)
+    size, points = (np.array([ratio[n.path][k] for n in shown]) for k in (0, 1))
     pad = lambda x: np.convolve(np.pad(x, 1, mode="edge"), SMOOTH, mode="valid")
     fused = np.sqrt(np.maximum(size, pad(size)) * (1 + np.maximum(points, pad(points))))
-    least = min(fused.std(), fused.max())
+    least = min(fused.std(), fused[live].max())
     score: dict[str, float] = {}
-    for n, f in zip(live, fused, strict=True):
-        score[n.path] = max(score.get(n.path, 0.0), f)
-    return [n for n in live if score[n.path] >= least]
+    for n, ok, f in zip(shown, live, fused, strict=True):
+        if ok:
+            for g in n.groups:
+                score[g] = max(score.get(g, 0.0), f)
+    return [n for n, ok in zip(shown, live, strict=True) if ok and max(score[g] for g in n.groups) >= least]
 
 
 def main_text(page: str | None) -> str:
