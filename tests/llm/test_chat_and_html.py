@@ -121,6 +121,21 @@ def test_very_long_and_deep_pages_are_whole():
     assert htmltext.main_text("<article>" + "<a \"" * 3000) is not None
 
 
+def test_the_ratio_decides_between_marked_regions():
+    prose = "".join(f"<p>Words of the {n}th paragraph, which go on, and on. They end here.</p>" for n in range(12))
+    page = f"<body><div><article class=teaser><a href=x>more</a></article></div><article class=story><h1>Head</h1>{prose}<p>end</p></article></body>"
+    got = htmltext.main_text(page)
+    assert got.startswith("Head\nWords of the 0th") and got.endswith("\nend") and "more" not in got
+
+
+def test_given_pages_read_the_same_without_the_article_mark():
+    import duckdb
+    pages = [r[0] or "" for r in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()]
+    bare = [p.replace("<article", "<div").replace("</article", "</div") for p in pages]
+    assert bare != pages
+    assert [htmltext.main_text(p) for p in bare] == [htmltext.main_text(p) for p in pages]
+
+
 def test_extract_edges(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<article>a</article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("old")).withColumn("row", F.lit(1))
