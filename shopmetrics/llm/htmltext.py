@@ -22,21 +22,35 @@ from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|svg|math|iframe|xmp)\b[^>]*+>(?:.*?</\1\s*+>|.*\Z)"
+    r"|<(?:svg|math)(?:[\s/](?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)?(?<=/)>"
+    r"|<(script|style|textarea|title|noscript|template|svg|math|iframe|xmp)(?=[\s/>])[^>]*+>(?:.*?</\1\s*+>|.*\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S | re.I)
 _ATTR = re.compile(r"(?:class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
                     "time tt u var wbr img label output".split())
-_OUT = frozenset("nav header footer aside form button select option menu dialog figcaption label input fieldset legend".split())
-#: Words of class, id and role that mark what is no article.
+_OUT = frozenset("nav header footer aside form button select option menu dialog label input fieldset legend".split())
+#: Words of class and role, and whole ids, that mark what is no article.
 _MARKS = re.compile(
-    r"(?:^|[\s_\-\"'=])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|"
+    r"(?:^|[\s_\-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|rail|widget|related|recommend\w*|share|sharing|social|toolbar|"
-    r"comments?|disqus|replies|respond|footer|header|masthead|copyright|login|signup|search|complementary|contentinfo|hidden)(?=$|[\s_\-\"'0-9])", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
+    r"comments?|disqus|replies|respond|footer|header|masthead|copyright|login|signup|search|complementary|contentinfo|hidden)(?=$|[\s_\-0-9])", re.I)
+_MARK_ID = re.compile(_MARKS.pattern.replace(r"(?:^|[\s_\-])", "", 1).replace(r"(?=$|[\s_\-0-9])", r"\d*"), re.I)
+_VALUE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _MAIN = re.compile(r"articleBody|(?:^|[\s\"'=])main(?=[\s\"']|$)", re.I)
+
+
+def _marked(attrs: str) -> bool:
+    """Whether a tag's class, role or id says that it is no article, or it is hidden."""
+    of: dict[str, str] = {}
+    for name, a, b, c in _VALUE.findall(attrs):
+        of.setdefault(name.lower(), a or b or c)
+    return bool("hidden" in of or of.get("aria-hidden", "").lower() == "true" or _NONE.search(of.get("style", ""))
+                or _MARKS.search(of.get("class", "")) or _MARKS.search(of.get("role", "")) or _MARK_ID.fullmatch(of.get("id", "").strip()))
+
+
 #: An open tag on the left is closed by a start of one on the right.
 _CLOSES = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 _PUNCTUATION = re.compile(r"[,.;:!?…。，、！？]")
@@ -104,7 +118,7 @@ def text_nodes(page: str) -> list[Node]:
         named = " ".join(_ATTR.findall(attrs)) if attrs else ""
         up_out, up_main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
         main = up_main or tag in ("article", "main") or bool(named and _MAIN.search(named))
-        own = named and tag not in ("html", "body", "article", "main") and (_MARKS.search(named) or _HIDDEN.search(named))
+        own = named and tag not in ("html", "body", "article", "main") and _marked(attrs)
         out = up_out or tag in _OUT and not (tag == "header" and up_main) or bool(own)
         if not attrs or not attrs.rstrip().endswith("/") or tag in ("p", "div", "article"):
             stack.append((tag, tag + ("." + re.sub(r"\W+", ".", named) if named else ""), out, main))

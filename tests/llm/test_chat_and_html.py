@@ -142,3 +142,22 @@ def test_extract_edges(spark):
     got = htmltext.extract(df).collect()
     assert sorted(((r["page_id"], r["text"], r["n_chars"], r["row"]) for r in got), key=str) == sorted([(1, "", 0, 1), (1, "", 0, 1), (None, "a", 1, 1)], key=str)
     assert htmltext.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("part", [
+    *(f"<section id='{i}'><h2>A heading</h2><p>Short text, of it.</p></section>" for i in ("side-effects", "related-work", "search-algorithms", "notice-period", "data-sharing")),
+    "<section aria-label='Share of the market'><h2>A heading</h2><p>Short text, of it.</p></section>",
+    "<section itemprop='comment'><h2>A heading</h2><p>Short text, of it.</p></section>",
+    "<section aria-label='The hidden cost' aria-hidden=false data-class=ad><h2>A heading</h2><p>Short text, of it.</p></section>",
+    "<figure><img src=x><figcaption>A heading</figcaption></figure><p>Short text, of it.</p>",
+    "<h2>A heading</h2><svg viewBox='0 0 1 1'/><math/><p>Short text, of it.</p>",
+    "<h2><svg-icon name=x></svg-icon>A heading</h2><p><math-renderer>Short text, of it.</math-renderer></p>",
+])
+def test_names_of_the_articles_own_parts_are_no_marks(part):
+    want = [*TEXT.split("\n"), "A heading", "Short text, of it."]
+    assert htmltext.main_text(f"<body>{AROUND[0]}<article>{BODY}{part}{BODY}</article>{AROUND[1]}").split("\n") == [*want, *want[:2]]
+
+
+@pytest.mark.parametrize("name", ["class='cookie-notice'", "class='box sidebar'", "role=search", "id=comments", "id='sidebar2'", "hidden", "style='display: none'", "aria-hidden=true"])
+def test_marks_still_leave_out(name):
+    assert htmltext.main_text(f"<body><article>{BODY}<div {name}><p>{TEXT}</p></div></article>") == TEXT
