@@ -3,19 +3,22 @@
 A window network sees ``SIDE`` words on either side of a place and predicts the word that stands there. A document's score is the sum over
 all its words of the log-probability given both sides.
 
-The vocabulary comes from the counts of every word of the corpus: the ``TOP`` most frequent have a class each, all
-others share ``BUCKETS`` classes by hash, within which the corpus's distinct words are equally likely. Training runs where the data lie:
-in each of ``ROUNDS`` rounds every partition trains a copy of the network on the documents of that round (one in
-``TRAIN_EVERY``, by hash, so training text grows with the corpus), and the copies are averaged by
-their words in one aggregate.
+The vocabulary comes from the counts of every word of the corpus: the most frequent (``TOP``, or half the root of the distinct
+words where that is more) have a class each, all others share ``BUCKETS`` classes by hash. Within its class a word is as likely as it is frequent: the
+counts stay a table, which the distinct words of each chunk of documents are joined with. Training runs where the data lie: the documents
+are dealt by hash to ``ROUNDS`` rounds, so each is trained on once; in a round every partition trains a copy of the network on its
+documents of that round, and the copies are averaged by their words in one aggregate.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +28,13 @@ from shopmetrics.llm.store import keep
 TOP, BUCKETS = 256, 64
 CLASSES = TOP + BUCKETS
 SIDE, EMBED, HIDDEN = 3, 16, 32
-ROUNDS, TRAIN_EVERY = 2, 32
+ROUNDS = 4
 BATCH, RATE = 1024, 0.01
 ROUND_BYTES = 1 << 22
-_SHAPES = {"e": (CLASSES + 1, EMBED), "w": (2 * SIDE, EMBED, HIDDEN), "h": (HIDDEN,), "o": (HIDDEN, CLASSES), "b": (CLASSES,)}
+
+
+def _shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    return {"e": (classes + 1, EMBED), "w": (2 * SIDE, EMBED, HIDDEN), "h": (HIDDEN,), "o": (HIDDEN, classes), "b": (classes,)}
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,18 +48,28 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """Classes of word hashes, and the log of the distinct words of each class."""
+    """Classes of word hashes; of each class the log of its distinct words, and of each bucket the occurrences in the corpus.
 
-    def __init__(self, top: list[int], distinct: dict[int, int]) -> None:
+    ``counts`` is the table (word, n) of all words; workers don't get it.
+    """
+
+    def __init__(self, top: list[int], distinct: dict[int, int], total: dict[int, int], counts: DataFrame) -> None:
+        self.first_bucket = max(TOP, len(top))
+        self.size = self.first_bucket + BUCKETS
         top = np.array(top, np.int64).view(np.uint64)
         self.classes = np.argsort(top, kind="stable")
         self.top = top[self.classes]
-        self.inside = np.zeros(CLASSES)
+        self.inside, self.total = np.zeros(self.size), np.zeros(BUCKETS)
         for bucket, n in distinct.items():
-            self.inside[TOP + bucket] = np.log(max(n, 1))
+            self.inside[self.first_bucket + bucket] = np.log(max(n, 1))
+            self.total[bucket] = total[bucket]
+        self.counts = counts
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "counts": None}
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        rare = TOP + (words.view(np.int64) & (BUCKETS - 1))
+        rare = self.first_bucket + (words.view(np.int64) & (BUCKETS - 1))
         if not len(self.top):
             return rare
         at = np.minimum(np.searchsorted(self.top, words), len(self.top) - 1)
@@ -63,33 +79,37 @@ class Vocabulary:
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     counts = keep(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counts, "word long, n long")
                   .groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    top = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(TOP).collect()]  # TOP rows
+    most = max(TOP, math.isqrt(counts.count()) // 2)
+    top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()}  # half the root of the distinct words
     bucket = F.col("word").bitwiseAND(BUCKETS - 1)
     # every word counts towards its bucket; the few frequent ones among them are taken off
-    distinct = {r[0]: r[1] for r in counts.groupBy(bucket).agg(F.count("*")).collect()}  # BUCKETS rows
-    for w in top:
+    distinct, total = {}, {}
+    for b, n, words in counts.groupBy(bucket).agg(F.count("*"), F.sum("n")).collect():  # BUCKETS rows
+        distinct[b], total[b] = n, words
+    for w, n in top.items():
         distinct[w & (BUCKETS - 1)] -= 1
-    return Vocabulary(top, distinct)
+        total[w & (BUCKETS - 1)] -= n
+    return Vocabulary(list(top), distinct, total, counts)
 
 
 # The network
 
 
-def start(seed: int = 5) -> dict[str, np.ndarray]:
+def start(seed: int = 5, classes: int = CLASSES) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     scale = {"e": 0.5, "w": 0.1, "h": 0.0, "o": 0.1, "b": 0.0}
-    return {k: (rng.normal(0, 1, s) * scale[k]).astype(np.float32) for k, s in _SHAPES.items()}
+    return {k: (rng.normal(0, 1, s) * scale[k]).astype(np.float32) for k, s in _shapes(classes).items()}
 
 
-def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Classes of the 2 * SIDE neighbours of every word; CLASSES beyond the document's ends."""
+def contexts(classes: np.ndarray, first: np.ndarray, beyond: int = CLASSES) -> np.ndarray:
+    """Classes of the 2 * SIDE neighbours of every word; ``beyond`` beyond the document's ends."""
     n = len(classes)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((n, 2 * SIDE), CLASSES, np.int64)
+    out = np.full((n, 2 * SIDE), beyond, np.int64)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         a, b = max(0, -d), n - max(0, d)
         if a < b:
-            out[a:b, k] = np.where(doc[a:b] == doc[a + d : b + d], classes[a + d : b + d], CLASSES)
+            out[a:b, k] = np.where(doc[a:b] == doc[a + d : b + d], classes[a + d : b + d], beyond)
     return out
 
 
@@ -102,10 +122,11 @@ def _hidden(tables: np.ndarray, model: dict, around: np.ndarray) -> np.ndarray:
 
 def log_probs(model: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log-probability of each target's class given the words around it."""
-    tables = np.einsum("ve,keh->kvh", model["e"], model["w"])
+    tables = model["e"] @ model["w"]
     out = np.empty(len(target))
-    for lo in range(0, len(target), 4096):
-        part = slice(lo, lo + 4096)
+    rows = max(64, 4096 * CLASSES // len(model["b"]))  # temporaries of one size at any number of classes
+    for lo in range(0, len(target), rows):
+        part = slice(lo, lo + rows)
         z = _hidden(tables, model, around[part]) @ model["o"] + model["b"]
         z -= z.max(axis=1, keepdims=True)
         out[part] = z[np.arange(len(z)), target[part]] - np.log(np.exp(z).sum(axis=1))
@@ -119,7 +140,7 @@ def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> N
     for lo in range(0, len(order), BATCH):
         at = order[lo : lo + BATCH]
         a, y = around[at], target[at]
-        tables = np.einsum("ve,keh->kvh", model["e"], model["w"])
+        tables = model["e"] @ model["w"]
         h = _hidden(tables, model, a)
         z = h @ model["o"] + model["b"]
         z = np.exp(z - z.max(axis=1, keepdims=True))
@@ -129,8 +150,8 @@ def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> N
         dh = (z @ model["o"].T) * (1 - h * h)
         grad = {"o": h.T @ z, "b": z.sum(axis=0), "h": dh.sum(axis=0), "e": np.zeros_like(model["e"]), "w": np.empty_like(model["w"])}
         for k in range(2 * SIDE):
-            hot = np.zeros((CLASSES + 1, HIDDEN), np.float32)
-            np.add.at(hot, a[:, k], dh)
+            cell = (a[:, k, None] * HIDDEN + np.arange(HIDDEN)).ravel()
+            hot = np.bincount(cell, dh.ravel(), len(model["e"]) * HIDDEN).reshape(-1, HIDDEN).astype(np.float32)
             grad["e"] += hot @ model["w"][k].T
             grad["w"][k] = model["e"].T @ hot
         state["step"] = t = state.get("step", 0) + 1
@@ -142,21 +163,22 @@ def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> N
             model[name] -= (rate * m1 / (np.sqrt(m2) + 1e-8)).astype(np.float32)
 
 
-def _classes_of(batch: pa.RecordBatch, vocab: Vocabulary) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _classes_of(batch: pa.RecordBatch, vocab: Vocabulary) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     buf, offsets = X.byte_column(batch.column("text"))
     for lo, hi in X.chunks(offsets):
         b, o = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         s, e, first = X.word_bounds(b, o)
-        yield lo, hi, vocab.of(X.word_hashes(b, s, e, lower=True)), first
+        words = X.word_hashes(b, s, e, lower=True)
+        yield lo, hi, words, vocab.of(words), first
 
 
 def _flat(model: dict) -> np.ndarray:
-    return np.concatenate([model[k].ravel() for k in _SHAPES])
+    return np.concatenate([model[k].ravel() for k in _shapes(CLASSES)])
 
 
-def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
+def _shaped(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, s in _SHAPES.items():
+    for k, s in _shapes(classes).items():
         n = int(np.prod(s))
         out[k] = flat[at : at + n].reshape(s).astype(np.float32)
         at += n
@@ -167,9 +189,9 @@ def _train_partition(model: dict, vocab: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, state, words = {k: v.copy() for k, v in model.items()}, {}, 0
         for batch in batches:
-            for _, _, classes, first in _classes_of(batch, vocab):
+            for _, _, _, classes, first in _classes_of(batch, vocab):
                 if len(classes):
-                    train(own, contexts(classes, first), classes, state)
+                    train(own, contexts(classes, first, vocab.size), classes, state)
                     words += len(classes)
         if words:
             flat = _flat(own).astype(np.float64)
@@ -181,14 +203,15 @@ def _train_partition(model: dict, vocab: Vocabulary):
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict, Vocabulary]:
     """The averaged network and the corpus's vocabulary."""
-    vocab, model = vocabulary(docs, text_col), start()
+    vocab = vocabulary(docs, text_col)
+    model = start(classes=vocab.size)
     for k in range(ROUNDS):
-        turn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(TRAIN_EVERY)) == k
+        turn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(ROUNDS)) == k
         part = docs.where(turn & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
         mean = (part.mapInArrow(_train_partition(model, vocab), "at int, value double, words long")
                 .groupBy("at").agg((F.sum("value") / F.sum("words")).alias("value")).orderBy("at").toPandas())  # one row per parameter
         if len(mean):
-            model = _shaped(mean["value"].to_numpy())
+            model = _shaped(mean["value"].to_numpy(), vocab.size)
     return model, vocab
 
 
@@ -196,18 +219,42 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
     """Row per document: doc_id, n_words, log_likelihood (sum over its words), mean_log_likelihood.
 
     A text that is null, empty or without words has n_words 0, log_likelihood 0 and a null mean. Every word of a text is
-    scored. Rows that repeat are scored each; null ids keep their row. Other columns are not read.
+    scored; one that the corpus doesn't have counts as one occurrence of its bucket. Rows that repeat are scored each; null ids keep
+    their row. Other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for lo, hi, classes, first in _classes_of(batch, vocab):
-                p = log_probs(model, contexts(classes, first), classes) - vocab.inside[classes]
-                sums = np.concatenate([[0.0], np.cumsum(p)])
-                n[lo:hi], total[lo:hi] = np.diff(first), sums[first[1:]] - sums[first[:-1]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total)], names=["doc_id", "n_words", "log_likelihood"])
+            for lo, hi, words, classes, first in _classes_of(batch, vocab):
+                sums = np.concatenate([[0.0], np.cumsum(log_probs(model, contexts(classes, first, vocab.size), classes))])
+                # the buckets' words, as places in the chunk's distinct ones, which its first row has
+                at = classes >= vocab.first_bucket
+                rare, place = np.unique(words[at], return_inverse=True)
+                cuts = np.concatenate([[0], np.cumsum(at)])[first]
+                chunk += 1
+                own = [rare.view(np.int64), *[None] * (hi - lo - 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(hi - lo, chunk)), batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)),
+                     pa.array(sums[first[1:]] - sums[first[:-1]]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32))),
+                     pa.array(own, pa.list_(pa.int64()))],
+                    names=["chunk", "doc_id", "n_words", "of_classes", "places", "words"])
+
+    def finish(rows: pa.Table, known: pa.Table) -> pa.Table:
+        place = known.column("place").to_numpy()
+        inside = np.empty(len(place))
+        inside[place] = np.log(known.column("n").to_numpy()) - np.log(vocab.total[known.column("word").to_numpy() & (BUCKETS - 1)] + 1)
+        places = rows.column("places")
+        flat = pc.list_flatten(places).to_numpy()
+        n = pc.list_value_length(places).to_numpy().astype(np.int64)
+        sums = np.concatenate([[0.0], np.cumsum(inside[flat])])
+        ends = np.cumsum(n)
+        total = rows.column("of_classes").to_numpy() + sums[ends] - sums[ends - n]
+        return pa.table({"doc_id": rows.column("doc_id"), "n_words": rows.column("n_words"), "log_likelihood": pa.array(total)})
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return (src.mapInArrow(run, "doc_id long, n_words long, log_likelihood double")
-            .withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))))
+    part = keep(src.mapInArrow(run, "chunk long, doc_id long, n_words long, of_classes double, places array<int>, words array<long>"), "classes")
+    met = part.where("words IS NOT NULL").select("chunk", F.posexplode("words").alias("place", "word"))
+    known = met.join(vocab.counts.hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place", "word", F.coalesce("n", F.lit(1)).alias("n"))
+    done = part.drop("words").groupBy("chunk").cogroup(known.groupBy("its")).applyInArrow(finish, "doc_id long, n_words long, log_likelihood double")
+    return done.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))

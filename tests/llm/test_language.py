@@ -113,3 +113,41 @@ def test_vocabulary_counts_the_whole_corpus(spark):
             words[w] = words.get(w, 0) + 1
     assert len(vocab.top) == pseudolm.TOP
     assert round(np.exp(vocab.inside[pseudolm.TOP :]).sum()) == len(words) - pseudolm.TOP
+
+
+def test_rare_words_score_by_their_counts(spark):
+    """Two words of one bucket, far below the frequent ones: in the same place the commoner is likelier, by the log of its counts."""
+    names = np.array([f"w{i}" for i in range(3000)])
+    buf, offsets = pseudolm.X.byte_column(pseudolm.pa.array([" ".join(names)]))
+    hashes = pseudolm.X.word_hashes(buf, *pseudolm.X.word_bounds(buf, offsets)[:2], lower=True).view(np.int64)
+    a, b = names[hashes & (pseudolm.BUCKETS - 1) == 7][:2]
+    rows = [(i, " ".join(f"top{k}" for k in range(pseudolm.TOP))) for i in range(60)] + [(100 + i, a) for i in range(40)] + [(200 + i, b) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, vocab = pseudolm.fit(docs)
+    got = {r["doc_id"]: r["log_likelihood"] for r in pseudolm.score(docs.unionByName(docs.where("doc_id >= 100")), model, vocab).collect()}
+    assert abs(got[100] - got[200] - np.log(20)) < 1e-4
+    new = spark.createDataFrame([(1, "never"), (2, a)], "doc_id long, text string")
+    assert np.isfinite([r["log_likelihood"] for r in pseudolm.score(new, model, vocab).collect()]).all()
+
+
+def test_every_document_is_trained_on_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(model, vocab):
+        def run(batches):
+            for batch in batches:
+                seen.add(sum(len(t.split()) for t in batch.column("text").to_pylist()))
+            yield from ()
+
+        return run
+
+    monkeypatch.setattr(pseudolm, "_train_partition", count)
+    pseudolm.fit(spark.createDataFrame([(i, "a b c") for i in range(200)] + [(None, "d e")], "doc_id long, text string"))
+    assert seen.value == 602
+
+
+def test_classes_grow_with_the_distinct_words(spark, monkeypatch):
+    monkeypatch.setattr(pseudolm, "TOP", 4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(50)], "doc_id long, text string")
+    vocab = pseudolm.vocabulary(docs)
+    assert len(vocab.top) == 15 and vocab.size == 15 + pseudolm.BUCKETS and round(vocab.total.sum()) == 1000 - 15
