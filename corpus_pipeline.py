@@ -16,6 +16,8 @@ from shopmetrics.llm.store import drop, keep, on_workers, table
 
 #: A document goes if its language is unknown (no letter) or its pooled probability is under this.
 LEAST_SCORE = 0.4
+#: Documents that share so many % of their 5-word shingles are near copies.
+LEAST_SIMILAR = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of near copies, and one row of an id that repeats. Rows with a null id stay."""
     on_workers(spark)
-    groups = keep(minhash.near_duplicates(docs), "groups")
+    groups = keep(minhash.near_duplicates(docs, percent=LEAST_SIMILAR), "groups")
     out = docs.join(groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti")
     if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))

@@ -4,9 +4,9 @@ Every text's set of 5-word shingles gets a signature of ``COORDS`` minima. Texts
 each (coordinate, value); two texts collide once for each list they share.
 
 * Texts with equal sets are one class, posted once.
-* Prefix: two texts of similarity 0.85 share at least ``MATCHES`` of the 24 coordinates (but for one pair
-  in 10 million). So a text with fewer than ``MATCHES`` shared lists has no partner, and any pair's shortest
-  common list is not among the ``MATCHES`` - 1 longest of either text: those long lists (stock phrases of very many
+* Prefix: two texts of the least similarity (0.85 unless told otherwise) share at least ``matches`` of the 24 coordinates (but for
+  a share ``MISSED`` of the pairs). So a text with fewer than ``matches`` shared lists has no partner, and any pair's shortest
+  common list is not among the ``matches`` - 1 longest of either text: those long lists (stock phrases of very many
   documents) are skipped and only compared on the signatures.
 * In a first round each list links its members to one hub, which joins the core of a group of
   copies by as many pairs as members. In a second round, only lists whose members are still in
@@ -16,7 +16,8 @@ each (coordinate, value); two texts collide once for each list they share.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,9 @@ from shopmetrics.llm.components import components
 from shopmetrics.llm.store import drop, keep
 
 WORDS, PERCENT = 5, 85
-COORDS, MATCHES = 24, 10
-#: Minima of the second sketch (a byte each); at similarity 0.85 fewer than SKETCH_LEAST agree in one pair of a million.
-SKETCH, SKETCH_LEAST = 1024, 815
+COORDS, MISSED = 24, 1.5e-7
+#: Minima of the second sketch (a byte each).
+SKETCH, SKETCH_MISSED = 1024, 1.4e-6
 BLOCK = 512
 
 _R = np.random.default_rng(85)
@@ -39,6 +40,16 @@ _XOR = _R.integers(0, 2**63, COORDS + SKETCH, dtype=np.uint64)
 _MUL = _R.integers(0, 2**62, COORDS + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def least_equal(n: int, percent: int, missed: float) -> int:
+    """Fewer than this many of ``n`` minima are equal in at most a share ``missed`` of the pairs of that similarity."""
+    p, below = percent / 100, 0.0
+    for k in range(n + 1):
+        below += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+        if below > missed:
+            return k
+    return n
+
+
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every row."""
     for lo, hi in X.chunks(offsets):
@@ -125,69 +136,75 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     return (pairs.join(one, "a").join(two, "b")
-            .where(100 * both >= PERCENT * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
+            .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
 
 
-def _near(x: np.ndarray, y: np.ndarray) -> bool:
+def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sets may reach the similarity, by half of each hash: two shingles in doubt, which the full sets settle."""
     both = len(np.intersect1d(x, y)) + 2
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
-
-
-def _compare_lists(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one bucket of list blocks that may be links and are not in one component yet."""
-    found: list[np.ndarray] = []
-    frame = frame.sort_values(["key", "one", "two"], kind="stable").reset_index(drop=True)
-    same = (frame[["key", "one", "two"]].diff() == 0).all(axis=1).to_numpy()
-    cuts = np.append(np.flatnonzero(~same), len(frame))
-    sigs = np.stack(frame["sig"].to_numpy()).astype(np.int32)
-    sketch = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
-    halves = frame["half"].to_numpy()
-    rep, label, size = (frame[c].to_numpy() for c in ("rep", "label", "n"))
-    block, coord, posted = frame["block"].to_numpy(), frame["coord"].to_numpy(), frame["posted"].to_numpy()
-    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-        one, two = frame["one"].iat[lo], frame["two"].iat[lo]
-        rows = np.arange(lo, hi)
-        left, right = rows[block[lo:hi] == one], rows[block[lo:hi] == two]
-        for at in range(0, len(left), 64):
-            p = left[at : at + 64]
-            ok = (label[p][:, None] != label[right][None]) & (
-                100 * np.minimum(size[p][:, None], size[right][None]) >= PERCENT * np.maximum(size[p][:, None], size[right][None]))
-            if one == two:
-                ok &= rep[p][:, None] < rep[right][None]
-            i, j = np.nonzero(ok)
-            i, j = p[i], right[j]
-            agree = sigs[i] == sigs[j]
-            # a pair is compared in the first list under which both are posted
-            shared = posted[i] & posted[j]
-            bits = (agree * (1 << np.arange(COORDS))).sum(axis=1) & shared
-            ok = (agree.sum(axis=1) >= MATCHES) & ((bits & -bits) == (1 << coord[lo]))
-            i, j = i[ok], j[ok]
-            for q in range(0, len(i), 4096):
-                a, b = i[q : q + 4096], j[q : q + 4096]
-                near = np.flatnonzero((sketch[a] == sketch[b]).sum(axis=1) >= SKETCH_LEAST)
-                near = [k for k in near if _near(halves[a[k]], halves[b[k]])]
-                if near:
-                    found.append(np.stack([rep[a[near]], rep[b[near]]], axis=1))
-    out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _compare_lists(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    matches, sketch_least = least_equal(COORDS, percent, MISSED), least_equal(SKETCH, percent, SKETCH_MISSED)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of one bucket of list blocks that may be links and are not in one component yet."""
+        found: list[np.ndarray] = []
+        frame = frame.sort_values(["key", "one", "two"], kind="stable").reset_index(drop=True)
+        same = (frame[["key", "one", "two"]].diff() == 0).all(axis=1).to_numpy()
+        cuts = np.append(np.flatnonzero(~same), len(frame))
+        sigs = np.stack(frame["sig"].to_numpy()).astype(np.int32)
+        sketch = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
+        halves = frame["half"].to_numpy()
+        rep, label, size = (frame[c].to_numpy() for c in ("rep", "label", "n"))
+        block, coord, posted = frame["block"].to_numpy(), frame["coord"].to_numpy(), frame["posted"].to_numpy()
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            one, two = frame["one"].iat[lo], frame["two"].iat[lo]
+            rows = np.arange(lo, hi)
+            left, right = rows[block[lo:hi] == one], rows[block[lo:hi] == two]
+            for at in range(0, len(left), 64):
+                p = left[at : at + 64]
+                ok = (label[p][:, None] != label[right][None]) & (
+                    100 * np.minimum(size[p][:, None], size[right][None]) >= percent * np.maximum(size[p][:, None], size[right][None]))
+                if one == two:
+                    ok &= rep[p][:, None] < rep[right][None]
+                i, j = np.nonzero(ok)
+                i, j = p[i], right[j]
+                agree = sigs[i] == sigs[j]
+                # a pair is compared in the first list under which both are posted
+                shared = posted[i] & posted[j]
+                bits = (agree * (1 << np.arange(COORDS))).sum(axis=1) & shared
+                ok = (agree.sum(axis=1) >= matches) & ((bits & -bits) == (1 << coord[lo]))
+                i, j = i[ok], j[ok]
+                for q in range(0, len(i), 4096):
+                    a, b = i[q : q + 4096], j[q : q + 4096]
+                    near = np.flatnonzero((sketch[a] == sketch[b]).sum(axis=1) >= sketch_least)
+                    near = [k for k in near if _near(halves[a[k]], halves[b[k]], percent)]
+                    if near:
+                        found.append(np.stack([rep[a[near]], rep[b[near]]], axis=1))
+        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Row per document: doc_id, n_shingles, component_id, kept.
 
-    ``component_id`` is the smallest id reachable over links of similarity ``PERCENT`` % (itself
+    ``component_id`` is the smallest id reachable over links of similarity ``percent`` % (itself
     included). Texts that are null, empty or without words have an empty set and no link. Texts
     shorter than five words are one shingle. Repeated rows are copies of each other, a repeated id
     included, and each gives its row. A row with a null id links others, but its id is never a
     component's; a component of such rows alone has component_id null and kept false. Other columns are not read.
     """
+    matches = least_equal(COORDS, percent, MISSED)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = keep(src.mapInArrow(_signatures("doc_id", "text"),
                                 "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>"), "signatures")
@@ -199,8 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = keep(posts.groupBy("coord", "value").agg(F.count("*").alias("length")).where("length > 1"), "lists")
     order = F.array_sort(F.collect_list(F.struct("length", "coord", "value")))
     short = keep(posts.join(lists, ["coord", "value"]).groupBy("rep").agg(order.alias("lists"))
-                 .where(F.size("lists") >= MATCHES)
-                 .select("rep", F.slice("lists", F.lit(1), F.size("lists") - (MATCHES - 1)).alias("lists")), "postings")
+                 .where(F.size("lists") >= matches)
+                 .select("rep", F.slice("lists", F.lit(1), F.size("lists") - (matches - 1)).alias("lists")), "postings")
     member = classes.select("rep", "n", "sig")
     posted = keep(short.join(member, "rep").select(
         "rep", "n", "sig", F.expr("aggregate(lists, 0L, (x, y) -> x + shiftleft(1L, y.coord))").alias("posted"),
@@ -217,9 +234,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = posted.groupBy("coord", "value").agg(F.min(me).alias("hub"), F.count("*").alias("length")).where("length > 1")
     agree = F.size(F.filter(F.zip_with("sig", "hub.sig", lambda x, y: x == y), lambda x: x))
     star = (posted.join(keep(hubs, "hubs"), ["coord", "value"]).where(F.col("rep") != F.col("hub.rep"))
-            .where(100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n")).where(agree >= MATCHES)
+            .where(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")).where(agree >= matches)
             .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct())
-    linked = keep(_confirmed(star, sets), "linked")
+    linked = keep(_confirmed(star, sets, percent), "linked")
     label = keep(components(linked), "labels")
 
     # second round: lists whose members are still apart
@@ -237,8 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = apart.agg(F.sum(F.col("length") * blocks)).first()[0] or 0
     buckets = max(1, -(-int(total) // (2 * BLOCK)))
     pairs = (rows.groupBy(F.pmod(F.xxhash64("key", "one", "two"), F.lit(buckets)).alias("bucket"))
-             .applyInPandas(_compare_lists, "a long, b long").distinct())
-    more = keep(_confirmed(pairs, sets), "linked")
+             .applyInPandas(_compare_lists(percent), "a long, b long").distinct())
+    more = keep(_confirmed(pairs, sets, percent), "linked")
     label = keep(components(linked.unionByName(more)), "labels")
     drop(lists, short, posted, sets, named, apart, linked, more)
 

@@ -56,6 +56,29 @@ def test_near_duplicates_are_those_of_brute_force(spark, seed):
     assert got == brute.near_duplicates(docs)
 
 
+def test_near_dedup_stage_links_at_80_percent(spark):
+    """Pairs of one changed word: n - 9 of n + 1 shingles are shared, 0.80 to 0.88."""
+    import corpus_pipeline as P
+
+    rng = random.Random(4)
+    docs = []
+    for k in range(40):
+        base = [f"v{k}x{i}" for i in range(rng.choice([48, 52, 58, 64, 80]))]
+        other = [f"new{k}" if i == 20 else w for i, w in enumerate(base)]
+        docs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    want, strict = brute.near_duplicates(docs, 80), brute.near_duplicates(docs)
+    assert want != strict
+    given = frame(spark, docs)
+    assert {r[0]: tuple(r)[1:] for r in minhash.near_duplicates(given, percent=80).collect()} == want
+    assert {r["doc_id"] for r in dict(P.STAGES)["near_dedup"](spark, given, SF).collect()} == {d for d, x in want.items() if x[2]}
+
+
+def test_thresholds_of_the_signatures():
+    assert minhash.least_equal(minhash.COORDS, 85, minhash.MISSED) == 10
+    assert minhash.least_equal(minhash.SKETCH, 85, minhash.SKETCH_MISSED) == 815
+    assert minhash.least_equal(minhash.COORDS, 80, minhash.MISSED) == 8
+
+
 def test_near_duplicates_on_the_given_documents(spark):
     docs = table(spark, SF, "documents")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
