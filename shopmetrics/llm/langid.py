@@ -83,8 +83,8 @@ def position_log_probs(model: dict, seq: np.ndarray, traces: tuple | None = None
     return logits - np.log(np.exp(logits).sum(axis=2, keepdims=True)), states
 
 
-def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 2) -> dict:
-    """Adam over batches of windows of one length; the loss is the cross-entropy of every position."""
+def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 2, weight: np.ndarray | None = None) -> dict:
+    """Adam over batches of windows of one length; the loss is the cross-entropy of every position, times its label's ``weight``."""
     rng = np.random.default_rng(seed)
     model = {"b": np.zeros(classes, np.float32), "w": rng.normal(0, 0.3, (2 * hidden, classes)).astype(np.float32)}
     for d in "01":
@@ -107,6 +107,8 @@ def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int =
             d = np.exp(logp)
             d[:, np.arange(len(y)), y] -= 1
             d /= d.shape[0] * d.shape[1]
+            if weight is not None:
+                d *= weight[y][:, None]
             flat = d.reshape(-1, classes)
             grad = {"w": states.reshape(-1, 2 * hidden).T @ flat, "b": flat.sum(axis=0)}
             ds = d @ model["w"].T
@@ -187,6 +189,16 @@ def _sample_windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["lang", "word"])
 
 
+def _balanced(labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """All windows, those of rarer languages again up to the commonest's number (in all twice the sample's bound at most), and a weight
+    of each language that makes its parts equal, so that a position's label carries no prior."""
+    rng = np.random.default_rng(22)
+    own = np.bincount(labels, minlength=classes)
+    each = np.maximum(own, min(own.max(), SAMPLE_DOCS * SAMPLE_WORDS // classes))
+    take = np.concatenate([np.resize(rng.permutation(np.flatnonzero(labels == k)), n) for k, n in enumerate(each)])
+    return take, (each.sum() / (classes * each)).astype(np.float32)
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[dict | None, list[str]]:
     """The model and its languages, from a sample (bounded by SAMPLE_*) of labelled rows outside the held-out fold."""
     learn = (docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & (F.length(F.trim(text_col)) > 0))
@@ -200,12 +212,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     classes = sorted(rows["lang"].unique().tolist())
     if not classes:
         return None, []
-    # equal parts of each language, so that a position's label carries no prior
-    most = rows["lang"].value_counts().min() if len(classes) > 1 else len(rows)
-    rng = np.random.default_rng(22)
-    take = np.concatenate([rng.permutation(g)[: max(most, 200)] for g in rows.groupby("lang").indices.values()])
+    labels = np.searchsorted(np.array(classes), rows["lang"].to_numpy(str))
+    take, weight = _balanced(labels, len(classes))
     windows = [bytes(w) for w in rows["word"].iloc[take]]
-    return train(windows, np.searchsorted(np.array(classes), rows["lang"].iloc[take].to_numpy(str)), len(classes)), classes
+    return train(windows, labels[take], len(classes), weight=weight), classes
 
 
 def identify(docs: DataFrame, model: dict | None, classes: list[str], text_col: str = "text", columns: list[str] | None = None) -> DataFrame:

@@ -49,6 +49,26 @@ def test_held_out_accuracy(spark):
     assert n > 150 and right / n > 0.97 and 0 <= low <= high <= 1
 
 
+def test_a_rare_label_takes_no_windows_from_others(monkeypatch):
+    labels = np.repeat([0, 1, 2], [9000, 7000, 1])
+    take, weight = langid._balanced(labels, 3)
+    assert set(take) == set(range(len(labels))) and (np.bincount(labels[take]) == 9000).all() and np.allclose(weight, 1)
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 100)
+    take, weight = langid._balanced(labels, 3)
+    n = np.bincount(labels[take])
+    assert set(take) == set(range(len(labels))) and n.tolist() == [9000, 7000, 2000] and np.allclose(n * weight, 6000)
+
+
+def test_a_rare_label_leaves_the_predictions_right(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    rare = spark.range(10_000_001, 10_000_006).select(F.col("id").alias("doc_id"), F.lit("saluton mondo").alias("text"), F.lit("eo").alias("lang"))
+    model, classes = langid.fit(docs.unionByName(rare))
+    assert "eo" in classes
+    n, right = langid.identify(docs, model, classes).where(langid.held_out() & F.col("lang").isNotNull()).agg(
+        F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int"))).first()
+    assert right / n > 0.97
+
+
 def test_language_inputs_and_edges(spark):
     docs = table(spark, SF, "documents").limit(400)
     model, classes = langid.fit(docs)
