@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmetrics.llm import capfilter, chat, htmltext, langid, minhash, mixing, packing, phrases, pseudolm, topk
+from shopmetrics.llm import audit, capfilter, chat, htmltext, importance, langid, licenses, minhash, mixing, packing, phrases, pseudolm, topk
 from shopmetrics.llm.oracle import ORACLE
 from shopmetrics.llm.store import on_workers, table
 
@@ -61,6 +61,18 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -81,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "op8_exact_top_k": _top_k,
         "op9_chat_format": _chat,
         "op10_html_text": _html,
+        "op11_license_scan": _licenses,
+        "op12_importance_resampling": _resampling,
+        "op13_filter_audit": _audit,
     }.items()}

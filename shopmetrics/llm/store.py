@@ -6,6 +6,7 @@ import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from shopmetrics.sources.tables import shared_dir
 
@@ -14,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def schema_with(df: DataFrame, more: str) -> StructType:
+    """The schema of ``df`` and the columns that the DDL text ``more`` adds."""
+    return StructType(df.schema.fields + StructType.fromDDL(more).fields)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh shared folder and read it back."""
     spark = df.sparkSession

@@ -111,4 +111,4 @@ def test_registered_queries():
     import __spark_entry__ as E
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.ORACLE) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
