@@ -168,10 +168,11 @@ def masks(docs: DataFrame, labels: DataFrame, part: str = "lang") -> DataFrame:
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.coalesce(F.bool_or(F.col("quality") == 1), F.lit(False)).alias("good"),
         F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
-    named = same.where("doc_id IS NOT NULL").join(marks, "doc_id", "left").select(
+    # rows without an id have no labels; their texts' hashes spread them over the join
+    spread = F.when(F.col("doc_id").isNull(), F.col("t1")).otherwise(0)
+    named = same.withColumn("salt", spread).join(marks.withColumn("salt", F.lit(0).cast("long")), ["doc_id", "salt"], "left").select(
         "doc_id", *kind, "n", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
-    nameless = same.where("doc_id IS NULL").select("doc_id", *kind, "n", F.lit(False).alias("good"), F.lit(False).alias("toxic"))
-    copies = named.unionByName(nameless).groupBy(*kind, "good", "toxic").agg(
+    copies = named.groupBy(*kind, "good", "toxic").agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("nameless"),
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("least"))
     lowest = F.min("least.doc_id").over(Window.partitionBy("t1", "t2"))
