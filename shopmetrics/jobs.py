@@ -26,6 +26,7 @@ from .operators import fingerprint as FP
 from .operators import lookup as LK
 from .operators import model as ML
 from .plans import medallion as MD
+from .plans.incremental import refresh_now, start_refresh_stream
 from .plans.refresh import LakePaths, refresh_tables
 from .sources import ingest as IN
 from .sources import tables as TB
@@ -49,7 +50,13 @@ def cmd_publish(spark: SparkSession, a) -> None:
 
 
 def cmd_refresh(spark: SparkSession, a) -> None:
-    refresh_tables(spark, _paths(a.root))
+    paths = _paths(a.root)
+    if a.continuous:
+        start_refresh_stream(spark, paths, available_now=False, processing_time=a.trigger).awaitTermination()
+    elif a.incremental:
+        refresh_now(spark, paths)
+    else:
+        refresh_tables(spark, paths)
 
 
 def cmd_ingest(spark: SparkSession, a) -> None:
@@ -63,7 +70,7 @@ def cmd_ingest(spark: SparkSession, a) -> None:
     else:
         records = ST.read_message_stream(spark, path=a.messages, max_per_trigger=a.max_per_trigger, keep_rejected=True)
     q = ST.start_bronze_stream(records, paths, a.checkpoint or f"{a.root.rstrip('/')}/_checkpoint",
-                               refresh=a.refresh, available_now=not a.continuous,
+                               refresh=None if a.refresh == "none" else a.refresh, available_now=not a.continuous,
                                processing_time=a.trigger)
     q.awaitTermination()
 
@@ -166,6 +173,9 @@ def parser() -> argparse.ArgumentParser:
     dst.add_argument("--kafka", help="bootstrap-servers/topic")
     r = sub.add_parser("refresh")
     r.add_argument("--root", required=True)
+    r.add_argument("--incremental", action="store_true", help="what bronze has gained since the last such run, not the whole of it")
+    r.add_argument("--continuous", action="store_true", help="incremental, and keep running: one such job per lake")
+    r.add_argument("--trigger", default="10 seconds")
     i = sub.add_parser("ingest")
     i.add_argument("--root", required=True)
     src = i.add_mutually_exclusive_group(required=True)
@@ -173,7 +183,8 @@ def parser() -> argparse.ArgumentParser:
     src.add_argument("--messages")
     src.add_argument("--kafka", help="bootstrap-servers/topic")
     i.add_argument("--checkpoint")
-    i.add_argument("--refresh", choices=["full", "incremental"], default="incremental")
+    i.add_argument("--refresh", choices=["full", "incremental", "none"], default="incremental",
+                   help="none: only append (several ingest jobs beside one 'refresh --continuous')")
     i.add_argument("--max-per-trigger", type=int, dest="max_per_trigger")
     i.add_argument("--continuous", action="store_true", help="keep running with a processing-time trigger")
     i.add_argument("--trigger", default="10 seconds")

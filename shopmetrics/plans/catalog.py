@@ -20,6 +20,7 @@ from ..sources import fixture as FX
 from ..sources import ingest as IN
 from ..sources import tables as TB
 from ..streaming import stream as ST
+from . import incremental as INC
 from . import refresh as RF
 from . import medallion as MD
 
@@ -301,10 +302,64 @@ def q_stream_gold_refresh(spark, sf_dir):
 
 
 def q_stream_gold_incremental(spark, sf_dir):
-    paths = _run_stream(spark, sf_dir, refresh="incremental")
+    """Messages to bronze, and the lake's refresh query over bronze in a few micro-batches."""
+    paths = _run_stream(spark, sf_dir, refresh=None)
+    INC.refresh_now(spark, paths, max_files_per_trigger=4, state_partitions=8)
     return TB.read_gold(spark, paths.gold, "revenue_per_category")
 
 
+def _batched_lake(spark, sf_dir, batches) -> tuple[RF.LakePaths, list]:
+    """A lake whose bronze grows by one batch of the fixture after the other, each followed by the incremental refresh;
+    with it the folders that the last batch touched."""
+    _, paths, _ = ST.stream_dirs(spark, "batches")
+    touched = []
+    for k, where in enumerate(batches):
+        ST.append_batch(FX.drop_tie_break(bronze(spark, sf_dir).where(where)), k, paths.bronze, "fixture")
+        touched = INC.refresh_now(spark, paths, state_partitions=8)
+    return paths, touched[-1] if touched else []
+
+
+_lakes: dict[tuple, RF.LakePaths] = {}
+
+
+def _three_batch_lake(spark, sf_dir) -> RF.LakePaths:
+    """The lake after ``THREE_BATCHES``: made once in an application, for the queries that look at different tables of it."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _lakes or not INC.exists(spark, _lakes[at].scaling):
+        _lakes[at] = _batched_lake(spark, sf_dir, THREE_BATCHES)[0]
+    return _lakes[at]
+
+
+#: Products recur in all three, so most of them change their record and many their month.
+THREE_BATCHES = ["l_linenumber IN (1, 4)", "l_linenumber IN (2, 5, 7)", "l_linenumber IN (3, 6)"]
+#: The second batch holds the last months alone.
+LAST_MONTHS = "1998-10-01"
+
+
+def q_stream_silver_incremental(spark, sf_dir):
+    """Silver by folder after three batches."""
+    return INC.read_silver(spark, _three_batch_lake(spark, sf_dir).silver)
+
+
+def q_stream_silver_touched(spark, sf_dir):
+    """The folders that the second of two batches has rewritten or removed, with the rows that silver now has in them."""
+    paths, folders = _batched_lake(spark, sf_dir, [f"ProcessedTimestamp < '{LAST_MONTHS}'", f"ProcessedTimestamp >= '{LAST_MONTHS}'"])
+    touched = spark.createDataFrame(folders, "Year int, Month int").select("Year", "Month", F.lit(0).cast("long").alias("one"))
+    now = INC.read_silver(spark, paths.silver).where(INC.in_folders(folders)).select("Year", "Month", F.lit(1).cast("long").alias("one"))
+    return touched.unionByName(now).groupBy("Year", "Month").agg(F.sum("one").alias("rows"))
+
+
+def q_stream_silver_scaled(spark, sf_dir):
+    """Scaled columns by the stored divisors, which three batches have merged."""
+    vectors = INC.scaled_silver(spark, _three_batch_lake(spark, sf_dir))
+    return vectors.select("ProductID", *(F.col("scaled_features")[i].alias(f"scaled_{c}") for i, c in enumerate(S.SCALED_COLUMNS)))
+
+
+def q_stream_gold_partials(spark, sf_dir):
+    """All six gold tables as merged from the partial aggregates after three batches."""
+    return gold_cells(spark, _three_batch_lake(spark, sf_dir).gold)
+
+
 STREAM_STAMP = "2024-01-01T00:00:00"
 
 
@@ -461,6 +516,10 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_append": q_stream_bronze_append,
     "stream_gold_refresh": q_stream_gold_refresh,
     "stream_gold_incremental": q_stream_gold_incremental,
+    "stream_silver_incremental": q_stream_silver_incremental,
+    "stream_silver_touched": q_stream_silver_touched,
+    "stream_silver_scaled": q_stream_silver_scaled,
+    "stream_gold_partials": q_stream_gold_partials,
     "stream_csv_bronze": q_stream_csv_bronze,
     "table_silver_roundtrip": q_table_silver_roundtrip,
     "table_gold_roundtrip": q_table_gold_roundtrip,

@@ -123,6 +123,24 @@ _GOLD_ALL = _cells(O.gold_cte(names=O.GOLD_COLUMNS))
 _STREAM_GOLD_ALL = _cells("WITH " + ",\n".join([O.bronze_cte(tie_break=False), O.DEDUP_GENERIC, O.SILVER_CTE, O.STATS_CTE,
                                                *(f"g_{t} AS ({O.GOLD_SELECT[t]})" for t in O.GOLD_COLUMNS)]))
 
+_STREAM_CTES = "WITH " + ",\n".join([O.bronze_cte(tie_break=False), O.DEDUP_GENERIC, O.SILVER_CTE])
+_STREAM_SILVER = _STREAM_CTES + "\nSELECT * FROM silver"
+_STREAM_SCALED = _STREAM_CTES + _SCALED[len(O.with_silver()):]
+
+# Silver of the first batch alone beside the whole one: where the products of the second batch were, and where they are.
+_STREAM_TOUCHED = _STREAM_CTES + ",\n" + ",\n".join([
+    "bronze_1 AS (SELECT * FROM bronze WHERE ProcessedTimestamp < '1998-10-01')",
+    O.DEDUP_GENERIC.replace("dedup AS", "dedup_1 AS", 1).replace("FROM bronze)", "FROM bronze_1)"),
+    O.SILVER_CTE.replace("typed AS", "typed_1 AS", 1).replace("FROM dedup)", "FROM dedup_1)")
+        .replace("silver AS", "silver_1 AS", 1).replace("FROM typed)", "FROM typed_1)")]) + """,
+ids AS (SELECT DISTINCT ProductID FROM bronze WHERE ProcessedTimestamp >= '1998-10-01'),
+touched AS (
+  SELECT Year, Month FROM silver_1 WHERE ProductID IN (SELECT ProductID FROM ids)
+  UNION SELECT Year, Month FROM silver WHERE ProductID IN (SELECT ProductID FROM ids))
+SELECT t.Year, t.Month, count(s.ProductID) AS "rows"
+FROM touched t LEFT JOIN silver s ON t.Year IS NOT DISTINCT FROM s.Year AND t.Month IS NOT DISTINCT FROM s.Month
+GROUP BY t.Year, t.Month"""
+
 _JSON_REJECTED = """
 SELECT CASE l_linenumber WHEN 3 THEN '{"ProductName":"' || l_orderkey || '-' || l_linenumber
             ELSE '{"ProductID":"' || l_orderkey || '-' || l_linenumber || '"}' END AS value, 'message' AS RejectReason
@@ -250,6 +268,10 @@ ORACLE: dict[str, str] = {
     "stream_bronze_append": _BRONZE,
     "stream_gold_refresh": _STREAM_REVENUE,
     "stream_gold_incremental": _STREAM_REVENUE,
+    "stream_silver_incremental": _STREAM_SILVER,
+    "stream_silver_touched": _STREAM_TOUCHED,
+    "stream_silver_scaled": _STREAM_SCALED,
+    "stream_gold_partials": _STREAM_GOLD_ALL,
     "stream_csv_bronze": _STREAM_CSV,
     "table_silver_roundtrip": _SILVER,
     "table_gold_roundtrip": O.gold_sql("revenue_per_category"),

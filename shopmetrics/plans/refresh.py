@@ -1,15 +1,12 @@
-"""Rebuild silver and gold from the bronze table (the per-batch refresh of the ingest stream)."""
+"""Rebuild silver and gold from the whole bronze table (``incremental`` does it for what a batch changed)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import silver as SV
@@ -27,10 +24,17 @@ class LakePaths:
     gold: str
     state: str = ""
     rejected: str = ""
+    partials: str = ""
+    scaling: str = ""
 
     @classmethod
     def under(cls, root: str) -> "LakePaths":
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/latest", f"{root}/rejected")
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/refresh", f"{root}/rejected", f"{root}/partials", f"{root}/scaling")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same after a restart, another for another checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]  # one row
 
 
 def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -68,101 +72,6 @@ def publish_tables(spark: SparkSession, paths: LakePaths, silver: DataFrame, key
     return TB.write_gold(gold, paths.gold, formats=tuple(formats), replace=True)
 
 
-# The state of the incremental refresh is a log of commits: ``<root>/commits/<n>`` is a small file that
-# names the data folder of version n. It is created without overwriting, so of two writers that
-# built on the same version one succeeds and the other merges again on top of it.
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def commits(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(version, data folder) of every committed version, oldest first."""
-    fs, path = _fs(spark, f"{root}/commits")
-    if not fs.exists(path):
-        return []
-    names = [st.getPath().getName().split("-", 1) for st in fs.listStatus(path)]
-    return sorted((int(n), f"{root}/data-{data}") for n, data in names)
-
-
-def _commit(spark: SparkSession, root: str, version: int, data: str) -> bool:
-    """Claim a version for a data folder; False if another writer has it."""
-    fs, claim = _fs(spark, f"{root}/claims/{version}")
-    try:
-        fs.create(claim, False).close()
-    except Py4JJavaError as e:
-        if fs.exists(claim):
-            return False
-        raise e
-    fs.create(_fs(spark, f"{root}/commits/{version}-{data}")[1], False).close()
-    return True
-
-
-def latest_state(spark: SparkSession, paths: LakePaths, fmt: str = "parquet") -> DataFrame | None:
-    """The newest committed latest-record-per-product table."""
-    done = commits(spark, paths.state)
-    return TB.read_table(spark, done[-1][1], fmt=fmt) if done else None
-
-
-def merge_latest(prev: DataFrame | None, batch: DataFrame, order: Sequence[str] | None = None,
-                 key: str = "ProductID") -> DataFrame:
-    """New latest-record-per-product state from the previous state and one batch of raw records.
-
-    Only products present in the batch are re-decided (``max`` is associative, so this equals a
-    dedupe over the whole history); the others are carried over by an anti-join on the batch's
-    keys. The batch-key side is small per micro-batch, so AQE can broadcast it; otherwise it is a
-    shuffle join, never a collect.
-    """
-    batch = batch.select(*S.BRONZE_COLUMNS)
-    if prev is None:
-        return SV.latest_per_product(batch, key=key, order=order)
-    prev = prev.select(*S.BRONZE_COLUMNS)
-    touched = batch.select(F.col(key).alias("_touched")).distinct()
-    cond = prev[key].eqNullSafe(touched["_touched"])
-    keep = prev.join(touched, cond, "left_anti")
-    redo = SV.latest_per_product(prev.join(touched, cond, "left_semi").unionByName(batch), key=key, order=order)
-    return keep.unionByName(redo)
-
-
-def drop_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
-    """Delete all but the newest ``keep`` committed versions, in order of commit; returns the deleted ones."""
-    done = commits(spark, root)
-    old = done[:-keep] if keep > 0 else []
-    for version, data in old:
-        fs, path = _fs(spark, f"{root}/commits/{version}-{data.rsplit('/data-', 1)[1]}")
-        fs.delete(path, False)
-        fs.delete(_fs(spark, data)[1], True)
-    return [version for version, _ in old]
-
-
-def refresh_incremental(spark: SparkSession, paths: LakePaths, batch: DataFrame, keys: Sequence[str] = ("Category",),
-                        order: Sequence[str] | None = None, formats: Sequence[str] = ("parquet",),
-                        keep_versions: int = 2) -> dict[str, str]:
-    """Per-batch refresh whose cost grows with the number of products, not with bronze history.
-
-    The state (raw latest record per product) is merged from its newest committed version, whichever
-    stream wrote that. A merge keeps each product's greatest record, so a replayed batch changes
-    nothing. Silver and gold are then rebuilt from the new state.
-    """
-    while True:
-        done = commits(spark, paths.state)
-        prev = TB.read_table(spark, done[-1][1]) if done else None
-        data = uuid.uuid4().hex
-        path = f"{paths.state}/data-{data}"
-        TB.write_table(merge_latest(prev, batch, order), path)
-        if _commit(spark, paths.state, done[-1][0] + 1 if done else 0, data):
-            break
-        fs, lost = _fs(spark, path)
-        fs.delete(lost, True)
-    state = TB.read_table(spark, path)
-    written = publish_tables(spark, paths, SV.scale_columns(SV.clean_products(state), vectors=True), keys, formats)
-    if keep_versions:
-        drop_old_versions(spark, paths.state, keep_versions)
-    return written
-
-
 def compact_bronze(spark: SparkSession, path: str, target: str) -> None:
     """Bronze with few, even files: all its rows rewritten under ``target`` (for a lake whose streams are stopped)."""
     read_bronze(spark, path).hint("rebalance").write.mode("errorifexists").parquet(target)

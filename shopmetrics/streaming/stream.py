@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schema as S
 from ..sources import ingest as IN
 from ..sources import tables as TB
-from ..plans.refresh import BATCH_COLUMN, STREAM_COLUMN, LakePaths, read_bronze, refresh_incremental, refresh_tables
+from ..plans.incremental import refresh_now
+from ..plans.refresh import BATCH_COLUMN, STREAM_COLUMN, LakePaths, refresh_tables, stream_id
 
 
 def read_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
@@ -55,11 +56,6 @@ def read_message_stream(spark: SparkSession, path: str | None = None, kafka: dic
     return IN.tag_messages(values) if keep_rejected else IN.decode_messages(values)
 
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark keeps in a stream's checkpoint: the same after a restart, another for another checkpoint."""
-    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]  # one row
-
-
 def append_batch(batch: DataFrame, batch_id: int, path: str, stream: str = "batch") -> None:
     """Idempotent append: each micro-batch owns the partition of its stream and batch id, written with
     dynamic partition overwrite, so a replayed batch (after a failure) replaces itself, and never
@@ -75,8 +71,8 @@ def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: st
     """The ``foreachBatch`` body: append to bronze, then rebuild silver and gold.
 
     ``refresh="full"`` recomputes from the whole bronze history (the reference's behaviour);
-    ``"incremental"`` merges the batch into the latest-per-product state, so the cost of a batch
-    grows with the number of products instead of with history; ``None`` only appends. Rows with a
+    ``"incremental"`` runs the lake's refresh query over what bronze has gained (see ``plans.incremental``): for one stream
+    at a time; where several append at once, give them ``None``, which only appends, and start one refresh query. Rows with a
     ``RejectReason`` go to the rejected table. A batch without a valid row changes no other table.
     """
     if refresh not in ("full", "incremental", None):
@@ -94,8 +90,7 @@ def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: st
     if refresh == "full":
         refresh_tables(spark, paths)
     else:
-        # merge what was just stored rather than evaluate the micro-batch (e.g. a Kafka read) again
-        refresh_incremental(spark, paths, read_bronze(spark, here))
+        refresh_now(spark, paths)
 
 
 def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, refresh: str | bool | None = None,

@@ -2,9 +2,13 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shopmetrics import schema as S
+from shopmetrics.operators import gold as G
+from shopmetrics.operators import partials as PT
 from shopmetrics.operators import silver as SV
-from shopmetrics.plans import refresh as RF
+from shopmetrics.plans import incremental as INC
 from shopmetrics.plans.refresh import LakePaths, read_bronze
 from shopmetrics.sources import ingest as IN
 from shopmetrics.sources import tables as TB
@@ -85,22 +89,124 @@ def test_missing_table_error(spark, workdir):
         TB.read_table(spark, f"{workdir}/nothing", fmt=("delta", "parquet"))
 
 
+def _bronze_batches(spark, paths, batches, **options):
+    """Append each batch to bronze and run the refresh query after it; the folders that each run touched."""
+    out = []
+    for k, b in enumerate(batches):
+        ST.append_batch(b, k, paths.bronze, "test")
+        out.append(INC.refresh_now(spark, paths, state_partitions=2, **options))
+    return out
+
+
+def _same_as_full(spark, paths, recs):
+    """Silver, its vectors and all gold tables against the batch code over all records."""
+    full = SV.clean_products(SV.latest_per_product(recs))
+    stored = INC.read_silver(spark, paths.silver)
+    assert sorted(rows(stored.select(*full.columns)), key=str) == sorted(rows(full), key=str)
+    near = lambda v: [None if x is None else round(x, 9) for x in v]
+    vectors = lambda df: sorted((r.ProductID, near(r.features), near(r.scaled_features)) for r in df.collect())
+    assert vectors(INC.scaled_silver(spark, paths)) == vectors(SV.scale_columns(full, vectors=True))
+    for name, table in G.gold_tables(full).items():
+        got, want = ([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()]
+                     for df in (TB.read_gold(spark, paths.gold, name), table))
+        assert sorted(got, key=str) == sorted(want, key=str), name
+
+
 def test_incremental_refresh_equals_full(spark, workdir):
-    from pyspark.sql import functions as F
-    from shopmetrics.plans import refresh as RF
-    from shopmetrics.operators import silver as SV
     recs = _records(spark, 90)
     batches = [recs.where(F.col("NumReviews") % 3 == k) for k in range(3)]  # products recur across batches
-    paths = RF.LakePaths.under(f"{workdir}/inc")
-    for b in batches:
-        RF.refresh_incremental(spark, paths, b)
-    RF.refresh_incremental(spark, paths, batches[2])  # a replayed batch changes nothing
-    assert [v for v, _ in RF.commits(spark, paths.state)] == [2, 3]       # retention keeps the newest two
-    state = RF.latest_state(spark, paths)
-    assert sorted(rows(state)) == sorted(rows(SV.latest_per_product(recs)))
+    paths = LakePaths.under(f"{workdir}/inc")
+    _bronze_batches(spark, paths, batches)
+    _same_as_full(spark, paths, recs)
+    assert INC.refresh_now(spark, paths) == []  # nothing new: no micro-batch
+    ST.append_batch(batches[2], 7, paths.bronze, "again")  # records that are there already change nothing
+    INC.refresh_now(spark, paths)
+    _same_as_full(spark, paths, recs)
+    assert not os.listdir(f"{paths.state}/staged".replace("file:", ""))  # staging goes when it has been published
+
+
+def _product(spark, number, day, price=5.0, stamp="2024-06-01T00:00:00", category="c"):
+    return spark.createDataFrame([(number, "p", category, price, 4.0, 3, 3, 2.0, 10, day, "X", True, stamp)], S.BRONZE_SCHEMA)
+
+
+def test_a_change_rewrites_the_folders_it_touches(spark, workdir):
+    """A product that changes its month leaves the old folder; no other folder's files are written again."""
+    paths = LakePaths.under(f"{workdir}/lake")
+    first = _records(spark, 60).unionByName(_product(spark, 500, "2020-02-02")).unionByName(_product(spark, 501, None))
+    moved = _product(spark, 500, "2024-03-09", stamp="2024-07-01T00:00:00")
+    (all_,), = _bronze_batches(spark, paths, [first])
+    assert (2020, 2) in all_ and (None, None) in all_
+
+    def files(root):
+        d = root.replace("file:", "")
+        return {f"{os.path.relpath(p, d)}/{n}" for p, _, names in os.walk(d) for n in names if n.endswith(".parquet")}
+
+    roots = [paths.silver, f"{paths.partials}/by_key", f"{paths.partials}/by_price"]
+    before = [files(r) for r in roots]
+    ST.append_batch(moved, 1, paths.bronze, "test")
+    (folders,) = INC.refresh_now(spark, paths)
+    assert folders == [(2020, 2), (2024, 3)]
+    for r, old in zip(roots, before):
+        now = files(r)
+        assert not any("Year=2020/Month=2/" in f for f in now)  # its last row has left
+        assert {f for f in old ^ now if "Year=2024/Month=3/" not in f and "Year=2020/Month=2/" not in f} == set()
+    _same_as_full(spark, paths, first.unionByName(moved))
+    plan = INC.rewritten(INC.read_silver(spark, paths.silver), INC.read_silver(spark, paths.silver).limit(1), folders)
+    scan = [x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x][0]
+    assert "Year" in scan.split("PartitionFilters: ")[1].split("]")[0]  # other folders are not read
+
+
+@pytest.mark.parametrize("step", ["staged", "silver", "partials", "gold"])
+def test_a_run_killed_between_two_writes_is_made_good(spark, workdir, monkeypatch, step):
+    recs = _records(spark, 90)
+    batches = [recs.where(F.col("NumReviews") % 2 == k) for k in range(2)]
+    paths = LakePaths.under(f"{workdir}/lake")
+    _bronze_batches(spark, paths, batches[:1])
+    replace, publish, calls = INC.replace_folders, INC.publish, []
+
+    def killed(*a, **kw):
+        raise RuntimeError("killed")
+
+    def replace_some(df, path, emptied):
+        if step == "staged" or (step == "silver" and path != paths.silver):
+            killed()
+        replace(df, path, emptied)
+        if step == "silver":  # the worst that a killed overwrite leaves: folders removed and their new files not yet there
+            for folder in calls:
+                TB.remove(spark, INC.folder_path(path, folder))
+
+    touched = INC.touched_folders
+    monkeypatch.setattr(INC, "touched_folders", lambda *a: calls.extend(touched(*a)) or list(calls))
+    monkeypatch.setattr(INC, "replace_folders", replace_some)
+    if step != "staged":
+        monkeypatch.setattr(INC, "publish", killed if step == "partials" else (lambda *a, **kw: (publish(*a, **kw), killed())))
+    ST.append_batch(batches[1], 1, paths.bronze, "test")
+    with pytest.raises(Exception, match="killed"):
+        INC.refresh_now(spark, paths)
+    monkeypatch.undo()
+    INC.refresh_now(spark, paths)
+    _same_as_full(spark, paths, recs)
+
+
+def test_odd_values_merge_as_in_one_pass(spark, workdir):
+    """Constant columns, nulls, values that no decimal carries, one-row groups, a null category, a rounding tie."""
+    def rec(i, cat, price, rating, sales, disc, day):
+        return (i, "p", cat, price, rating, 7, 3, sales, disc, day, "X", True, "2024-01-01T00:00:00")
+    data = [rec(i, "const", 0.1, 3.3, 1.05 + i % 2, 5, f"2024-0{1 + i % 7}-01") for i in range(21)] + \
+        [rec(100, None, None, None, None, None, None), rec(101, "one", 2.5, 2.0, 4.0, 0, "2023-01-01"),
+         rec(102, "nan", 3.0, 2.0, float("nan"), 0, "2023-01-01"), rec(103, "nan", 4.0, 5.0, 1e30, 3, "2023-02-01"),
+         rec(104, "tie", 4.0, 5.0, 2.34, 3, "2023-02-01"), rec(105, "tie", 4.0, 5.0, 2.35, 3, "2023-03-01"), rec(106, "tie", 9.0, 1.0, 2.345, 0, "2023-03-01")]
+    recs = spark.createDataFrame(data, S.BRONZE_SCHEMA)
     full = SV.clean_products(SV.latest_per_product(recs))
-    silver = TB.read_table(spark, paths.silver).select(*full.columns)
-    assert sorted(rows(silver), key=str) == sorted(rows(full), key=str)
+    stored, by_price = PT.partials(full), PT.price_partials(full)
+    merged, want = PT.gold_from_partials(stored, by_price), G.gold_tables(full)
+    for name in S.GOLD_TABLES:
+        got, one = (sorted(([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in t.collect()]), key=str) for t in (merged[name], want[name]))
+        assert str(got) == str(one), name
+    same = full.where("Category = 'CONST'")
+    r = PT.scaling_from_partials(PT.partials(same)).first()
+    assert r["n_Price"] == 21 and r["sd_Price"] == 0.0 and r["sd_Sales"] > 0
+    assert PT.scaling_from_partials(PT.partials(full.limit(0))).first()["n_Price"] == 0
 
 
 def test_observed_reject_counts(spark):
@@ -169,16 +275,27 @@ def test_two_streams_append_to_one_lake(spark, workdir, refresh):
 
 
 def test_a_lost_checkpoint_loses_nothing(spark, workdir):
-    """The source is read again under a new stream id: bronze keeps what was there, the state is unchanged."""
+    """The source is read again under a new stream id: bronze keeps what was there, silver and gold are unchanged. The same
+    for the refresh query: under a new checkpoint it reads all of bronze again."""
     recs = _records(spark, 40)
     paths = _one_stream(spark, recs, workdir, "a", "incremental")
-    before = sorted(rows(RF.latest_state(spark, paths)))
     q = ST.start_bronze_stream(ST.read_message_stream(spark, path=f"{workdir}/in-a"), paths, f"{workdir}/another",
                                refresh="incremental", keep_existing_stamp=True)
     q.awaitTermination()
     assert q.exception() is None
     assert read_bronze(spark, paths.bronze).distinct().count() == 40 and read_bronze(spark, paths.bronze).count() == 80
-    assert sorted(rows(RF.latest_state(spark, paths))) == before
+    _same_as_full(spark, paths, recs)
+    INC.refresh_now(spark, paths, checkpoint=f"{workdir}/third", state_partitions=2)
+    _same_as_full(spark, paths, recs)
+
+
+def test_several_streams_and_one_refresh_query(spark, workdir):
+    """Two sources append side by side; one query takes in what both have gained, in micro-batches of one file."""
+    recs = _records(spark, 45)
+    _one_stream(spark, recs.where("NumReviews < 30"), workdir, "a", None, files=2)
+    paths = _one_stream(spark, recs.where("NumReviews >= 30"), workdir, "b", None)
+    assert len(INC.refresh_now(spark, paths, max_files_per_trigger=1, state_partitions=2)) >= 2
+    _same_as_full(spark, paths, recs)
 
 
 @pytest.mark.parametrize("refresh", ["full", "incremental"])
@@ -205,25 +322,6 @@ def test_a_batch_without_a_valid_row_does_no_harm(spark, workdir, refresh):
     assert sorted(r.ProductID for r in spark.read.parquet(paths.rejected).collect()) == [1, 3]
 
 
-def test_two_writers_of_one_version_both_count(spark, workdir, monkeypatch):
-    """A writer that finds its version taken merges again on top of the other's."""
-    recs = _records(spark, 26)
-    paths = LakePaths.under(f"{workdir}/lake")
-    RF.refresh_incremental(spark, paths, recs.where("ProductID < 4"))
-    merge, late = RF.merge_latest, []
-
-    def slow(prev, batch, *a, **kw):
-        out = merge(prev, batch, *a, **kw)
-        if not late:  # while the first writer merges, a second one commits
-            late.append(True)
-            RF.refresh_incremental(spark, paths, recs.where("ProductID BETWEEN 4 AND 8"))
-        return out
-
-    monkeypatch.setattr(RF, "merge_latest", slow)
-    RF.refresh_incremental(spark, paths, recs.where("ProductID > 8"))
-    assert sorted(rows(RF.latest_state(spark, paths))) == sorted(rows(SV.latest_per_product(recs)))
-
-
 def test_malformed_messages_are_rejected(spark, workdir):
     values = ['{"ProductID":1}', "not json", '{"ProductID":"x"}', "", None, "[1]", "{}"]
     valid, bad = IN.split_messages(spark.createDataFrame([(v,) for v in values], "value string"))
