@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmetrics.llm import langid, minhash, mixing, packing, phrases
@@ -28,14 +28,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near copies, and one row of an id that repeats. Rows with a null id stay."""
+    """Keeps one row of each group of near copies, of the smallest doc_id. Rows are what is grouped: one that repeats an id with another
+    text stays or goes by its own group. Of rows that repeat an id and text one stays (the least by the other columns), of texts
+    without words too. Rows with a null id stay."""
     on_workers(spark)
-    groups = keep(minhash.near_duplicates(docs, percent=LEAST_SIMILAR), "groups")
-    out = docs.join(groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti")
-    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        out = out.withColumn("nth", one).where("nth = 1 OR doc_id IS NULL")
-    return out.select(*docs.columns)
+    groups = keep(minhash.grouped_rows(docs, percent=LEAST_SIMILAR), "groups")
+    empty = [F.when(F.col("n_shingles") == 0, F.col(c)).alias(f"empty_{c}") for c in minhash.ROW]
+    chosen = (groups.where("kept").groupBy("group", *empty).agg(F.min(F.struct(*minhash.ROW)).alias("row"))
+              .select(*(F.col(f"row.{c}").alias(f"_{c}") for c in minhash.ROW)))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit(13), "text").alias("_t2"),
+        F.struct("doc_id", *rest, "text").alias("_row"))
+    # equal rows meet in the map tasks first; the join then finds them where they are
+    key = [f"_{c}" for c in minhash.ROW]
+    once = keyed.groupBy(*key).agg(F.min("_row").alias("_row"))
+    return once.join(chosen, key).select("_row.*").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ each (coordinate, value); two texts collide once for each list they share.
   documents) are skipped and only compared on the signatures.
 * In a first round each list links its members to one hub, which joins the core of a group of
   copies by as many pairs as members. In a second round, only lists whose members are still in
-  different components compare all their members, in blocks of bounded size inside tasks, on signatures,
-  sizes, a sketch of ``SKETCH`` more minima and halved hashes of the sets; what passes is confirmed on the full sets.
+  different components compare their members, in blocks of bounded size inside tasks, on signatures,
+  sizes, a sketch of ``SKETCH`` more minima and the full sets. A task joins what it has linked and passes over pairs that are
+  joined already: it writes a forest, never a group's pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmetrics.llm import text as X
@@ -34,6 +35,10 @@ COORDS, MISSED = 24, 1.5e-7
 #: Minima of the second sketch (a byte each).
 SKETCH, SKETCH_MISSED = 1024, 1.4e-6
 BLOCK = 512
+#: Shingles of a bucket of list blocks, at the mean (8 bytes each).
+BUCKET_SHINGLES = 1 << 22
+#: A row: its id and its text's key.
+ROW = ["doc_id", "t1", "t2"]
 
 _R = np.random.default_rng(85)
 _XOR = _R.integers(0, 2**63, COORDS + SKETCH, dtype=np.uint64)
@@ -71,26 +76,22 @@ def _minima(flat: np.ndarray, begins: np.ndarray, which: range) -> np.ndarray:
     return np.stack([np.minimum.reduceat((flat ^ _XOR[k]) * _MUL[k], begins) for k in which], axis=1)
 
 
-def _signatures(id_col: str, text_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(id_col)
-            buf, offsets = X.byte_column(batch.column(text_col))
-            part: list[tuple[int, np.ndarray]] = []
-            size = 0
-            for row, s in shingle_sets(buf, offsets):
-                part.append((row, s))
-                size += len(s)
-                if size > 1 << 18:
-                    yield _signature_batch(ids, part)
-                    part, size = [], 0
-            if part:
-                yield _signature_batch(ids, part)
-
-    return run
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        buf, offsets = X.byte_column(batch.column("text"))
+        part: list[tuple[int, np.ndarray]] = []
+        size = 0
+        for row, s in shingle_sets(buf, offsets):
+            part.append((row, s))
+            size += len(s)
+            if size > 1 << 18:
+                yield _signature_batch(batch, part)
+                part, size = [], 0
+        if part:
+            yield _signature_batch(batch, part)
 
 
-def _signature_batch(ids: pa.Array, part: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+def _signature_batch(batch: pa.RecordBatch, part: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     n = np.array([len(s) for _, s in part])
     sig = np.zeros((len(part), COORDS), np.int32)
     a, b = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
@@ -104,8 +105,8 @@ def _signature_batch(ids: pa.Array, part: list[tuple[int, np.ndarray]]) -> pa.Re
     rows = pa.array([r for r, _ in part])
     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * COORDS), pa.array(sig.ravel()))
     return pa.RecordBatch.from_arrays(
-        [ids.take(rows).cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(a), pa.array(b), lists],
-        names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
+        [*(batch.column(c).take(rows) for c in ROW), pa.array(n.astype(np.int64)), pa.array(a), pa.array(b), lists],
+        names=[*ROW, "n_shingles", "set_a", "set_b", "sig"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +146,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
 
 
-def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sets may reach the similarity, by half of each hash: two shingles in doubt, which the full sets settle."""
-    both = len(np.intersect1d(x, y)) + 2
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
@@ -155,23 +155,26 @@ def _compare_lists(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     matches, sketch_least = least_equal(COORDS, percent, MISSED), least_equal(SKETCH, percent, SKETCH_MISSED)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of one bucket of list blocks that may be links and are not in one component yet."""
-        found: list[np.ndarray] = []
+        """Links of one bucket of list blocks, confirmed on the full sets: a forest. A pair that earlier links of the bucket have
+        joined is not looked at again, so a bucket writes fewer links than it has members, however many pairs would be links."""
+        found: list[tuple[int, int]] = []
         frame = frame.sort_values(["key", "one", "two"], kind="stable").reset_index(drop=True)
         same = (frame[["key", "one", "two"]].diff() == 0).all(axis=1).to_numpy()
         cuts = np.append(np.flatnonzero(~same), len(frame))
         sigs = np.stack(frame["sig"].to_numpy()).astype(np.int32)
         sketch = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
-        halves = frame["half"].to_numpy()
-        rep, label, size = (frame[c].to_numpy() for c in ("rep", "label", "n"))
+        sets = frame["shingles"].to_numpy()
+        rep, size = (frame[c].to_numpy() for c in ("rep", "n"))
         block, coord, posted = frame["block"].to_numpy(), frame["coord"].to_numpy(), frame["posted"].to_numpy()
+        known, code = np.unique(frame["label"].to_numpy(), return_inverse=True)
+        root = np.arange(len(known))  # of each label: the set it is in by now
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             one, two = frame["one"].iat[lo], frame["two"].iat[lo]
             rows = np.arange(lo, hi)
             left, right = rows[block[lo:hi] == one], rows[block[lo:hi] == two]
             for at in range(0, len(left), 64):
                 p = left[at : at + 64]
-                ok = (label[p][:, None] != label[right][None]) & (
+                ok = (root[code[p]][:, None] != root[code[right]][None]) & (
                     100 * np.minimum(size[p][:, None], size[right][None]) >= percent * np.maximum(size[p][:, None], size[right][None]))
                 if one == two:
                     ok &= rep[p][:, None] < rep[right][None]
@@ -183,13 +186,17 @@ def _compare_lists(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 bits = (agree * (1 << np.arange(COORDS))).sum(axis=1) & shared
                 ok = (agree.sum(axis=1) >= matches) & ((bits & -bits) == (1 << coord[lo]))
                 i, j = i[ok], j[ok]
-                for q in range(0, len(i), 4096):
-                    a, b = i[q : q + 4096], j[q : q + 4096]
-                    near = np.flatnonzero((sketch[a] == sketch[b]).sum(axis=1) >= sketch_least)
-                    near = [k for k in near if _near(halves[a[k]], halves[b[k]], percent)]
-                    if near:
-                        found.append(np.stack([rep[a[near]], rep[b[near]]], axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+                for q in range(0, len(i), 1024):
+                    a, b = i[q : q + 1024], j[q : q + 1024]
+                    apart = root[code[a]] != root[code[b]]
+                    a, b = a[apart], b[apart]
+                    near = (sketch[a] == sketch[b]).sum(axis=1) >= sketch_least
+                    for x, y in zip(a[near].tolist(), b[near].tolist()):
+                        rx, ry = root[code[x]], root[code[y]]
+                        if rx != ry and _linked(sets[x], sets[y], percent):
+                            root[root == ry] = rx
+                            found.append((rep[x], rep[y]))
+        out = np.array(found, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
 
     return run
@@ -201,15 +208,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links of similarity ``percent`` % (itself
     included). Texts that are null, empty or without words have an empty set and no link. Texts
     shorter than five words are one shingle. Repeated rows are copies of each other, a repeated id
-    included, and each gives its row. A row with a null id links others, but its id is never a
+    included, and each gives its row; rows that repeat an id with another text are documents of their own, linked by their own
+    texts. A row with a null id links others, but its id is never a
     component's; a component of such rows alone has component_id null and kept false. Other columns are not read.
     """
+    return grouped_rows(docs, id_col, text_col, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def row_key(text: str = "text") -> list:
+    """128 bits of a text: with its id, a row's own key."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(13), text).alias("t2")]
+
+
+def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``near_duplicates`` with their texts' keys t1, t2 and their ``group``: two groups may have one component_id, where
+    both hold a text of that id."""
     matches = least_equal(COORDS, percent, MISSED)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = keep(src.mapInArrow(_signatures("doc_id", "text"),
-                                "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>"), "signatures")
-    classes = keep(table.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b")
-                   .agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"), F.min("n_shingles").alias("n")), "classes")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", *row_key(), "text")
+    table = keep(src.mapInArrow(_signatures, "doc_id long, t1 long, t2 long, n_shingles long, set_a long, set_b long, sig array<int>"), "signatures")
+    # a class of equal sets is a node: its smallest id, but where classes share that one, for all but one of them a hash instead
+    classes = (table.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b")
+               .agg(F.min(F.struct(*ROW)).alias("own"), F.min("sig").alias("sig"), F.min("n_shingles").alias("n")))
+    nth = F.row_number().over(Window.partitionBy("least").orderBy("set_a", "set_b"))
+    stand_in = -1 - F.xxhash64("set_a", "set_b").bitwiseAND(F.lit((1 << 62) - 1))
+    classes = keep(classes.select("set_a", "set_b", F.col("own.doc_id").alias("least"), "own.t1", "own.t2", "sig", "n")
+                   .withColumn("rep", F.when(nth == 1, F.col("least")).otherwise(stand_in)), "classes")
 
     # lists of at least two texts; texts with too few of them leave; each skips its longest
     posts = classes.select("rep", F.posexplode("sig").alias("coord", "value"))
@@ -225,15 +248,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # the full sets of the texts that have any possible partner
     # (how many those are isn't bounded: a merge join at every size)
-    sets = keep(src.join(short.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id").dropDuplicates(["doc_id"])
-                .select(F.col("doc_id").alias("rep"), "text")
+    wanted = short.select("rep").join(classes.select("rep", F.col("least").alias("doc_id"), "t1", "t2"), "rep")
+    sets = keep(src.join(wanted.hint("merge"), ROW).dropDuplicates(["rep"]).select("rep", "text")
                 .mapInArrow(_full_sets, "rep long, shingles array<long>, sketch binary"), "sets")
 
     # first round: a hub for each list
     me = F.struct(F.xxhash64("rep").alias("o"), "rep", "n", "sig")
     hubs = posted.groupBy("coord", "value").agg(F.min(me).alias("hub"), F.count("*").alias("length")).where("length > 1")
+    hubs = keep(hubs, "hubs")
     agree = F.size(F.filter(F.zip_with("sig", "hub.sig", lambda x, y: x == y), lambda x: x))
-    star = (posted.join(keep(hubs, "hubs"), ["coord", "value"]).where(F.col("rep") != F.col("hub.rep"))
+    star = (posted.join(hubs, ["coord", "value"]).where(F.col("rep") != F.col("hub.rep"))
             .where(100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")).where(agree >= matches)
             .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct())
     linked = keep(_confirmed(star, sets, percent), "linked")
@@ -243,27 +267,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = (posted.join(label.withColumnsRenamed({"node": "rep", "component": "label"}), "rep", "left")
              .withColumn("label", F.coalesce("label", "rep")))
     named = keep(named, "named")
-    apart = keep(named.groupBy("coord", "value").agg(F.count("*").alias("length"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo != hi").select("coord", "value", "length"), "apart")
+    apart = keep(named.groupBy("coord", "value").agg(F.count("*").alias("length"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("n").alias("shingles"))
+                 .where("lo != hi").select("coord", "value", "length", "shingles"), "apart")
     blocks = F.ceil(F.col("length") / BLOCK)
-    rows = (named.join(apart, ["coord", "value"]).join(sets.select("rep", "sketch", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("half")), "rep")
+    rows = (named.join(apart.drop("shingles"), ["coord", "value"]).join(sets, "rep")
             .withColumn("block", F.pmod(F.xxhash64("rep"), blocks))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            .select("rep", "n", "sig", "posted", "label", "sketch", "half", "coord", "block", F.xxhash64("coord", "value").alias("key"),
+            .select("rep", "n", "sig", "posted", "label", "sketch", "shingles", "coord", "block", F.xxhash64("coord", "value").alias("key"),
                     F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")))
-    total = apart.agg(F.sum(F.col("length") * blocks)).first()[0] or 0
-    buckets = max(1, -(-int(total) // (2 * BLOCK)))
-    pairs = (rows.groupBy(F.pmod(F.xxhash64("key", "one", "two"), F.lit(buckets)).alias("bucket"))
-             .applyInPandas(_compare_lists(percent), "a long, b long").distinct())
-    more = keep(_confirmed(pairs, sets, percent), "linked")
-    label = keep(components(linked.unionByName(more)), "labels")
-    drop(lists, short, posted, sets, named, apart, linked, more)
-
-    classes = classes.select("set_a", "set_b", "rep").join(
+    # a bucket has so many rows, or so many shingles, at the mean
+    total, size = apart.agg(F.sum(F.col("length") * blocks), F.sum(F.col("shingles") * blocks)).first()
+    buckets = max(1, -(-int(total or 0) // (2 * BLOCK)), -(-int(size or 0) // BUCKET_SHINGLES))
+    more = keep(rows.groupBy(F.pmod(F.xxhash64("key", "one", "two"), F.lit(buckets)).alias("bucket"))
+                .applyInPandas(_compare_lists(percent), "a long, b long").distinct(), "linked")
+    before, label = label, keep(components(linked.unionByName(more)), "labels")
+    drop(lists, short, posted, sets, hubs, named, apart, linked, more, before)
+
+    of = classes.select("set_a", "set_b", "rep", "least").join(
         label.withColumnsRenamed({"node": "rep", "component": "label"}), "rep", "left")
-    one = classes.select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
-    named = table.select("doc_id", "n_shingles", "set_a", "set_b").join(
+    of = of.select("set_a", "set_b", "least", F.coalesce("label", "rep").alias("group"), (F.col("rep") != F.col("least")).alias("odd"))
+    # a group's smallest node is its smallest id, unless it has nodes of hashes
+    odd = of.where("odd").select("group").distinct()
+    low = of.join(odd, "group", "left_semi").groupBy("group").agg(F.min("least").alias("low"))
+    one = of.join(low, "group", "left").select("set_a", "set_b", "group", F.coalesce("low", "group").alias("component"))
+    named = table.select(*ROW, "n_shingles", "set_a", "set_b").join(
         one, (table.set_a == one.set_a) & (table.set_b == one.set_b) & (table.n_shingles > 0), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return named.select(*ROW, "n_shingles", component.alias("component_id"),
+                        F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"), "group")

@@ -5,6 +5,7 @@ import random
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -164,3 +165,35 @@ def test_words_are_those_of_the_pattern():
     assert len(set(zip(words, hashes.tolist(), strict=True))) == len(set(words)) == len(np.unique(hashes))
     sliced = pa.array(texts).slice(5, 20)
     assert X.byte_column(sliced)[0].tobytes().decode() == "".join(t or "" for t in texts[5:25])
+
+
+def test_rows_that_repeat_an_id_with_another_text_are_linked_by_their_own(spark):
+    """(1, a), (1, b), (2, near b): the copy of id 2 is found, whichever of id 1's texts comes first."""
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"w{rng.randrange(10_000)}" for _ in range(80)) for _ in range(3))
+    given = [(1, a), (1, b), (2, b + " one two"), (3, c), (1, c), (9, c), (7, a + " x"), (1, "")]
+    got = minhash.near_duplicates(spark.createDataFrame(given, "doc_id long, text string").repartition(3)).collect()
+    want = {(1, 76): (1, True), (2, 78): (1, False), (3, 76): (1, False), (9, 76): (1, False), (7, 77): (1, False), (1, 0): (1, True)}
+    assert len(got) == len(given) and all(want[r["doc_id"], r["n_shingles"]] == (r["component_id"], r["kept"]) for r in got)
+
+
+def test_a_bucket_writes_a_forest(spark):
+    """A large group of near copies: links fewer than members, not pairs; the group is whole."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    want = brute.near_duplicates(docs, percent=80)
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == want
+    rows = []
+    sig = np.zeros((300, minhash.COORDS), np.int32)
+    for i in range(300):
+        rows.append({"rep": i, "n": 100, "sig": sig[i], "posted": (1 << minhash.COORDS) - 1, "label": i, "sketch": bytes(minhash.SKETCH),
+                     "shingles": np.arange(100), "coord": 0, "block": 0, "key": 1, "one": 0, "two": 0})
+    links = minhash._compare_lists(80)(pd.DataFrame(rows))
+    assert len(links) == 299 and len(set(brute.components(range(300), links.itertuples(index=False, name=None)).values())) == 1
