@@ -2,10 +2,11 @@
 
 A page is a sequence of text nodes, each with its path of tags from the root. A path's ratio is its length of text, and its
 punctuation, per node, less what stands in links. Ratios are smoothed over neighbouring nodes, fused over length and punctuation,
-and fused along the path: headings, lists and short paragraphs share the ratio of the paths around them, up to the marked article or
-else to their container. Paths above the threshold, the deviation of all the page's nodes, are content. What is no text of the page (scripts,
+and fused along the path: headings, lists and short paragraphs share the ratio of the paths around them, up to the next container with a name,
+or the marked article. Paths above the threshold, the deviation of all the page's nodes, are content. What is no text of the page (scripts,
 styles, markup) has no ratio; what is marked as navigation, header, footer, sidebar, notice, advert, form or comments counts
-for the threshold and never is a candidate; a page that marks its article has its candidates there.
+for the threshold and never is a candidate; a page that marks its article has its candidates there. A mark on an element that
+holds most of the marked article doesn't count.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,25 +32,32 @@ _ATTR = re.compile(r"(?:class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
                     "time tt u var wbr img label output".split())
+#: Blocks of text: their container is the one around them.
+_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figcaption caption summary".split())
 _OUT = frozenset("nav header footer aside form button select option menu dialog label input fieldset legend".split())
-#: Words of class and role, and whole ids, that mark what is no article.
-_MARKS = re.compile(
-    r"(?:^|[\s_\-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|rail|widget|related|recommend\w*|share|sharing|social|toolbar|"
-    r"comments?|disqus|replies|respond|footer|header|masthead|copyright|login|signup|search|complementary|contentinfo|hidden)(?=$|[\s_\-0-9])", re.I)
-_MARK_ID = re.compile(_MARKS.pattern.replace(r"(?:^|[\s_\-])", "", 1).replace(r"(?=$|[\s_\-0-9])", r"\d*"), re.I)
+#: Words that mark what is no article, as a whole class, role or id: alone, or between words that only say where or what kind of box. So
+#: ``sidebar-left`` and ``social-share-buttons`` mark; ``no-sidebar``, ``side-effects`` and ``related-work`` don't.
+_WORD = (r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|"
+         r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|rail|widget|related|recommend\w*|share|sharing|social|toolbar|"
+         r"comments?|disqus|replies|respond|footer|header|masthead|copyright|login|signup|search|complementary|contentinfo|hidden)")
+_WHERE = r"(?:site|page|main|top|bottom|left|right|global|primary|secondary|inline|sticky|post|article|user|reader|email|mobile|skip)"
+_BOX = (r"(?:box|bar|list|links?|posts?|articles?|stories|buttons?|icons?|form|slot|unit|container|wrapper|wrap|block|section|panel|items?|area|"
+        r"inner|left|right|top|bottom|thread|\d+)")
+_MARK = re.compile(rf"(?:{_WHERE}[-_])*{_WORD}(?:[-_](?:{_WORD}|{_BOX}))*\d*", re.I)
+_TITLE = re.compile(r"(?:post|article|main|page)?[-_]?header", re.I)
 _VALUE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _MAIN = re.compile(r"articleBody|(?:^|[\s\"'=])main(?=[\s\"']|$)", re.I)
 
 
-def _marked(attrs: str) -> bool:
-    """Whether a tag's class, role or id says that it is no article, or it is hidden."""
+def _marked(attrs: str, in_main: bool) -> bool:
+    """Whether a tag's classes, role or id say that it is no article, or it is hidden. An article's own header is part of it."""
     of: dict[str, str] = {}
     for name, a, b, c in _VALUE.findall(attrs):
         of.setdefault(name.lower(), a or b or c)
+    words = [*of.get("class", "").split(), *of.get("role", "").split(), of.get("id", "").strip()]
     return bool("hidden" in of or of.get("aria-hidden", "").lower() == "true" or _NONE.search(of.get("style", ""))
-                or _MARKS.search(of.get("class", "")) or _MARKS.search(of.get("role", "")) or _MARK_ID.fullmatch(of.get("id", "").strip()))
+                or any(_MARK.fullmatch(w) and not (in_main and _TITLE.fullmatch(w)) for w in words))
 
 
 #: An open tag on the left is closed by a start of one on the right.
@@ -59,31 +68,64 @@ SMOOTH = np.array([0.25, 0.5, 0.25])
 
 
 class Node:
-    __slots__ = ("text", "path", "groups", "block", "out", "main", "link")
+    __slots__ = ("text", "path", "groups", "above", "block", "out", "main", "marks", "link")
 
-    def __init__(self, text: str, path: str, groups: tuple[str, ...], block: int, out: bool, main: bool, link: bool) -> None:
-        self.text, self.path, self.groups, self.block, self.out, self.main, self.link = text, path, groups, block, out, main, link
+    def __init__(self, text: str, path: str, groups: tuple[str, ...], above: tuple | None, block: int, out: bool, main: int, marks: tuple[int, ...],
+                 link: bool) -> None:
+        self.text, self.path, self.groups, self.above, self.block = text, path, groups, above, block
+        self.out, self.main, self.marks, self.link = out, main, marks, link
+
+
+class Open(NamedTuple):
+    """An open tag: with its class, whether it is out by its kind, the number of the article's mark around it (0: none), the numbers of the
+    elements around it that are marked as no article, and in a marked article the nearest container: (its path, the container around that)."""
+
+    tag: str
+    label: str
+    out: bool
+    main: int
+    marks: tuple[int, ...]
+    box: tuple | None
+
+
+_ROOT = Open("", "", False, 0, (), None)
+
+
+def _settle(nodes: list[Node]) -> list[Node]:
+    """An element that is marked as no article, but holds most of the text that is marked as one, is a wrapper: its mark doesn't count."""
+    total, held = 0, {}
+    for n in nodes:
+        if n.main and not n.out:
+            size = len(n.text.strip())
+            total += size
+            for m in n.marks:
+                if m < n.main:
+                    held[m] = held.get(m, 0) + size
+    for n in nodes:
+        n.out = n.out or any(m > n.main > 0 or 2 * held.get(m, 0) <= total or not total for m in n.marks)
+    return nodes
 
 
 def text_nodes(page: str) -> list[Node]:
     """Text nodes in page order, with their tag paths. Unclosed and misplaced tags are taken as browsers do, about."""
     nodes: list[Node] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, tag with its class, out, main
-    block, at = 0, 0
+    stack: list[Open] = []
+    block, at, number = 0, 0, 0
 
     def add(raw: str) -> None:
         if raw:
-            out, main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            if main:  # the outermost tag that marks the article
-                groups = ("/".join(s[1] for s in stack[: next(i for i, s in enumerate(stack) if s[3]) + 1]),)
-            else:  # the tag of the node's block, and the one around it
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in _INLINE), -1)
-                groups = ("/".join(s[1] for s in stack[: k + 1]), "/".join(s[1] for s in stack[: max(k, 0)]))
-            nodes.append(Node(html.unescape(raw), "/".join(s[1] for s in stack), groups, block, out, main, any(s[0] == "a" for s in stack)))
+            top = stack[-1] if stack else _ROOT
+            # the tag of the node's block, and the one around it: in a marked article the nearest that has a name, or the article
+            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in _INLINE), -1)
+            box = stack[k - (stack[k].tag in _TEXT)].box if k > 0 else None
+            groups = ("/".join(s.label for s in stack[: k + 1]), box[0] if box else "/".join(s.label for s in stack[: max(k, 0)]))
+            above = box[1] if box else None
+            nodes.append(Node(html.unescape(raw), "/".join(s.label for s in stack), groups, above, block, top.out, top.main, top.marks,
+                              any(s.tag == "a" for s in stack)))
 
     def close(k: int) -> None:
         nonlocal block
-        if any(s[0] not in _INLINE for s in stack[k:]):
+        if any(s.tag not in _INLINE for s in stack[k:]):
             block += 1
         del stack[k:]
 
@@ -98,7 +140,7 @@ def text_nodes(page: str) -> list[Node]:
                 block += m[1].lower() in ("textarea", "iframe", "title", "xmp")
             continue
         if m[2] or m[5]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
             if k is not None:
                 close(k)
             continue
@@ -108,22 +150,26 @@ def text_nodes(page: str) -> list[Node]:
             continue
         if tag not in _INLINE:
             for i in range(len(stack) - 1, -1, -1):
-                open_ = stack[i][0]
+                open_ = stack[i].tag
                 if open_ in _CLOSES and (_CLOSES[open_] is None or tag in _CLOSES[open_]):
                     close(i)
                     break
                 if open_ not in _INLINE and open_ not in _CLOSES:
                     break
             block += 1
+        number += 1
         named = " ".join(_ATTR.findall(attrs)) if attrs else ""
-        up_out, up_main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-        main = up_main or tag in ("article", "main") or bool(named and _MAIN.search(named))
-        own = named and tag not in ("html", "body", "article", "main") and _marked(attrs)
-        out = up_out or tag in _OUT and not (tag == "header" and up_main) or bool(own)
+        up = stack[-1] if stack else _ROOT
+        main = up.main or (number if tag in ("article", "main") or bool(named and _MAIN.search(named)) else 0)
+        own = named and tag not in ("html", "body", "article", "main") and _marked(attrs, bool(up.main))
+        out = up.out or tag in _OUT and not (tag == "header" and up.main > 0)
         if not attrs or not attrs.rstrip().endswith("/") or tag in ("p", "div", "article"):
-            stack.append((tag, tag + ("." + re.sub(r"\W+", ".", named) if named else ""), out, main))
+            label, box = tag + ("." + re.sub(r"\W+", ".", named) if named else ""), up.box
+            if main and (not up.main or named and tag not in _INLINE):
+                box = ("/".join([*(s.label for s in stack), label]), box)
+            stack.append(Open(tag, label, out, main, (*up.marks, number) if own else up.marks, box))
     add(page[at:])
-    return nodes
+    return _settle(nodes)
 
 
 def path_ratios(nodes: list[Node]) -> dict[str, tuple[float, float]]:
@@ -142,19 +188,23 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
     shown = [n for n in nodes if n.text.strip()]
     live = [not n.out for n in shown]
     if any(n.main and not n.out for n in shown):
-        live = [ok and n.main for n, ok in zip(shown, live, strict=True)]
+        live = [ok and n.main > 0 for n, ok in zip(shown, live, strict=True)]
     if not any(live):
         return []
     ratio = path_ratios(shown)
     size, points = (np.array([ratio[n.path][k] for n in shown]) for k in (0, 1))
     pad = lambda x: np.convolve(np.pad(x, 1, mode="edge"), SMOOTH, mode="valid")
-    fused = np.sqrt(np.maximum(size, pad(size)) * (1 + np.maximum(points, pad(points))))
+    near = np.array([not n.link for n in shown])  # a link takes nothing from the text beside it
+    fused = np.sqrt(np.maximum(size, near * pad(size)) * (1 + np.maximum(points, near * pad(points))))
     least = min(fused.std(), fused[live].max())
     score: dict[str, float] = {}
     for n, ok, f in zip(shown, live, fused, strict=True):
         if ok:
             for g in n.groups:
                 score[g] = max(score.get(g, 0.0), f)
+            above = n.above
+            while above and score.get(above[0], -1.0) < f:  # a container has the best ratio of all in it
+                score[above[0]], above = f, above[1]
     return [n for n, ok in zip(shown, live, strict=True) if ok and max(score[g] for g in n.groups) >= least]
 
 

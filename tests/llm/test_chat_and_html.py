@@ -161,3 +161,25 @@ def test_names_of_the_articles_own_parts_are_no_marks(part):
 @pytest.mark.parametrize("name", ["class='cookie-notice'", "class='box sidebar'", "role=search", "id=comments", "id='sidebar2'", "hidden", "style='display: none'", "aria-hidden=true"])
 def test_marks_still_leave_out(name):
     assert htmltext.main_text(f"<body><article>{BODY}<div {name}><p>{TEXT}</p></div></article>") == TEXT
+
+
+LINE = TEXT.replace("\n", " ")
+
+
+@pytest.mark.parametrize("wrapper", ["content no-sidebar", "layout-sidebar-left", "has-related", "sidebar", "page with-header-search"])
+def test_a_wrapper_of_the_article_is_never_marked_away(wrapper):
+    side = f'<div class="related"><article><p>{LINE[:30]}</p></article></div>'
+    page = f'<body><div class="{wrapper}"><article><h1>T</h1><p>{LINE}</p><p>Sh.</p></article></div>{side}</body>'
+    assert htmltext.main_text(page) == f"T\n{LINE}\nSh."
+
+
+@pytest.mark.parametrize("name", ["side-effects", "related-work", "alert-levels", "search-algorithms", "footer-notes-explained"])
+def test_sections_of_the_article_stay_by_their_ratio(name):
+    page = f'<body><nav><a>x</a></nav><article><h1>T</h1><section class="{name}"><h2>S</h2><p>{LINE}</p><ul><li>a</li></ul></section></article></body>'
+    assert htmltext.main_text(page) == f"T\nS\n{LINE}\na"
+
+
+@pytest.mark.parametrize("box", ['<div class="author-box"><p>Jane Doe</p></div>', '<ul class="tags"><li>foxes</li></ul>', '<div class="pager"><a>Next page</a></div>'])
+def test_boxes_of_low_ratio_inside_the_article_go(box):
+    page = f"<body><nav><a>x</a></nav><main><h1>T</h1><p>{LINE}</p>{box}<ul><li>one</li></ul><p>{LINE}</p></main></body>"
+    assert htmltext.main_text(page) == f"T\n{LINE}\none\n{LINE}"
