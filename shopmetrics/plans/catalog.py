@@ -158,6 +158,15 @@ def q_ingest_csv_rejected(spark, sf_dir):
     return IN.products_from_csv(raw)[1].select("ProductID", "ProductName", "RejectReason")
 
 
+def q_ingest_csv_quoted(spark, sf_dir):
+    """Valid rows of files whose quoted names hold line breaks, quotes and commas (of the lines numbered 2)."""
+    path = TB.shared_dir(spark, "csv", unique=True)
+    broken = F.concat("ProductName", F.lit('\n"x", \n'), "City")
+    made = bronze(spark, sf_dir).withColumn("ProductName", F.when(F.col("l_linenumber") == 2, broken).otherwise(F.col("ProductName")))
+    FX.product_csv_lines(made).write.text(path)
+    return IN.products_from_csv(IN.read_product_csv(spark, path, header=False, glob="part-*"))[0]
+
+
 def _messages(spark, sf_dir, where=None) -> str:
     """The fixture's records as JSON messages, in as many files as its scan has tasks."""
     path = TB.shared_dir(spark, "messages", unique=True)
@@ -500,6 +509,7 @@ QUERIES: dict[str, Query] = {
     **{name: _lookup(t, c) for name, (t, c) in LOOKUPS.items()},
     "ingest_csv_valid": q_ingest_csv_valid,
     "ingest_csv_rejected": q_ingest_csv_rejected,
+    "ingest_csv_quoted": q_ingest_csv_quoted,
     "ingest_json_roundtrip": q_ingest_json_roundtrip,
     "ingest_json_rejected": q_ingest_json_rejected,
     "stream_two_sources": q_stream_two_sources,

@@ -67,6 +67,9 @@ SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantit
        CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus
 FROM bronze WHERE l_linenumber NOT IN (3, 4, 5)"""
 
+_CSV_QUOTED = _CSV_VALID.replace(
+    "SELECT ProductID, ProductName,", "SELECT ProductID, CASE WHEN l_linenumber = 2 THEN concat(ProductName, chr(10), '\"x\", ', chr(10), City) ELSE ProductName END AS ProductName,")
+
 _STREAM_CSV = "WITH " + O.bronze_cte() + """
 SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantity, Sales, Discount, DateAdded, City,
        CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus,
@@ -264,6 +267,7 @@ ORACLE: dict[str, str] = {
     **{f"gold_{n}": O.gold_sql(n) for n in O.GOLD_SELECT},
     "ingest_csv_valid": _CSV_VALID,
     "ingest_csv_rejected": _CSV_REJECTED,
+    "ingest_csv_quoted": _CSV_QUOTED,
     "ingest_json_roundtrip": _BRONZE,
     "stream_bronze_append": _BRONZE,
     "stream_gold_refresh": _STREAM_REVENUE,

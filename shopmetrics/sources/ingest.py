@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from . import quoted as Q
+from .tables import checkpointed
 
 CORRUPT = "_corrupt_record"
 RAW_CSV_SCHEMA = T.StructType(
@@ -37,31 +39,24 @@ def csv_reader(spark: SparkSession, stream: bool = False, header: bool = True,
     return r
 
 
-def files_with_open_quotes(spark: SparkSession, path: str, glob: str) -> list[str]:
-    """The files in which a quoted field runs over a line's end (a line with an odd number of quotes).
-    File names only reach the driver, which has listed them already."""
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    open_ = lines.where(quotes % 2 == 1).select(F.input_file_name().alias("file")).distinct()
-    return sorted(r.file for r in open_.collect())
-
-
 def read_product_csv(spark: SparkSession, path: str, header: bool = True, glob: str = "*.csv",
                      multiline: bool | None = None) -> DataFrame:
     """Raw product rows from every file matching ``glob`` under ``path`` (batch).
 
     Line breaks inside quoted fields are accepted. By default (``multiline=None``) one scan finds the
-    files that hold any; those are read whole, one task each, and all others in splits. ``True``
-    reads every file whole, ``False`` none (a quoted line break then gives rejected rows).
+    files that hold any; those are cut into records by splits as well (``sources.quoted``). ``True``
+    reads every file whole, one task each, ``False`` none (a quoted line break then gives rejected rows).
     """
     if multiline is not None:
         return csv_reader(spark, header=header, glob=glob, multiline=multiline).csv(path)
-    whole = files_with_open_quotes(spark, path, glob)
+    lines = Q.lines_of(spark, path, glob)
     split = csv_reader(spark, header=header, glob=glob).csv(path)
-    if not whole:
+    if Q.lines_with_open_quotes(lines).isEmpty():
         return split
-    rest = split.where(~F.input_file_name().isin(whole))
-    return rest.unionByName(csv_reader(spark, header=header, glob=glob, multiline=True).csv(whole))
+    # the names of files that the driver has listed already: no larger than that list
+    quoted = F.broadcast(checkpointed(Q.lines_with_open_quotes(lines).select("file").distinct()))
+    rest = split.select("*", F.col("_metadata.file_path").alias("file")).join(quoted, "file", "left_anti").drop("file")
+    return rest.unionByName(Q.parsed(lines.join(quoted, "file", "left_semi"), RAW_CSV_SCHEMA, CORRUPT, header))
 
 
 def field_count(line: Column) -> Column:

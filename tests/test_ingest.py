@@ -1,9 +1,14 @@
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shopmetrics import schema as S
 from shopmetrics.sources import ingest as IN
+from shopmetrics.sources import quoted as Q
+
+from conftest import rows
 
 RAW = "\n".join([
     "ProductID,ProductName,Category,Price,Rating,NumReviews,StockQuantity,Sales,Discount,DateAdded,City,StockStatus",
@@ -86,7 +91,47 @@ def test_csv_line_breaks_in_quotes_and_number_texts(spark, workdir):
     d = workdir.replace("file:", "")
     _write(d, '1,"a\nb",c,1.5,4,1,1,1,0,d,e,TRUE\n2,x,c,1.5d,4,1,1,1,0,d,e,TRUE\n3,x,c,1e2,4,1,1,1,0,d,e,TRUE\n', name="one.csv")
     _write(d, "4,x,c,.5,4,1,1,1,0,d,e,TRUE\n5,x,c,1,4,1.0,1,1,0,d,e,TRUE\n", name="two.csv")
-    assert [f.rsplit("/", 1)[1] for f in IN.files_with_open_quotes(spark, d, "*.csv")] == ["one.csv"]
+    open_ = Q.lines_with_open_quotes(Q.lines_of(spark, d, "*.csv"))
+    assert [r.file.rsplit("/", 1)[1] for r in open_.select("file").distinct().collect()] == ["one.csv"]
     valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, d, header=False))
     assert {r.ProductID: (r.ProductName, r.Price) for r in valid.collect()} == {1: ("a\nb", 1.5), 3: ("x", 100.0), 4: ("x", 0.5)}
     assert {r.ProductID: r.RejectReason for r in rejected.collect()} == {2: "Price", 5: "NumReviews"}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_are_cut_in_splits_as_by_the_whole_file_reader(spark, workdir, seed):
+    """Files of many splits against the reader that takes each whole: quoted line breaks, doubled and lone quotes, commas in quotes."""
+    rng = random.Random(seed)
+    d = workdir.replace("file:", "")
+    pieces = ["x", "a b", ",", "\n", '""', "é", ", ", "\n\n", "1.5"]
+
+    def field():
+        kind = rng.randrange(8)
+        if kind == 0:
+            return '"' + "".join(rng.choice(pieces) for _ in range(rng.randrange(12))) + '"'
+        return rng.choice(["", "a", "TRUE", '5"', 'TV 55" wide', "b c", "7", "'q'"])  # lone quotes open nothing
+
+    for k in range(3):
+        body = "".join(",".join([str(i), *(field() for _ in range(11))]) + "\n" for i in range(150))
+        _write(d, ",".join(S.CSV_FIELDS) + "\n" + body, name=f"f{k}.csv")
+    whole = IN.read_product_csv(spark, d, multiline=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)  # a split holds some ten records and begins anywhere in one
+    try:
+        lines = Q.lines_of(spark, d, "*.csv")
+        assert lines.select("file", "block").distinct().count() > 20
+        split = IN.read_product_csv(spark, d)
+        fields = S.CSV_FIELDS
+        assert sorted(rows(split.select(*fields)), key=str) == sorted(rows(whole.select(*fields)), key=str)
+        typed = [sorted(rows(part), key=str) for df in (split, whole) for part in IN.products_from_csv(df)]
+        assert typed[0] == typed[2] and len(typed[1]) == len(typed[3])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_line_as_a_function_of_the_state_before_it(spark):
+    cases = {'a,b': (0, 1), '"a': (1, 0), 'a,"b': (1, 0), '"a","b': (1, 1), 'b",c': (0, 0), 'b","c': (1, 1), '""': (0, 1), 'x"y,z': (0, 0), '"a""': (1, 0),
+             '"a"""': (0, 0), '': (0, 1), ',,"': (1, 0), 'TV 5",c': (0, 0), '"a"b",c': (0, 0), '"a", "b': (0, 0)}
+    df = spark.createDataFrame([(v,) for v in cases], "value string")
+    got = df.select("value", *(Q.ends_inside(F.col("value"), bool(k)).cast("int").alias(f"s{k}") for k in (0, 1))).collect()
+    assert {r.value: (r.s0, r.s1) for r in got} == cases
