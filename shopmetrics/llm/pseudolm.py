@@ -7,7 +7,10 @@ The vocabulary comes from the counts of every word of the corpus: the most frequ
 words where that is more) have a class each, all others share ``BUCKETS`` classes by hash. Within its class a word is as likely as it is frequent: the
 counts stay a table, which the distinct words of each chunk of documents are joined with. Training runs where the data lie: the documents
 are dealt by hash to ``ROUNDS`` rounds, so each is trained on once; in a round every partition trains a copy of the network on its
-documents of that round, and the copies are averaged by their words in one aggregate.
+documents of that round, and the copies are averaged by their words, added in two levels of tasks.
+
+The classes are dealt to about as many groups as a group has classes. The network predicts a word's group and, by the group's own
+outputs, the class inside it: the product is one distribution over all classes, at the cost of two short ones.
 """
 
 from __future__ import annotations
@@ -29,12 +32,17 @@ TOP, BUCKETS = 256, 64
 CLASSES = TOP + BUCKETS
 SIDE, EMBED, HIDDEN = 3, 16, 32
 ROUNDS = 4
-BATCH, RATE = 1024, 0.01
+BATCH, RATE = 2048, 0.01
+#: Copies of the network that meet in a task, at the first of two levels: one in so many of the partitions.
+FAN_OUT = 64
 ROUND_BYTES = 1 << 22
 
 
 def _shapes(classes: int) -> dict[str, tuple[int, ...]]:
-    return {"e": (classes + 1, EMBED), "w": (2 * SIDE, EMBED, HIDDEN), "h": (HIDDEN,), "o": (HIDDEN, classes), "b": (classes,)}
+    members = math.isqrt(classes - 1) + 1
+    groups = -(-classes // members)
+    return {"e": (classes + 1, EMBED), "w": (2 * SIDE, EMBED, HIDDEN), "h": (HIDDEN,), "g": (HIDDEN, groups), "a": (groups,),
+            "o": (groups, HIDDEN, members), "b": (groups, members)}
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,15 +105,17 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
 
 def start(seed: int = 5, classes: int = CLASSES) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    scale = {"e": 0.5, "w": 0.1, "h": 0.0, "o": 0.1, "b": 0.0}
-    return {k: (rng.normal(0, 1, s) * scale[k]).astype(np.float32) for k, s in _shapes(classes).items()}
+    scale = {"e": 0.5, "w": 0.1, "h": 0.0, "g": 0.1, "a": 0.0, "o": 0.1, "b": 0.0}
+    model = {k: (rng.normal(0, 1, s) * scale[k]).astype(np.float32) for k, s in _shapes(classes).items()}
+    model["b"].reshape(-1)[classes:] = -1e9  # places of the last group that no class has
+    return model
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, beyond: int = CLASSES) -> np.ndarray:
     """Classes of the 2 * SIDE neighbours of every word; ``beyond`` beyond the document's ends."""
     n = len(classes)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((n, 2 * SIDE), beyond, np.int64)
+    out = np.full((n, 2 * SIDE), beyond, np.int32)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         a, b = max(0, -d), n - max(0, d)
         if a < b:
@@ -120,40 +130,65 @@ def _hidden(tables: np.ndarray, model: dict, around: np.ndarray) -> np.ndarray:
     return np.tanh(x)
 
 
+def _log_softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(axis=1, keepdims=True)
+    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+
+def _runs(group: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(group, from, to) of sorted groups."""
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield int(group[lo]), lo, hi
+
+
 def log_probs(model: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log-probability of each target's class given the words around it."""
-    tables = model["e"] @ model["w"]
+    """log-probability of each target's class given the words around it: of its group, and of it inside that."""
+    tables, members = model["e"] @ model["w"], model["b"].shape[1]
     out = np.empty(len(target))
-    rows = max(64, 4096 * CLASSES // len(model["b"]))  # temporaries of one size at any number of classes
-    for lo in range(0, len(target), rows):
-        part = slice(lo, lo + rows)
-        z = _hidden(tables, model, around[part]) @ model["o"] + model["b"]
-        z -= z.max(axis=1, keepdims=True)
-        out[part] = z[np.arange(len(z)), target[part]] - np.log(np.exp(z).sum(axis=1))
+    order = np.argsort(target // members, kind="stable")
+    for begin in range(0, len(order), 8192):
+        part = order[begin : begin + 8192]
+        h = _hidden(tables, model, around[part])
+        group, place = np.divmod(target[part], members)
+        each = np.arange(len(part))
+        found = _log_softmax(h @ model["g"] + model["a"])[each, group].astype(np.float64)
+        for k, lo, hi in _runs(group):
+            found[lo:hi] += _log_softmax(h[lo:hi] @ model["o"][k] + model["b"][k])[each[: hi - lo], place[lo:hi]]
+        out[part] = found
     return out
 
 
 def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> None:
     """One pass of Adam over the places given, in batches."""
     rng = np.random.default_rng(len(target))
-    order = rng.permutation(len(target))
-    for lo in range(0, len(order), BATCH):
-        at = order[lo : lo + BATCH]
-        a, y = around[at], target[at]
-        tables = model["e"] @ model["w"]
-        h = _hidden(tables, model, a)
-        z = h @ model["o"] + model["b"]
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(y)), y] -= 1
-        z /= len(y)
-        dh = (z @ model["o"].T) * (1 - h * h)
-        grad = {"o": h.T @ z, "b": z.sum(axis=0), "h": dh.sum(axis=0), "e": np.zeros_like(model["e"]), "w": np.empty_like(model["w"])}
+    order, members = rng.permutation(len(target)), model["b"].shape[1]
+    for begin in range(0, len(order), BATCH):
+        at = order[begin : begin + BATCH]
+        at = at[np.argsort(target[at] // members, kind="stable")]
+        a, n = around[at], len(at)
+        group, place = np.divmod(target[at], members)
+        h = _hidden(model["e"] @ model["w"], model, a)
+        grad = {k: np.zeros_like(model[k]) for k in ("e", "w", "o", "b")}
+        z = np.exp(_log_softmax(h @ model["g"] + model["a"]))
+        z[np.arange(n), group] -= 1
+        z /= n
+        grad["g"], grad["a"], dh = h.T @ z, z.sum(axis=0), z @ model["g"].T
+        for k, lo, hi in _runs(group):
+            z = np.exp(_log_softmax(h[lo:hi] @ model["o"][k] + model["b"][k]))
+            z[np.arange(hi - lo), place[lo:hi]] -= 1
+            z /= n
+            grad["o"][k], grad["b"][k] = h[lo:hi].T @ z, z.sum(axis=0)
+            dh[lo:hi] += z @ model["o"][k].T
+        dh *= 1 - h * h
+        grad["h"] = dh.sum(axis=0)
         for k in range(2 * SIDE):
-            cell = (a[:, k, None] * HIDDEN + np.arange(HIDDEN)).ravel()
-            hot = np.bincount(cell, dh.ravel(), len(model["e"]) * HIDDEN).reshape(-1, HIDDEN).astype(np.float32)
-            grad["e"] += hot @ model["w"][k].T
-            grad["w"][k] = model["e"].T @ hot
+            by = np.argsort(a[:, k], kind="stable")
+            words = a[by, k]
+            first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+            hot = np.add.reduceat(dh[by], first, axis=0)
+            grad["e"][words[first]] += hot @ model["w"][k].T
+            grad["w"][k] = model["e"][words[first]].T @ hot
         state["step"] = t = state.get("step", 0) + 1
         rate = RATE / (1 + t / 500) * np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
         for name, g in grad.items():
@@ -194,13 +229,28 @@ def _train_partition(model: dict, vocab: Vocabulary):
                     train(own, contexts(classes, first, vocab.size), classes, state)
                     words += len(classes)
         if words:
-            flat = _flat(own).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * words), pa.array(np.full(len(flat), words))],
-                                             names=["at", "value", "words"])
+            yield _weighed(TaskContext.get().partitionId() % FAN_OUT, _flat(own).astype(np.float64) * words, words)
 
     return run
 
 
+_MODELS = "at int, value binary, words long"
+
+
+def _weighed(at: int, value: np.ndarray, words: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([value.tobytes()], pa.binary()), pa.array([words], pa.int64())],
+                                      names=["at", "value", "words"])
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """The copies of one task added, for the next level."""
+    total = None
+    for value in rows.column("value"):
+        one = np.frombuffer(value.as_buffer(), np.float64)
+        total = one.copy() if total is None else total.__iadd__(one)
+    return pa.Table.from_batches([_weighed(0, total, pc.sum(rows.column("words")).as_py())])
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict, Vocabulary]:
     """The averaged network and the corpus's vocabulary."""
     vocab = vocabulary(docs, text_col)
@@ -208,10 +258,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     for k in range(ROUNDS):
         turn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(ROUNDS)) == k
         part = docs.where(turn & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
-        mean = (part.mapInArrow(_train_partition(model, vocab), "at int, value double, words long")
-                .groupBy("at").agg((F.sum("value") / F.sum("words")).alias("value")).orderBy("at").toPandas())  # one row per parameter
-        if len(mean):
-            model = _shaped(mean["value"].to_numpy(), vocab.size)
+        copies = part.mapInArrow(_train_partition(model, vocab), _MODELS)
+        for _ in range(2):
+            copies = copies.groupBy("at").applyInArrow(_added, _MODELS)
+        for one in copies.collect():  # one network
+            model = _shaped(np.frombuffer(one["value"], np.float64) / one["words"], vocab.size)
     return model, vocab
 
 

@@ -150,6 +150,58 @@ def test_rare_words_score_by_their_counts(spark):
     assert np.isfinite([r["log_likelihood"] for r in pseudolm.score(new, model, vocab).collect()]).all()
 
 
+def test_a_documents_score_by_hand(spark):
+    """Word by word, in plain sums over all groups and classes, with the counts taken anew."""
+    docs = table(spark, SF, "documents").select("doc_id", "text").limit(60)
+    model, vocab = pseudolm.fit(docs)
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    counts, hashed = {}, {}
+    for t in rows.values():
+        buf, offsets = pseudolm.X.byte_column(pseudolm.pa.array([t]))
+        words = pseudolm.X.word_hashes(buf, *pseudolm.X.word_bounds(buf, offsets)[:2], lower=True)
+        hashed[t] = words
+        for w in words.tolist():
+            counts[w] = counts.get(w, 0) + 1
+    frequent = {w: c for w, c in zip(vocab.top.tolist(), vocab.classes.tolist())}
+    of = lambda w: frequent.get(w, vocab.first_bucket + (w & (pseudolm.BUCKETS - 1)))
+    in_bucket = {}
+    for w, n in counts.items():
+        in_bucket[of(w)] = in_bucket.get(of(w), 0) + n
+    got = {r["doc_id"]: r["log_likelihood"] for r in pseudolm.score(docs, model, vocab).collect()}
+    for d in sorted(rows, key=lambda d: len(rows[d]))[3:9]:
+        words, total = [int(w) for w in hashed[rows[d]]], 0.0
+        for i, w in enumerate(words):
+            x = model["h"].astype(np.float64).copy()
+            for k, off in enumerate([-3, -2, -1, 1, 2, 3]):
+                c = of(words[i + off]) if 0 <= i + off < len(words) else vocab.size
+                x += model["e"][c].astype(np.float64) @ model["w"][k]
+            h, members = np.tanh(x), model["b"].shape[1]
+            group, place = divmod(of(w), members)
+            for z, at in ((h @ model["g"] + model["a"], group), (h @ model["o"][group] + model["b"][group], place)):
+                total += z[at] - np.log(np.exp(z).sum())
+            if of(w) >= vocab.first_bucket:
+                total += np.log(counts[w] / (in_bucket[of(w)] + 1))
+        assert abs(total - got[d]) < 1e-3 * max(1, abs(total))
+
+
+def test_the_networks_gradient(monkeypatch):
+    """One step of ``train`` moves each weight against the slope of the mean log-probability."""
+    model = pseudolm.start(classes=30)
+    rng = np.random.default_rng(1)
+    around, target = rng.integers(0, 31, (50, 6)), rng.integers(0, 30, 50)
+    stepped, state = {k: v.copy() for k, v in model.items()}, {}
+    pseudolm.train(stepped, around, target, state)
+    for name in ("e", "w", "h", "g", "a", "o", "b"):
+        flat = state[name][0].ravel() / 0.1  # the gradient, as Adam's first moment has it
+        for i in np.argsort(-np.abs(flat))[:3]:
+            sides = []
+            for step in (1e-2, -1e-2):
+                moved = {k: v.astype(np.float64) for k, v in model.items()}
+                moved[name].reshape(-1)[i] += step
+                sides.append(-pseudolm.log_probs(moved, around, target).mean())
+            assert abs((sides[0] - sides[1]) / 2e-2 - flat[i]) < 0.02 * abs(flat[i]) + 1e-4, name
+
+
 def test_every_document_is_trained_on_once(spark, monkeypatch):
     seen = spark.sparkContext.accumulator(0)
 
