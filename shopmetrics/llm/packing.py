@@ -3,8 +3,8 @@
 Texts become pieces of at most ``CAPACITY`` tokens. The program has a row for each piece length and a variable for
 each configuration (a multiset of lengths that fits); it needs the length histogram alone, at most ``CAPACITY`` numbers, whatever the
 corpus. Multiplicative weights solve it: lengths that are covered least weigh most, and a knapsack dynamic program prices the
-configuration of greatest weight. The solution is rounded down; what is left is packed best-fit, longest
-first, on the histogram. Spark tokenizes, counts, numbers the pieces of each length, and each piece finds its
+configuration of greatest weight. The solution is rounded, and solved anew for the pieces that are left, in a few phases; what then is left is
+packed best-fit, longest first, on the histogram. Spark tokenizes, counts, numbers the pieces of each length, and each piece finds its
 place by its number.
 """
 
@@ -25,8 +25,12 @@ from shopmetrics.llm.store import keep
 
 CAPACITY = 1024
 END_ID = 2
-#: Rounds of the multiplicative weights, and the share by which a round's full cover changes a weight.
-ROUNDS, STEP = 120, 0.3
+#: Phases; in each, rounds of the multiplicative weights, and the share by which a round's full cover changes a weight.
+PHASES, ROUNDS, STEP = 12, 100, 0.3
+#: A length's weight at a phase's start is its power: over 1, long pieces are placed while short ones are left to fill up beside them.
+POWER = 1.3
+#: A configuration is used if it leaves this many tokens at most.
+SLACK = 4
 #: Bytes of text that share one table of distinct segments.
 ROUND_BYTES = 1 << 22
 #: Pieces of one numbering range, about.
@@ -244,39 +248,50 @@ def price(weights: np.ndarray, capacity: int) -> dict[int, int]:
     return found
 
 
-def solve(counts: np.ndarray, rounds: int = ROUNDS, step: float = STEP) -> list[tuple[dict[int, int], int]]:
-    """Configurations and how often each is used, covering every piece exactly. counts[l]: pieces of length l."""
+def _phase(left: np.ndarray, rounds: int, step: float) -> dict[tuple, float]:
+    """A fractional solution for the pieces left: {configuration: amount}. Lengths that are covered least weigh most."""
+    lengths = np.flatnonzero(left)
+    need, log_w = left.astype(np.float64), np.zeros(len(left))
+    log_w[lengths] = POWER * np.log(lengths)
+    used: dict[tuple, float] = {}
+    for _ in range(rounds):
+        w = np.zeros(len(left))
+        w[lengths] = np.exp(log_w[lengths] - log_w[lengths].max()) + 1e-300
+        pattern = price(w, len(left) - 1)
+        at, copies = np.array(list(pattern)), np.array(list(pattern.values()))
+        amount = float((need[at] / copies).min())
+        key = tuple(sorted(pattern.items()))
+        used[key] = used.get(key, 0.0) + amount
+        log_w[at] -= step * amount * copies / need[at]
+    return used
+
+
+def solve(counts: np.ndarray, phases: int = PHASES, rounds: int = ROUNDS, step: float = STEP) -> list[tuple[dict[int, int], int]]:
+    """Configurations and how often each is used, covering every piece exactly. counts[l]: pieces of length l.
+
+    Each phase solves the program for what is left and rounds it: the fullest configurations first, each as often as its amount says
+    (once at least) and the pieces left allow. What no phase places is packed best-fit. Where best-fit alone needs fewer sequences, its
+    plan is taken."""
     capacity = len(counts) - 1
     left = counts.astype(np.int64).copy()
+    full = [({capacity: 1}, int(left[capacity]))] if left[capacity] else []
+    left[capacity] = 0
+    plain = best_fit(left)
     plan: list[tuple[dict[int, int], int]] = []
-    if left[capacity]:
-        plan.append(({capacity: 1}, int(left[capacity])))
-        left[capacity] = 0
-    lengths = np.flatnonzero(left)
-    if len(lengths) > 1:
-        need = left.astype(np.float64)
-        log_w = np.zeros(capacity + 1)
-        log_w[lengths] = np.log(lengths) - np.log(need[lengths])
-        used: dict[tuple, float] = {}
-        cover = np.zeros(capacity + 1)
-        for _ in range(rounds):
-            w = np.zeros(capacity + 1)
-            w[lengths] = np.exp(log_w[lengths] - log_w[lengths].max()) + 1e-300
-            pattern = price(w, capacity)
-            at, copies = np.array(list(pattern)), np.array(list(pattern.values()))
-            amount = float((need[at] / copies).min())
-            key = tuple(sorted(pattern.items()))
-            used[key] = used.get(key, 0.0) + amount
-            cover[at] += amount * copies
-            log_w[at] -= step * amount * copies / need[at]
-        scale = (cover[lengths] / need[lengths]).max()
-        for key, x in sorted(used.items(), key=lambda kv: (-kv[1], kv[0])):
-            times = int(min([x / scale + 1e-9, *(left[n] // k for n, k in key)]))
-            if times:
+    for _ in range(phases):
+        placed = False
+        used = _phase(left, rounds, step) if np.count_nonzero(left) > 1 else {}
+        for key, x in sorted(used.items(), key=lambda kv: (-sum(n * k for n, k in kv[0]), -kv[1], kv[0])):
+            times = int(min([max(1.0, x), *(left[n] // k for n, k in key)]))
+            if times and sum(n * k for n, k in key) >= capacity - SLACK:
                 plan.append((dict(key), times))
+                placed = True
                 for n, k in key:
                     left[n] -= k * times
-    return plan + best_fit(left)
+        if not placed:
+            break
+    plan += best_fit(left)
+    return full + min(plan, plain, key=lambda p: sum(times for _, times in p))
 
 
 def best_fit(left: np.ndarray) -> list[tuple[dict[int, int], int]]:

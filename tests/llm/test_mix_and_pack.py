@@ -155,15 +155,17 @@ def test_packing_of_the_given_documents(spark, tok):
     rows = packing.pack_documents(docs.withColumn("length", F.lit(1))).collect()
     seqs = check_packed(rows, ids)
     least = -(-sum(map(len, ids.values())) // packing.CAPACITY)
-    assert len(seqs) <= 1.01 * least + 2
+    assert least <= len(seqs) <= least + 3
     whole = packing.pack_documents(docs.limit(20), with_ids=True).collect()
     assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in whole)
 
 
-def test_packing_edges(spark):
+def test_packing_edges(spark, tok):
     rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (3, "word " * 1023), (4, "word " * 1024), (5, "word " * 5000)]
     got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", F.lit("p"))).collect()
-    assert len(got) == 7 + sum((len(t.split()) + 1) // 1024 - (not (len(t.split()) + 1) % 1024) for _, t in rows[4:]) or len(got) >= 7
+    sizes = [len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
+    assert len(got) == sum(-(-n // packing.CAPACITY) for n in sizes)
+    assert sorted(r["length"] for r in got) == sorted(m for n in sizes for m in [n % packing.CAPACITY] * (n % packing.CAPACITY > 0) + [packing.CAPACITY] * (n // packing.CAPACITY))
     assert {r["length"] for r in got if r["doc_id"] in (1, 2)} == {1}
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
@@ -203,3 +205,26 @@ def test_pieces_of_one_length_are_numbered_over_ranges(spark, monkeypatch):
     for r in rows:
         seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
     assert len(rows) == 300 and all(o == sum(n for _, n in sorted(p)[:k]) for p in seqs.values() for k, (o, _) in enumerate(sorted(p)))
+
+
+@pytest.mark.parametrize("kind", ["few of each length", "skewed", "even"])
+def test_the_program_places_most_pieces_and_needs_no_more_sequences_than_best_fit(monkeypatch, kind):
+    rng = np.random.default_rng(2)
+    lengths = {"few of each length": rng.gamma(2, 160, 3000).astype(int) + 1, "skewed": rng.lognormal(6, 1, 3000).astype(int) + 1,
+               "even": rng.integers(1, 1024, 3000)}[kind]
+    counts = np.bincount(lengths[lengths < 1024], minlength=1025)
+    plain, rest = packing.best_fit, []
+
+    def noted(left):
+        rest.append(int(left.sum()))
+        return plain(left)
+
+    monkeypatch.setattr(packing, "best_fit", noted)
+    plan = packing.solve(counts)
+    assert rest[0] == counts.sum() and rest[1] < 0.5 * counts.sum()
+    got = np.zeros(1025, int)
+    for pattern, times in plan:
+        assert sum(n * k for n, k in pattern.items()) <= 1024
+        for n, k in pattern.items():
+            got[n] += k * times
+    assert (got == counts).all() and sum(t for _, t in plan) <= sum(t for _, t in plain(counts.copy()))
