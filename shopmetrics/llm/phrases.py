@@ -11,8 +11,8 @@
    over all shards, and occurrences elsewhere are marked too. Marked windows' words are removed. Whole texts that are equal are
    found as one phrase each, and all but the first are removed without more ado.
 
-Phrases and windows of a passage that very many documents share are counted with map-side partial sums, and the
-joins on them are sort-merge joins that adaptive execution splits.
+Phrases and windows of a passage that very many documents share are counted with map-side partial sums; phrases with a large share of
+all posts are salted before they are joined.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ from shopmetrics.llm.store import drop, keep
 
 WINDOW, GRAM = 20, 8
 SHARD_BYTES = 1 << 21
+HOT = 200
 
 
 def _posted(words: np.ndarray) -> np.ndarray:
@@ -50,7 +51,7 @@ def _posted(words: np.ndarray) -> np.ndarray:
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases of each document and their places; and once its whole text, as a phrase at a negative place."""
     for batch in batches:
-        ids, shards = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "shard"))
+        ids, nths, shards = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "nth", "shard"))
         buf, offsets = X.byte_column(batch.column("text"))
         for lo, hi in X.chunks(offsets):
             b, o = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
@@ -64,8 +65,8 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one, two = _text_hashes(words, first, whole)
             row = np.concatenate([row, whole])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([grams[at], one]).view(np.int64)), pa.array(shards[lo:hi][row]), pa.array(ids[lo:hi][row]),
-                 pa.array(np.concatenate([at - first[row[: len(at)]], two]).astype(np.int32))], names=["phrase", "shard", "doc_id", "place"])
+                [pa.array(np.concatenate([grams[at], one]).view(np.int64)), pa.array(shards[lo:hi][row]), pa.array(ids[lo:hi][row]), pa.array(nths[lo:hi][row]),
+                 pa.array(np.concatenate([at - first[row[: len(at)]], two]).astype(np.int32))], names=["phrase", "shard", "doc_id", "nth", "place"])
 
 
 def _text_hashes(words: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +81,7 @@ def _text_hashes(words: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tupl
     return both[0], -1 - (both[1] >> np.uint64(33)).astype(np.int64)
 
 
-_FOUND = "doc_id long, ha array<long>, hb array<int>, start array<int>, again_from array<int>, again_to array<int>"
+_FOUND = "doc_id long, nth int, ha array<long>, hb array<int>, start array<int>, again_from array<int>, again_to array<int>"
 
 
 def _locate(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
@@ -90,24 +91,24 @@ def _locate(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     and the ranges of starts of windows that the shard has earlier.
     """
     columns = [c.split()[0] for c in _FOUND.split(", ")]
-    docs = docs.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+    docs = docs.sort_values(["doc_id", "nth"]).drop_duplicates(["doc_id", "nth"])
     raw = [t.encode().split() for t in docs["text"]]
-    ids = docs["doc_id"].to_numpy()
-    where = {d: i for i, d in enumerate(ids.tolist())}
+    ids, nths = docs["doc_id"].to_numpy(), docs["nth"].to_numpy()
+    where = {d: i for i, d in enumerate(zip(ids.tolist(), nths.tolist()))}
     copies, automaton = set(), ahocorasick.Automaton()
-    for doc, place, first in zip(phrases["doc_id"].tolist(), phrases["place"].tolist(), phrases["first"].tolist(), strict=True):
+    for doc, nth, place, first in zip(*(phrases[c].tolist() for c in ("doc_id", "nth", "place", "first")), strict=True):
         if place >= 0:
-            automaton.add_word((b" " + b" ".join(raw[where[doc]][place : place + GRAM]) + b" ").decode(), 1)
+            automaton.add_word((b" " + b" ".join(raw[where[doc, nth]][place : place + GRAM]) + b" ").decode(), 1)
         elif first < doc:
-            copies.add(doc)
-    rows = [(d, [], [], [], [0], [len(raw[where[d]]) - WINDOW + 1]) for d in sorted(copies)]
+            copies.add(where[doc, nth])
+    rows = [(ids[i], nths[i], [], [], [], [0], [len(raw[i]) - WINDOW + 1]) for i in sorted(copies)]
     if not len(automaton):
         return pd.DataFrame(rows, columns=columns)
     automaton.make_automaton()
     found: list[tuple] = []
     for row, words in enumerate(raw):
         n = len(words) - WINDOW + 1
-        if n <= 0 or ids[row] in copies:
+        if n <= 0 or row in copies:
             continue
         line = (b" " + b" ".join(words) + b" ").decode()
         ends = np.fromiter((e for e, _ in automaton.iter(line)), dtype=np.int64)
@@ -131,6 +132,9 @@ def _locate(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
         ha, hb, row, begin = ha[order], hb[order], row[order], begin[order]
         new = np.ones(len(ha), bool)
         new[1:] = (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])
+        # another text of the same id has its own first: neither comes before the other
+        lowest = ids[row[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]]
+        new[1:] |= (ids[row[1:]] == lowest[1:]) & (row[1:] != row[:-1])
         back = np.lexsort((begin, row))
         ha, hb, row, begin, new = ha[back], hb[back], row[back], begin[back], new[back]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1, [len(row)]])
@@ -139,7 +143,7 @@ def _locate(docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
             again = begin[lo:hi][~mine]
             edge = np.flatnonzero(np.diff(again) != 1)
             starts, stops = (again[np.append(0, edge + 1)], again[np.append(edge, -1)] + 1) if len(again) else (again, again)
-            rows.append((ids[row[lo]], ha[lo:hi][mine], hb[lo:hi][mine], begin[lo:hi][mine], starts, stops))
+            rows.append((ids[row[lo]], nths[row[lo]], ha[lo:hi][mine], hb[lo:hi][mine], begin[lo:hi][mine], starts, stops))
     return pd.DataFrame(rows, columns=columns)
 
 
@@ -174,32 +178,55 @@ def _cut_batch(batch: pa.RecordBatch, as_is: bool) -> pa.RecordBatch:
         names=["row", "kept_text", "n_words", "n_removed"])
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``nth``: 0, but for rows that repeat an id with another text, whose texts are numbered from 0.
+
+    Those rows alone are looked up: their table is joined by broadcast only where Spark finds its stored size small."""
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    ids = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_key"))
+    several = ids.groupBy("doc_id").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).where("lo != hi").select("doc_id")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("_key")) - 1
+    others = keep(ids.join(several, "doc_id", "left_semi").distinct().withColumn("_nth", nth).where("_nth > 0"), "others")
+    return keyed.join(others, ["doc_id", "_key"], "left").withColumn("nth", F.coalesce("_nth", F.lit(0))).drop("_key", "_nth")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, repeats): ranges of starts of each document's windows whose words also start earlier.
+    """(doc_id, nth, repeats): ranges of starts of each document's windows whose words also start earlier.
 
-    ``docs`` has doc_id long and text, neither null; a window is earlier in a smaller doc_id, or in the
+    ``docs`` has doc_id long, nth int and text, none null; a window is earlier in a smaller doc_id, or in the
     same document at an earlier start.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()
     shards = max(1, -(-(size[0] or 0) // SHARD_BYTES))
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"))
-    posts = keep(dealt.mapInArrow(_post, "phrase long, shard int, doc_id long, place int")
+    dealt = docs.select("doc_id", "nth", "text", F.pmod(F.xxhash64("doc_id", "nth"), F.lit(shards)).cast("int").alias("shard"))
+    posts = keep(dealt.mapInArrow(_post, "phrase long, shard int, doc_id long, nth int, place int")
                  .withColumn("kind", F.least("place", F.lit(0))), "posts")
     again = keep(posts.groupBy("phrase", "kind").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-                 .where("n > 1").select("phrase", "kind", "first"), "phrases")
-    needed = keep(posts.join(again, ["phrase", "kind"]).groupBy("shard", "phrase", "kind", F.when(F.col("kind") < 0, F.col("doc_id")).alias("copy"))
-                  .agg(F.max("doc_id").alias("doc_id"), F.max_by("place", "doc_id").alias("place"), F.min("first").alias("first"))
-                  .select("shard", "doc_id", "place", "first"), "needed")
+                 .where("n > 1").select("phrase", "kind", "first", "n"), "phrases")
+    # phrases with one in HOT of all posts or more (HOT of them at most) are joined by as many salts
+    least = max(1, posts.count() // HOT)
+    hot = F.broadcast(again.where(F.col("n") > least).select("phrase", "kind", F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "nth"), F.lit(HOT)).cast("int")).otherwise(0)
+    salts = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(HOT - 1))).otherwise(F.array(F.lit(0)))
+    met = posts.join(hot, ["phrase", "kind"], "left").withColumn("salt", salt).join(
+        again.select("phrase", "kind", "first", F.explode(salts).alias("salt")), ["phrase", "kind", "salt"])
+    copy = [F.when(F.col("kind") < 0, F.col(c)).alias(f"copy_{c}") for c in ("doc_id", "nth")]
+    # nth and place of one row as one number, which a hash aggregate can carry
+    at = F.shiftleft(F.col("nth").cast("long"), 32) + F.col("place")
+    low = (F.pmod(F.col("at") + (1 << 31), F.lit(1 << 32)) - (1 << 31)).cast("int")
+    needed = keep(met.groupBy("shard", "phrase", "kind", *copy)
+                  .agg(F.max("doc_id").alias("doc_id"), F.max_by(at, "doc_id").alias("at"), F.min("first").alias("first"))
+                  .withColumn("place", low).select("shard", "doc_id", F.shiftright(F.col("at") - F.col("place"), 32).cast("int").alias("nth"), "place", "first"), "needed")
     drop(posts, again)
     windows = keep(dealt.groupBy("shard").cogroup(needed.groupBy("shard")).applyInPandas(_locate, _FOUND), "windows")
     drop(needed)
-    # a shard has one window of each hash here, so a document has it once and its place needs no more than doc_id
-    each = windows.select("doc_id", F.inline(F.arrays_zip("ha", "hb", "start")))
+    # a shard has one window of each hash and id here, so a document has it once and its place needs no more than its id
+    each = windows.select("doc_id", "nth", F.inline(F.arrays_zip("ha", "hb", "start")))
     firsts = keep(each.groupBy("ha", "hb").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
                   .where("n > 1").select("ha", "hb", "first"), "firsts")
-    far = each.join(firsts, ["ha", "hb"]).where("doc_id > first").select("doc_id", F.col("start").alias("b"), (F.col("start") + 1).alias("e"))
-    near = windows.select("doc_id", F.inline(F.arrays_zip(F.col("again_from").alias("b"), F.col("again_to").alias("e"))))
-    out = keep(far.unionByName(near.select("doc_id", "b", "e")).groupBy("doc_id").agg(F.collect_list(F.struct("b", "e")).alias("repeats")), "repeats")
+    far = each.join(firsts, ["ha", "hb"]).where("doc_id > first").select("doc_id", "nth", F.col("start").alias("b"), (F.col("start") + 1).alias("e"))
+    near = windows.select("doc_id", "nth", F.inline(F.arrays_zip(F.col("again_from").alias("b"), F.col("again_to").alias("e"))))
+    out = keep(far.unionByName(near.select("doc_id", "nth", "b", "e")).groupBy("doc_id", "nth").agg(F.collect_list(F.struct("b", "e")).alias("repeats")), "repeats")
     drop(windows, firsts)
     return out
 
@@ -210,13 +237,13 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Words covered by a window of ``WINDOW`` words that also starts earlier are removed; the others
     are joined by one space (with ``as_is``, a text that loses nothing keeps its white space). A null text has no words. Texts of fewer words than a window are kept. Rows with
     a null id are kept whole and make no other text a repeat. Rows that repeat an id and text are one document:
-    each is cut as the first would be. Columns of ``docs`` named kept_text, n_words or n_removed are replaced.
+    each is cut as the first would be. Rows that repeat an id with another text are documents of their own, none of them earlier than
+    the other. Columns of ``docs`` named kept_text, n_words or n_removed are replaced.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    starts = repeated_windows(own.where("doc_id IS NOT NULL AND text IS NOT NULL"))
     plain = [c for c in docs.columns if c not in (text_col, "kept_text", "n_words", "n_removed")]
-    packed = docs.select(F.struct(*plain).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    joined = packed.join(starts, "doc_id", "left").select("row", "text", "repeats")
+    packed = numbered(docs.select(F.struct(*plain).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    starts = repeated_windows(packed.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "nth", "text"))
+    joined = packed.join(starts, ["doc_id", "nth"], "left").select("row", "text", "repeats")
     to = T.StructType([joined.schema["row"], T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()),
                        T.StructField("n_removed", T.LongType())])
     return joined.mapInArrow(_cut(as_is), to).select("row.*", "kept_text", "n_words", "n_removed")

@@ -197,3 +197,21 @@ def test_a_bucket_writes_a_forest(spark):
                      "shingles": np.arange(100), "coord": 0, "block": 0, "key": 1, "one": 0, "two": 0})
     links = minhash._compare_lists(80)(pd.DataFrame(rows))
     assert len(links) == 299 and len(set(brute.components(range(300), links.itertuples(index=False, name=None)).values())) == 1
+
+
+def test_rows_that_repeat_an_id_are_cut_by_their_own_texts(spark):
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"w{rng.randrange(10_000)}" for _ in range(60)) for _ in range(3))
+    given = [(1, a), (3, a), (3, b), (3, b), (3, c + " " + b), (5, c), (7, "x " + b)]
+    got = phrases.cut_repeats(spark.createDataFrame(given, "doc_id long, text string").repartition(4)).collect()
+    left = sorted((r["doc_id"], r["n_words"], r["kept_text"]) for r in got)
+    assert left == sorted([(1, 60, a), (3, 60, ""), (3, 60, b), (3, 60, b), (3, 120, c + " " + b), (5, 60, ""), (7, 61, "x")])
+
+
+def test_a_phrase_in_a_third_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HOT", 7)
+    rng = random.Random(12)
+    shared = " ".join(f"s{i}" for i in range(30))
+    docs = [(i, " ".join([*(f"w{rng.randrange(10**6)}" for _ in range(30)), *([shared] if i % 3 == 0 else [])])) for i in range(120)] + [(500 + i, shared) for i in range(60)]
+    got = phrases.cut_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in got} == brute.cut_repeats(docs)
