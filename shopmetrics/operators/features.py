@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.safe import one_if_zero, safe_div
+from .quantiles import exact_quantiles
 
 KEYS = ("Category",)
 
@@ -59,21 +60,32 @@ def _quantiles(x, probs, approx: bool, accuracy: int):
     return F.percentile_approx(x, arr, accuracy) if approx else F.percentile(x, arr)
 
 
-def add_features(df: DataFrame, approx: bool = False, accuracy: int = 10000) -> DataFrame:
+def exact_edges(df: DataFrame) -> dict[str, list[float | None]]:
+    """The bin edges of ``add_features`` by counting passes: exact, and no buffer grows with the rows (``operators.quantiles``)."""
+    roi = F.greatest(F.col("DiscountROI"), F.lit(0.0))
+    return exact_quantiles(df, {"price": F.col("AveragePrice"), "roi": roi}, {"price": QUINTILES, "roi": TERCILES})
+
+
+def add_features(df: DataFrame, approx: bool = False, accuracy: int = 10000, edges: dict | None = None) -> DataFrame:
     """All derived features of the model input (FEA-3..19).
 
     Quantile edges are exact (``percentile``, interpolating like pandas) by default; exact
     percentiles buffer the values of the whole frame in one aggregate, which is right for the
     per-category feature rows. With ``approx=True`` (features at product grain) they come from
-    ``percentile_approx``, whose buffer is bounded by ``accuracy``.
+    ``percentile_approx``, whose buffer is bounded by ``accuracy``; with ``edges`` (see ``exact_edges``) they are given, and exact.
     """
+    def quantiles(x, probs, name):
+        if edges is not None:
+            return F.any_value(F.array(*[F.lit(v).cast("double") for v in edges[name]]))
+        return _quantiles(x, probs, approx, accuracy)
+
     roi = F.greatest(F.col("DiscountROI"), F.lit(0.0))
     g = df.agg(
         F.avg("AveragePrice").alias("_m_ap"), F.stddev_samp("AveragePrice").alias("_s_ap"),
         F.avg("TotalRevenue").alias("_m_tr"), F.stddev_samp("TotalRevenue").alias("_s_tr"),
         F.avg("TotalSales").alias("_m_ts"), F.stddev_samp("TotalSales").alias("_s_ts"),
-        _quantiles(F.col("AveragePrice").cast("double"), QUINTILES, approx, accuracy).alias("_q_ap"),
-        _quantiles(roi, TERCILES, approx, accuracy).alias("_q_roi"),
+        quantiles(F.col("AveragePrice").cast("double"), QUINTILES, "price").alias("_q_ap"),
+        quantiles(roi, TERCILES, "roi").alias("_q_roi"),
     )
     x = df.crossJoin(F.broadcast(g))
     c = F.col

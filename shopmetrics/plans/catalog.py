@@ -141,6 +141,15 @@ def _features(cols: list[str]) -> Query:
     return q
 
 
+def q_features_product_grain(spark, sf_dir):
+    """The features by quantiles with a row for each product, over edges from counting passes."""
+    s = silver(spark, sf_dir, columns=("ProductID", *GOLD_ALL)).withColumn("Category", F.col("ProductID").cast("string"))
+    stats = MD.materialize(G.category_stats(s))
+    joined = MD.materialize(FE.fill_numeric_nulls(FE.join_gold(
+        G.revenue_per_category(stats, ordered=False), G.discount_effectiveness(stats), G.price_rating_correlation(stats), G.review_sales_ratio(stats))))
+    return FE.add_features(joined, edges=FE.exact_edges(joined)).select("Category", "PriceToAvgRatio", "PriceCategory", "DiscountROICategory")
+
+
 def _csv_fixture(spark, sf_dir) -> str:
     """Write the raw CSV fixture (several text files) under the shared folder; return its path."""
     path = TB.shared_dir(spark, "csv", unique=True)
@@ -537,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "table_changes": q_table_changes,
     "features_joined": q_features_joined,
     **{name: _features(cols) for name, cols in FEATURE_GROUPS.items()},
+    "features_product_grain": q_features_product_grain,
     "ml_yeo_johnson_lambda": q_ml_yeo_johnson_lambda,
     "ml_requests_valid": q_ml_requests_valid,
     "ml_requests_rejected": q_ml_requests_rejected,

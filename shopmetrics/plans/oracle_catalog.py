@@ -62,6 +62,8 @@ FEATURE_GROUPS = {
 
 _FEATURES_JOINED = O.features_cte() + "\nSELECT Category, " + ", ".join(O.NUMERIC_JOINED + O.TEXT_JOINED) + " FROM filled"
 
+_FEATURES_PRODUCT = O.features_cte("CAST(l_partkey AS VARCHAR)") + "\nSELECT Category, PriceToAvgRatio, PriceCategory, DiscountROICategory FROM feats"
+
 _CSV_VALID = "WITH " + O.bronze_cte() + """
 SELECT ProductID, ProductName, Category, Price, Rating, NumReviews, StockQuantity, Sales, Discount, DateAdded, City,
        CASE WHEN l_linenumber = 6 THEN false ELSE StockStatus END AS StockStatus
@@ -287,6 +289,7 @@ ORACLE: dict[str, str] = {
     "lookup_categories": _CATEGORIES,
     **{name: _lookup_sql(t, c) for name, (t, c) in LOOKUPS.items()},
     "features_joined": _FEATURES_JOINED,
+    "features_product_grain": _FEATURES_PRODUCT,
     "ml_yeo_johnson_lambda": _YJ,
     "ml_requests_valid": _REQUESTS_VALID,
     "ml_requests_rejected": _REQUESTS_REJECTED,
