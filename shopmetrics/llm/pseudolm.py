@@ -32,7 +32,7 @@ TOP, BUCKETS = 256, 64
 CLASSES = TOP + BUCKETS
 SIDE, EMBED, HIDDEN = 3, 16, 32
 ROUNDS = 4
-BATCH, RATE = 2048, 0.01
+BATCH, RATE = 4096, 0.01
 #: Copies of the network that meet in a task, at the first of two levels: one in so many of the partitions.
 FAN_OUT = 64
 ROUND_BYTES = 1 << 22
@@ -183,7 +183,7 @@ def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> N
         dh *= 1 - h * h
         grad["h"] = dh.sum(axis=0)
         for k in range(2 * SIDE):
-            by = np.argsort(a[:, k], kind="stable")
+            by = np.argsort(a[:, k].astype(np.uint16) if len(model["e"]) < 1 << 16 else a[:, k], kind="stable")
             words = a[by, k]
             first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
             hot = np.add.reduceat(dh[by], first, axis=0)
@@ -253,6 +253,8 @@ def _added(rows: pa.Table) -> pa.Table:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict, Vocabulary]:
     """The averaged network and the corpus's vocabulary."""
+    # a worker has one core: more threads for its small products would only wait for each other
+    docs.sparkSession.sparkContext.environment.update(dict.fromkeys(("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"), "1"))
     vocab = vocabulary(docs, text_col)
     model = start(classes=vocab.size)
     for k in range(ROUNDS):
@@ -294,7 +296,8 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
     def finish(rows: pa.Table, known: pa.Table) -> pa.Table:
         place = known.column("place").to_numpy()
         inside = np.empty(len(place))
-        inside[place] = np.log(known.column("n").to_numpy()) - np.log(vocab.total[known.column("word").to_numpy() & (BUCKETS - 1)] + 1)
+        packed = known.column("packed").to_numpy()
+        inside[place] = np.log(packed // BUCKETS) - np.log(vocab.total[packed % BUCKETS] + 1)
         places = rows.column("places")
         flat = pc.list_flatten(places).to_numpy()
         n = pc.list_value_length(places).to_numpy().astype(np.int64)
@@ -306,6 +309,7 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     part = keep(src.mapInArrow(run, "chunk long, doc_id long, n_words long, of_classes double, places array<int>, words array<long>"), "classes")
     met = part.where("words IS NOT NULL").select("chunk", F.posexplode("words").alias("place", "word"))
-    known = met.join(vocab.counts.hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place", "word", F.coalesce("n", F.lit(1)).alias("n"))
+    known = met.join(vocab.counts.hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place",
+        (F.coalesce("n", F.lit(1)) * BUCKETS + F.col("word").bitwiseAND(BUCKETS - 1)).alias("packed"))  # occurrences and bucket
     done = part.drop("words").groupBy("chunk").cogroup(known.groupBy("its")).applyInArrow(finish, "doc_id long, n_words long, log_likelihood double")
     return done.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
