@@ -20,6 +20,11 @@ def latest_per_product(df: DataFrame, key: str = "ProductID", order: Sequence[st
     share of the rows is reduced to one row per map task before the shuffle, where the window
     would sort all of that key's rows in a single task.
 
+    That aggregate sorts its rows (a struct with texts has no hash aggregate), and a scan's task holds more wide rows than its
+    share of memory once the files compress well. A batch is therefore rebalanced by the key's hash first: the rows of a product
+    meet in tasks of even size, which sort them in memory and leave about one row per product for the second shuffle.
+    By a hash and not by the key itself, as adaptive execution may then split what a hot key fills over several tasks.
+
     The optimizer can't drop fields of a struct under ``max``, so ``keep`` names the columns that are
     needed beside the key and the order; nothing else goes through the sort and the shuffle.
     """
@@ -29,7 +34,8 @@ def latest_per_product(df: DataFrame, key: str = "ProductID", order: Sequence[st
         c for c in df.columns if c not in (key, "ProcessedTimestamp")]
     rest = [c for c in df.columns if c != key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest])
-    return (df.groupBy(key)
+    met = df if df.isStreaming else df.withColumn("_near", F.xxhash64(key)).hint("rebalance", "_near")
+    return (met.groupBy(key)
               .agg(F.max(packed).alias("_latest"))
               .select(F.col(key), *[F.col("_latest")[c].alias(c) for c in df.columns if c != key]))
 

@@ -83,6 +83,13 @@ def test_hot_key_dedupe_is_exact(spark):
     assert agg.select(F.sum("_count")).first()[0] == len(out)
 
 
+def test_wide_rows_meet_in_even_tasks_before_the_dedupe_sorts_them(spark):
+    plan = physical(C.q_silver_dedupe(spark, SF))
+    # by a hash of the key: the partial aggregate still comes between, and a hot key's partition may be split
+    assert plan.index("partial_max") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert plan[:plan.index("partial_max")].count("Exchange hashpartitioning(ProductID") == 1
+
+
 def test_silver_range_read_prunes_partitions(spark, workdir):
     from shopmetrics.sources import tables as TB
     s = C.silver(spark, SF)
