@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from . import quoted as Q
-from .tables import checkpointed
 
 CORRUPT = "_corrupt_record"
 RAW_CSV_SCHEMA = T.StructType(
@@ -53,10 +52,10 @@ def read_product_csv(spark: SparkSession, path: str, header: bool = True, glob:
     split = csv_reader(spark, header=header, glob=glob).csv(path)
     if Q.lines_with_open_quotes(lines).isEmpty():
         return split
-    # the names of files that the driver has listed already: no larger than that list
-    quoted = F.broadcast(checkpointed(Q.lines_with_open_quotes(lines).select("file").distinct()))
-    rest = split.select("*", F.col("_metadata.file_path").alias("file")).join(quoted, "file", "left_anti").drop("file")
-    return rest.unionByName(Q.parsed(lines.join(quoted, "file", "left_semi"), RAW_CSV_SCHEMA, CORRUPT, header))
+    # the names of files that the driver has listed already: no larger than that list. Each file is read in one of the two ways only
+    quoted = [r["file"] for r in Q.lines_with_open_quotes(lines).select("file").distinct().collect()]
+    rest = split.where(~F.col("_metadata.file_path").isin(quoted))
+    return rest.unionByName(Q.parsed(Q.lines_of(spark, path, glob, quoted), RAW_CSV_SCHEMA, CORRUPT, header))
 
 
 def field_count(line: Column) -> Column:
@@ -126,9 +125,14 @@ def products_from_csv(raw: DataFrame, observe=None) -> tuple[DataFrame, DataFram
     return valid.drop("_fields"), rejected.drop("_fields")
 
 
+def message(columns: Sequence[str]) -> Column:
+    """One JSON object of these columns."""
+    return F.to_json(F.struct(*[F.col(c) for c in columns]))
+
+
 def encode_messages(df: DataFrame) -> DataFrame:
     """One JSON object per row, in a ``value`` column (Kafka value or a text-file line)."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    return df.select(message(df.columns).alias("value"))
 
 
 def publish_messages(df: DataFrame, path: str | None = None, kafka: dict | None = None) -> None:
@@ -148,7 +152,8 @@ def tag_messages(df: DataFrame, schema: T.StructType = S.BRONZE_SCHEMA) -> DataF
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     value = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select(value.alias("value"), F.from_json(value, full, options).alias("m"))
+    # by a generator: filters pushed below a plain projection would parse each message again, once for each field they look at
+    parsed = df.select(value.alias("value"), F.explode(F.array(F.from_json(value, full, options))).alias("m"))
     bad = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull() | (F.trim("value") == "")
     return parsed.select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields], "value",
                          F.when(F.coalesce(bad, F.lit(True)), F.lit("message")).alias("RejectReason"))

@@ -32,9 +32,11 @@ def ends_inside(value: Column, inside: bool) -> Column:
     return F.when(F.contains(value, F.lit('"')), value.rlike(STAYS if inside else OPENS)).otherwise(F.lit(inside))
 
 
-def lines_of(spark: SparkSession, path: str | Sequence[str], glob: str) -> DataFrame:
-    """(value, file, block, at): the lines of all files; ``block`` is the split's first byte, ``at`` grows along a split."""
+def lines_of(spark: SparkSession, path: str | Sequence[str], glob: str, files: Sequence[str] | None = None) -> DataFrame:
+    """(value, file, block, at): the lines of all files, or of ``files`` alone; ``block`` is the split's first byte, ``at`` grows along a split."""
     text = spark.read.option("pathGlobFilter", glob).text(path)
+    if files is not None:
+        text = text.where(F.col("_metadata.file_path").isin(list(files)))
     return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                        F.monotonically_increasing_id().alias("at"))
 
@@ -82,7 +84,7 @@ def records(lines: DataFrame) -> DataFrame:
     begun = F.when(F.col("from_0") == 0, F.col("all_0")).otherwise(F.col("all_1"))
     blocks = blocks.select("file", "block", F.col("from_0").alias("_first"), F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("_before"))
 
-    known = line.join(blocks, ["file", "block"])
+    known = line.join(F.broadcast(blocks), ["file", "block"])  # one row per split
     inside = F.when(F.col("_first") == 0, F.col("from_0")).otherwise(F.col("from_1"))
     number = F.col("_before") + F.when(F.col("_first") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
     open_ = F.when(inside == 0, F.col("_after_0")).otherwise(F.col("_after_1"))
@@ -98,4 +100,5 @@ def parsed(lines: DataFrame, schema: StructType, corrupt: str, header: bool) ->
     rows = (rows.where("record > 1") if header else rows).where(F.trim("value") != "")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "quote": '"', "escape": '"'}
-    return rows.select(F.from_csv("value", ddl, options).alias("_row")).select("_row.*")
+    # by a generator: a field of ``from_csv`` in a filter or a projection above would be a parser of its own, run for every line
+    return rows.select(F.inline(F.array(F.from_csv("value", ddl, options))))

@@ -135,3 +135,24 @@ def test_a_line_as_a_function_of_the_state_before_it(spark):
     df = spark.createDataFrame([(v,) for v in cases], "value string")
     got = df.select("value", *(Q.ends_inside(F.col("value"), bool(k)).cast("int").alias(f"s{k}") for k in (0, 1))).collect()
     assert {r.value: (r.s0, r.s1) for r in got} == cases
+
+
+def _runs(df, parser):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().count(parser)
+
+
+def test_each_record_is_parsed_once(spark, workdir):
+    spark.createDataFrame([('1,"a\nb",c,1,2,3,4,5,6,2024-01-01,x,TRUE',), ("2,d",)], "value string").coalesce(1).write.text(f"{workdir}/q")
+    valid, rejected = IN.products_from_csv(IN.read_product_csv(spark, f"{workdir}/q", header=False, glob="part-*"))
+    assert [r.ProductName for r in valid.collect()] == ["a\nb"] and rejected.count() == 1
+    assert _runs(valid, "from_csv") == 1     # not once more for each field that a filter looks at
+    for df in IN.split_messages(spark.read.text(f"{workdir}/q")):
+        assert _runs(df, "from_json") == 1
+
+
+def test_a_file_with_quoted_line_breaks_is_read_in_one_way(spark, workdir):
+    for k, text in enumerate(['1,"a\nb",c,1,2,3,4,5,6,2024-01-01,x,TRUE', '2,"d",c,1,2,3,4,5,6,2024-01-01,x,TRUE']):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{workdir}/two")
+    raw = IN.read_product_csv(spark, f"{workdir}/two", header=False, glob="part-*")
+    assert sorted(r.ProductName for r in IN.products_from_csv(raw)[0].collect()) == ["a\nb", "d"]
+    assert "Join LeftAnti" not in raw._jdf.queryExecution().optimizedPlan().toString()
