@@ -333,7 +333,7 @@ def _batched_lake(spark, sf_dir, batches) -> tuple[RF.LakePaths, list]:
     touched = []
     for k, where in enumerate(batches):
         ST.append_batch(FX.drop_tie_break(bronze(spark, sf_dir).where(where)), k, paths.bronze, "fixture")
-        touched = INC.refresh_now(spark, paths, state_partitions=8)
+        touched = INC.refresh_now(spark, paths, state_partitions=INC.state_partitions_for(spark, paths))
     return paths, touched[-1] if touched else []
 
 

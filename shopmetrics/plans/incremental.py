@@ -202,6 +202,16 @@ def start_refresh_stream(spark: SparkSession, paths: LakePaths, checkpoint: str
         spark.conf.set("spark.sql.shuffle.partitions", session_has)
 
 
+#: Bytes of bronze files, as stored when a lake's first refresh starts, for each partition of its state.
+STATE_PARTITION_BYTES = 16 << 20
+
+
+def state_partitions_for(spark: SparkSession, paths: LakePaths, least: int = 8) -> int:
+    """Partitions of the state store that grow with what bronze holds, so that one task's share of rows and state does not."""
+    fs, p = _path(spark, paths.bronze)
+    return max(least, -(-fs.getContentSummary(p).getLength() // STATE_PARTITION_BYTES)) if fs.exists(p) else least
+
+
 def refresh_now(spark: SparkSession, paths: LakePaths, **options) -> list[list[tuple[int | None, int | None]]]:
     """Run the refresh query until it has seen all of bronze; the folders touched by each of its micro-batches."""
     touched: list[list[tuple[int | None, int | None]]] = []

@@ -327,3 +327,12 @@ def test_malformed_messages_are_rejected(spark, workdir):
     valid, bad = IN.split_messages(spark.createDataFrame([(v,) for v in values], "value string"))
     assert [r.ProductID for r in valid.collect()] == [1, None] and valid.columns == S.BRONZE_COLUMNS
     assert [r.value for r in bad.collect()] == ["not json", '{"ProductID":"x"}', "", None, "[1]"]
+
+
+def test_state_partitions_grow_with_bronze(spark, workdir, monkeypatch):
+    paths = LakePaths.under(f"{workdir}/lake")
+    assert INC.state_partitions_for(spark, paths) == 8
+    ST.append_batch(_records(spark), 0, paths.bronze, "test")
+    assert INC.state_partitions_for(spark, paths) == 8
+    monkeypatch.setattr(INC, "STATE_PARTITION_BYTES", 100)
+    assert INC.state_partitions_for(spark, paths) > 8
