@@ -150,10 +150,25 @@ def q_features_product_grain(spark, sf_dir):
     return FE.add_features(joined, edges=FE.exact_edges(joined)).select("Category", "PriceToAvgRatio", "PriceCategory", "DiscountROICategory")
 
 
+#: Rows of a file of messages or CSV lines: it is read by one task (compressed, or with line breaks in quotes), so its size is bounded.
+FILE_ROWS = 1_000_000
+#: Micro-batches of a stream that refreshes, or reads, everything in each: a fixed number, whatever the tables hold.
+MICRO_BATCHES = 3
+
+
+def _write_lines(lines: DataFrame, path: str, **options) -> None:
+    lines.write.option("maxRecordsPerFile", FILE_ROWS).options(**options).text(path)
+
+
+def _files_per_trigger(spark, path: str, least: int) -> int:
+    """``least`` files for each micro-batch, and more where there are more files than ``MICRO_BATCHES`` of that size."""
+    return max(least, -(-len(spark.read.text(path).inputFiles()) // MICRO_BATCHES))
+
+
 def _csv_fixture(spark, sf_dir) -> str:
     """Write the raw CSV fixture (several text files) under the shared folder; return its path."""
     path = TB.shared_dir(spark, "csv", unique=True)
-    FX.product_csv_lines(bronze(spark, sf_dir)).write.text(path)
+    _write_lines(FX.product_csv_lines(bronze(spark, sf_dir)), path)
     return path
 
 
@@ -172,15 +187,15 @@ def q_ingest_csv_quoted(spark, sf_dir):
     path = TB.shared_dir(spark, "csv", unique=True)
     broken = F.concat("ProductName", F.lit('\n"x", \n'), "City")
     made = bronze(spark, sf_dir).withColumn("ProductName", F.when(F.col("l_linenumber") == 2, broken).otherwise(F.col("ProductName")))
-    FX.product_csv_lines(made).write.text(path)
+    _write_lines(FX.product_csv_lines(made), path)
     return IN.products_from_csv(IN.read_product_csv(spark, path, header=False, glob="part-*"))[0]
 
 
 def _messages(spark, sf_dir, where=None) -> str:
-    """The fixture's records as JSON messages, in as many files as its scan has tasks."""
+    """The fixture's records as compressed JSON messages, in files of at most ``FILE_ROWS``."""
     path = TB.shared_dir(spark, "messages", unique=True)
     records = bronze(spark, sf_dir)
-    IN.encode_messages(FX.drop_tie_break(records if where is None else records.where(where))).write.text(path)
+    _write_lines(IN.encode_messages(FX.drop_tie_break(records if where is None else records.where(where))), path, compression="gzip")
     return path
 
 
@@ -193,11 +208,11 @@ def q_ingest_json_rejected(spark, sf_dir):
     path = TB.shared_dir(spark, "messages", unique=True)
     b = bronze(spark, sf_dir)
     key = F.concat_ws("-", "l_orderkey", "l_linenumber")
-    good = IN.encode_messages(FX.drop_tie_break(b.where("l_linenumber NOT IN (3, 4)")))
-    bad = b.where("l_linenumber IN (3, 4)").select(
-        F.when(F.col("l_linenumber") == 3, F.concat(F.lit('{"ProductName":"'), key))
-         .otherwise(F.concat(F.lit('{"ProductID":"'), key, F.lit('"}'))).alias("value"))
-    good.unionByName(bad).write.text(path)
+    line = F.col("l_linenumber")
+    value = (F.when(line == 3, F.concat(F.lit('{"ProductName":"'), key))
+              .when(line == 4, F.concat(F.lit('{"ProductID":"'), key, F.lit('"}')))
+              .otherwise(IN.message(S.BRONZE_COLUMNS)))
+    _write_lines(b.select(value.alias("value")), path, compression="gzip")
     return IN.split_messages(spark.read.text(path))[1]
 
 
@@ -211,7 +226,8 @@ def _drain(records, paths, checkpoint, **kw) -> None:
 def _run_stream(spark, sf_dir, refresh) -> RF.LakePaths:
     _, paths, checkpoint = ST.stream_dirs(spark, "fixture")
     src = _messages(spark, sf_dir)
-    _drain(ST.read_message_stream(spark, path=src, max_per_trigger=1), paths, checkpoint, refresh=refresh, keep_existing_stamp=True)
+    records = ST.read_message_stream(spark, path=src, max_per_trigger=_files_per_trigger(spark, src, 1))
+    _drain(records, paths, checkpoint, refresh=refresh, keep_existing_stamp=True)
     TB.remove(spark, src)
     return paths
 
@@ -322,7 +338,8 @@ def q_stream_gold_refresh(spark, sf_dir):
 def q_stream_gold_incremental(spark, sf_dir):
     """Messages to bronze, and the lake's refresh query over bronze in a few micro-batches."""
     paths = _run_stream(spark, sf_dir, refresh=None)
-    INC.refresh_now(spark, paths, max_files_per_trigger=4, state_partitions=8)
+    INC.refresh_now(spark, paths, max_files_per_trigger=_files_per_trigger(spark, paths.bronze, 4),
+                    state_partitions=INC.state_partitions_for(spark, paths))
     return TB.read_gold(spark, paths.gold, "revenue_per_category")
 
 
@@ -385,7 +402,8 @@ def q_stream_csv_bronze(spark, sf_dir):
     """CSV files -> file stream (existing files, several micro-batches) -> bronze, stamped."""
     _, paths, checkpoint = ST.stream_dirs(spark, "csv")
     src = _csv_fixture(spark, sf_dir)
-    _drain(ST.read_csv_stream(spark, src, max_files_per_trigger=3, header=False, glob="part-*"), paths, checkpoint, stamp=STREAM_STAMP)
+    records = ST.read_csv_stream(spark, src, max_files_per_trigger=_files_per_trigger(spark, src, 3), header=False, glob="part-*")
+    _drain(records, paths, checkpoint, stamp=STREAM_STAMP)
     TB.remove(spark, src)
     return RF.read_bronze(spark, paths.bronze)
 

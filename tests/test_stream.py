@@ -336,3 +336,18 @@ def test_state_partitions_grow_with_bronze(spark, workdir, monkeypatch):
     assert INC.state_partitions_for(spark, paths) == 8
     monkeypatch.setattr(INC, "STATE_PARTITION_BYTES", 100)
     assert INC.state_partitions_for(spark, paths) > 8
+
+
+def test_message_files_are_bounded_and_micro_batches_few(spark, monkeypatch):
+    from shopmetrics.plans import catalog as C
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(C, "FILE_ROWS", 500)
+    src = C._messages(spark, sf)
+    files = spark.read.text(src).inputFiles()
+    assert len(files) > C.MICRO_BATCHES and all(f.endswith(".gz") for f in files)
+    assert max(r["n"] for r in spark.read.text(src).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) <= 500
+    assert len(files) / C._files_per_trigger(spark, src, 1) <= C.MICRO_BATCHES
+    paths = C._run_stream(spark, sf, refresh=None)
+    stored = spark.read.parquet(paths.bronze)
+    assert stored.select("_batch_id").distinct().count() == C.MICRO_BATCHES
+    assert sorted(rows(read_bronze(spark, paths.bronze)), key=str) == sorted(rows(C.q_bronze_products(spark, sf)), key=str)
