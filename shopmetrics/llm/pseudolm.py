@@ -77,11 +77,10 @@ class Vocabulary:
         return {**self.__dict__, "counts": None}
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        rare = self.first_bucket + (words.view(np.int64) & (BUCKETS - 1))
-        if not len(self.top):
-            return rare
-        at = np.minimum(np.searchsorted(self.top, words), len(self.top) - 1)
-        return np.where(self.top[at] == words, self.classes[at], rare)
+        own = words.view(np.int64)
+        at = pc.index_in(pa.array(own), value_set=pa.array(self.top.view(np.int64))).fill_null(-1).to_numpy()
+        rare = self.first_bucket + (own & (BUCKETS - 1))
+        return np.where(at >= 0, self.classes[at], rare) if len(self.top) else rare
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
@@ -123,16 +122,36 @@ def contexts(classes: np.ndarray, first: np.ndarray, beyond: int = CLASSES) -> n
     return out
 
 
-def _hidden(tables: np.ndarray, model: dict, around: np.ndarray) -> np.ndarray:
-    x = np.broadcast_to(model["h"], (len(around), HIDDEN)).copy()
-    for k in range(2 * SIDE):
-        x += tables[k][around[:, k]]
-    return np.tanh(x)
+# What is summed over the few groups or members has a column for each place: the sums then run along the places.
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _inputs(model: dict, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The embeddings around every place, side by side, and the hidden units."""
+    x = model["e"].take(around.ravel(), axis=0).reshape(len(around), -1)
+    h = x @ model["w"].reshape(-1, HIDDEN)
+    h += model["h"]
+    return x, np.tanh(h, out=h)
+
+
+def _softmax(z: np.ndarray, share: float) -> np.ndarray:
+    """In place: ``share`` times the softmax of each column."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z *= share / z.sum(axis=0)
+    return z
+
+
+def _log_prob(z: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The log-softmax of each column at its ``row``."""
+    z -= z.max(axis=0)
+    at = z[row, np.arange(len(row))]
+    return at - np.log(np.exp(z, out=z).sum(axis=0))
+
+
+def _by_group(target: np.ndarray, members: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group and place of every class; few groups are short integers, which numpy sorts by digits."""
+    group, place = np.divmod(target, members)
+    return group.astype(np.uint16 if len(group) and group.max() < 1 << 16 else np.int64), place
 
 
 def _runs(group: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -144,17 +163,16 @@ def _runs(group: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def log_probs(model: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log-probability of each target's class given the words around it: of its group, and of it inside that."""
-    tables, members = model["e"] @ model["w"], model["b"].shape[1]
     out = np.empty(len(target))
-    order = np.argsort(target // members, kind="stable")
+    group, place = _by_group(target, model["b"].shape[1])
+    order = np.argsort(group, kind="stable")
     for begin in range(0, len(order), 8192):
         part = order[begin : begin + 8192]
-        h = _hidden(tables, model, around[part])
-        group, place = np.divmod(target[part], members)
-        each = np.arange(len(part))
-        found = _log_softmax(h @ model["g"] + model["a"])[each, group].astype(np.float64)
-        for k, lo, hi in _runs(group):
-            found[lo:hi] += _log_softmax(h[lo:hi] @ model["o"][k] + model["b"][k])[each[: hi - lo], place[lo:hi]]
+        _, h = _inputs(model, around.take(part, axis=0))
+        its, inside = group.take(part), place.take(part)
+        found = _log_prob(model["g"].T @ h.T + model["a"][:, None], its).astype(np.float64)
+        for k, lo, hi in _runs(its):
+            found[lo:hi] += _log_prob(model["o"][k].T @ h[lo:hi].T + model["b"][k][:, None], inside[lo:hi])
         out[part] = found
     return out
 
@@ -162,40 +180,42 @@ def log_probs(model: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray
 def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> None:
     """One pass of Adam over the places given, in batches."""
     rng = np.random.default_rng(len(target))
-    order, members = rng.permutation(len(target)), model["b"].shape[1]
+    order, (group, place) = rng.permutation(len(target)), _by_group(target, model["b"].shape[1])
     for begin in range(0, len(order), BATCH):
         at = order[begin : begin + BATCH]
-        at = at[np.argsort(target[at] // members, kind="stable")]
-        a, n = around[at], len(at)
-        group, place = np.divmod(target[at], members)
-        h = _hidden(model["e"] @ model["w"], model, a)
-        grad = {k: np.zeros_like(model[k]) for k in ("e", "w", "o", "b")}
-        z = np.exp(_log_softmax(h @ model["g"] + model["a"]))
-        z[np.arange(n), group] -= 1
-        z /= n
-        grad["g"], grad["a"], dh = h.T @ z, z.sum(axis=0), z @ model["g"].T
-        for k, lo, hi in _runs(group):
-            z = np.exp(_log_softmax(h[lo:hi] @ model["o"][k] + model["b"][k]))
-            z[np.arange(hi - lo), place[lo:hi]] -= 1
-            z /= n
-            grad["o"][k], grad["b"][k] = h[lo:hi].T @ z, z.sum(axis=0)
-            dh[lo:hi] += z @ model["o"][k].T
+        at = at.take(np.argsort(group.take(at), kind="stable"))
+        a, n, its, inside = around.take(at, axis=0), len(at), group.take(at), place.take(at)
+        x, h = _inputs(model, a)
+        grad = {k: np.zeros_like(model[k]) for k in ("o", "b")}
+        each = np.arange(n)
+        z = _softmax(model["g"].T @ h.T + model["a"][:, None], 1 / n)
+        z[its, each] -= 1 / n
+        grad["g"], grad["a"], dh = (z @ h).T, z.sum(axis=1), z.T @ model["g"].T
+        for k, lo, hi in _runs(its):
+            z = _softmax(model["o"][k].T @ h[lo:hi].T + model["b"][k][:, None], 1 / n)
+            z[inside[lo:hi], each[: hi - lo]] -= 1 / n
+            grad["o"][k], grad["b"][k] = (z @ h[lo:hi]).T, z.sum(axis=1)
+            dh[lo:hi] += z.T @ model["o"][k].T
         dh *= 1 - h * h
-        grad["h"] = dh.sum(axis=0)
-        for k in range(2 * SIDE):
-            by = np.argsort(a[:, k].astype(np.uint16) if len(model["e"]) < 1 << 16 else a[:, k], kind="stable")
-            words = a[by, k]
-            first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-            hot = np.add.reduceat(dh[by], first, axis=0)
-            grad["e"][words[first]] += hot @ model["w"][k].T
-            grad["w"][k] = model["e"][words[first]].T @ hot
+        grad["h"], grad["w"] = dh.sum(axis=0), (x.T @ dh).reshape(model["w"].shape)
+        dx, words = model["w"].reshape(-1, HIDDEN) @ dh.T, a.T.astype(np.intp, order="C")
+        e = np.zeros((EMBED, len(model["e"])), model["e"].dtype)
+        for i in range(2 * SIDE * EMBED):
+            np.add.at(e[i % EMBED], words[i // EMBED], dx[i])
+        grad["e"] = e.T
         state["step"] = t = state.get("step", 0) + 1
-        rate = RATE / (1 + t / 500) * np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
+        rate = float(RATE / (1 + t / 500) * np.sqrt(1 - 0.999**t) / (1 - 0.9**t))  # no numpy number, which would make doubles of the rest
         for name, g in grad.items():
-            m1, m2 = state.setdefault(name, (np.zeros_like(g), np.zeros_like(g)))
-            m1 += 0.1 * (g - m1)
-            m2 += 0.001 * (g * g - m2)
-            model[name] -= (rate * m1 / (np.sqrt(m2) + 1e-8)).astype(np.float32)
+            m1, m2 = state.setdefault(name, (np.zeros(g.shape, g.dtype), np.zeros(g.shape, g.dtype)))
+            m1 *= 0.9
+            m1 += 0.1 * g
+            g *= g
+            g *= 0.001
+            m2 *= 0.999
+            m2 += g
+            by = np.sqrt(m2, out=g)
+            by += 1e-8
+            model[name] -= np.divide(rate * m1, by, out=by)
 
 
 def _classes_of(batch: pa.RecordBatch, vocab: Vocabulary) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -283,13 +303,14 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
                 sums = np.concatenate([[0.0], np.cumsum(log_probs(model, contexts(classes, first, vocab.size), classes))])
                 # the buckets' words, as places in the chunk's distinct ones, which its first row has
                 at = classes >= vocab.first_bucket
-                rare, place = np.unique(words[at], return_inverse=True)
+                found = pa.array(words[at].view(np.int64)).dictionary_encode()
+                rare, place = np.unique(found.dictionary.to_numpy(), return_inverse=True)  # sorted: neighbours share their bytes
                 cuts = np.concatenate([[0], np.cumsum(at)])[first]
                 chunk += 1
-                own = [rare.view(np.int64), *[None] * (hi - lo - 1)]
+                own = [rare, *[None] * (hi - lo - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(hi - lo, chunk)), batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)),
-                     pa.array(sums[first[1:]] - sums[first[:-1]]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32))),
+                     pa.array(sums[first[1:]] - sums[first[:-1]]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32)[found.indices.to_numpy()])),
                      pa.array(own, pa.list_(pa.int64()))],
                     names=["chunk", "doc_id", "n_words", "of_classes", "places", "words"])
 
@@ -309,7 +330,8 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     part = keep(src.mapInArrow(run, "chunk long, doc_id long, n_words long, of_classes double, places array<int>, words array<long>"), "classes")
     met = part.where("words IS NOT NULL").select("chunk", F.posexplode("words").alias("place", "word"))
-    known = met.join(vocab.counts.hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place",
+    # a word that is missing there counts as one occurrence: those that have one needn't be joined
+    known = met.join(vocab.counts.where("n > 1").hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place",
         (F.coalesce("n", F.lit(1)) * BUCKETS + F.col("word").bitwiseAND(BUCKETS - 1)).alias("packed"))  # occurrences and bucket
     done = part.drop("words").groupBy("chunk").cogroup(known.groupBy("its")).applyInArrow(finish, "doc_id long, n_words long, log_likelihood double")
     return done.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
