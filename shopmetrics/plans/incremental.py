@@ -192,16 +192,20 @@ def start_refresh_stream(spark: SparkSession, paths: LakePaths, checkpoint: str
     w = changed_products(spark, paths, order, max_files_per_trigger).writeStream.outputMode("update") \
         .foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-    if state_partitions is None:
-        return w.start()
-    session_has = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", state_partitions)  # a query takes its settings when it starts
+    settings = {"spark.sql.files.maxPartitionBytes": SCAN_BYTES, "spark.sql.shuffle.partitions": state_partitions}
+    settings = {name: value for name, value in settings.items() if value is not None}
+    session_has = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)  # a query takes its settings when it starts
     try:
         return w.start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", session_has)
+        for name, value in session_has.items():
+            spark.conf.set(name, value)
 
 
+#: Bytes of bronze files that a task of the refresh reads: it sorts their rows, which are many times as large in memory.
+SCAN_BYTES = 16 << 20
 #: Bytes of bronze files, as stored when a lake's first refresh starts, for each partition of its state.
 STATE_PARTITION_BYTES = 16 << 20
 

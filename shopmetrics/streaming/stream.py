@@ -8,15 +8,16 @@ drains everything and stops, which also flushes the last partial batch.
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Thread
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
 from ..sources import ingest as IN
 from ..sources import tables as TB
-from ..plans.incremental import refresh_now
+from ..plans.incremental import exists, refresh_now, state_partitions_for
 from ..plans.refresh import BATCH_COLUMN, STREAM_COLUMN, LakePaths, refresh_tables, stream_id
 
 
@@ -60,37 +61,55 @@ def append_batch(batch: DataFrame, batch_id: int, path: str, stream: str = "batc
     """Idempotent append: each micro-batch owns the partition of its stream and batch id, written with
     dynamic partition overwrite, so a replayed batch (after a failure) replaces itself, and never
     what another stream or another checkpoint has written. A ``rebalance`` first lets AQE size
-    the batch's files (no file per input task)."""
-    (batch.hint("rebalance").withColumns({STREAM_COLUMN: F.lit(stream), BATCH_COLUMN: F.lit(batch_id)})
+    the batch's files (no file per input task), by the hash of the product where there is one: the records of a product then stand in
+    the same file, and who looks for its latest has one row of it to shuffle for each file. By a hash, as AQE may then split what a
+    hot product fills."""
+    met = batch.withColumn("_near", F.xxhash64("ProductID")).hint("rebalance", "_near").drop("_near") if "ProductID" in batch.columns \
+        else batch.hint("rebalance")
+    (met.withColumns({STREAM_COLUMN: F.lit(stream), BATCH_COLUMN: F.lit(batch_id)})
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(STREAM_COLUMN, BATCH_COLUMN).parquet(path))
 
 
+def observed(seen: Observation, name: str, seconds: float = 60) -> int | None:
+    """A metric of a job that has ended; None where Spark hasn't told it in this time (its listeners may lose events)."""
+    told: list[dict] = []
+    asked = Thread(target=lambda: told.append(seen.get), daemon=True)
+    asked.start()
+    asked.join(seconds)
+    return told[0].get(name) if told else None
+
+
 def refresh_batch(batch: DataFrame, batch_id: int, paths: LakePaths, refresh: str | None = "full",
-                  stream: str = "batch") -> None:
+                  stream: str = "batch", session: SparkSession | None = None) -> None:
     """The ``foreachBatch`` body: append to bronze, then rebuild silver and gold.
 
     ``refresh="full"`` recomputes from the whole bronze history (the reference's behaviour);
     ``"incremental"`` runs the lake's refresh query over what bronze has gained (see ``plans.incremental``): for one stream
     at a time; where several append at once, give them ``None``, which only appends, and start one refresh query. Rows with a
-    ``RejectReason`` go to the rejected table. A batch without a valid row changes no other table.
+    ``RejectReason`` go to the rejected table. A batch without a valid row changes no other table. The job that stores the valid
+    rows counts the rejected ones: a batch without any isn't read and parsed again for them.
     """
     if refresh not in ("full", "incremental", None):
         raise ValueError(f"unknown refresh mode: {refresh}")
     spark = batch.sparkSession
-    if "RejectReason" in batch.columns:
-        bad = F.col("RejectReason").isNotNull()
-        append_batch(batch.where(bad), batch_id, paths.rejected, stream)
-        batch = batch.where(~bad)
-    append_batch(batch.select(*S.BRONZE_COLUMNS), batch_id, paths.bronze, stream)
     here = f"{paths.bronze}/{STREAM_COLUMN}={stream}/{BATCH_COLUMN}={batch_id}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(here)
-    if refresh is None or not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if "RejectReason" in batch.columns:
+        bad, seen = F.col("RejectReason").isNotNull(), Observation()
+        counted = batch.observe(seen, F.count_if(bad).alias("rejected"))
+        append_batch(counted.where(~bad).select(*S.BRONZE_COLUMNS), batch_id, paths.bronze, stream)
+        # where nothing was stored, adaptive execution may have dropped the job's plan and the count with it
+        if not exists(spark, here) or observed(seen, "rejected") != 0:
+            append_batch(batch.where(bad), batch_id, paths.rejected, stream)
+    else:
+        append_batch(batch.select(*S.BRONZE_COLUMNS), batch_id, paths.bronze, stream)
+    if refresh is None or not exists(spark, here):
         return
     if refresh == "full":
         refresh_tables(spark, paths)
     else:
-        refresh_now(spark, paths)
+        # in the user's session: a stream's own keeps that stream's number of state partitions for queries that start in it
+        refresh_now(session or spark, paths, state_partitions=state_partitions_for(spark, paths))
 
 
 def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, refresh: str | bool | None = None,
@@ -104,7 +123,7 @@ def start_bronze_stream(records: DataFrame, paths: LakePaths, checkpoint: str, r
     mode = "full" if refresh is True else (None if refresh is False else refresh)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, batch_id, paths, mode, stream_id(batch.sparkSession, checkpoint))
+        refresh_batch(batch, batch_id, paths, mode, stream_id(batch.sparkSession, checkpoint), records.sparkSession)
         if on_batch is not None:
             on_batch(batch, batch_id)
 

@@ -351,3 +351,46 @@ def test_message_files_are_bounded_and_micro_batches_few(spark, monkeypatch):
     stored = spark.read.parquet(paths.bronze)
     assert stored.select("_batch_id").distinct().count() == C.MICRO_BATCHES
     assert sorted(rows(read_bronze(spark, paths.bronze)), key=str) == sorted(rows(C.q_bronze_products(spark, sf)), key=str)
+
+
+def test_a_batch_is_parsed_again_only_for_rejected_rows(spark, workdir, monkeypatch):
+    written, append = [], ST.append_batch
+    monkeypatch.setattr(ST, "append_batch", lambda df, k, path, stream="batch": (written.append(path), append(df, k, path, stream)))
+    paths = LakePaths.under(f"{workdir}/lake")
+    good = IN.encode_messages(_records(spark, 20))
+    ST.refresh_batch(IN.tag_messages(good), 0, paths, None, "a")
+    assert written == [paths.bronze]
+    bad = spark.createDataFrame([("no message",)], "value string")
+    ST.refresh_batch(IN.tag_messages(good.unionByName(bad)), 1, paths, None, "a")
+    ST.refresh_batch(IN.tag_messages(bad), 2, paths, None, "a")
+    assert written[1:] == [paths.bronze, paths.rejected] * 2
+    assert read_bronze(spark, paths.bronze).count() == 40
+    assert [r.value for r in spark.read.parquet(paths.rejected).collect()] == ["no message"] * 2
+
+
+def test_a_count_that_is_not_told_is_unknown(spark):
+    from pyspark.sql import Observation
+    never = Observation()
+    spark.range(3).observe(never, F.count("*").alias("rejected"))
+    assert ST.observed(never, "rejected", seconds=0.5) is None
+
+
+def test_a_products_records_stand_in_one_file(spark, workdir):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ST.append_batch(_records(spark, 60).repartition(5), 0, f"{workdir}/bronze", "a")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(f"{workdir}/bronze").select("ProductID", F.input_file_name().alias("file"))
+    assert stored.select("file").distinct().count() > 1
+    assert stored.groupBy("ProductID").agg(F.countDistinct("file").alias("n")).where("n > 1").isEmpty()
+
+
+def test_a_refresh_inside_a_stream_has_its_own_state_partitions(spark, workdir, monkeypatch):
+    monkeypatch.setattr(ST, "state_partitions_for", lambda *_: 3)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    paths = _one_stream(spark, _records(spark, 30), workdir, "a", "incremental")
+    state = f"{paths.state}/checkpoint/state/0".replace("file:", "")
+    assert sorted(d for d in os.listdir(state) if d.isdigit()) == ["0", "1", "2"]
+    assert {name: spark.conf.get(name) for name in before} == before
+    _same_as_full(spark, paths, _records(spark, 30))
