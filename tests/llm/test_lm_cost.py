@@ -1,6 +1,10 @@
 """The network's training and scoring against a plain form: same numbers, less CPU time."""
 
+import os
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 
@@ -8,7 +12,7 @@ from shopmetrics.llm import pseudolm
 
 
 def _log_softmax(z):
-    z = z - z.max(axis=1, keepdims=True)
+    z -= z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
@@ -37,7 +41,7 @@ def _plain_train(model, around, target, state):
         a, n = around[at], len(at)
         group, place = np.divmod(target[at], members)
         h = _plain_units(model, a)
-        grad = {k: np.zeros_like(v) for k, v in model.items()}
+        grad = {k: np.zeros_like(model[k]) for k in ("e", "w", "o", "b")}
         z = np.exp(_log_softmax(h @ model["g"] + model["a"]))
         z[np.arange(n), group] -= 1
         z /= n
@@ -85,15 +89,20 @@ def test_the_steps_are_those_of_the_plain_form():
     assert np.abs(got - _plain_log_probs(fast, around, words)).max() < 1e-4
 
 
-def test_a_step_costs_less_than_the_plain_form():
+def _ratio():
     words, around = _text(8 * pseudolm.BATCH, 2000)
 
     def seconds(train):
-        best = []
-        for _ in range(3):
-            model, state, begun = pseudolm.start(classes=2000), {}, time.process_time()
-            train(model, around, words, state)
-            best.append(time.process_time() - begun)
-        return min(best)
-
-    assert seconds(pseudolm.train) < 0.9 * seconds(_plain_train)
+        model, state, begun = pseudolm.start(classes=2000), {}, time.process_time()
+        train(model, around, words, state)
+        return time.process_time() - begun
+
+    return np.median([seconds(pseudolm.train) / seconds(_plain_train) for _ in range(15)])  # in turns: the machine's speed drifts
+
+
+def test_a_step_costs_less_than_the_plain_form():
+    """In a process of its own with one thread, as a worker has it."""
+    here = Path(__file__).resolve()
+    env = {**os.environ, "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "PYTHONPATH": os.pathsep.join([str(here.parents[2]), str(here.parent)])}
+    out = subprocess.run([sys.executable, "-c", "import test_lm_cost; print(test_lm_cost._ratio())"], env=env, capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 0.85
