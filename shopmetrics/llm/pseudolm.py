@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmetrics.llm import text as X
-from shopmetrics.llm.store import keep
+from shopmetrics.llm.store import keep, short_batches
 
 TOP, BUCKETS = 256, 64
 CLASSES = TOP + BUCKETS
@@ -45,14 +45,29 @@ def _shapes(classes: int) -> dict[str, tuple[int, ...]]:
             "o": (groups, HIDDEN, members), "b": (groups, members)}
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in chunks of about ``limit`` bytes of text, the same ones however the rows are dealt to batches."""
+    rest = []
     for batch in batches:
-        buf, offsets = X.byte_column(batch.column("text"))
-        for lo, hi in X.chunks(offsets, ROUND_BYTES):
-            b, o = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            s, e, _ = X.word_bounds(b, o)
-            word, n = np.unique(X.word_hashes(b, s, e, lower=True), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+        for rows in pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches():
+            *full, last = X.chunks(X.byte_column(rows.column("text"))[1], limit)
+            for lo, hi in full:
+                yield rows.slice(lo, hi - lo)
+            rest = [rows.slice(last[0])]  # more rows may belong to it
+    yield from rest
+
+
+def _words(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and ``first`` of word_bounds."""
+    buf, offsets = X.byte_column(chunk.column("text"))
+    s, e, first = X.word_bounds(buf, offsets)
+    return X.word_hashes(buf, s, e, lower=True), first
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in _chunks(batches, ROUND_BYTES):
+        word, n = np.unique(_words(chunk)[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
 
 class Vocabulary:
@@ -84,8 +99,9 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    counts = keep(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counts, "word long, n long")
-                  .groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    with short_batches(docs.sparkSession):
+        counts = keep(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_counts, "word long, n long")
+                      .groupBy("word").agg(F.sum("n").alias("n")), "counts")
     most = max(TOP, math.isqrt(counts.count()) // 2)
     top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()}  # half the root of the distinct words
     bucket = F.col("word").bitwiseAND(BUCKETS - 1)
@@ -218,15 +234,6 @@ def train(model: dict, around: np.ndarray, target: np.ndarray, state: dict) -> N
             model[name] -= np.divide(rate * m1, by, out=by)
 
 
-def _classes_of(batch: pa.RecordBatch, vocab: Vocabulary) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    buf, offsets = X.byte_column(batch.column("text"))
-    for lo, hi in X.chunks(offsets):
-        b, o = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        s, e, first = X.word_bounds(b, o)
-        words = X.word_hashes(b, s, e, lower=True)
-        yield lo, hi, words, vocab.of(words), first
-
-
 def _flat(model: dict) -> np.ndarray:
     return np.concatenate([model[k].ravel() for k in _shapes(CLASSES)])
 
@@ -243,11 +250,12 @@ def _shaped(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
 def _train_partition(model: dict, vocab: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, state, words = {k: v.copy() for k, v in model.items()}, {}, 0
-        for batch in batches:
-            for _, _, _, classes, first in _classes_of(batch, vocab):
-                if len(classes):
-                    train(own, contexts(classes, first, vocab.size), classes, state)
-                    words += len(classes)
+        for chunk in _chunks(batches, X.CHUNK_BYTES):
+            hashes, first = _words(chunk)
+            if len(hashes):
+                classes = vocab.of(hashes)
+                train(own, contexts(classes, first, vocab.size), classes, state)
+                words += len(classes)
         if words:
             yield _weighed(TaskContext.get().partitionId() % FAN_OUT, _flat(own).astype(np.float64) * words, words)
 
@@ -283,7 +291,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
         copies = part.mapInArrow(_train_partition(model, vocab), _MODELS)
         for _ in range(2):
             copies = copies.groupBy("at").applyInArrow(_added, _MODELS)
-        for one in copies.collect():  # one network
+        with short_batches(docs.sparkSession):
+            found = copies.collect()  # one network
+        for one in found:
             model = _shaped(np.frombuffer(one["value"], np.float64) / one["words"], vocab.size)
     return model, vocab
 
@@ -297,22 +307,21 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for lo, hi, words, classes, first in _classes_of(batch, vocab):
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(model, contexts(classes, first, vocab.size), classes))])
-                # the buckets' words, as places in the chunk's distinct ones, which its first row has
-                at = classes >= vocab.first_bucket
-                found = pa.array(words[at].view(np.int64)).dictionary_encode()
-                rare, place = np.unique(found.dictionary.to_numpy(), return_inverse=True)  # sorted: neighbours share their bytes
-                cuts = np.concatenate([[0], np.cumsum(at)])[first]
-                chunk += 1
-                own = [rare, *[None] * (hi - lo - 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, chunk)), batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)),
-                     pa.array(sums[first[1:]] - sums[first[:-1]]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32)[found.indices.to_numpy()])),
-                     pa.array(own, pa.list_(pa.int64()))],
-                    names=["chunk", "doc_id", "n_words", "of_classes", "places", "words"])
+        for k, rows in enumerate(_chunks(batches, X.CHUNK_BYTES), 1):
+            words, first = _words(rows)
+            classes = vocab.of(words)
+            sums = np.concatenate([[0.0], np.cumsum(log_probs(model, contexts(classes, first, vocab.size), classes))])
+            # the buckets' words, as places in the chunk's distinct ones, which its first row has
+            at = classes >= vocab.first_bucket
+            found = pa.array(words[at].view(np.int64)).dictionary_encode()
+            rare, place = np.unique(found.dictionary.to_numpy(), return_inverse=True)  # sorted: neighbours share their bytes
+            cuts = np.concatenate([[0], np.cumsum(at)])[first]
+            own = [rare, *[None] * (len(rows) - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), (TaskContext.get().partitionId() << 32) + k)), rows.column("doc_id"), pa.array(np.diff(first).astype(np.int64)),
+                 pa.array(sums[first[1:]] - sums[first[:-1]]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32)[found.indices.to_numpy()])),
+                 pa.array(own, pa.list_(pa.int64()))],
+                names=["chunk", "doc_id", "n_words", "of_classes", "places", "words"])
 
     def finish(rows: pa.Table, known: pa.Table) -> pa.Table:
         place = known.column("place").to_numpy()
@@ -328,7 +337,8 @@ def score(docs: DataFrame, model: dict, vocab: Vocabulary, id_col: str = "doc_id
         return pa.table({"doc_id": rows.column("doc_id"), "n_words": rows.column("n_words"), "log_likelihood": pa.array(total)})
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    part = keep(src.mapInArrow(run, "chunk long, doc_id long, n_words long, of_classes double, places array<int>, words array<long>"), "classes")
+    with short_batches(docs.sparkSession):
+        part = keep(src.mapInArrow(run, "chunk long, doc_id long, n_words long, of_classes double, places array<int>, words array<long>"), "classes")
     met = part.where("words IS NOT NULL").select("chunk", F.posexplode("words").alias("place", "word"))
     # a word that is missing there counts as one occurrence: those that have one needn't be joined
     known = met.join(vocab.counts.where("n > 1").hint("merge"), "word", "left").select(F.col("chunk").alias("its"), "place",

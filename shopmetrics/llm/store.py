@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +50,20 @@ def on_workers(spark: SparkSession) -> None:
     have = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (have, root) if x)
+
+
+#: Rows that a column reader and bytes that an Arrow batch hold at once. By default both hold thousands of rows, however long.
+SHORT = {"spark.sql.parquet.columnarReaderBatchSize": "512", "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 22)}
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run in this block read and send texts in batches of bounded size; the session's own settings hold again after it."""
+    before = {k: spark.conf.get(k, None) for k in SHORT}
+    try:
+        for k, v in SHORT.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
