@@ -129,6 +129,70 @@ def test_records_are_cut_in_splits_as_by_the_whole_file_reader(spark, workdir, s
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def _size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+
+def test_lines_of_a_split_are_neither_stored_nor_shuffled(spark, workdir):
+    """The largest split decides nothing about memory: between the two looks at the lines, a row for each split is all that is kept."""
+    d = workdir.replace("file:", "")
+    _write(d, "".join(f'{i},"a{i}\nb",c,1.5,4,1,1,1,0,d,e,TRUE\n' for i in range(20_000)))
+    kept = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    had = _size(kept)
+    records = Q.records(Q.lines_of(spark, d, "*.csv"))
+    assert records.count() == 20_000 and records.agg(F.max("record")).first()[0] == 20_000
+    assert _size(kept) - had < _size(d) / 10
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 1
+
+
+def _by_hand(text):
+    """The records of a file, a character at a time."""
+    out, record, state, k = [], "", "start", 0
+    text = text.removesuffix("\n")
+    while k < len(text):
+        c = text[k]
+        if state == "in":
+            if text[k:k + 2] == '""':
+                record, k = record + c, k + 1
+            elif c == '"':
+                state = "rest"
+        elif c == "\n":
+            out.append(record)
+            record, state, k = "", "start", k + 1
+            continue
+        else:
+            state = "start" if c == "," else "in" if c == '"' and state == "start" else "rest"
+        record, k = record + c, k + 1
+    return [*out, record]
+
+
+@pytest.mark.parametrize("split,batch", [(200, 3), (200, 10_000), (100_000, 1), (100_000, 7)])
+def test_records_over_splits_and_batches(spark, workdir, split, batch):
+    """Records that run over whole splits and batches of lines, two splits in one task, and quotes that are never closed."""
+    d = workdir.replace("file:", "")
+    rng = random.Random(split + batch)
+    texts = {}
+    for k in range(3):
+        made = [rng.choice(['{},a,b', '{},"x\ny",b', '{},5" b,"c"', '{},"x ""y""\n\n, z"', '"{}\n","\n"', '{},"é\n1,"']).format(i) for i in range(120)]
+        made[40] = '40,"' + "line of a long field, and on\n" * 60 + '",b'
+        made[119] = '119,"never closed' * (k == 1) + "\n1,2" * 50 if k else made[119]
+        texts[f"f{k}.csv"] = "\n".join(made) + "\n"
+        _write(d, texts[f"f{k}.csv"], name=f"f{k}.csv")
+    confs = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
+    try:
+        records = Q.records(Q.lines_of(spark, d, "*.csv"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 77_777)  # the splits are those of the first look
+        got = sorted((r.file.rsplit("/", 1)[1], r.record, r.value) for r in records.collect())
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert got == sorted((name, n + 1, value) for name, text in texts.items() for n, value in enumerate(_by_hand(text)))
+
+
 def test_a_line_as_a_function_of_the_state_before_it(spark):
     cases = {'a,b': (0, 1), '"a': (1, 0), 'a,"b': (1, 0), '"a","b': (1, 1), 'b",c': (0, 0), 'b","c': (1, 1), '""': (0, 1), 'x"y,z': (0, 0), '"a""': (1, 0),
              '"a"""': (0, 0), '': (0, 1), ',,"': (1, 0), 'TV 5",c': (0, 0), '"a"b",c': (0, 0), '"a", "b': (0, 0)}
